@@ -13,6 +13,7 @@ rows, the three reports - is a filter of the tagged feed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -55,15 +56,22 @@ class SkewConf:
     buckets: int = 32
 
 
-def core_views(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+Stage = Callable[[str, DataFrame], DataFrame]
+
+
+def _lazy(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def core_views(t: dict[str, DataFrame], stage: Stage = _lazy) -> dict[str, DataFrame]:
     """Checked feed, per-code summary and tagged feed - the shared trunk."""
     feed = t["listing"].select(*FEED_COLUMNS)
-    checked = check_codes(derive(feed))
+    checked = stage("checked", check_codes(derive(feed)))
     valid = checked.filter(F.col("code_ok")).drop("code_ok")
     groups = host_groups(valid)
-    codes = classify_codes(groups, t["property"], t["compset"])
-    tagged = tag_rows(checked, codes)
-    return {"feed": feed, "checked": checked, "codes": codes, "tagged": tagged}
+    codes = stage("codes", classify_codes(groups, t["property"], t["compset"]))
+    tagged = stage("tagged", tag_rows(checked, codes))
+    return {"feed": checked.select(*FEED_COLUMNS), "checked": checked, "codes": codes, "tagged": tagged}
 
 
 def reconcile_views(
@@ -71,19 +79,22 @@ def reconcile_views(
     ctx: RunContext | None = None,
     skew: SkewConf | None = None,
     scope: str = "valid",
-    core: dict[str, DataFrame] | None = None,
+    stage: Stage = _lazy,
 ) -> dict[str, DataFrame]:
     """All intermediate and final outputs of one run, keyed by query name.
 
     ``t`` holds ``listing`` (the feed) and the reference tables ``property``,
     ``compset``, ``competitor``, ``season_map``, ``run_pin``, ``comp_config``.
-    ``core`` may pass a materialised trunk (see :func:`core_views`).
+    ``stage(name, df)`` is called on every shared intermediate (``checked``,
+    ``codes``, ``tagged``, ``desired_config``, ``config_inserts``,
+    ``config_deletes``); the staged run writes them once and reads them back,
+    the registered queries leave them lazy.
     """
     ctx = ctx or RunContext()
     skew = skew or SkewConf()
-    c = core or core_views(t)
-    feed, checked, codes, tagged = c["feed"], c["checked"], c["codes"], c["tagged"]
-    v: dict[str, DataFrame] = {"feed_scan": feed}
+    c = core_views(t, stage)
+    checked, codes, tagged = c["checked"], c["codes"], c["tagged"]
+    v: dict[str, DataFrame] = {"feed_scan": t["listing"].select(*FEED_COLUMNS)}
 
     # B03, B04
     v["derive_id_name"] = checked.select(*FEED_COLUMNS, "competitor_id", "competitor_name")
@@ -131,14 +142,17 @@ def reconcile_views(
     # this path)
     pinned = pin_runs(t["season_map"], t["run_pin"])
     v["pinned_seasons"] = pinned.select("prop_code", "run_id", "season_id", "we_ind")
-    desired = expand_seasons(
-        matched, pinned, split_hot=skew.split_hot, min_rows=skew.min_rows, buckets=skew.buckets
+    desired = stage(
+        "desired_config",
+        expand_seasons(matched, pinned, split_hot=skew.split_hot, min_rows=skew.min_rows, buckets=skew.buckets),
     )
     v["desired_config"] = desired
 
     # B16, B17, B20 - every valid code is a row of ``codes``, so the scope of
     # the config needs no second pass over the feed.
-    scoped, inserts, deletes = config_changes(desired, t["comp_config"], codes, scope=scope)
+    _, inserts, deletes = config_changes(desired, t["comp_config"], codes, scope=scope)
+    inserts = stage("config_inserts", inserts)
+    deletes = stage("config_deletes", deletes)
     v["config_inserts"] = inserts
     v["config_deletes"] = deletes
     v["config_deletes_matched"] = deletes.join(desired.select("prop_code").distinct(), "prop_code", "left_semi")
