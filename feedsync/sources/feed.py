@@ -37,15 +37,27 @@ def read_feed(
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that parsed, rows that did not) - the corrupt column is dropped
-    from the first and kept alone in the second."""
+    """(rows that parsed, rows that did not).  The corrupt column is dropped
+    from the first; the second keeps the fields that did parse next to the
+    raw line.  Spark refuses to query the raw line straight from CSV (a
+    ``count()`` of the second part would prune to it alone), so pass a staged
+    copy of the parsed feed (:func:`stage_parsed`) when the rejects are
+    counted or written."""
     if CORRUPT_COLUMN not in df.columns:
         return df, df.limit(0)
     ok = df.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    bad = df.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+    bad = df.filter(F.col(CORRUPT_COLUMN).isNotNull())
     return ok, bad
 
 
+def stage_parsed(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write the parsed feed (corrupt column included) once as Parquet and
+    continue from it: the CSV is parsed a single time and both parts of
+    :func:`split_corrupt` can be queried freely."""
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def read_run_pins(spark: SparkSession, path: str, check_header: bool = True) -> DataFrame:
     """(prop_code, run_id) pins; not deduplicated here."""
     return _csv_reader(spark, RUN_PIN_SCHEMA, check_header, keep_corrupt=False).csv(path)

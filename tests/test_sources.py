@@ -4,14 +4,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedsync.schemas import FEED_COLUMNS, FEED_SCHEMA
-from feedsync.sources import JdbcSource, ParquetSource, read_feed, read_run_pins, read_table, split_corrupt, write_feed
+from feedsync.sources import (
+    JdbcSource,
+    ParquetSource,
+    read_feed,
+    read_run_pins,
+    read_table,
+    split_corrupt,
+    stage_parsed,
+    write_feed,
+)
 
 
 def test_feed_csv_round_trip_keeps_blanks_and_nulls(spark, tmp_path, fixtures_small):
     listing = fixtures_small["listing"]
     path = str(tmp_path / "feed")
     write_feed(listing, path)
-    back, bad = split_corrupt(read_feed(spark, path))
+    back, bad = split_corrupt(stage_parsed(spark, read_feed(spark, path), str(tmp_path / "parsed")))
     assert bad.count() == 0
     assert back.columns == FEED_COLUMNS
     assert back.exceptAll(listing).count() == 0 and listing.exceptAll(back).count() == 0
@@ -33,9 +42,10 @@ def test_feed_header_is_checked(spark, tmp_path):
 def test_feed_corrupt_rows_are_kept(spark, tmp_path):
     p = tmp_path / "ragged.csv"
     p.write_text("raw_code,role,ext_id,chain_name,hotel_name\nP000001,H,1,a,b\nP000002,H,1,a,b,EXTRA\n")
-    ok, bad = split_corrupt(read_feed(spark, str(p)))
+    ok, bad = split_corrupt(stage_parsed(spark, read_feed(spark, str(p)), str(tmp_path / "parsed")))
     assert ok.count() + bad.count() == 2
     assert bad.count() == 1
+    assert bad.first()["_corrupt_record"] == "P000002,H,1,a,b,EXTRA"
 
 
 def test_run_pins(spark, tmp_path):
