@@ -37,6 +37,8 @@ class JdbcSource:
     schema: str | None = None
     partitioning: dict[str, tuple[str, int, int, int]] = field(default_factory=dict)
     fetchsize: int = 10_000
+    # per table: database column name -> our column name (case-insensitive)
+    rename: dict[str, dict[str, str]] = field(default_factory=dict)
 
     def table_name(self, name: str) -> str:
         return f"{self.schema}.{name}" if self.schema else name
@@ -69,6 +71,7 @@ def read_table(
     scan reads only what the operators use.
     """
     df = source.load(spark, name)
+    rename = rename if rename is not None else getattr(source, "rename", {}).get(name)
     if rename:
         lower = {k.lower(): v for k, v in rename.items()}
         df = df.select([F.col(c).alias(lower.get(c.lower(), c)) for c in df.columns])

@@ -106,3 +106,34 @@ def test_jdbc_options_partitioned():
 
 def test_fixture_schema(fixtures_small):
     assert fixtures_small["listing"].schema == FEED_SCHEMA or [f.name for f in fixtures_small["listing"].schema] == FEED_COLUMNS
+
+
+def test_jdbc_rename_applies_by_table():
+    src = JdbcSource("jdbc:example://db/x", rename={"compset": {"RC_PROP_CODE": "prop_code"}})
+    assert src.rename["compset"]["RC_PROP_CODE"] == "prop_code"
+
+
+def test_run_job_from_csv_feed_and_parquet_tables(spark, tmp_path, fixtures_small):
+    from feedsync.constants import RunContext
+    from feedsync.plans.job import run_job
+
+    tables = str(tmp_path / "tables")
+    for name in ("property", "compset", "competitor", "season_map", "comp_config"):
+        fixtures_small[name].write.parquet(f"{tables}/{name}.parquet")
+    feed = str(tmp_path / "feed")
+    write_feed(fixtures_small["listing"], feed)
+    # one broken line next to the good ones
+    (tmp_path / "feed" / "zz-broken.csv").write_text(
+        "raw_code,role,ext_id,chain_name,hotel_name\nP000001,H,1,a,b,EXTRA\n"
+    )
+    pins = str(tmp_path / "pins")
+    fixtures_small["run_pin"].write.option("header", "true").csv(pins)
+    root = str(tmp_path / "root")
+    res = run_job(spark, feed, pins, ParquetSource(tables), RunContext(run_id=1), root=root)
+    c = res.counts()
+    assert c["config_inserts"] == 534 and c["config_deletes"] == 419 and c["compset_diff"] == 384
+    corrupt = spark.read.option("header", "true").csv(f"{root}/reports/run=1/corrupt-rows")
+    assert corrupt.count() == 1
+    # the next run continues from run 1's table states
+    res2 = run_job(spark, feed, pins, ParquetSource(tables), RunContext(run_id=2), root=root)
+    assert res2.counts()["new_hosts"] == 0
