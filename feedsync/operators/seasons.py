@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedsync.constants import NOT_OWN_FLAG, OWN_FLAG
-from feedsync.operators.skew import split_hot_join
+from feedsync.operators.skew import hot_keys, split_hot_join
 
 
 def pin_runs(
@@ -46,7 +46,10 @@ def expand_seasons(
     ).distinct()
     s = seasons.select("prop_code", "season_id", "we_ind").distinct()
     if split_hot:
-        j = split_hot_join(r, s, ["prop_code"], "inner", buckets=buckets, min_rows=min_rows)
+        # counted on the rows before de-duplication: an upper bound of the
+        # fan-out per code, one partial aggregate over a single column
+        hot = hot_keys(rows, ["prop_code"], min_rows)
+        j = split_hot_join(r, s, ["prop_code"], "inner", buckets=buckets, hot=hot)
     else:
         j = r.join(s, "prop_code")
     return j.select("prop_code", "competitor_id", "season_id", "we_ind", "own_ind")

@@ -45,17 +45,19 @@ def split_hot_join(
     buckets: int = 32,
     min_rows: int = 1_000_000,
     max_hot: int = 1000,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``big.join(small, keys, how)`` with hot keys spread over ``buckets`` tasks.
 
     ``how`` is ``inner`` or ``left`` (rows of ``big`` are never duplicated or
     dropped by the salting; each one meets every ``small`` row of its key
-    exactly once).
+    exactly once).  ``hot`` may pass a precomputed :func:`hot_keys` result
+    (for example counted on a cheaper upstream table).
     """
     if how not in ("inner", "left"):
         raise ValueError("split_hot_join supports inner and left joins")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(big, keys, min_rows, max_hot))
+    hot = F.broadcast(hot if hot is not None else hot_keys(big, keys, min_rows, max_hot))
     big_cols = [c for c in big.columns]
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.lit(buckets)).cast("int")
     b = (

@@ -86,7 +86,8 @@ def reconcile_views(
     ``t`` holds ``listing`` (the feed) and the reference tables ``property``,
     ``compset``, ``competitor``, ``season_map``, ``run_pin``, ``comp_config``.
     ``stage(name, df)`` is called on every shared intermediate (``checked``,
-    ``codes``, ``tagged``, ``desired_config``, ``config_inserts``,
+    ``codes``, ``tagged``, ``new_hosts``, ``competitor_upserts``,
+    ``compset_diff``, ``desired_config``, ``config_inserts``,
     ``config_deletes``); the staged run writes them once and reads them back,
     the registered queries leave them lazy.
     """
@@ -122,7 +123,7 @@ def reconcile_views(
     v["id_mismatch_report"] = one_report(rows, ID_MISMATCH)
 
     # B10
-    v["new_hosts"] = new_hosts(state, t["compset"])
+    v["new_hosts"] = stage("new_hosts", new_hosts(state, t["compset"]))
 
     # B11, B12
     renames = rename_records(checked, t["competitor"])
@@ -133,10 +134,12 @@ def reconcile_views(
     )
     hosts = renamed_hosts(matched, renames)
     v["renamed_hosts"] = hosts
-    v["competitor_upserts"] = competitor_upserts(renamed, t["competitor"], hosts, ctx.user)
+    v["competitor_upserts"] = stage(
+        "competitor_upserts", competitor_upserts(renamed, t["competitor"], hosts, ctx.user)
+    )
 
     # B13
-    v["compset_diff"] = compset_diff(matched, t["compset"], state)
+    v["compset_diff"] = stage("compset_diff", compset_diff(matched, t["compset"], state))
 
     # B14, B15 (names do not enter the config, so the rename join is not on
     # this path)

@@ -1,7 +1,24 @@
 """Hot keys: one code holding a third of all rows must not land in one task."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
+
+@contextmanager
+def confs(spark, **kv):
+    old = {k: spark.conf.get(k, None) for k in kv}
+    try:
+        for k, v in kv.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
 from feedsync.operators import expand_seasons, hot_keys, split_hot_join
 
 
@@ -42,16 +59,18 @@ def test_split_hot_join_equals_plain_join(spark):
 
 def test_hot_key_spread_over_buckets(spark):
     big, small = skewed(spark), seasons(spark)
-    salted = split_hot_join(big, small, ["prop_code"], buckets=8, min_rows=1000)
-    # rows of the hot code leave the join from 8 different salt groups
-    per_part = (
-        salted.filter(F.col("prop_code") == "P000001")
-        .withColumn("p", F.spark_partition_id())
-        .groupBy("p")
-        .count()
-        .collect()
-    )
+    with confs(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        salted = split_hot_join(big, small, ["prop_code"], buckets=8, min_rows=1000)
+        # rows of the hot code leave the join from several join tasks
+        per_part = (
+            salted.filter(F.col("prop_code") == "P000001")
+            .withColumn("p", F.spark_partition_id())
+            .groupBy("p")
+            .count()
+            .collect()
+        )
     assert len(per_part) > 1
+    assert max(r["count"] for r in per_part) < 20000
 
 
 def test_expand_seasons_split_equals_unsplit(spark):
@@ -90,3 +109,33 @@ def test_adaptive_skew_join_splits_semi_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_adaptive_skew_split_before_distinct(spark):
+    """Semi-join by code then distinct by (code, id) - the compset-diff shape.
+    The split is forced although the distinct relied on the join's partitioning."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+        big = skewed(spark, 60000)
+        codes = spark.range(2002).select(F.format_string("P%06d", F.col("id")).alias("prop_code"))
+        j = big.join(codes, "prop_code", "left_semi").select("prop_code", "competitor_id").distinct()
+        expect = big.select("prop_code", "competitor_id").distinct().count()
+        assert len(j.collect()) == expect
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan or "isSkew" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
