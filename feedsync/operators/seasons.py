@@ -30,14 +30,16 @@ def expand_seasons(
     seasons: DataFrame,
     split_hot: bool = True,
     min_rows: int = 1_000_000,
-    buckets: int = 32,
+    buckets: int | None = None,
+    rows_per_bucket: int = 250_000,
 ) -> DataFrame:
     """Desired config rows - one per listing x pinned season of its code.
 
     Both inputs are made distinct first (map-side), so the join output is
-    distinct by construction and needs no shuffle of its own.  A code that
-    owns a large share of the listings is split over ``buckets`` tasks
-    (:func:`split_hot_join`); other codes join unchanged.
+    distinct by construction and needs no shuffle of its own.  A code with at
+    least ``min_rows`` listings is split over about ``rows / rows_per_bucket``
+    tasks (or ``buckets``) by :func:`split_hot_join`; other codes join
+    unchanged.
     """
     r = rows.select(
         "prop_code",
@@ -49,7 +51,7 @@ def expand_seasons(
         # counted on the rows before de-duplication: an upper bound of the
         # fan-out per code, one partial aggregate over a single column
         hot = hot_keys(rows, ["prop_code"], min_rows)
-        j = split_hot_join(r, s, ["prop_code"], "inner", buckets=buckets, hot=hot)
+        j = split_hot_join(r, s, ["prop_code"], "inner", buckets=buckets, hot=hot, rows_per_bucket=rows_per_bucket)
     else:
         j = r.join(s, "prop_code")
     return j.select("prop_code", "competitor_id", "season_id", "we_ind", "own_ind")

@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 
 _SALT = "_salt"
 _HOT = "_hot"
+_NSALT = "_n_salt"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, max_hot: int = 1000) -> DataFrame:
-    """Keys with at least ``min_rows`` rows; at most ``max_hot`` of them.
+    """Keys with at least ``min_rows`` rows (``_n`` = their row count); at
+    most ``max_hot`` of them.
 
     The count is a partial (map-side) aggregation, so a hot key costs one
     partial row per input partition.  The order is total (count, then keys),
@@ -34,7 +36,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, max_hot: int = 1
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.filter(F.col("_n") >= F.lit(min_rows)).orderBy(F.col("_n").desc(), *keys).limit(max_hot)
-    return top.select(*keys, F.lit(True).alias(_HOT))
+    return top.select(*keys, "_n", F.lit(True).alias(_HOT))
 
 
 def split_hot_join(
@@ -42,35 +44,49 @@ def split_hot_join(
     small: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    buckets: int = 32,
+    buckets: int | None = None,
     min_rows: int = 1_000_000,
     max_hot: int = 1000,
     hot: DataFrame | None = None,
+    rows_per_bucket: int = 250_000,
+    max_buckets: int = 4096,
 ) -> DataFrame:
-    """``big.join(small, keys, how)`` with hot keys spread over ``buckets`` tasks.
+    """``big.join(small, keys, how)`` with each hot key spread over its own
+    number of tasks.
 
-    ``how`` is ``inner`` or ``left`` (rows of ``big`` are never duplicated or
-    dropped by the salting; each one meets every ``small`` row of its key
-    exactly once).  ``hot`` may pass a precomputed :func:`hot_keys` result
-    (for example counted on a cheaper upstream table).
+    A hot key with ``n`` rows gets ``ceil(n / rows_per_bucket)`` salt values
+    (at least 2, at most ``max_buckets``; or exactly ``buckets`` when given),
+    so the work per task stays near ``rows_per_bucket`` however large the key
+    grows, and only that key's ``small`` rows are replicated, once per salt.
+    ``how`` is ``inner`` or ``left``: every ``big`` row meets every ``small``
+    row of its key exactly once, so the result equals the plain join.
+    ``hot`` may pass a precomputed :func:`hot_keys` result (for example
+    counted on a cheaper upstream table).
     """
     if how not in ("inner", "left"):
         raise ValueError("split_hot_join supports inner and left joins")
     keys = list(keys)
-    hot = F.broadcast(hot if hot is not None else hot_keys(big, keys, min_rows, max_hot))
-    big_cols = [c for c in big.columns]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big_cols]), F.lit(buckets)).cast("int")
+    h = hot if hot is not None else hot_keys(big, keys, min_rows, max_hot)
+    if buckets is not None:
+        n_salt = F.lit(buckets)
+    else:
+        per = F.ceil(F.col("_n") / F.lit(rows_per_bucket)).cast("int")
+        n_salt = F.least(F.lit(max_buckets), F.greatest(F.lit(2), per))
+    h = F.broadcast(h.select(*keys, F.col(_HOT), n_salt.cast("int").alias(_NSALT)))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col(_NSALT)).cast("int")
     b = (
-        big.join(hot, keys, "left")
+        big.join(h, keys, "left")
         .withColumn(_SALT, F.when(F.col(_HOT), salt).otherwise(F.lit(0)))
-        .drop(_HOT)
+        .drop(_HOT, _NSALT)
     )
     s = (
-        small.join(hot, keys, "left")
+        small.join(h, keys, "left")
         .withColumn(
             _SALT,
-            F.explode(F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))),
+            F.explode(
+                F.when(F.col(_HOT), F.sequence(F.lit(0), F.col(_NSALT) - 1)).otherwise(F.array(F.lit(0)))
+            ),
         )
-        .drop(_HOT)
+        .drop(_HOT, _NSALT)
     )
     return b.join(s, keys + [_SALT], how).drop(_SALT)

@@ -149,6 +149,27 @@ OPERATOR_VIEWS: dict[str, str] = {
         "WHERE NOT coalesce(c.own_ind = 'Y', false) AND EXISTS "
         "(SELECT 1 FROM host_state h WHERE h.prop_code = c.prop_code AND h.state = 'match')"
     ),
+    # B17 on the compset and competitor tables
+    "new_hosts_v": (
+        "SELECT h.prop_code, h.host_id AS competitor_id, 'Y' AS own_ind FROM host_state h "
+        "WHERE h.state = 'absent' AND NOT EXISTS (SELECT 1 FROM compset c "
+        "WHERE c.prop_code = h.prop_code AND c.competitor_id = h.host_id)"
+    ),
+    "compset_ins": (
+        "SELECT d.prop_code, d.competitor_id, 'N' AS own_ind FROM desired_pairs d WHERE NOT EXISTS "
+        "(SELECT 1 FROM current_pairs c WHERE c.prop_code = d.prop_code AND c.competitor_id = d.competitor_id) "
+        "UNION ALL SELECT prop_code, competitor_id, own_ind FROM new_hosts_v"
+    ),
+    "compset_del": (
+        "SELECT c.prop_code, c.competitor_id FROM current_pairs c WHERE NOT EXISTS "
+        "(SELECT 1 FROM desired_pairs d WHERE d.prop_code = c.prop_code AND d.competitor_id = c.competitor_id)"
+    ),
+    "upserts_v": (
+        "SELECT DISTINCT r.competitor_id, r.competitor_name FROM renamed_matched r "
+        "WHERE NOT r.is_host AND NOT EXISTS (SELECT 1 FROM competitor c "
+        "WHERE c.competitor_id = r.competitor_id AND c.competitor_name = r.competitor_name) "
+        "UNION ALL SELECT competitor_id, competitor_name FROM renamed_hosts"
+    ),
     # B14 + B15
     "pinned_seasons": (
         "SELECT s.prop_code, s.run_id, s.season_id, s.we_ind FROM season_map s "
@@ -211,21 +232,26 @@ QUERIES: dict[str, str] = {
         f"{_RAW} WHERE EXISTS (SELECT 1 FROM host_state h WHERE h.state = 'mismatch' "
         "AND h.prop_code = l.raw_code)"
     ),
-    "new_hosts": (
-        "SELECT h.prop_code, h.host_id AS competitor_id, 'Y' AS own_ind FROM host_state h "
-        "WHERE h.state = 'absent' AND NOT EXISTS (SELECT 1 FROM compset c "
-        "WHERE c.prop_code = h.prop_code AND c.competitor_id = h.host_id)"
-    ),
+    "new_hosts": "SELECT prop_code, competitor_id, own_ind FROM new_hosts_v",
     "rename_records": "SELECT competitor_id, old_name, new_name FROM rename_records",
     "renamed_hosts": "SELECT competitor_id, competitor_name FROM renamed_hosts",
     "renamed_listings": (
         "SELECT prop_code, role, competitor_id, competitor_name FROM renamed_matched WHERE renamed"
     ),
-    "competitor_upserts": (
-        "SELECT DISTINCT r.competitor_id, r.competitor_name, 'batch' AS last_upd_by FROM renamed_matched r "
-        "WHERE NOT r.is_host AND NOT EXISTS (SELECT 1 FROM competitor c "
-        "WHERE c.competitor_id = r.competitor_id AND c.competitor_name = r.competitor_name) "
-        "UNION ALL SELECT competitor_id, competitor_name, 'batch' FROM renamed_hosts"
+    "competitor_upserts": "SELECT competitor_id, competitor_name, 'batch' AS last_upd_by FROM upserts_v",
+    "compset_after": (
+        "SELECT c.prop_code, c.competitor_id, c.own_ind FROM compset c WHERE NOT EXISTS "
+        "(SELECT 1 FROM compset_del d WHERE d.prop_code = c.prop_code AND d.competitor_id = c.competitor_id) "
+        "UNION ALL SELECT prop_code, competitor_id, own_ind FROM compset_ins "
+        "WHERE prop_code IS NOT NULL AND competitor_id IS NOT NULL"
+    ),
+    "compset_rejected": (
+        "SELECT prop_code, competitor_id, own_ind FROM compset_ins WHERE prop_code IS NULL OR competitor_id IS NULL"
+    ),
+    "competitor_after": (
+        "SELECT c.competitor_id, c.competitor_name FROM competitor c WHERE NOT EXISTS "
+        "(SELECT 1 FROM upserts_v u WHERE u.competitor_id = c.competitor_id) "
+        "UNION ALL SELECT competitor_id, competitor_name FROM upserts_v"
     ),
     "compset_diff": (
         "SELECT d.prop_code, d.competitor_id, 'insert' AS change FROM desired_pairs d WHERE NOT EXISTS "

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedsync.constants import RunContext
+from feedsync.constants import NOT_OWN_FLAG, OWN_FLAG, PAIR_KEYS, RunContext
 from feedsync.operators import (
     apply_changes,
     check_codes,
@@ -39,6 +39,7 @@ from feedsync.operators import (
     reports_from_tags,
     tag_rows,
     touched,
+    upsert,
 )
 from feedsync.operators.classify import MATCH, NO_PROPERTY, NON_SINGLE
 from feedsync.operators.reports import DUPLICATE_HOST, ID_MISMATCH, MISSING_PROPERTY
@@ -52,8 +53,9 @@ class SkewConf:
     """Hot-key handling of the season fan-out (see operators.skew)."""
 
     split_hot: bool = True
-    min_rows: int = 1_000_000
-    buckets: int = 32
+    min_rows: int = 1_000_000  # listings of one code before it counts as hot
+    rows_per_bucket: int = 250_000  # target listings per task for a hot code
+    buckets: int | None = None  # fixed salt count instead of the target
 
 
 Stage = Callable[[str, DataFrame], DataFrame]
@@ -141,13 +143,34 @@ def reconcile_views(
     # B13
     v["compset_diff"] = stage("compset_diff", compset_diff(matched, t["compset"], state))
 
+    # B17 on the compset (diff + new own rows) and the competitor table
+    cdiff = v["compset_diff"]
+    comp_ins = (
+        cdiff.filter(F.col("change") == "insert")
+        .select(*PAIR_KEYS)
+        .withColumn("own_ind", F.lit(NOT_OWN_FLAG))
+        .unionByName(v["new_hosts"].withColumn("own_ind", F.lit(OWN_FLAG)))
+    )
+    comp_del = cdiff.filter(F.col("change") == "delete").select(*PAIR_KEYS)
+    compset_after, compset_rejected = apply_changes(t["compset"], comp_ins, comp_del, PAIR_KEYS)
+    v["compset_after"] = compset_after
+    v["compset_rejected"] = compset_rejected
+    v["competitor_after"] = upsert(t["competitor"], v["competitor_upserts"], ["competitor_id"])
+
     # B14, B15 (names do not enter the config, so the rename join is not on
     # this path)
     pinned = pin_runs(t["season_map"], t["run_pin"])
     v["pinned_seasons"] = pinned.select("prop_code", "run_id", "season_id", "we_ind")
     desired = stage(
         "desired_config",
-        expand_seasons(matched, pinned, split_hot=skew.split_hot, min_rows=skew.min_rows, buckets=skew.buckets),
+        expand_seasons(
+            matched,
+            pinned,
+            split_hot=skew.split_hot,
+            min_rows=skew.min_rows,
+            buckets=skew.buckets,
+            rows_per_bucket=skew.rows_per_bucket,
+        ),
     )
     v["desired_config"] = desired
 

@@ -73,6 +73,18 @@ def test_hot_key_spread_over_buckets(spark):
     assert max(r["count"] for r in per_part) < 20000
 
 
+def test_salt_count_follows_key_size(spark):
+    big, small = skewed(spark), seasons(spark)
+    with confs(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        salted = split_hot_join(big, small, ["prop_code"], min_rows=1000, rows_per_bucket=2500)
+        plain = big.join(small, "prop_code")
+        assert salted.count() == plain.count()
+        assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
+        # 10,000 rows of the hot code / 2,500 per bucket -> 4 salts, 2 seasons each
+        hot = hot_keys(big, ["prop_code"], 1000).collect()
+        assert [(r.prop_code, r._n) for r in hot] == [("P000001", 10000)]
+
+
 def test_expand_seasons_split_equals_unsplit(spark):
     rows = skewed(spark)
     a = expand_seasons(rows, seasons(spark), split_hot=True, min_rows=1000, buckets=8)
