@@ -17,11 +17,14 @@ def diff(desired: DataFrame, current: DataFrame, keys: Sequence[str] = PAIR_KEYS
     ``change``.  Keys are joined as a whole, so a hot property spreads over
     partitions by its second key; a NULL key never matches (rule 3)."""
     keys = list(keys)
-    d = desired.select(*keys).distinct()
-    c = current.select(*keys).distinct()
-    ins = d.join(c, keys, "left_anti").withColumn("change", F.lit("insert"))
-    dele = c.join(d, keys, "left_anti").withColumn("change", F.lit("delete"))
-    return ins.unionByName(dele)
+    d = desired.select(*keys).distinct().withColumn("_d", F.lit(True))
+    c = current.select(*keys).distinct().withColumn("_c", F.lit(True))
+    # one full outer join of the two key sets: a key on one side only is a
+    # change; NULL keys never match, so they stay one-sided as in an anti-join
+    j = d.join(c, keys, "full_outer")
+    return j.filter(F.col("_d").isNull() | F.col("_c").isNull()).select(
+        *keys, F.when(F.col("_c").isNull(), F.lit("insert")).otherwise(F.lit("delete")).alias("change")
+    )
 
 
 def compset_diff(matched: DataFrame, compset: DataFrame, host_state: DataFrame) -> DataFrame:

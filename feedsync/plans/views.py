@@ -68,7 +68,9 @@ def _lazy(name: str, df: DataFrame) -> DataFrame:
 def core_views(t: dict[str, DataFrame], stage: Stage = _lazy) -> dict[str, DataFrame]:
     """Checked feed, per-code summary and tagged feed - the shared trunk."""
     feed = t["listing"].select(*FEED_COLUMNS)
-    checked = stage("checked", check_codes(derive(feed)))
+    # row-local derivation: recomputed from the (staged or Parquet) feed
+    # rather than written again
+    checked = check_codes(derive(feed))
     valid = checked.filter(F.col("code_ok")).drop("code_ok")
     groups = host_groups(valid)
     codes = stage("codes", classify_codes(groups, t["property"], t["compset"]))
@@ -87,8 +89,8 @@ def reconcile_views(
 
     ``t`` holds ``listing`` (the feed) and the reference tables ``property``,
     ``compset``, ``competitor``, ``season_map``, ``run_pin``, ``comp_config``.
-    ``stage(name, df)`` is called on every shared intermediate (``checked``,
-    ``codes``, ``tagged``, ``new_hosts``, ``competitor_upserts``,
+    ``stage(name, df)`` is called on every shared intermediate (``codes``,
+    ``tagged``, ``new_hosts``, ``competitor_upserts``,
     ``compset_diff``, ``desired_config``, ``config_inserts``,
     ``config_deletes``); the staged run writes them once and reads them back,
     the registered queries leave them lazy.
