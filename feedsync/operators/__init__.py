@@ -20,7 +20,7 @@ from feedsync.operators.renames import (
 )
 from feedsync.operators.reports import one_report, report, report_keys, report_rows, reports_from_tags
 from feedsync.operators.seasons import expand_seasons, pin_runs
-from feedsync.operators.skew import hot_keys, split_hot_join
+from feedsync.operators.skew import hot_from_counts, hot_keys, split_hot_join
 from feedsync.operators.validate import (
     check_codes,
     derive,
@@ -45,6 +45,7 @@ __all__ = [
     "expand_seasons",
     "export_csv",
     "host_groups",
+    "hot_from_counts",
     "hot_keys",
     "new_hosts",
     "non_single",

@@ -32,6 +32,7 @@ def expand_seasons(
     min_rows: int = 1_000_000,
     buckets: int | None = None,
     rows_per_bucket: int = 250_000,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Desired config rows - one per listing x pinned season of its code.
 
@@ -39,7 +40,8 @@ def expand_seasons(
     distinct by construction and needs no shuffle of its own.  A code with at
     least ``min_rows`` listings is split over about ``rows / rows_per_bucket``
     tasks (or ``buckets``) by :func:`split_hot_join`; other codes join
-    unchanged.
+    unchanged.  ``hot`` may pass the hot codes when a per-code row count is
+    already at hand (see :func:`skew.hot_from_counts`).
     """
     r = rows.select(
         "prop_code",
@@ -50,7 +52,7 @@ def expand_seasons(
     if split_hot:
         # counted on the rows before de-duplication: an upper bound of the
         # fan-out per code, one partial aggregate over a single column
-        hot = hot_keys(rows, ["prop_code"], min_rows)
+        hot = hot if hot is not None else hot_keys(rows, ["prop_code"], min_rows)
         j = split_hot_join(r, s, ["prop_code"], "inner", buckets=buckets, hot=hot, rows_per_bucket=rows_per_bucket)
     else:
         j = r.join(s, "prop_code")

@@ -35,7 +35,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, max_hot: int = 1
     so a recomputation after a lost executor picks the same keys.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.filter(F.col("_n") >= F.lit(min_rows)).orderBy(F.col("_n").desc(), *keys).limit(max_hot)
+    return hot_from_counts(counts, keys, F.col("_n"), min_rows, max_hot)
+
+
+def hot_from_counts(counts: DataFrame, keys: Sequence[str], n, min_rows: int, max_hot: int = 1000) -> DataFrame:
+    """:func:`hot_keys` from a table that already holds a row count per key
+    (``n`` is that count as a Column), so no pass over the rows is needed."""
+    c = counts.select(*keys, n.cast("long").alias("_n"))
+    top = c.filter(F.col("_n") >= F.lit(min_rows)).orderBy(F.col("_n").desc(), *keys).limit(max_hot)
     return top.select(*keys, "_n", F.lit(True).alias(_HOT))
 
 

@@ -42,6 +42,7 @@ from feedsync.operators import (
     upsert,
 )
 from feedsync.operators.classify import MATCH, NO_PROPERTY, NON_SINGLE
+from feedsync.operators.skew import hot_from_counts
 from feedsync.operators.reports import DUPLICATE_HOST, ID_MISMATCH, MISSING_PROPERTY
 from feedsync.schemas import FEED_COLUMNS
 
@@ -172,6 +173,8 @@ def reconcile_views(
             min_rows=skew.min_rows,
             buckets=skew.buckets,
             rows_per_bucket=skew.rows_per_bucket,
+            # listings per code are already counted in the code summary
+            hot=hot_from_counts(codes, ["prop_code"], F.col("n_host") + F.col("n_comp"), skew.min_rows),
         ),
     )
     v["desired_config"] = desired
