@@ -33,25 +33,47 @@ STATEFUL = ("compset", "competitor", "comp_config")
 def open_sources(
     spark: SparkSession,
     layout: RunLayout,
-    feed_path: str,
+    raw_feed: DataFrame,
     season_pins_path: str,
     source: ParquetSource | JdbcSource,
     continue_from_root: bool = True,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """(tables for :func:`run_reconciliation`, corrupt feed rows)."""
-    parsed = stage_parsed(spark, read_feed(spark, feed_path), layout.stage("feed_parsed"))
+    """(tables for :func:`run_reconciliation`, corrupt feed rows).
+
+    ``raw_feed`` is the feed as parsed by :func:`read_feed` (batch) or one
+    micro-batch of the feed stream; it is staged once, so the CSV is parsed a
+    single time.  The stateful tables continue from the latest complete run
+    under the run root, if there is one.
+    """
+    parsed = stage_parsed(spark, raw_feed, layout.stage("feed_parsed"))
     feed, corrupt = split_corrupt(parsed)
     t = {"listing": feed, "run_pin": read_run_pins(spark, season_pins_path)}
     for name in REFERENCE_TABLES:
         t[name] = read_table(spark, source, name)
     if continue_from_root:
-        prev = latest_complete_run(spark, layout.root)
-        if prev is not None and prev != layout.run_id:
+        prev = latest_complete_run(spark, layout.root, before=layout.run_id)
+        if prev is not None:
             for name in STATEFUL:
                 t[name] = read_state(spark, layout.root, name, prev)
     return t, corrupt
 
 
+def run_tables(
+    spark: SparkSession,
+    layout: RunLayout,
+    raw_feed: DataFrame,
+    season_pins_path: str,
+    source: ParquetSource | JdbcSource,
+    ctx: RunContext,
+    skew: SkewConf | None = None,
+    scope: str = "valid",
+) -> RunResult:
+    """Open the sources for ``raw_feed``, write its corrupt rows, run."""
+    tables, corrupt = open_sources(spark, layout, raw_feed, season_pins_path, source)
+    publish_report(corrupt.select(CORRUPT_COLUMN), layout.report("corrupt-rows"), header=True)
+    return run_reconciliation(spark, tables, ctx, root=layout.root, skew=skew, scope=scope)
+
+
 def run_job(
     spark: SparkSession,
     feed_path: str,
@@ -63,9 +85,7 @@ def run_job(
     scope: str = "valid",
 ) -> RunResult:
     layout = RunLayout(root or f"{shared_dir(spark)}/feedsync", ctx.run_id)
-    tables, corrupt = open_sources(spark, layout, feed_path, season_pins_path, source)
-    publish_report(corrupt.select(CORRUPT_COLUMN), layout.report("corrupt-rows"), header=True)
-    return run_reconciliation(spark, tables, ctx, root=layout.root, skew=skew, scope=scope)
+    return run_tables(spark, layout, read_feed(spark, feed_path), season_pins_path, source, ctx, skew, scope)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -17,15 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from feedsync.constants import RunContext
-from feedsync.operators import publish_report
-from feedsync.plans.run import run_reconciliation
-from feedsync.plans.snapshots import RunLayout, latest_complete_run, read_state
+from feedsync.plans.job import run_tables
+from feedsync.plans.snapshots import RunLayout
 from feedsync.plans.views import SkewConf
 from feedsync.schemas import CORRUPT_COLUMN, FEED_SCHEMA, with_corrupt_column
-from feedsync.sources import ParquetSource, JdbcSource, read_run_pins, read_table, split_corrupt, stage_parsed
-
-STATEFUL = ("compset", "competitor", "comp_config")
-REFERENCE_TABLES = ("property", "compset", "competitor", "season_map", "comp_config")
+from feedsync.sources import JdbcSource, ParquetSource
 
 
 def start_feed_stream(
@@ -56,18 +52,7 @@ def start_feed_stream(
 
     def one_run(batch: DataFrame, batch_id: int) -> None:
         ctx = make_ctx(first_run_id + batch_id)
-        layout = RunLayout(root, ctx.run_id)
-        parsed = stage_parsed(spark, batch, layout.stage("feed_parsed"))
-        feed, corrupt = split_corrupt(parsed)
-        t = {"listing": feed, "run_pin": read_run_pins(spark, season_pins_path)}
-        for name in REFERENCE_TABLES:
-            t[name] = read_table(spark, source, name)
-        prev = latest_complete_run(spark, root)
-        if prev is not None and prev < ctx.run_id:
-            for name in STATEFUL:
-                t[name] = read_state(spark, root, name, prev)
-        publish_report(corrupt.select(CORRUPT_COLUMN), layout.report("corrupt-rows"), header=True)
-        run_reconciliation(spark, t, ctx, root=root, skew=skew)
+        run_tables(spark, RunLayout(root, ctx.run_id), batch, season_pins_path, source, ctx, skew)
 
     w = stream.writeStream.foreachBatch(one_run).option("checkpointLocation", f"{root.rstrip('/')}/_stream")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -137,3 +137,6 @@ def test_run_job_from_csv_feed_and_parquet_tables(spark, tmp_path, fixtures_smal
     # the next run continues from run 1's table states
     res2 = run_job(spark, feed, pins, ParquetSource(tables), RunContext(run_id=2), root=root)
     assert res2.counts()["new_hosts"] == 0
+    # re-running run 2 continues from run 1 again, so it repeats run 2 exactly
+    again = run_job(spark, feed, pins, ParquetSource(tables), RunContext(run_id=2), root=root)
+    assert again.counts() == res2.counts()
