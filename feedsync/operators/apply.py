@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedsync.constants import PAIR_KEYS
+from feedsync.schemas import AUDIT_BY, AUDIT_TS
 
 
 def _null_key(keys: Sequence[str]):
@@ -35,27 +36,35 @@ def apply_changes(
     inserts: DataFrame,
     deletes: DataFrame,
     keys: Sequence[str] = PAIR_KEYS,
+    stamp_with: tuple[str, object] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(next state, rejected inserts).
 
     Every current row whose key is deleted goes (all seasons of a pair, as the
     reference's DELETE does); inserts with a NULL key are rejected instead of
-    being re-inserted on every run (rule 16).
+    being re-inserted on every run (rule 16).  ``stamp_with=(user, ts)`` sets
+    the audit columns of inserted rows when the table has them.
     """
     keys = list(keys)
+    if stamp_with is not None:
+        inserts = stamp(inserts, *stamp_with)
     rejected = inserts.filter(_null_key(keys))
     ok = inserts.filter(~_null_key(keys))
     kept = current.join(deletes.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(align(ok, current)), rejected
 
 
-def upsert(current: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    current: DataFrame, rows: DataFrame, keys: Sequence[str], stamp_with: tuple[str, object] | None = None
+) -> DataFrame:
     """Replace rows of ``current`` that share a key with ``rows``, add the rest."""
     keys = list(keys)
+    if stamp_with is not None:
+        rows = stamp(rows, *stamp_with)
     kept = current.join(rows.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(align(rows, current))
 
 
-def stamp(df: DataFrame, user: str, ts, by_col: str = "last_upd_by", ts_col: str = "last_upd_ts") -> DataFrame:
+def stamp(df: DataFrame, user: str, ts, by_col: str = AUDIT_BY, ts_col: str = AUDIT_TS) -> DataFrame:
     """Audit stamp of one run: the same user and clock read on every row."""
     return df.withColumn(by_col, F.lit(user)).withColumn(ts_col, F.lit(ts).cast("timestamp"))

@@ -155,10 +155,12 @@ def reconcile_views(
         .unionByName(v["new_hosts"].withColumn("own_ind", F.lit(OWN_FLAG)))
     )
     comp_del = cdiff.filter(F.col("change") == "delete").select(*PAIR_KEYS)
-    compset_after, compset_rejected = apply_changes(t["compset"], comp_ins, comp_del, PAIR_KEYS)
+    stamp_with = (ctx.user, ctx.run_ts)
+    compset_after, compset_rejected = apply_changes(t["compset"], comp_ins, comp_del, PAIR_KEYS, stamp_with)
+    compset_rejected = compset_rejected.select("prop_code", "competitor_id", "own_ind")
     v["compset_after"] = compset_after
     v["compset_rejected"] = compset_rejected
-    v["competitor_after"] = upsert(t["competitor"], v["competitor_upserts"], ["competitor_id"])
+    v["competitor_after"] = upsert(t["competitor"], v["competitor_upserts"], ["competitor_id"], stamp_with)
 
     # B14, B15 (names do not enter the config, so the rename join is not on
     # this path)
@@ -187,7 +189,8 @@ def reconcile_views(
     v["config_inserts"] = inserts
     v["config_deletes"] = deletes
     v["config_deletes_matched"] = deletes.join(desired.select("prop_code").distinct(), "prop_code", "left_semi")
-    after, rejected = apply_changes(t["comp_config"], inserts, deletes)
+    after, rejected = apply_changes(t["comp_config"], inserts, deletes, stamp_with=stamp_with)
+    rejected = rejected.select(*inserts.columns)
     v["config_after"] = after
     v["_config_rejected"] = rejected
     v["touched_properties"] = touched(inserts, deletes).select("prop_code", "pgm_code")

@@ -13,8 +13,18 @@ RUN_PIN_SCHEMA = T.StructType(
     [T.StructField("prop_code", T.StringType(), True), T.StructField("run_id", T.IntegerType(), True)]
 )
 
+# (competitor id, new name) renames file; the reference reads it but its use
+# is switched off.
+RENAMES_SCHEMA = T.StructType(
+    [T.StructField("competitor_id", T.IntegerType(), True), T.StructField("competitor_name", T.StringType(), True)]
+)
+
 CORRUPT_COLUMN = "_corrupt_record"
 
+# Audit columns stamped on inserted rows when the target table carries them.
+AUDIT_BY = "last_upd_by"
+AUDIT_TS = "last_upd_ts"
+
 # Columns each reference table must provide (more are carried through).
 TABLE_COLUMNS: dict[str, list[str]] = {
     "property": ["prop_code"],

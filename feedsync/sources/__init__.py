@@ -1,4 +1,4 @@
-from feedsync.sources.feed import read_feed, read_run_pins, split_corrupt, stage_parsed, write_feed
+from feedsync.sources.feed import read_feed, read_renames, read_run_pins, split_corrupt, stage_parsed, write_feed
 from feedsync.sources.fixtures import fixture_tables
 from feedsync.sources.tables import JdbcSource, ParquetSource, read_table
 
@@ -7,6 +7,7 @@ __all__ = [
     "ParquetSource",
     "fixture_tables",
     "read_feed",
+    "read_renames",
     "read_run_pins",
     "read_table",
     "split_corrupt",

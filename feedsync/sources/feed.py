@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedsync.schemas import CORRUPT_COLUMN, FEED_SCHEMA, RUN_PIN_SCHEMA, with_corrupt_column
+from feedsync.schemas import CORRUPT_COLUMN, FEED_SCHEMA, RENAMES_SCHEMA, RUN_PIN_SCHEMA, with_corrupt_column
 
 # Keep blanks: canonicalisation is the operators' job, not the reader's.
 _CSV_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -63,6 +63,11 @@ def read_run_pins(spark: SparkSession, path: str, check_header: bool = True) ->
     return _csv_reader(spark, RUN_PIN_SCHEMA, check_header, keep_corrupt=False).csv(path)
 
 
+def read_renames(spark: SparkSession, path: str, check_header: bool = True) -> DataFrame:
+    """(competitor_id, competitor_name) renames file, same reader rules."""
+    return _csv_reader(spark, RENAMES_SCHEMA, check_header, keep_corrupt=False).csv(path)
+
+
 def write_feed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a feed as headed CSV without trimming blanks."""
     df.write.mode(mode).option("header", "true").options(**_CSV_KEEP_BLANKS).csv(path)

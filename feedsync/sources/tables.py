@@ -56,6 +56,18 @@ class JdbcSource:
     def load(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.read_options(name)).load()
 
+    def write_options(self, name: str, batchsize: int = 10_000, num_partitions: int | None = None) -> dict[str, str]:
+        opts = {"url": self.url, "dbtable": self.table_name(name), "batchsize": str(batchsize)}
+        opts.update(self.properties)
+        if num_partitions:
+            opts["numPartitions"] = str(num_partitions)  # caps concurrent connections
+        return opts
+
+    def append(self, df: DataFrame, name: str, batchsize: int = 10_000, num_partitions: int | None = None) -> None:
+        """Bulk append (one batched INSERT stream per task), e.g. a run's new
+        config rows when the database stays the system of record."""
+        df.write.format("jdbc").options(**self.write_options(name, batchsize, num_partitions)).mode("append").save()
+
 
 def read_table(
     spark: SparkSession,

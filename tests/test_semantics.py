@@ -203,3 +203,34 @@ def test_rule14_union_by_name(spark, swap):
     b = spark.createDataFrame([Row(y="b", x=2)])
     out = a.unionByName(align(b, a)) if not swap else a.unionByName(align(b.select("x", "y"), a))
     assert sorted((r.x, r.y) for r in out.collect()) == [(1, "a"), (2, "b")]
+
+
+def test_inserted_rows_are_stamped_when_table_has_audit_columns(spark):
+    import datetime as dt
+
+    current = spark.createDataFrame(
+        [("P1", 5, 11, "N", "old", dt.datetime(2020, 1, 1))],
+        "prop_code string, competitor_id int, season_id int, own_ind string, last_upd_by string, last_upd_ts timestamp",
+    )
+    ins = spark.createDataFrame(
+        [("P1", 6, 11, "N", "N")], "prop_code string, competitor_id int, season_id int, we_ind string, own_ind string"
+    )
+    dels = spark.createDataFrame([], "prop_code string, competitor_id int")
+    after, _ = apply_changes(current, ins, dels, stamp_with=("batch", dt.datetime(2024, 1, 1)))
+    rows = {r.competitor_id: (r.last_upd_by, r.last_upd_ts) for r in after.collect()}
+    assert rows == {5: ("old", dt.datetime(2020, 1, 1)), 6: ("batch", dt.datetime(2024, 1, 1))}
+    # a table without audit columns keeps its schema
+    plain = current.drop("last_upd_by", "last_upd_ts")
+    after2, _ = apply_changes(plain, ins, dels, stamp_with=("batch", dt.datetime(2024, 1, 1)))
+    assert after2.columns == plain.columns
+
+
+def test_renames_reader(spark, tmp_path):
+    from feedsync.sources import read_renames
+
+    p = tmp_path / "renames.csv"
+    p.write_text("competitor_id,competitor_name\n5,NEW NAME\nx,BAD ID\n")
+    assert [(r.competitor_id, r.competitor_name) for r in read_renames(spark, str(p)).collect()] == [
+        (5, "NEW NAME"),
+        (None, "BAD ID"),
+    ]

@@ -140,3 +140,9 @@ def test_run_job_from_csv_feed_and_parquet_tables(spark, tmp_path, fixtures_smal
     # re-running run 2 continues from run 1 again, so it repeats run 2 exactly
     again = run_job(spark, feed, pins, ParquetSource(tables), RunContext(run_id=2), root=root)
     assert again.counts() == res2.counts()
+
+
+def test_jdbc_write_options():
+    src = JdbcSource("jdbc:example://db/x", {"user": "u"}, schema="s")
+    o = src.write_options("comp_config", batchsize=500, num_partitions=8)
+    assert (o["dbtable"], o["batchsize"], o["numPartitions"], o["user"]) == ("s.comp_config", "500", "8", "u")
