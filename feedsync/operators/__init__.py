@@ -18,7 +18,15 @@ from feedsync.operators.renames import (
     rename_records,
     renamed_hosts,
 )
-from feedsync.operators.reports import one_report, report, report_keys, report_rows, reports_from_tags
+from feedsync.operators.reports import (
+    one_report,
+    report,
+    report_keys,
+    report_rows,
+    report_rule,
+    reports_from_tags,
+    tagged_report,
+)
 from feedsync.operators.seasons import expand_seasons, pin_runs
 from feedsync.operators.skew import hot_from_counts, hot_keys, split_hot_join
 from feedsync.operators.validate import (
@@ -59,7 +67,9 @@ __all__ = [
     "report",
     "report_keys",
     "report_rows",
+    "report_rule",
     "reports_from_tags",
+    "tagged_report",
     "rows_in_state",
     "single_host_rows",
     "split_codes",

@@ -7,7 +7,7 @@ multiplies rows - instead of one semi-join per report.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedsync.constants import HOST_ROLE
@@ -66,20 +66,39 @@ def report_rows(feed: DataFrame, keys: DataFrame, on_raw: bool = True) -> DataFr
     return tagged.filter((F.col("report") != F.lit(DUPLICATE_HOST)) | (F.col("role") == F.lit(HOST_ROLE)))
 
 
+def report_rule(name: str) -> Column:
+    """Condition on a feed tagged by :func:`classify.tag_rows` that puts a row
+    in report ``name`` - on stored columns only, so it reaches the scan."""
+    st = F.col("state")
+    if name == DUPLICATE_HOST:
+        return (st == F.lit(NON_SINGLE)) & (F.col("role") == F.lit(HOST_ROLE))
+    if name == MISSING_PROPERTY:
+        return st == F.lit(NO_PROPERTY)
+    if name == ID_MISMATCH:
+        return st == F.lit(MISMATCH)
+    raise ValueError(f"unknown report {name!r}")
+
+
 def reports_from_tags(tagged: DataFrame, on_raw: bool = True) -> DataFrame:
     """All report rows from a feed tagged by :func:`classify.tag_rows` - no
     join needed.  Report codes are valid canonical codes, so a raw code equals
     one of them exactly when it equals its own canonical code and that code
     carries the reason (rule 7)."""
-    st = F.col("state")
-    reason = (
-        F.when((st == F.lit(NON_SINGLE)) & (F.col("role") == F.lit(HOST_ROLE)), F.lit(DUPLICATE_HOST))
-        .when(st == F.lit(NO_PROPERTY), F.lit(MISSING_PROPERTY))
-        .when(st == F.lit(MISMATCH), F.lit(ID_MISMATCH))
-    )
+    reason = F.lit(None).cast("string")
+    for name in (ID_MISMATCH, MISSING_PROPERTY, DUPLICATE_HOST):
+        reason = F.when(report_rule(name), F.lit(name)).otherwise(reason)
     t = tagged.filter(F.col("raw_code") == F.col("prop_code")) if on_raw else tagged
     return t.withColumn("report", reason).filter(F.col("report").isNotNull()).select(*FEED_COLUMNS, "report")
 
 
+def tagged_report(tagged: DataFrame, name: str, on_raw: bool = True) -> DataFrame:
+    """One report straight from the tagged feed (a filter, pushed to the scan
+    when the tagged feed is staged)."""
+    cond = report_rule(name)
+    if on_raw:
+        cond = cond & (F.col("raw_code") == F.col("prop_code"))
+    return tagged.filter(cond).select(*FEED_COLUMNS)
+
+
 def one_report(rows: DataFrame, name: str) -> DataFrame:
     return rows.filter(F.col("report") == F.lit(name)).select(*FEED_COLUMNS)

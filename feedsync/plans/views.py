@@ -31,13 +31,13 @@ from feedsync.operators import (
     expand_seasons,
     host_groups,
     new_hosts,
-    one_report,
     pin_runs,
     rename_listings,
     rename_records,
     renamed_hosts,
     reports_from_tags,
     tag_rows,
+    tagged_report,
     touched,
     upsert,
 )
@@ -121,11 +121,10 @@ def reconcile_views(
     v["matched_rows"] = matched.select(*ROW_COLS)
 
     # B06, B07, B09 reports
-    rows = reports_from_tags(tagged)
-    v["_report_rows"] = rows
-    v["duplicate_host_report"] = one_report(rows, DUPLICATE_HOST)
-    v["missing_property_report"] = one_report(rows, MISSING_PROPERTY)
-    v["id_mismatch_report"] = one_report(rows, ID_MISMATCH)
+    v["_report_rows"] = reports_from_tags(tagged)
+    v["duplicate_host_report"] = tagged_report(tagged, DUPLICATE_HOST)
+    v["missing_property_report"] = tagged_report(tagged, MISSING_PROPERTY)
+    v["id_mismatch_report"] = tagged_report(tagged, ID_MISMATCH)
 
     # B10
     v["new_hosts"] = stage("new_hosts", new_hosts(state, t["compset"]))
