@@ -276,9 +276,13 @@ def _deps(sql: str, names: list[str]) -> list[str]:
     return [n for n in names if re.search(rf"\b{n}\b", sql)]
 
 
-def build(query_sql: str) -> str:
-    """Prefix ``query_sql`` with exactly the views it needs, in order."""
-    views = {**FIXTURE_VIEWS, **OPERATOR_VIEWS}
+def build(query_sql: str, fixtures: bool = True) -> str:
+    """Prefix ``query_sql`` with exactly the views it needs, in order.
+
+    ``fixtures=False`` leaves the domain tables (listing, property, compset,
+    competitor, season_map, run_pin, comp_config) to the caller's catalogue,
+    e.g. small random tables in property tests."""
+    views = {**FIXTURE_VIEWS, **OPERATOR_VIEWS} if fixtures else dict(OPERATOR_VIEWS)
     order = list(views)
     needed: set[str] = set()
     stack = _deps(query_sql, order)
