@@ -21,7 +21,7 @@ from feedsync.operators import publish_report
 from feedsync.plans.run import RunResult, run_reconciliation
 from feedsync.plans.snapshots import RunLayout, latest_complete_run, read_state
 from feedsync.plans.views import SkewConf
-from feedsync.session import build_session, shared_dir
+from feedsync.session import build_session, input_bytes, shared_dir, size_shuffle
 from feedsync.sources import JdbcSource, ParquetSource, read_feed, read_run_pins, read_table, split_corrupt, stage_parsed
 from feedsync.sources.feed import CORRUPT_COLUMN
 
@@ -101,6 +101,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--scope", choices=["valid", "matched"], default="valid")
     a = p.parse_args(argv)
     spark = build_session()
+    # the feed is the largest input: size the shuffles from it
+    size_shuffle(spark, input_bytes(spark, a.feed))
     if a.jdbc_url:
         source: ParquetSource | JdbcSource = JdbcSource(a.jdbc_url, schema=a.jdbc_schema)
     elif a.tables:

@@ -71,3 +71,36 @@ def shared_dir(spark: SparkSession) -> str:
     d = tempfile.mkdtemp(prefix="feedsync-", dir=os.environ.get("FEEDSYNC_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` from the file system's metadata (no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def shuffle_partitions_for(
+    n_bytes: int,
+    cores: int,
+    target_bytes: int = 512 << 20,
+    max_partitions: int = 50_000,
+) -> int:
+    """Initial shuffle partition count for an input of ``n_bytes``: about one
+    partition per ``target_bytes`` (so a reduce task holds a few hundred MB
+    and sorts without spilling much), never fewer than two waves of the
+    cluster's cores, capped so the shuffle map/reduce block count stays sane.
+    Adaptive execution then coalesces partitions that turn out small."""
+    want = -(-max(n_bytes, 1) // target_bytes)
+    return int(min(max_partitions, max(2 * cores, want)))
+
+
+def size_shuffle(spark: SparkSession, n_bytes: int, **kw) -> int:
+    """Set ``spark.sql.shuffle.partitions`` for this input unless the session
+    was given a value explicitly."""
+    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shuffle_partitions_for(n_bytes, spark.sparkContext.defaultParallelism, **kw)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

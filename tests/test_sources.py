@@ -146,3 +146,14 @@ def test_jdbc_write_options():
     src = JdbcSource("jdbc:example://db/x", {"user": "u"}, schema="s")
     o = src.write_options("comp_config", batchsize=500, num_partitions=8)
     assert (o["dbtable"], o["batchsize"], o["numPartitions"], o["user"]) == ("s.comp_config", "500", "8", "u")
+
+
+def test_shuffle_partitions_sizing(spark, tmp_path):
+    from feedsync.session import input_bytes, shuffle_partitions_for
+
+    assert shuffle_partitions_for(0, cores=8) == 16
+    assert shuffle_partitions_for(10 << 30, cores=8) == 20  # 10 GiB / 512 MiB
+    assert shuffle_partitions_for(100 << 40, cores=8000) == 50_000  # 100 TiB, capped
+    assert shuffle_partitions_for(1 << 40, cores=8000) == 16_000  # two waves of cores
+    (tmp_path / "a").write_bytes(b"x" * 1000)
+    assert input_bytes(spark, str(tmp_path)) == 1000
