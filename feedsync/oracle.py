@@ -27,16 +27,16 @@ FIXTURE_VIEWS: dict[str, str] = {
         "'P' || lpad(CAST(c_custkey AS STRING),6,'0') AS prop_code, "
         "CASE WHEN c_custkey % 17 = 0 THEN ' ' || lower('P' || lpad(CAST(c_custkey AS STRING),6,'0')) || ' ' "
         "WHEN c_custkey % 19 = 0 THEN 'X-' || CAST(c_custkey AS STRING) "
-        "ELSE 'P' || lpad(CAST(c_custkey AS STRING),6,'0') END AS marsha, "
-        "CASE WHEN c_custkey % 31 = 0 THEN 'n/a' ELSE CAST(1000000 + c_custkey AS STRING) END AS rubicon, "
+        "ELSE 'P' || lpad(CAST(c_custkey AS STRING),6,'0') END AS feed_code, "
+        "CASE WHEN c_custkey % 31 = 0 THEN 'n/a' ELSE CAST(1000000 + c_custkey AS STRING) END AS feed_ext_id, "
         "CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE c_mktsegment END AS chain, "
         "c_name AS hotel FROM customer"
     ),
     "listing": (
-        "SELECT marsha AS raw_code, 'H' AS role, rubicon AS ext_id, chain AS chain_name, hotel AS hotel_name "
+        "SELECT feed_code AS raw_code, 'H' AS role, feed_ext_id AS ext_id, chain AS chain_name, hotel AS hotel_name "
         "FROM fx_host WHERE custkey % 23 <> 0 "
-        "UNION ALL SELECT marsha, 'H', rubicon, chain, hotel FROM fx_host WHERE custkey % 29 = 0 "
-        "UNION ALL SELECT h.marsha, 'C', CAST(p.suppkey AS STRING), n_name, s_name "
+        "UNION ALL SELECT feed_code, 'H', feed_ext_id, chain, hotel FROM fx_host WHERE custkey % 29 = 0 "
+        "UNION ALL SELECT h.feed_code, 'C', CAST(p.suppkey AS STRING), n_name, s_name "
         "FROM fx_pairs p JOIN fx_host h ON h.custkey = p.custkey "
         "JOIN supplier ON s_suppkey = p.suppkey JOIN nation ON n_nationkey = s_nationkey "
         "WHERE (p.custkey * 7 + p.suppkey) % 10 < 8"

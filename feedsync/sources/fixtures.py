@@ -43,8 +43,8 @@ def _hosts(customer: DataFrame) -> DataFrame:
         F.when(c % 17 == 0, F.concat(F.lit(" "), F.lower(code), F.lit(" ")))
         .when(c % 19 == 0, F.concat(F.lit("X-"), c.cast("string")))
         .otherwise(code)
-        .alias("marsha"),
-        F.when(c % 31 == 0, F.lit("n/a")).otherwise((F.lit(1000000) + c).cast("string")).alias("rubicon"),
+        .alias("feed_code"),
+        F.when(c % 31 == 0, F.lit("n/a")).otherwise((F.lit(1000000) + c).cast("string")).alias("feed_ext_id"),
         F.when(c % 37 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("chain"),
         F.col("c_name").alias("hotel"),
     )
@@ -61,9 +61,9 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     host_rows = host.filter(F.col("custkey") % 23 != 0)
     dup_rows = host.filter(F.col("custkey") % 29 == 0)
     hcols = [
-        F.col("marsha").alias("raw_code"),
+        F.col("feed_code").alias("raw_code"),
         F.lit("H").alias("role"),
-        F.col("rubicon").alias("ext_id"),
+        F.col("feed_ext_id").alias("ext_id"),
         F.col("chain").alias("chain_name"),
         F.col("hotel").alias("hotel_name"),
     ]
@@ -72,10 +72,10 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     ).join(nation.select("n_nationkey", "n_name"), "n_nationkey")
     comp_rows = (
         pairs.filter(pk < 8)
-        .join(host.select("custkey", "marsha"), "custkey")
+        .join(host.select("custkey", "feed_code"), "custkey")
         .join(supp, "suppkey")
         .select(
-            F.col("marsha").alias("raw_code"),
+            F.col("feed_code").alias("raw_code"),
             F.lit("C").alias("role"),
             F.col("suppkey").cast("string").alias("ext_id"),
             F.col("n_name").alias("chain_name"),
