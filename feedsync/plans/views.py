@@ -85,9 +85,14 @@ def reconcile_views(
     skew: SkewConf | None = None,
     scope: str = "valid",
     stage: Stage = _lazy,
+    admitted: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All intermediate and final outputs of one run, keyed by query name.
 
+    ``admitted`` holds new-host rows that the caller has already added to
+    ``t["compset"]`` (same-run admission); they are reported as this run's new
+    hosts and not inserted again.
+
     ``t`` holds ``listing`` (the feed) and the reference tables ``property``,
     ``compset``, ``competitor``, ``season_map``, ``run_pin``, ``comp_config``.
     ``stage(name, df)`` is called on every shared intermediate (``codes``,
@@ -127,7 +132,12 @@ def reconcile_views(
     v["id_mismatch_report"] = tagged_report(tagged, ID_MISMATCH)
 
     # B10
-    v["new_hosts"] = stage("new_hosts", new_hosts(state, t["compset"]))
+    if admitted is None:
+        v["new_hosts"] = stage("new_hosts", new_hosts(state, t["compset"]))
+        host_rows = v["new_hosts"]
+    else:
+        v["new_hosts"] = admitted
+        host_rows = admitted.limit(0)  # already part of the compset
 
     # B11, B12
     renames = rename_records(checked, t["competitor"])
@@ -151,7 +161,7 @@ def reconcile_views(
         cdiff.filter(F.col("change") == "insert")
         .select(*PAIR_KEYS)
         .withColumn("own_ind", F.lit(NOT_OWN_FLAG))
-        .unionByName(v["new_hosts"].withColumn("own_ind", F.lit(OWN_FLAG)))
+        .unionByName(host_rows.withColumn("own_ind", F.lit(OWN_FLAG)))
     )
     comp_del = cdiff.filter(F.col("change") == "delete").select(*PAIR_KEYS)
     stamp_with = (ctx.user, ctx.run_ts)
