@@ -2,7 +2,9 @@
 
 ``reconcile_views`` wires every operator together without triggering an
 action; the registered queries pick single views from it, and the staged run
-(:mod:`feedsync.plans.run`) materialises the shared ones once.
+(:mod:`feedsync.plans.run`) materialises the shared ones once.  Each view is
+built on first use together with what it depends on, so asking for one output
+does not construct (and analyse) the other forty.
 
 Shape of the graph: the feed is checked row by row (no shuffle), grouped once
 per code (map-side combined), the per-code summary is classified against the
@@ -13,8 +15,9 @@ rows, the three reports - is a filter of the tagged feed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,12 +45,18 @@ from feedsync.operators import (
     upsert,
 )
 from feedsync.operators.classify import MATCH, NO_PROPERTY, NON_SINGLE
-from feedsync.operators.skew import hot_from_counts
 from feedsync.operators.reports import DUPLICATE_HOST, ID_MISMATCH, MISSING_PROPERTY
+from feedsync.operators.skew import hot_from_counts
 from feedsync.schemas import FEED_COLUMNS
 
 ROW_COLS = FEED_COLUMNS + ["prop_code", "competitor_id", "competitor_name"]
 
+Stage = Callable[[str, DataFrame], DataFrame]
+
+
+def _lazy(name: str, df: DataFrame) -> DataFrame:
+    return df
+
 
 @dataclass(frozen=True)
 class SkewConf:
@@ -59,24 +68,286 @@ class SkewConf:
     buckets: int | None = None  # fixed salt count instead of the target
 
 
-Stage = Callable[[str, DataFrame], DataFrame]
+class Reconciliation(Mapping[str, DataFrame]):
+    """All intermediate and final outputs of one run, keyed by query name.
 
+    ``t`` holds ``listing`` (the feed) and the reference tables ``property``,
+    ``compset``, ``competitor``, ``season_map``, ``run_pin``, ``comp_config``.
+    ``stage(name, df)`` is called on every shared intermediate (``codes``,
+    ``tagged``, ``new_hosts``, ``competitor_upserts``, ``compset_diff``,
+    ``desired_config``, ``config_inserts``, ``config_deletes``); the staged run
+    writes them once and reads them back, the registered queries leave them
+    lazy.  ``admitted`` holds new-host rows the caller has already added to
+    ``t["compset"]`` (same-run admission); they are reported as this run's new
+    hosts and not inserted again.
 
-def _lazy(name: str, df: DataFrame) -> DataFrame:
-    return df
+    Not thread-safe: build the views a run needs before handing them to
+    concurrent writers.
+    """
+
+    # query name -> attribute; names starting with "_" are internal
+    NAMES = (
+        "feed_scan", "derive_id_name", "valid_codes", "malformed_codes", "host_counts",
+        "non_single_hosts", "single_host_rows", "duplicate_host_report", "with_property",
+        "missing_property_report", "host_state", "matched_rows", "id_mismatch_report", "new_hosts",
+        "rename_records", "renamed_hosts", "renamed_listings", "competitor_upserts", "compset_diff",
+        "compset_after", "compset_rejected", "competitor_after", "pinned_seasons", "desired_config",
+        "config_inserts", "config_deletes", "config_deletes_matched", "config_after",
+        "touched_properties", "_report_rows", "_config_rejected",
+    )
+
+    def __init__(
+        self,
+        t: dict[str, DataFrame],
+        ctx: RunContext | None = None,
+        skew: SkewConf | None = None,
+        scope: str = "valid",
+        stage: Stage = _lazy,
+        admitted: DataFrame | None = None,
+    ) -> None:
+        self.t = t
+        self.ctx = ctx or RunContext()
+        self.skew = skew or SkewConf()
+        self.scope = scope
+        self.stage = stage
+        self.admitted = admitted
+        self._overrides: dict[str, DataFrame] = {}
+
+    # Mapping interface -----------------------------------------------------
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self._overrides:
+            return self._overrides[name]
+        if name not in self.NAMES:
+            raise KeyError(name)
+        return getattr(self, name.lstrip("_"))
+
+    def __setitem__(self, name: str, df: DataFrame) -> None:
+        self._overrides[name] = df
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    @property
+    def stamp_with(self) -> tuple[str, object]:
+        return (self.ctx.user, self.ctx.run_ts)
+
+    # trunk -----------------------------------------------------------------
+    @cached_property
+    def feed_scan(self) -> DataFrame:
+        return self.t["listing"].select(*FEED_COLUMNS)
+
+    @cached_property
+    def checked(self) -> DataFrame:
+        # row-local derivation (B03, B04): recomputed from the (staged or
+        # Parquet) feed rather than written again
+        return check_codes(derive(self.feed_scan))
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        valid = self.checked.filter(F.col("code_ok")).drop("code_ok")
+        return self.stage("codes", classify_codes(host_groups(valid), self.t["property"], self.t["compset"]))
+
+    @cached_property
+    def tagged(self) -> DataFrame:
+        return self.stage("tagged", tag_rows(self.checked, self.codes))
+
+    # B03, B04 ----------------------------------------------------------------
+    @cached_property
+    def derive_id_name(self) -> DataFrame:
+        return self.checked.select(*FEED_COLUMNS, "competitor_id", "competitor_name")
+
+    @cached_property
+    def valid_codes(self) -> DataFrame:
+        return self.checked.filter(F.col("code_ok")).select(*FEED_COLUMNS, "prop_code")
+
+    @cached_property
+    def malformed_codes(self) -> DataFrame:
+        return self.checked.filter(~F.col("code_ok")).select(*FEED_COLUMNS)
+
+    # B05 -------------------------------------------------------------------
+    @cached_property
+    def host_counts(self) -> DataFrame:
+        return self.codes.select("prop_code", "n_host", "n_comp")
+
+    @cached_property
+    def non_single_hosts(self) -> DataFrame:
+        return self.codes.filter(F.col("n_host") != 1).select("prop_code", "n_host", "n_comp")
+
+    @cached_property
+    def single(self) -> DataFrame:
+        return self.tagged.filter(F.col("code_ok") & (F.col("state") != F.lit(NON_SINGLE)))
+
+    @cached_property
+    def single_host_rows(self) -> DataFrame:
+        return self.single.select(*ROW_COLS)
+
+    # B07, B08 --------------------------------------------------------------
+    @cached_property
+    def state(self) -> DataFrame:
+        return self.codes.filter(F.col("state") != F.lit(NON_SINGLE)).select("prop_code", "host_id", "state")
+
+    @cached_property
+    def host_state(self) -> DataFrame:
+        return self.state.filter(F.col("state") != F.lit(NO_PROPERTY))
+
+    @cached_property
+    def with_property(self) -> DataFrame:
+        return self.single.filter(F.col("state") != F.lit(NO_PROPERTY)).select(*ROW_COLS)
 
+    @cached_property
+    def matched(self) -> DataFrame:
+        return self.single.filter(F.col("state") == F.lit(MATCH))
 
-def core_views(t: dict[str, DataFrame], stage: Stage = _lazy) -> dict[str, DataFrame]:
-    """Checked feed, per-code summary and tagged feed - the shared trunk."""
-    feed = t["listing"].select(*FEED_COLUMNS)
-    # row-local derivation: recomputed from the (staged or Parquet) feed
-    # rather than written again
-    checked = check_codes(derive(feed))
-    valid = checked.filter(F.col("code_ok")).drop("code_ok")
-    groups = host_groups(valid)
-    codes = stage("codes", classify_codes(groups, t["property"], t["compset"]))
-    tagged = stage("tagged", tag_rows(checked, codes))
-    return {"feed": checked.select(*FEED_COLUMNS), "checked": checked, "codes": codes, "tagged": tagged}
+    @cached_property
+    def matched_rows(self) -> DataFrame:
+        return self.matched.select(*ROW_COLS)
+
+    # B06, B07, B09 reports ---------------------------------------------------
+    @cached_property
+    def report_rows(self) -> DataFrame:
+        return reports_from_tags(self.tagged)
+
+    @cached_property
+    def duplicate_host_report(self) -> DataFrame:
+        return tagged_report(self.tagged, DUPLICATE_HOST)
+
+    @cached_property
+    def missing_property_report(self) -> DataFrame:
+        return tagged_report(self.tagged, MISSING_PROPERTY)
+
+    @cached_property
+    def id_mismatch_report(self) -> DataFrame:
+        return tagged_report(self.tagged, ID_MISMATCH)
+
+    # B10 -------------------------------------------------------------------
+    @cached_property
+    def new_hosts(self) -> DataFrame:
+        if self.admitted is not None:
+            return self.admitted
+        return self.stage("new_hosts", new_hosts(self.state, self.t["compset"]))
+
+    # B11, B12 --------------------------------------------------------------
+    @cached_property
+    def rename_records(self) -> DataFrame:
+        return rename_records(self.checked, self.t["competitor"])
+
+    @cached_property
+    def renamed(self) -> DataFrame:
+        return rename_listings(self.matched, self.rename_records)
+
+    @cached_property
+    def renamed_listings(self) -> DataFrame:
+        return self.renamed.filter(F.col("renamed")).select("prop_code", "role", "competitor_id", "competitor_name")
+
+    @cached_property
+    def renamed_hosts(self) -> DataFrame:
+        return renamed_hosts(self.matched, self.rename_records)
+
+    @cached_property
+    def competitor_upserts(self) -> DataFrame:
+        rows = competitor_upserts(self.renamed, self.t["competitor"], self.renamed_hosts, self.ctx.user)
+        return self.stage("competitor_upserts", rows)
+
+    # B13 and B17 on the compset and competitor tables ------------------------
+    @cached_property
+    def compset_diff(self) -> DataFrame:
+        return self.stage("compset_diff", compset_diff(self.matched, self.t["compset"], self.state))
+
+    @cached_property
+    def _compset_applied(self) -> tuple[DataFrame, DataFrame]:
+        cdiff = self.compset_diff
+        # hosts admitted by the caller are already part of the compset
+        hosts = self.new_hosts if self.admitted is None else self.admitted.limit(0)
+        ins = (
+            cdiff.filter(F.col("change") == "insert")
+            .select(*PAIR_KEYS)
+            .withColumn("own_ind", F.lit(NOT_OWN_FLAG))
+            .unionByName(hosts.withColumn("own_ind", F.lit(OWN_FLAG)))
+        )
+        dele = cdiff.filter(F.col("change") == "delete").select(*PAIR_KEYS)
+        after, rejected = apply_changes(self.t["compset"], ins, dele, PAIR_KEYS, self.stamp_with)
+        return after, rejected.select("prop_code", "competitor_id", "own_ind")
+
+    @cached_property
+    def compset_after(self) -> DataFrame:
+        return self._compset_applied[0]
+
+    @cached_property
+    def compset_rejected(self) -> DataFrame:
+        return self._compset_applied[1]
+
+    @cached_property
+    def competitor_after(self) -> DataFrame:
+        return upsert(self.t["competitor"], self.competitor_upserts, ["competitor_id"], self.stamp_with)
+
+    # B14, B15 (names do not enter the config, so the rename join is not on
+    # this path) ----------------------------------------------------------------
+    @cached_property
+    def pinned(self) -> DataFrame:
+        return pin_runs(self.t["season_map"], self.t["run_pin"])
+
+    @cached_property
+    def pinned_seasons(self) -> DataFrame:
+        return self.pinned.select("prop_code", "run_id", "season_id", "we_ind")
+
+    @cached_property
+    def desired_config(self) -> DataFrame:
+        sk = self.skew
+        # listings per code are already counted in the code summary
+        hot = hot_from_counts(self.codes, ["prop_code"], F.col("n_host") + F.col("n_comp"), sk.min_rows)
+        rows = expand_seasons(
+            self.matched,
+            self.pinned,
+            split_hot=sk.split_hot,
+            min_rows=sk.min_rows,
+            buckets=sk.buckets,
+            rows_per_bucket=sk.rows_per_bucket,
+            hot=hot,
+        )
+        return self.stage("desired_config", rows)
+
+    # B16, B17, B20 -------------------------------------------------------------
+    @cached_property
+    def _config_changes(self) -> tuple[DataFrame, DataFrame]:
+        # every valid code is a row of ``codes``: the scope needs no second
+        # pass over the feed
+        _, ins, dele = config_changes(self.desired_config, self.t["comp_config"], self.codes, scope=self.scope)
+        return self.stage("config_inserts", ins), self.stage("config_deletes", dele)
+
+    @cached_property
+    def config_inserts(self) -> DataFrame:
+        return self._config_changes[0]
+
+    @cached_property
+    def config_deletes(self) -> DataFrame:
+        return self._config_changes[1]
+
+    @cached_property
+    def config_deletes_matched(self) -> DataFrame:
+        codes = self.desired_config.select("prop_code").distinct()
+        return self.config_deletes.join(codes, "prop_code", "left_semi")
+
+    @cached_property
+    def _config_applied(self) -> tuple[DataFrame, DataFrame]:
+        after, rejected = apply_changes(
+            self.t["comp_config"], self.config_inserts, self.config_deletes, stamp_with=self.stamp_with
+        )
+        return after, rejected.select(*self.config_inserts.columns)
+
+    @cached_property
+    def config_after(self) -> DataFrame:
+        return self._config_applied[0]
+
+    @cached_property
+    def config_rejected(self) -> DataFrame:
+        return self._config_applied[1]
+
+    @cached_property
+    def touched_properties(self) -> DataFrame:
+        return touched(self.config_inserts, self.config_deletes).select("prop_code", "pgm_code")
 
 
 def reconcile_views(
@@ -86,121 +357,6 @@ def reconcile_views(
     scope: str = "valid",
     stage: Stage = _lazy,
     admitted: DataFrame | None = None,
-) -> dict[str, DataFrame]:
-    """All intermediate and final outputs of one run, keyed by query name.
-
-    ``admitted`` holds new-host rows that the caller has already added to
-    ``t["compset"]`` (same-run admission); they are reported as this run's new
-    hosts and not inserted again.
-
-    ``t`` holds ``listing`` (the feed) and the reference tables ``property``,
-    ``compset``, ``competitor``, ``season_map``, ``run_pin``, ``comp_config``.
-    ``stage(name, df)`` is called on every shared intermediate (``codes``,
-    ``tagged``, ``new_hosts``, ``competitor_upserts``,
-    ``compset_diff``, ``desired_config``, ``config_inserts``,
-    ``config_deletes``); the staged run writes them once and reads them back,
-    the registered queries leave them lazy.
-    """
-    ctx = ctx or RunContext()
-    skew = skew or SkewConf()
-    c = core_views(t, stage)
-    checked, codes, tagged = c["checked"], c["codes"], c["tagged"]
-    v: dict[str, DataFrame] = {"feed_scan": t["listing"].select(*FEED_COLUMNS)}
-
-    # B03, B04
-    v["derive_id_name"] = checked.select(*FEED_COLUMNS, "competitor_id", "competitor_name")
-    v["valid_codes"] = checked.filter(F.col("code_ok")).select(*FEED_COLUMNS, "prop_code")
-    v["malformed_codes"] = checked.filter(~F.col("code_ok")).select(*FEED_COLUMNS)
-
-    # B05
-    v["host_counts"] = codes.select("prop_code", "n_host", "n_comp")
-    v["non_single_hosts"] = codes.filter(F.col("n_host") != 1).select("prop_code", "n_host", "n_comp")
-    single = tagged.filter(F.col("code_ok") & (F.col("state") != F.lit(NON_SINGLE)))
-    v["single_host_rows"] = single.select(*ROW_COLS)
-
-    # B07, B08
-    state = codes.filter(F.col("state") != F.lit(NON_SINGLE)).select("prop_code", "host_id", "state")
-    v["host_state"] = state.filter(F.col("state") != F.lit(NO_PROPERTY))
-    v["with_property"] = single.filter(F.col("state") != F.lit(NO_PROPERTY)).select(*ROW_COLS)
-    matched = single.filter(F.col("state") == F.lit(MATCH))
-    v["matched_rows"] = matched.select(*ROW_COLS)
-
-    # B06, B07, B09 reports
-    v["_report_rows"] = reports_from_tags(tagged)
-    v["duplicate_host_report"] = tagged_report(tagged, DUPLICATE_HOST)
-    v["missing_property_report"] = tagged_report(tagged, MISSING_PROPERTY)
-    v["id_mismatch_report"] = tagged_report(tagged, ID_MISMATCH)
-
-    # B10
-    if admitted is None:
-        v["new_hosts"] = stage("new_hosts", new_hosts(state, t["compset"]))
-        host_rows = v["new_hosts"]
-    else:
-        v["new_hosts"] = admitted
-        host_rows = admitted.limit(0)  # already part of the compset
-
-    # B11, B12
-    renames = rename_records(checked, t["competitor"])
-    v["rename_records"] = renames
-    renamed = rename_listings(matched, renames)
-    v["renamed_listings"] = renamed.filter(F.col("renamed")).select(
-        "prop_code", "role", "competitor_id", "competitor_name"
-    )
-    hosts = renamed_hosts(matched, renames)
-    v["renamed_hosts"] = hosts
-    v["competitor_upserts"] = stage(
-        "competitor_upserts", competitor_upserts(renamed, t["competitor"], hosts, ctx.user)
-    )
-
-    # B13
-    v["compset_diff"] = stage("compset_diff", compset_diff(matched, t["compset"], state))
-
-    # B17 on the compset (diff + new own rows) and the competitor table
-    cdiff = v["compset_diff"]
-    comp_ins = (
-        cdiff.filter(F.col("change") == "insert")
-        .select(*PAIR_KEYS)
-        .withColumn("own_ind", F.lit(NOT_OWN_FLAG))
-        .unionByName(host_rows.withColumn("own_ind", F.lit(OWN_FLAG)))
-    )
-    comp_del = cdiff.filter(F.col("change") == "delete").select(*PAIR_KEYS)
-    stamp_with = (ctx.user, ctx.run_ts)
-    compset_after, compset_rejected = apply_changes(t["compset"], comp_ins, comp_del, PAIR_KEYS, stamp_with)
-    compset_rejected = compset_rejected.select("prop_code", "competitor_id", "own_ind")
-    v["compset_after"] = compset_after
-    v["compset_rejected"] = compset_rejected
-    v["competitor_after"] = upsert(t["competitor"], v["competitor_upserts"], ["competitor_id"], stamp_with)
-
-    # B14, B15 (names do not enter the config, so the rename join is not on
-    # this path)
-    pinned = pin_runs(t["season_map"], t["run_pin"])
-    v["pinned_seasons"] = pinned.select("prop_code", "run_id", "season_id", "we_ind")
-    desired = stage(
-        "desired_config",
-        expand_seasons(
-            matched,
-            pinned,
-            split_hot=skew.split_hot,
-            min_rows=skew.min_rows,
-            buckets=skew.buckets,
-            rows_per_bucket=skew.rows_per_bucket,
-            # listings per code are already counted in the code summary
-            hot=hot_from_counts(codes, ["prop_code"], F.col("n_host") + F.col("n_comp"), skew.min_rows),
-        ),
-    )
-    v["desired_config"] = desired
-
-    # B16, B17, B20 - every valid code is a row of ``codes``, so the scope of
-    # the config needs no second pass over the feed.
-    _, inserts, deletes = config_changes(desired, t["comp_config"], codes, scope=scope)
-    inserts = stage("config_inserts", inserts)
-    deletes = stage("config_deletes", deletes)
-    v["config_inserts"] = inserts
-    v["config_deletes"] = deletes
-    v["config_deletes_matched"] = deletes.join(desired.select("prop_code").distinct(), "prop_code", "left_semi")
-    after, rejected = apply_changes(t["comp_config"], inserts, deletes, stamp_with=stamp_with)
-    rejected = rejected.select(*inserts.columns)
-    v["config_after"] = after
-    v["_config_rejected"] = rejected
-    v["touched_properties"] = touched(inserts, deletes).select("prop_code", "pgm_code")
-    return v
+) -> Reconciliation:
+    """The run's views (see :class:`Reconciliation`); nothing is built until used."""
+    return Reconciliation(t, ctx, skew, scope, stage, admitted)
