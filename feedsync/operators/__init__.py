@@ -1,10 +1,11 @@
 """DataFrame -> DataFrame operators; no action is triggered inside them."""
 
-from feedsync.operators.apply import align, apply_changes, stamp, upsert
+from feedsync.operators.apply import align, apply_changes, deactivate_changes, stamp, upsert
 from feedsync.operators.changes import compset_diff, config_changes, diff
 from feedsync.operators.classify import (
     classify_codes,
     classify_hosts,
+    current_rows,
     new_hosts,
     rows_in_state,
     split_exists,
@@ -46,8 +47,10 @@ __all__ = [
     "classify_codes",
     "classify_hosts",
     "competitor_upserts",
+    "current_rows",
     "compset_diff",
     "config_changes",
+    "deactivate_changes",
     "derive",
     "diff",
     "expand_seasons",

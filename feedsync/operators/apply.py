@@ -54,6 +54,37 @@ def apply_changes(
     return kept.unionByName(align(ok, current)), rejected
 
 
+def deactivate_changes(
+    current: DataFrame,
+    inserts: DataFrame,
+    deletes: DataFrame,
+    keys: Sequence[str] = PAIR_KEYS,
+    flag: str = "active_ind",
+    stamp_with: tuple[str, object] | None = None,
+    on: str = "Y",
+    off: str = "N",
+) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`apply_changes`, but removed rows stay with ``flag`` set to
+    ``off`` (and re-stamped) instead of being deleted; inserts get ``on``.
+    One left join of the table with the distinct delete keys - no row is
+    dropped, so history is kept."""
+    keys = list(keys)
+    if flag not in current.columns:
+        raise ValueError(f"{flag} not in table")
+    marks = deletes.select(*keys).distinct().withColumn("_gone", F.lit(True))
+    j = current.join(marks, keys, "left")
+    gone = F.coalesce(F.col("_gone"), F.lit(False))
+    cols = {flag: F.when(gone, F.lit(off)).otherwise(F.col(flag))}
+    if stamp_with is not None:
+        user, ts = stamp_with
+        if AUDIT_BY in current.columns:
+            cols[AUDIT_BY] = F.when(gone, F.lit(user)).otherwise(F.col(AUDIT_BY))
+        if AUDIT_TS in current.columns:
+            cols[AUDIT_TS] = F.when(gone, F.lit(ts).cast("timestamp")).otherwise(F.col(AUDIT_TS))
+    kept = j.withColumns(cols).drop("_gone").select(*current.columns)
+    return apply_changes(kept, inserts.withColumn(flag, F.lit(on)), deletes.limit(0), keys, stamp_with)
+
+
 def upsert(
     current: DataFrame, rows: DataFrame, keys: Sequence[str], stamp_with: tuple[str, object] | None = None
 ) -> DataFrame:

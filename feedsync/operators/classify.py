@@ -31,7 +31,31 @@ def split_exists(rows: DataFrame, ref: DataFrame, key: str | list[str]) -> tuple
     return rows.join(ref_keys, keys, "left_semi"), rows.join(ref_keys, keys, "left_anti")
 
 
-def classify_codes(groups: DataFrame, prop: DataFrame, compset: DataFrame, own_only: bool = True) -> DataFrame:
+def current_rows(compset: DataFrame, active_only: bool = False, on_date=None) -> DataFrame:
+    """Compset rows that count for matching.  With ``active_only`` only rows
+    flagged active (``active_ind = 'Y'``); with ``on_date`` only rows whose
+    effective range (``eff_start_date``..``eff_end_date``, open ends allowed)
+    holds that date.  Tables without those columns are returned unchanged."""
+    cols = set(compset.columns)
+    if active_only and "active_ind" in cols:
+        compset = compset.filter(F.col("active_ind") == F.lit(OWN_FLAG))
+    if on_date is not None and {"eff_start_date", "eff_end_date"} <= cols:
+        d = F.lit(on_date).cast("date")
+        compset = compset.filter(
+            (F.col("eff_start_date").isNull() | (F.col("eff_start_date") <= d))
+            & (F.col("eff_end_date").isNull() | (F.col("eff_end_date") >= d))
+        )
+    return compset
+
+
+def classify_codes(
+    groups: DataFrame,
+    prop: DataFrame,
+    compset: DataFrame,
+    own_only: bool = True,
+    active_only: bool = False,
+    on_date=None,
+) -> DataFrame:
     """B07 + B08: every valid code (one row of :func:`host_groups` each) with a
     ``state``:
 
@@ -45,11 +69,13 @@ def classify_codes(groups: DataFrame, prop: DataFrame, compset: DataFrame, own_o
     The three reference sides are reduced to distinct keys first (map-side),
     so each join meets at most one row per key and a hot property never
     multiplies rows.  This is the summary the feed is tagged with
-    (:func:`tag_rows`).
+    (:func:`tag_rows`).  ``active_only`` / ``on_date`` restrict the rows that
+    can match (:func:`current_rows`); presence is judged on all rows.
     """
     known = prop.select("prop_code").distinct().withColumn("_known", F.lit(True))
     present = compset.select("prop_code").distinct().withColumn("_present", F.lit(True))
-    own = compset.filter(F.col("own_ind") == F.lit(OWN_FLAG)) if own_only else compset
+    candidates = current_rows(compset, active_only, on_date)
+    own = candidates.filter(F.col("own_ind") == F.lit(OWN_FLAG)) if own_only else candidates
     own_ids = (
         own.select("prop_code", F.col("competitor_id").alias("host_id")).distinct().withColumn("_match", F.lit(True))
     )
@@ -68,10 +94,10 @@ def classify_codes(groups: DataFrame, prop: DataFrame, compset: DataFrame, own_o
     )
 
 
-def classify_hosts(groups: DataFrame, prop: DataFrame, compset: DataFrame, own_only: bool = True) -> DataFrame:
+def classify_hosts(groups: DataFrame, prop: DataFrame, compset: DataFrame, own_only: bool = True, **kw) -> DataFrame:
     """``(prop_code, host_id, state)`` for single-host groups only."""
     return (
-        classify_codes(groups, prop, compset, own_only)
+        classify_codes(groups, prop, compset, own_only, **kw)
         .filter(F.col("state") != F.lit(NON_SINGLE))
         .select("prop_code", "host_id", "state")
     )

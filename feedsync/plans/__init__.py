@@ -1,3 +1,3 @@
-from feedsync.plans.views import SkewConf, reconcile_views
+from feedsync.plans.views import MatchRules, Reconciliation, SkewConf, reconcile_views
 
-__all__ = ["SkewConf", "reconcile_views"]
+__all__ = ["MatchRules", "Reconciliation", "SkewConf", "reconcile_views"]

@@ -26,6 +26,7 @@ from feedsync.constants import NOT_OWN_FLAG, OWN_FLAG, PAIR_KEYS, RunContext
 from feedsync.operators import (
     apply_changes,
     check_codes,
+    deactivate_changes,
     classify_codes,
     competitor_upserts,
     compset_diff,
@@ -68,6 +69,17 @@ class SkewConf:
     buckets: int | None = None  # fixed salt count instead of the target
 
 
+@dataclass(frozen=True)
+class MatchRules:
+    """Readings of the reference's unspecified matching and removal rules
+    (SURVEY §7, open questions); defaults reproduce the fixtures' counts."""
+
+    own_only: bool = True  # the host's id must be on an own row
+    active_only: bool = False  # ...that is flagged active (if the table says)
+    on_data_date: bool = False  # ...and effective on the run's data date
+    deactivate_removed: bool = False  # removed compset rows: flag off, not delete
+
+
 class Reconciliation(Mapping[str, DataFrame]):
     """All intermediate and final outputs of one run, keyed by query name.
 
@@ -104,7 +116,9 @@ class Reconciliation(Mapping[str, DataFrame]):
         scope: str = "valid",
         stage: Stage = _lazy,
         admitted: DataFrame | None = None,
+        rules: MatchRules | None = None,
     ) -> None:
+        self.rules = rules or MatchRules()
         self.t = t
         self.ctx = ctx or RunContext()
         self.skew = skew or SkewConf()
@@ -148,7 +162,16 @@ class Reconciliation(Mapping[str, DataFrame]):
     @cached_property
     def codes(self) -> DataFrame:
         valid = self.checked.filter(F.col("code_ok")).drop("code_ok")
-        return self.stage("codes", classify_codes(host_groups(valid), self.t["property"], self.t["compset"]))
+        r = self.rules
+        codes = classify_codes(
+            host_groups(valid),
+            self.t["property"],
+            self.t["compset"],
+            own_only=r.own_only,
+            active_only=r.active_only,
+            on_date=self.ctx.data_date if r.on_data_date else None,
+        )
+        return self.stage("codes", codes)
 
     @cached_property
     def tagged(self) -> DataFrame:
@@ -267,8 +290,11 @@ class Reconciliation(Mapping[str, DataFrame]):
             .withColumn("own_ind", F.lit(NOT_OWN_FLAG))
             .unionByName(hosts.withColumn("own_ind", F.lit(OWN_FLAG)))
         )
+        if "active_ind" in self.t["compset"].columns:
+            ins = ins.withColumn("active_ind", F.lit(OWN_FLAG))  # new rows are active
         dele = cdiff.filter(F.col("change") == "delete").select(*PAIR_KEYS)
-        after, rejected = apply_changes(self.t["compset"], ins, dele, PAIR_KEYS, self.stamp_with)
+        apply = deactivate_changes if self.rules.deactivate_removed else apply_changes
+        after, rejected = apply(self.t["compset"], ins, dele, PAIR_KEYS, stamp_with=self.stamp_with)
         return after, rejected.select("prop_code", "competitor_id", "own_ind")
 
     @cached_property
@@ -357,6 +383,7 @@ def reconcile_views(
     scope: str = "valid",
     stage: Stage = _lazy,
     admitted: DataFrame | None = None,
+    rules: MatchRules | None = None,
 ) -> Reconciliation:
     """The run's views (see :class:`Reconciliation`); nothing is built until used."""
-    return Reconciliation(t, ctx, skew, scope, stage, admitted)
+    return Reconciliation(t, ctx, skew, scope, stage, admitted, rules)

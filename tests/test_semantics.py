@@ -234,3 +234,46 @@ def test_renames_reader(spark, tmp_path):
         (5, "NEW NAME"),
         (None, "BAD ID"),
     ]
+
+
+def test_match_rules_active_and_effective_dates(spark):
+    import datetime as dt
+
+    from feedsync.operators import current_rows
+
+    rows = [("P000001", "H", "1000001", "A", "x"), ("P000002", "H", "1000002", "A", "x")]
+    prop = spark.createDataFrame([("P000001",), ("P000002",)], "prop_code string")
+    compset = spark.createDataFrame(
+        [
+            ("P000001", 1000001, "Y", "Y", dt.date(2020, 1, 1), None),
+            ("P000002", 1000002, "Y", "N", dt.date(2020, 1, 1), dt.date(2021, 1, 1)),
+        ],
+        "prop_code string, competitor_id int, own_ind string, active_ind string, "
+        "eff_start_date date, eff_end_date date",
+    )
+    f = check_codes(derive(feed(spark, rows)))
+    groups = host_groups(f.filter("code_ok"))
+    plain = {r.prop_code: r.state for r in classify_codes(groups, prop, compset).collect()}
+    assert plain == {"P000001": "match", "P000002": "match"}
+    strict = {
+        r.prop_code: r.state
+        for r in classify_codes(groups, prop, compset, active_only=True, on_date=dt.date(2024, 1, 1)).collect()
+    }
+    assert strict == {"P000001": "match", "P000002": "mismatch"}  # inactive and expired
+    assert current_rows(compset, on_date=dt.date(2020, 6, 1)).count() == 2
+
+
+def test_deactivate_instead_of_delete(spark):
+    import datetime as dt
+
+    from feedsync.operators import deactivate_changes
+
+    current = spark.createDataFrame(
+        [("P1", 5, "N", "Y", "old", dt.datetime(2020, 1, 1)), ("P1", 6, "N", "Y", "old", dt.datetime(2020, 1, 1))],
+        "prop_code string, competitor_id int, own_ind string, active_ind string, last_upd_by string, last_upd_ts timestamp",
+    )
+    ins = spark.createDataFrame([("P1", 7, "N")], "prop_code string, competitor_id int, own_ind string")
+    dels = spark.createDataFrame([("P1", 5)], "prop_code string, competitor_id int")
+    after, _ = deactivate_changes(current, ins, dels, stamp_with=("batch", dt.datetime(2024, 1, 1)))
+    got = {r.competitor_id: (r.active_ind, r.last_upd_by) for r in after.collect()}
+    assert got == {5: ("N", "batch"), 6: ("Y", "old"), 7: ("Y", "batch")}
