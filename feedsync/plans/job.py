@@ -20,7 +20,7 @@ from feedsync.constants import RunContext
 from feedsync.operators import publish_report
 from feedsync.plans.run import RunResult, run_reconciliation
 from feedsync.plans.snapshots import RunLayout, latest_complete_run, read_state
-from feedsync.plans.views import SkewConf
+from feedsync.plans.views import MatchRules, SkewConf
 from feedsync.session import build_session, input_bytes, shared_dir, size_shuffle
 from feedsync.sources import JdbcSource, ParquetSource, read_feed, read_run_pins, read_table, split_corrupt, stage_parsed
 from feedsync.sources.feed import CORRUPT_COLUMN
@@ -67,11 +67,12 @@ def run_tables(
     ctx: RunContext,
     skew: SkewConf | None = None,
     scope: str = "valid",
+    rules: MatchRules | None = None,
 ) -> RunResult:
     """Open the sources for ``raw_feed``, write its corrupt rows, run."""
     tables, corrupt = open_sources(spark, layout, raw_feed, season_pins_path, source)
     publish_report(corrupt.select(CORRUPT_COLUMN), layout.report("corrupt-rows"), header=True)
-    return run_reconciliation(spark, tables, ctx, root=layout.root, skew=skew, scope=scope)
+    return run_reconciliation(spark, tables, ctx, root=layout.root, skew=skew, scope=scope, rules=rules)
 
 
 def run_job(
@@ -83,9 +84,11 @@ def run_job(
     root: str | None = None,
     skew: SkewConf | None = None,
     scope: str = "valid",
+    rules: MatchRules | None = None,
 ) -> RunResult:
     layout = RunLayout(root or f"{shared_dir(spark)}/feedsync", ctx.run_id)
-    return run_tables(spark, layout, read_feed(spark, feed_path), season_pins_path, source, ctx, skew, scope)
+    raw = read_feed(spark, feed_path)
+    return run_tables(spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules)
 
 
 def main(argv: list[str] | None = None) -> None:
