@@ -68,11 +68,14 @@ def run_tables(
     skew: SkewConf | None = None,
     scope: str = "valid",
     rules: MatchRules | None = None,
+    admit_new_hosts: bool = False,
 ) -> RunResult:
     """Open the sources for ``raw_feed``, write its corrupt rows, run."""
     tables, corrupt = open_sources(spark, layout, raw_feed, season_pins_path, source)
     publish_report(corrupt.select(CORRUPT_COLUMN), layout.report("corrupt-rows"), header=True)
-    return run_reconciliation(spark, tables, ctx, root=layout.root, skew=skew, scope=scope, rules=rules)
+    return run_reconciliation(
+        spark, tables, ctx, root=layout.root, skew=skew, scope=scope, rules=rules, admit_new_hosts=admit_new_hosts
+    )
 
 
 def run_job(
@@ -85,10 +88,11 @@ def run_job(
     skew: SkewConf | None = None,
     scope: str = "valid",
     rules: MatchRules | None = None,
+    admit_new_hosts: bool = False,
 ) -> RunResult:
     layout = RunLayout(root or f"{shared_dir(spark)}/feedsync", ctx.run_id)
     raw = read_feed(spark, feed_path)
-    return run_tables(spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules)
+    return run_tables(spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -102,6 +106,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--run-id", type=int, required=True)
     p.add_argument("--data-date", type=dt.date.fromisoformat)
     p.add_argument("--scope", choices=["valid", "matched"], default="valid")
+    p.add_argument("--admit-new-hosts", action="store_true", help="match hosts stored as new in the same run")
+    p.add_argument("--active-only", action="store_true", help="only active compset rows can match")
+    p.add_argument("--on-data-date", action="store_true", help="only rows effective on the data date can match")
+    p.add_argument("--deactivate-removed", action="store_true", help="flag removed compset rows instead of deleting")
     a = p.parse_args(argv)
     spark = build_session()
     # the feed is the largest input: size the shuffles from it
@@ -112,7 +120,20 @@ def main(argv: list[str] | None = None) -> None:
         source = ParquetSource(a.tables)
     else:
         p.error("one of --tables or --jdbc-url is required")
-    res = run_job(spark, a.feed, a.season_pins, source, RunContext.now(a.run_id, a.data_date), a.root, scope=a.scope)
+    rules = MatchRules(
+        active_only=a.active_only, on_data_date=a.on_data_date, deactivate_removed=a.deactivate_removed
+    )
+    res = run_job(
+        spark,
+        a.feed,
+        a.season_pins,
+        source,
+        RunContext.now(a.run_id, a.data_date),
+        a.root,
+        scope=a.scope,
+        rules=rules,
+        admit_new_hosts=a.admit_new_hosts,
+    )
     for r in sorted(res.audit, key=lambda r: r["output"]):
         print(f"{r['output']:28s} {r['n_rows']:>12d} {r['n_keys']:>10d}")
 

@@ -157,3 +157,20 @@ def test_shuffle_partitions_sizing(spark, tmp_path):
     assert shuffle_partitions_for(1 << 40, cores=8000) == 16_000  # two waves of cores
     (tmp_path / "a").write_bytes(b"x" * 1000)
     assert input_bytes(spark, str(tmp_path)) == 1000
+
+
+def test_cli_main(spark, tmp_path, fixtures_small, capsys):
+    from feedsync.plans.job import main
+
+    tables = str(tmp_path / "tables")
+    for name in ("property", "compset", "competitor", "season_map", "comp_config"):
+        fixtures_small[name].write.parquet(f"{tables}/{name}.parquet")
+    feed = str(tmp_path / "feed")
+    write_feed(fixtures_small["listing"], feed)
+    pins = str(tmp_path / "pins")
+    fixtures_small["run_pin"].write.option("header", "true").csv(pins)
+    root = str(tmp_path / "root")
+    main(["--feed", feed, "--season-pins", pins, "--tables", tables, "--root", root, "--run-id", "3",
+          "--data-date", "2024-01-01"])
+    out = capsys.readouterr().out
+    assert any(line.split()[:2] == ["config_inserts", "534"] for line in out.splitlines())
