@@ -61,3 +61,37 @@ def test_host_states_cover_single_groups(views_small):
     states = {r["state"]: r["count"] for r in v["host_state"].groupBy("state").count().collect()}
     assert states == {"absent": 10, "match": 101, "mismatch": 7}
     assert sum(states.values()) + 14 == n_single  # 14 without property
+
+
+def test_join_and_tag_forms_of_reports_agree(fixtures_small, views_small):
+    """The generic join-based operators give the same rows as the tag-based
+    filters the run uses."""
+    from feedsync.operators import (
+        check_codes,
+        classify_hosts,
+        derive,
+        host_groups,
+        report,
+        report_keys,
+        report_rows,
+        single_host_rows,
+        split_exists,
+    )
+
+    feed = fixtures_small["listing"]
+    checked = check_codes(derive(feed))
+    valid = checked.filter("code_ok").drop("code_ok")
+    groups = host_groups(valid)
+    state = classify_hosts(groups, fixtures_small["property"], fixtures_small["compset"])
+    rows = report_rows(feed, report_keys(groups, state))
+    assert rows.exceptAll(views_small["_report_rows"]).count() == 0
+    assert views_small["_report_rows"].exceptAll(rows).count() == 0
+
+    dup = report(feed, groups.filter("n_host <> 1"), role="H")
+    assert dup.exceptAll(views_small["duplicate_host_report"]).count() == 0
+    assert dup.count() == views_small["duplicate_host_report"].count() == 10
+
+    single = single_host_rows(valid, groups)
+    with_p, without_p = split_exists(single, fixtures_small["property"], "prop_code")
+    assert with_p.count() == views_small["with_property"].count() == 1025
+    assert single.count() == with_p.count() + without_p.count()
