@@ -85,11 +85,30 @@ def deactivate_changes(
     return apply_changes(kept, inserts.withColumn(flag, F.lit(on)), deletes.limit(0), keys, stamp_with)
 
 
+def one_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the greatest of the other columns (compared as a
+    struct, column by column).  A grouped max, so it combines map-side and
+    picks the same row on every recomputation."""
+    keys = list(keys)
+    others = [c for c in rows.columns if c not in keys]
+    if not others:
+        return rows.distinct()
+    return rows.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row")).select(*keys, "_row.*")
+
+
 def upsert(
-    current: DataFrame, rows: DataFrame, keys: Sequence[str], stamp_with: tuple[str, object] | None = None
+    current: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    stamp_with: tuple[str, object] | None = None,
+    single: bool = True,
 ) -> DataFrame:
-    """Replace rows of ``current`` that share a key with ``rows``, add the rest."""
+    """Replace rows of ``current`` that share a key with ``rows``, add the rest.
+    With ``single`` (default) the new rows are reduced to one per key first,
+    so the table keeps its key unique even when the feed names one id twice."""
     keys = list(keys)
+    if single:
+        rows = one_per_key(rows, keys)
     if stamp_with is not None:
         rows = stamp(rows, *stamp_with)
     kept = current.join(rows.select(*keys).distinct(), keys, "left_anti")

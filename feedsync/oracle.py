@@ -251,7 +251,7 @@ QUERIES: dict[str, str] = {
     "competitor_after": (
         "SELECT c.competitor_id, c.competitor_name FROM competitor c WHERE NOT EXISTS "
         "(SELECT 1 FROM upserts_v u WHERE u.competitor_id = c.competitor_id) "
-        "UNION ALL SELECT competitor_id, competitor_name FROM upserts_v"
+        "UNION ALL SELECT competitor_id, max(competitor_name) FROM upserts_v GROUP BY competitor_id"
     ),
     "compset_diff": (
         "SELECT d.prop_code, d.competitor_id, 'insert' AS change FROM desired_pairs d WHERE NOT EXISTS "

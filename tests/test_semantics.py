@@ -277,3 +277,12 @@ def test_deactivate_instead_of_delete(spark):
     after, _ = deactivate_changes(current, ins, dels, stamp_with=("batch", dt.datetime(2024, 1, 1)))
     got = {r.competitor_id: (r.active_ind, r.last_upd_by) for r in after.collect()}
     assert got == {5: ("N", "batch"), 6: ("Y", "old"), 7: ("Y", "batch")}
+
+
+def test_upsert_keeps_key_unique(spark):
+    from feedsync.operators import upsert
+
+    current = spark.createDataFrame([(5, "OLD")], "competitor_id int, competitor_name string")
+    rows = spark.createDataFrame([(5, "B"), (5, "A"), (6, "C")], "competitor_id int, competitor_name string")
+    after = {(r.competitor_id, r.competitor_name) for r in upsert(current, rows, ["competitor_id"]).collect()}
+    assert after == {(5, "B"), (6, "C")}
