@@ -36,8 +36,9 @@ def expand_seasons(
 ) -> DataFrame:
     """Desired config rows - one per listing x pinned season of its code.
 
-    Both inputs are made distinct first (map-side), so the join output is
-    distinct by construction and needs no shuffle of its own.  A code with at
+    Both inputs are made distinct, so the join output is distinct by
+    construction and needs no shuffle of its own; with the hot-code split the
+    de-duplication shares the join's exchange, so each side moves once.  A code with at
     least ``min_rows`` listings is split over about ``rows / rows_per_bucket``
     tasks (or ``buckets``) by :func:`split_hot_join`; other codes join
     unchanged.  ``hot`` may pass the hot codes when a per-code row count is
@@ -47,13 +48,16 @@ def expand_seasons(
         "prop_code",
         "competitor_id",
         F.when(F.col("is_host"), F.lit(OWN_FLAG)).otherwise(F.lit(NOT_OWN_FLAG)).alias("own_ind"),
-    ).distinct()
-    s = seasons.select("prop_code", "season_id", "we_ind").distinct()
+    )
+    s = seasons.select("prop_code", "season_id", "we_ind")
     if split_hot:
         # counted on the rows before de-duplication: an upper bound of the
         # fan-out per code, one partial aggregate over a single column
         hot = hot if hot is not None else hot_keys(rows, ["prop_code"], min_rows)
-        j = split_hot_join(r, s, ["prop_code"], "inner", buckets=buckets, hot=hot, rows_per_bucket=rows_per_bucket)
+        j = split_hot_join(
+            r, s, ["prop_code"], "inner", buckets=buckets, hot=hot, rows_per_bucket=rows_per_bucket,
+            distinct_inputs=True,
+        )
     else:
-        j = r.join(s, "prop_code")
+        j = r.distinct().join(s.distinct(), "prop_code")
     return j.select("prop_code", "competitor_id", "season_id", "we_ind", "own_ind")
