@@ -27,11 +27,15 @@ def diff(desired: DataFrame, current: DataFrame, keys: Sequence[str] = PAIR_KEYS
     )
 
 
-def compset_diff(matched: DataFrame, compset: DataFrame, host_state: DataFrame) -> DataFrame:
+def compset_diff(
+    matched: DataFrame, compset: DataFrame, host_state: DataFrame, broadcast_hosts: bool = False
+) -> DataFrame:
     """Competitor pairs of matched hosts to insert into / delete from the
-    compset table.  Own rows are left alone on both sides."""
+    compset table.  Own rows are left alone on both sides.  ``broadcast_hosts``
+    when the host summary's size was measured and is small."""
     desired = matched.filter(~F.col("is_host")).select(*PAIR_KEYS)
     hosts = host_state.filter(F.col("state") == F.lit(MATCH)).select("prop_code")
+    hosts = F.broadcast(hosts) if broadcast_hosts else hosts
     current = compset.filter(~is_true(F.col("own_ind") == F.lit(OWN_FLAG))).join(hosts, "prop_code", "left_semi")
     return diff(desired, current, PAIR_KEYS)
 
@@ -42,6 +46,7 @@ def config_changes(
     scope_codes: DataFrame,
     keys: Sequence[str] = PAIR_KEYS,
     scope: str = "valid",
+    broadcast_scope: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(scoped current, inserts, deletes).
 
@@ -49,10 +54,13 @@ def config_changes(
     distributed form of the reference's collected IN list).  Inserts are
     desired rows whose pair is not stored; deletes are distinct stored pairs
     that are not desired (rules 4-5).  ``scope='matched'`` restricts deletes
-    to codes present in ``desired``.
+    to codes present in ``desired``.  ``broadcast_scope`` when the code set's
+    size was measured and is small (the config table then is not shuffled
+    for scoping).
     """
     keys = list(keys)
     codes = scope_codes.select("prop_code").distinct()
+    codes = F.broadcast(codes) if broadcast_scope else codes
     scoped = current.join(codes, "prop_code", "left_semi")
     dkeys = desired.select(*keys).distinct()
     inserts = desired.join(scoped.select(*keys).distinct(), keys, "left_anti")

@@ -103,15 +103,18 @@ def classify_hosts(groups: DataFrame, prop: DataFrame, compset: DataFrame, own_o
     )
 
 
-def tag_rows(rows: DataFrame, codes: DataFrame) -> DataFrame:
+def tag_rows(rows: DataFrame, codes: DataFrame, broadcast: bool = False) -> DataFrame:
     """Attach ``n_host``, ``host_id`` and ``state`` of each row's code.
 
-    One join of the feed with a table holding one row per code: the feed is
-    shuffled once for every later split (single-host rows, matched rows,
-    reports).  Rows of a hot code meet a single summary row; adaptive skew
-    handling splits their partition.  Rows without a valid code get NULLs.
+    One join of the feed with a table holding one row per code, for every
+    later split (single-host rows, matched rows, reports).  ``broadcast``
+    (only when the summary's size was measured and is small) ships the
+    summary to the feed instead of shuffling the feed; otherwise rows of a
+    hot code meet a single summary row and adaptive skew handling splits
+    their partition.  Rows without a valid code get NULLs.
     """
-    return rows.join(codes.select("prop_code", "n_host", "host_id", "state"), "prop_code", "left")
+    c = codes.select("prop_code", "n_host", "host_id", "state")
+    return rows.join(F.broadcast(c) if broadcast else c, "prop_code", "left")
 
 
 def rows_in_state(rows: DataFrame, host_state: DataFrame, *states: str) -> DataFrame:

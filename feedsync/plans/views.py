@@ -67,6 +67,9 @@ class SkewConf:
     min_rows: int = 1_000_000  # listings of one code before it counts as hot
     rows_per_bucket: int = 250_000  # target listings per task for a hot code
     buckets: int | None = None  # fixed salt count instead of the target
+    # broadcast a staged per-code table when its measured size on storage is
+    # at most this (Parquet bytes; in memory it is several times larger)
+    max_broadcast_bytes: int = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -173,9 +176,21 @@ class Reconciliation(Mapping[str, DataFrame]):
         )
         return self.stage("codes", codes)
 
+    def _measured_small(self, name: str) -> bool:
+        """True only when ``name`` was staged and its size on storage is at
+        most the broadcast limit; lazy views are never broadcast by size
+        guess (adaptive execution decides on measured shuffle sizes)."""
+        measure = getattr(self.stage, "bytes", None)
+        if measure is None:
+            return False
+        getattr(self, name)  # build (and so stage) it first
+        n = measure(name)
+        return n is not None and n <= self.skew.max_broadcast_bytes
+
     @cached_property
     def tagged(self) -> DataFrame:
-        return self.stage("tagged", tag_rows(self.checked, self.codes))
+        codes = self.codes
+        return self.stage("tagged", tag_rows(self.checked, codes, broadcast=self._measured_small("codes")))
 
     # B03, B04 ----------------------------------------------------------------
     @cached_property
@@ -277,7 +292,9 @@ class Reconciliation(Mapping[str, DataFrame]):
     # B13 and B17 on the compset and competitor tables ------------------------
     @cached_property
     def compset_diff(self) -> DataFrame:
-        return self.stage("compset_diff", compset_diff(self.matched, self.t["compset"], self.state))
+        small = self._measured_small("codes")
+        diff = compset_diff(self.matched, self.t["compset"], self.state, broadcast_hosts=small)
+        return self.stage("compset_diff", diff)
 
     @cached_property
     def _compset_applied(self) -> tuple[DataFrame, DataFrame]:
@@ -340,7 +357,10 @@ class Reconciliation(Mapping[str, DataFrame]):
     def _config_changes(self) -> tuple[DataFrame, DataFrame]:
         # every valid code is a row of ``codes``: the scope needs no second
         # pass over the feed
-        _, ins, dele = config_changes(self.desired_config, self.t["comp_config"], self.codes, scope=self.scope)
+        small = self._measured_small("codes")
+        _, ins, dele = config_changes(
+            self.desired_config, self.t["comp_config"], self.codes, scope=self.scope, broadcast_scope=small
+        )
         return self.stage("config_inserts", ins), self.stage("config_deletes", dele)
 
     @cached_property

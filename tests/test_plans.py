@@ -38,3 +38,28 @@ def test_no_static_broadcast_except_hot_keys(spark, fixtures_small):
     assert plan.count("SortMergeJoin") >= 1
     plan2 = v["config_after"]._jdf.queryExecution().sparkPlan().toString()
     assert plan2.count("BroadcastHashJoin") == plan2.count("TakeOrderedAndProject")
+
+
+def test_staged_summary_broadcast_only_under_measured_limit(spark, tmp_path, fixtures_small):
+    from feedsync.plans.snapshots import Stager
+    from feedsync.plans.views import SkewConf
+
+    class Capture(Stager):
+        plans: dict = {}
+
+        def __call__(self, name, df):
+            self.plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+            return super().__call__(name, df)
+
+    st = Capture(RunLayout(str(tmp_path / "a"), 1), spark)
+    v = reconcile_views(fixtures_small, stage=st)
+    v["config_inserts"].count()
+    assert st.bytes("codes") < (64 << 20)
+    assert "BroadcastHashJoin" in st.plans["tagged"]  # feed not shuffled for tagging
+    assert "BroadcastHashJoin" in st.plans["config_inserts"]
+
+    st2 = Capture(RunLayout(str(tmp_path / "b"), 1), spark)
+    st2.plans = {}
+    v2 = reconcile_views(fixtures_small, stage=st2, skew=SkewConf(max_broadcast_bytes=0))
+    assert v2["config_inserts"].count() == 534
+    assert "BroadcastHashJoin" not in st2.plans["tagged"]
