@@ -163,11 +163,15 @@ class Reconciliation(Mapping[str, DataFrame]):
         return check_codes(derive(self.feed_scan))
 
     @cached_property
-    def codes(self) -> DataFrame:
+    def groups(self) -> DataFrame:
         valid = self.checked.filter(F.col("code_ok")).drop("code_ok")
+        return host_groups(valid)
+
+    @cached_property
+    def codes(self) -> DataFrame:
         r = self.rules
         codes = classify_codes(
-            host_groups(valid),
+            self.groups,
             self.t["property"],
             self.t["compset"],
             own_only=r.own_only,
@@ -339,8 +343,11 @@ class Reconciliation(Mapping[str, DataFrame]):
     @cached_property
     def desired_config(self) -> DataFrame:
         sk = self.skew
-        # listings per code are already counted in the code summary
-        hot = hot_from_counts(self.codes, ["prop_code"], F.col("n_host") + F.col("n_comp"), sk.min_rows)
+        # listings per code are already counted: in the staged summary when
+        # there is one (a small file), else right after the grouped count,
+        # before any classification join
+        counts = self.codes if hasattr(self.stage, "bytes") else self.groups
+        hot = hot_from_counts(counts, ["prop_code"], F.col("n_host") + F.col("n_comp"), sk.min_rows)
         rows = expand_seasons(
             self.matched,
             self.pinned,
