@@ -35,3 +35,26 @@ def test_stream_runs_once_per_delivery(spark, tmp_path, fixtures_small):
     assert latest_complete_run(spark, root) == 2
     got2 = {r.output: r.n_rows for r in spark.read.parquet(f"{root}/audit").filter("run = 2").collect()}
     assert got2["new_hosts"] == 0
+
+
+def test_two_waiting_deliveries_become_two_runs(spark, tmp_path, fixtures_small):
+    tables = str(tmp_path / "tables")
+    for name in ("property", "compset", "competitor", "season_map", "comp_config"):
+        fixtures_small[name].write.parquet(f"{tables}/{name}.parquet")
+    pins = str(tmp_path / "pins")
+    fixtures_small["run_pin"].write.option("header", "true").csv(pins)
+    write_feed(fixtures_small["listing"].coalesce(1), str(tmp_path / "feed"))
+    text = next((tmp_path / "feed").glob("part-*.csv")).read_text()
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text(text)
+    (inbox / "b.csv").write_text(text)
+    root = str(tmp_path / "root")
+    q = start_feed_stream(
+        spark, str(inbox), pins, ParquetSource(tables), root, max_files_per_trigger=1,
+        context=lambda run_id: RunContext(run_id=run_id),
+    )
+    q.awaitTermination(300)
+    audit = spark.read.parquet(f"{root}/audit")
+    runs = {r.run: r.n_rows for r in audit.filter("output = 'new_hosts'").collect()}
+    assert runs == {1: 10, 2: 0}  # the second run starts from the first one's state
