@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedsync.constants import RunContext
 from feedsync.operators import publish_report
 from feedsync.plans.run import RunResult, run_reconciliation
-from feedsync.plans.snapshots import RunLayout, latest_complete_run, read_state
+from feedsync.plans.snapshots import Bucketing, RunLayout, latest_complete_run, read_state
 from feedsync.plans.views import MatchRules, SkewConf
 from feedsync.session import build_session, input_bytes, shared_dir, size_shuffle
 from feedsync.sources import JdbcSource, ParquetSource, read_feed, read_run_pins, read_table, split_corrupt, stage_parsed
@@ -37,6 +37,7 @@ def open_sources(
     season_pins_path: str,
     source: ParquetSource | JdbcSource,
     continue_from_root: bool = True,
+    bucketing: Bucketing | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """(tables for :func:`run_reconciliation`, corrupt feed rows).
 
@@ -54,7 +55,7 @@ def open_sources(
         prev = latest_complete_run(spark, layout.root, before=layout.run_id)
         if prev is not None:
             for name in STATEFUL:
-                t[name] = read_state(spark, layout.root, name, prev)
+                t[name] = read_state(spark, layout.root, name, prev, bucketing)
     return t, corrupt
 
 

@@ -73,6 +73,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """File-system metadata check (no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def input_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` from the file system's metadata (no data read)."""
     jvm = spark.sparkContext._jvm

@@ -18,7 +18,10 @@ def spark(tmp_path_factory):
         "local[4]",
         app="feedsync-tests",
         shuffle_partitions=8,
-        extra={"spark.driver.memory": "6g"},
+        extra={
+            "spark.driver.memory": "6g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
     )
     # Tests set their own shared folder only because none is configured.
     if not s.sparkContext.getCheckpointDir():
