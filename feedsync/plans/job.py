@@ -16,7 +16,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedsync.constants import RunContext
+from feedsync.constants import PAIR_KEYS, RunContext
 from feedsync.operators import publish_report
 from feedsync.plans.run import RunResult, run_reconciliation
 from feedsync.plans.snapshots import Bucketing, RunLayout, latest_complete_run, read_state
@@ -70,12 +70,21 @@ def run_tables(
     scope: str = "valid",
     rules: MatchRules | None = None,
     admit_new_hosts: bool = False,
+    bucketing: Bucketing | None = None,
 ) -> RunResult:
     """Open the sources for ``raw_feed``, write its corrupt rows, run."""
-    tables, corrupt = open_sources(spark, layout, raw_feed, season_pins_path, source)
+    tables, corrupt = open_sources(spark, layout, raw_feed, season_pins_path, source, bucketing=bucketing)
     publish_report(corrupt.select(CORRUPT_COLUMN), layout.report("corrupt-rows"), header=True)
     return run_reconciliation(
-        spark, tables, ctx, root=layout.root, skew=skew, scope=scope, rules=rules, admit_new_hosts=admit_new_hosts
+        spark,
+        tables,
+        ctx,
+        root=layout.root,
+        skew=skew,
+        scope=scope,
+        rules=rules,
+        admit_new_hosts=admit_new_hosts,
+        bucketing=bucketing,
     )
 
 
@@ -90,10 +99,13 @@ def run_job(
     scope: str = "valid",
     rules: MatchRules | None = None,
     admit_new_hosts: bool = False,
+    bucketing: Bucketing | None = None,
 ) -> RunResult:
     layout = RunLayout(root or f"{shared_dir(spark)}/feedsync", ctx.run_id)
     raw = read_feed(spark, feed_path)
-    return run_tables(spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts)
+    return run_tables(
+        spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts, bucketing
+    )
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -111,6 +123,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--active-only", action="store_true", help="only active compset rows can match")
     p.add_argument("--on-data-date", action="store_true", help="only rows effective on the data date can match")
     p.add_argument("--deactivate-removed", action="store_true", help="flag removed compset rows instead of deleting")
+    p.add_argument("--bucket-states", type=int, metavar="N", help="keep config/compset states bucketed into N buckets")
     a = p.parse_args(argv)
     spark = build_session()
     # the feed is the largest input: size the shuffles from it
@@ -121,6 +134,9 @@ def main(argv: list[str] | None = None) -> None:
         source = ParquetSource(a.tables)
     else:
         p.error("one of --tables or --jdbc-url is required")
+    bucketing = (
+        Bucketing(a.bucket_states, {"comp_config": PAIR_KEYS, "compset": PAIR_KEYS}) if a.bucket_states else None
+    )
     rules = MatchRules(
         active_only=a.active_only, on_data_date=a.on_data_date, deactivate_removed=a.deactivate_removed
     )
@@ -134,6 +150,7 @@ def main(argv: list[str] | None = None) -> None:
         scope=a.scope,
         rules=rules,
         admit_new_hosts=a.admit_new_hosts,
+        bucketing=bucketing,
     )
     for r in sorted(res.audit, key=lambda r: r["output"]):
         print(f"{r['output']:28s} {r['n_rows']:>12d} {r['n_keys']:>10d}")
