@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedsync.constants import RunContext
 from feedsync.plans.job import run_tables
-from feedsync.plans.snapshots import RunLayout
+from feedsync.plans.snapshots import Bucketing, RunLayout
 from feedsync.plans.views import MatchRules, SkewConf
 from feedsync.schemas import CORRUPT_COLUMN, FEED_SCHEMA, with_corrupt_column
 from feedsync.sources import JdbcSource, ParquetSource
@@ -36,6 +36,7 @@ def start_feed_stream(
     context: Callable[[int], RunContext] | None = None,
     skew: SkewConf | None = None,
     rules: MatchRules | None = None,
+    bucketing: Bucketing | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what is there and stops."""
     reader = (
@@ -53,7 +54,8 @@ def start_feed_stream(
 
     def one_run(batch: DataFrame, batch_id: int) -> None:
         ctx = make_ctx(first_run_id + batch_id)
-        run_tables(spark, RunLayout(root, ctx.run_id), batch, season_pins_path, source, ctx, skew, rules=rules)
+        layout = RunLayout(root, ctx.run_id)
+        run_tables(spark, layout, batch, season_pins_path, source, ctx, skew, rules=rules, bucketing=bucketing)
 
     w = stream.writeStream.foreachBatch(one_run).option("checkpointLocation", f"{root.rstrip('/')}/_stream")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
