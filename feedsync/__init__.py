@@ -7,6 +7,9 @@ Layout:
                 seasons, change sets, apply, publish, skew handling)
     plans/      the reconciliation run: staging, snapshots, audit
     streaming/  the same run driven by a file stream (one run per new feed)
+    session.py  session settings (adaptive execution, measured-size
+                broadcasts, forced skew splits) and shuffle sizing
+    oracle.py   hand-written DuckDB SQL for every registered query
 """
 
 from feedsync.constants import RunContext
