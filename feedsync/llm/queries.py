@@ -23,8 +23,76 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.warc import read_warc, write_warc
+
+    ship_package(spark)
+    out, manifest = write_warc(_table(spark, sf_dir, "pages"))
+    return read_warc(manifest, out)
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.exact import duplicate_groups
+
+    return duplicate_groups(_table(spark, sf_dir, "documents"))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.chat import conversation_digests, format_conversations
+
+    ship_package(spark)
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], turns.schema)
+    return conversation_digests(format_conversations(turns.unionByName(extra)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_warc": op4_warc,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op7_chat_format": op7_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n,
+                   sha256(coalesce(html, '')) AS digest
+            FROM pages
+        ), k AS (SELECT digest, min(page_id) AS keep FROM p WHERE n >= 100 GROUP BY digest)
+        SELECT p.page_id, p.n::BIGINT AS payload_bytes, p.digest AS payload_digest,
+               CASE WHEN k.keep IS NULL OR k.keep = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN k.keep <> p.page_id THEN k.keep END AS refers_to
+        FROM p LEFT JOIN k ON p.n >= 100 AND p.digest = k.digest
+    """,
+    "op5_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+            FROM documents
+        ), g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
+        SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
+        FROM d JOIN g USING (text_sha256)
+    """,
+    "op7_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), m AS (
+            SELECT *, length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
+                   + 3 * len(regexp_extract_all(text,
+                       '</?s>|\[/?INST\]|<</?SYS>>|\[ROLE\]|\[TEXT\]|\[END\]'))
+                   + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 4
+                     ELSE 17 + length(role) END AS chars
+            FROM c
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), ''))
+                   AS loss_sha256,
+               (sum(chars) + 3)::BIGINT AS formatted_chars
+        FROM m GROUP BY conv_id
+    """,
+}
