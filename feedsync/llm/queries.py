@@ -14,6 +14,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.mtree import top_k
+
+    ship_package(spark)
+    return top_k(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedsync.llm.packing import pack_documents
 
@@ -48,6 +55,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mtree_top_k": op1_mtree_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
@@ -55,6 +63,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_mtree_top_k": """
+        WITH v AS (
+            SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
     "op4_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n,
