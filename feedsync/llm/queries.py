@@ -54,12 +54,20 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(turns.unionByName(extra)))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.toxicity import toxicity
+
+    ship_package(spark)
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mtree_top_k": op1_mtree_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_chat_format": op7_chat_format,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES: dict[str, str] = {
