@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedsync.llm.common import texts
-from feedsync.llm.tokens import ByteTokenizer
+from feedsync.llm.tokens import ByteTokenizer, byte_tokenizer
 
 # The template's control strings; their reserved ids follow the
 # vocabulary in this order.
@@ -62,7 +62,7 @@ def _spelled(mark: int | None) -> str:
 
 def _encode(batches):
     """Rows (conv_id, turn, role, text) to (conv_id, turn, role, role_ids, ids, chars)."""
-    tokenizer = ByteTokenizer()
+    tokenizer = byte_tokenizer()
     for b in batches:
         role_ids, ids, chars = [], [], []
         roles = texts(b.column(2))
@@ -178,7 +178,7 @@ def parse_turn(tokenizer: ByteTokenizer, ids: np.ndarray, mask: np.ndarray) -> t
 
 
 def _digest(batches):
-    tokenizer = ByteTokenizer()
+    tokenizer = byte_tokenizer()
     state = None
 
     def closed(s):

@@ -74,17 +74,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class BoundedCache(dict):
-    """``cache[key]`` computes a missing value once; emptied when full, so a task's
-    memory stays bounded whatever the number of distinct keys."""
+    """``cache[key]`` computes a missing value once.  When it is full, its entries
+    become the old generation, from which those that are asked for again return; so
+    a task's memory stays bounded whatever the number of distinct keys."""
 
     def __init__(self, compute, max_entries: int = 300_000, max_key: int = 64):
         super().__init__()
         self.compute, self.max_entries, self.max_key = compute, max_entries, max_key
+        self.old: dict = {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= self.max_key:
             if len(self) >= self.max_entries:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedsync.llm.common import shuffle_partitions, staged, texts
-from feedsync.llm.tokens import WordTokenizer
+from feedsync.llm.tokens import word_tokenizer
 
 CAPACITY = 4096
 END_ID = 1
@@ -233,7 +233,7 @@ def token_pieces(
     end = np.asarray([END_ID], "<u4").tobytes()
 
     def cut(batches):
-        tokenizer = WordTokenizer()
+        tokenizer = word_tokenizer()
         for b in batches:
             rows = []
             for i, text in zip(b.column(0), texts(b.column(1)), strict=True):

@@ -61,6 +61,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.substring import removal_digests
+
+    ship_package(spark)
+    return removal_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mtree_top_k": op1_mtree_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -68,9 +75,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_toxicity": op8_toxicity,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op10_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w
+            FROM documents
+        ), g AS (
+            SELECT doc_id, i, list_slice(w, i, i + 12) AS win
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)
+        ), r AS (
+            SELECT doc_id, i FROM g JOIN (SELECT win, min(doc_id) AS first FROM g GROUP BY win) USING (win)
+            WHERE doc_id > first
+        ), c AS (SELECT DISTINCT doc_id, i + t AS i FROM r, range(13) o(t)),
+        k AS (
+            SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+               sha256(array_to_string([x FOR x, i IN w IF gone IS NULL OR NOT list_contains(gone, i)], ' '))
+                   AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)
+    """,
     "op1_mtree_top_k": """
         WITH v AS (
             SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings

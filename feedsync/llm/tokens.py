@@ -1,17 +1,25 @@
-"""Token ids of whole texts, computed chunk by chunk with a bounded cache.
+"""Token ids of whole texts, computed chunk by chunk with bounded caches.
 
 White space ends every token of the two vocabularies used here, so the ids of a
-text are the ids of its white-space separated chunks, in order.  Chunks repeat,
-so most of them come from the cache.  Texts with white space on which Python and
-the tokenizers disagree are cut at plain ASCII white space only.
+text are the ids of its chunks, in order: runs without white space, with the white
+space before them where the vocabulary keeps it.  Chunks repeat, and so do the
+pieces that the vocabulary's pattern cuts them into; both are cached per worker.
+A piece that is new goes straight to the BPE model.  A chunk with characters
+outside the Latin blocks, or with a special token, goes through the whole
+tokenizer, as does a text with white space on which Python and the tokenizers
+might disagree.
 """
 
 from __future__ import annotations
 
 import re
+import struct
+import unicodedata
+from functools import cache
 
 import numpy as np
 import public_tokenizers
+import regex
 from tokenizers import Tokenizer
 
 from feedsync.llm.common import BoundedCache
@@ -19,47 +27,97 @@ from feedsync.llm.common import BoundedCache
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 
+# The vocabulary's own split pattern.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 # Characters that str.split() takes for white space and a tokenizer may not.
 _ODD = re.compile("[\x1c-\x1f]")
 _ASCII = re.compile("[^ \t\n\r\x0b\x0c]+")
 # Any white space beyond ASCII: a run of mixed white space must not be cut.
 _WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _LEADING = re.compile("[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
+# Chunks that the short way handles, but for those with a special token.
+_LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE spells a byte as itself if it prints, else as the next free
+    character from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_SPELL = _byte_letters()
+
+
+class _Tokenizer:
+    def __init__(self, path: str, pattern: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.pieces = regex.compile(pattern).findall
+        self.of_piece = BoundedCache(self._piece, 300_000)
+        self.of_chunk = BoundedCache(self._chunk, 500_000)
+
+    def folded(self, chunk: str) -> str:
+        return chunk
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.asarray(ids, dtype="<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(_SPELL)
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-class WordTokenizer:
+    def _chunk(self, chunk: str) -> bytes:
+        seen = chunk.lstrip(" \n")
+        if "<|" in seen or not (seen.isprintable() if seen.isascii() else _LATIN.fullmatch(seen)):
+            return self._whole(chunk)
+        folded = self.folded(chunk)
+        if folded.isalpha():
+            return self.of_piece[folded]
+        return b"".join(map(self.of_piece.__getitem__, self.pieces(folded)))
+
+
+class WordTokenizer(_Tokenizer):
     """Lower-casing BPE with word ends; white space is dropped."""
 
     def __init__(self, path: str | None = None):
-        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(WORD_BPE))
-        self.cache = BoundedCache(self._encode)
+        super().__init__(path or public_tokenizers.path(WORD_BPE), WORD_PATTERN)
 
-    def _encode(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+    def folded(self, chunk: str) -> str:
+        return chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).lower()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit values."""
         chunks = _ASCII.findall(text) if _ODD.search(text) else text.split()
-        return b"".join(map(self.cache.__getitem__, chunks))
+        return b"".join(map(self.of_chunk.__getitem__, chunks))
 
 
-class ByteTokenizer:
+class ByteTokenizer(_Tokenizer):
     """Byte-level BPE: decoding gives the very text back."""
 
     def __init__(self, path: str | None = None):
-        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(BYTE_BPE))
+        super().__init__(path or public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
         self.tokenizer.encode_special_tokens = True
-        self.cache = BoundedCache(self._encode)
-
-    def _encode(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if _WIDE.search(text):
-            return self._encode(text)
-        return b"".join(map(self.cache.__getitem__, _LEADING.findall(text)))
+            return self._whole(text)
+        return b"".join(map(self.of_chunk.__getitem__, _LEADING.findall(text)))
 
     def decode(self, ids) -> str:
         return self.tokenizer.decode(list(ids), skip_special_tokens=False)
+
+
+@cache
+def word_tokenizer(path: str | None = None) -> WordTokenizer:
+    """One for each worker process, so that its caches serve all its tasks."""
+    return WordTokenizer(path)
+
+
+@cache
+def byte_tokenizer(path: str | None = None) -> ByteTokenizer:
+    return ByteTokenizer(path)
