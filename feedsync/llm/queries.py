@@ -61,6 +61,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.neardup import near_duplicate_classes
+
+    ship_package(spark)
+    return near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedsync.llm.substring import removal_digests
 
@@ -75,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op7_chat_format": op7_chat_format,
     "op8_toxicity": op8_toxicity,
+    "op9_near_dedup": op9_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

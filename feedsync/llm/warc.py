@@ -239,7 +239,7 @@ def records(stream, chunk: int = 1 << 20):
         yield fields, rest[: int(fields["Content-Length"])]
 
 
-def read_warc(manifest: DataFrame, out: str, id_type: str = "long") -> DataFrame:
+def read_warc(manifest: DataFrame, out: str) -> DataFrame:
     """One row per page record of the archives that ``manifest`` names; digests are
     recomputed and compared with the headers."""
 
@@ -284,10 +284,7 @@ def read_warc(manifest: DataFrame, out: str, id_type: str = "long") -> DataFrame
                 if rows:
                     yield batch(rows)
 
-    return (
-        manifest.select("name")
-        .repartition("name")
-        .mapInArrow(
-            parse, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-        )
-    )
+    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    files = manifest.select("name")
+    # a task for each file: their rows are too small for Spark to see the work behind them
+    return files.repartition(max(1, files.count())).mapInArrow(parse, schema)
