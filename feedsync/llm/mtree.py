@@ -42,11 +42,14 @@ from feedsync.llm.common import staged
 
 MAX_PIVOTS = 1024
 SHARD_ROWS = 8192
-PAGE = 256
+PAGE = 1024
 FAN_OUT = 16
 QUERY_BLOCK = 1024
 # Slack of a computed distance: bounds never cut what equals the k-th distance.
 SLACK = 1e-6
+# Below this squared norm every product and partial sum is an integer that a
+# 32-bit float holds exactly.
+EXACT32 = float(1 << 24)
 
 
 def quantised(vectors: DataFrame, vec_col: str, scale: int = 64, id_col: str = "vec_id") -> DataFrame:
@@ -159,9 +162,11 @@ class MTree:
         if self.root is None:
             return best_ids, best
         base = float(query @ query) + self.top
+        if self.x.dtype == np.float32:
+            query = query.astype(np.float32)
 
         def distance(rows):
-            return np.sqrt(np.maximum(base - 2 * (self.x[rows] @ query), 0))
+            return np.sqrt(np.maximum(base - 2 * (self.x[rows] @ query).astype(np.float64), 0))
 
         d_root = float(distance(np.asarray([self.root.routing]))[0])
         heap = [(max(d_root - self.root.radius, 0.0), 0, d_root, self.root)]
@@ -195,7 +200,7 @@ class MTree:
                 scores, ids = scores[other], ids[other]
             if not len(ids):
                 continue
-            best_ids, best = np.concatenate([best_ids, ids]), np.concatenate([best, scores])
+            best_ids, best = np.concatenate([best_ids, ids]), np.concatenate([best, scores.astype(np.float64)])
             order = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[order], best[order]
             if len(best) == k:
@@ -289,10 +294,11 @@ def _search_blocks(index: Index, routed: DataFrame, blocks: int, k: int, exclude
         for b in batches:
             for trees, queries in zip(b.column("tree").to_pylist(), b.column("queries"), strict=True):
                 tree = pickle.loads(trees)
-                tree.x = tree.x.astype(np.float64)
                 rows = queries.values
                 ids = rows.field("query_id").to_numpy()
                 x = _matrix(rows.field("q"), dims)
+                largest = max(tree.top, float((x * x).sum(1).max(initial=0)))
+                tree.x = tree.x.astype(np.float32 if largest < EXACT32 else np.float64)
                 bounds = rows.field("bound").to_numpy()
                 found = [
                     tree.search(x[i], int(ids[i]) if exclude_self else None, k, float(bounds[i]))
