@@ -21,6 +21,13 @@ def op1_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.pieces import piece_digests
+
+    ship_package(spark)
+    return piece_digests(_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedsync.llm.packing import pack_documents
 
@@ -44,6 +51,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.token_files import read_token_files, write_token_files
+
+    ship_package(spark)
+    out, manifest = write_token_files(_table(spark, sf_dir, "documents"))
+    return read_token_files(manifest, out)
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedsync.llm.chat import conversation_digests, format_conversations
 
@@ -77,9 +92,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mtree_top_k": op1_mtree_top_k,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_files": op6_token_files,
     "op7_chat_format": op7_chat_format,
     "op8_toxicity": op8_toxicity,
     "op9_near_dedup": op9_near_dedup,

@@ -31,7 +31,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 # Characters that str.split() takes for white space and a tokenizer may not.
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = "\x1c\x1d\x1e\x1f"
 _ASCII = re.compile("[^ \t\n\r\x0b\x0c]+")
 # Any white space beyond ASCII: a run of mixed white space must not be cut.
 _WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -67,7 +67,9 @@ class _Tokenizer:
         return np.asarray(ids, dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(_SPELL)
+        spelled = piece
+        if not (piece.isascii() and piece.isalpha()):
+            spelled = piece.encode().decode("latin-1").translate(_SPELL)
         ids = [t.id for t in self.model.tokenize(spelled)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -76,8 +78,10 @@ class _Tokenizer:
         if "<|" in seen or not (seen.isprintable() if seen.isascii() else _LATIN.fullmatch(seen)):
             return self._whole(chunk)
         folded = self.folded(chunk)
-        if folded.isalpha():
-            return self.of_piece[folded]
+        core = folded.rstrip(".,;:!?")
+        if core.isalpha() or core[:1] == " " and core[1:].isalpha():  # a word, perhaps with punctuation
+            word, tail = self.of_piece[core], folded[len(core) :]
+            return word + self.of_piece[tail] if tail else word
         return b"".join(map(self.of_piece.__getitem__, self.pieces(folded)))
 
 
@@ -92,7 +96,7 @@ class WordTokenizer(_Tokenizer):
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit values."""
-        chunks = _ASCII.findall(text) if _ODD.search(text) else text.split()
+        chunks = _ASCII.findall(text) if any(c in text for c in _ODD) else text.split()
         return b"".join(map(self.of_chunk.__getitem__, chunks))
 
 
@@ -104,7 +108,7 @@ class ByteTokenizer(_Tokenizer):
         self.tokenizer.encode_special_tokens = True
 
     def encode(self, text: str) -> bytes:
-        if _WIDE.search(text):
+        if any(c in text for c in _ODD) if text.isascii() else _WIDE.search(text):
             return self._whole(text)
         return b"".join(map(self.of_chunk.__getitem__, _LEADING.findall(text)))
 
