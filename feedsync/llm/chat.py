@@ -126,7 +126,7 @@ def _assemble(batches):
         np.subtract.at(delta, ends, loss)
         mask = np.cumsum(delta[:-1], dtype=np.int8).astype(np.uint8)
         row_ends = ends[np.flatnonzero(np.diff(of_row, append=-1))] if pieces else []
-        row_starts = [0, *row_ends[:-1]]
+        row_starts = [0, *row_ends[:-1]] if pieces else []
         yield pa.RecordBatch.from_arrays(
             [
                 b.column(0),

@@ -83,6 +83,8 @@ def _partition_of(hashes: np.ndarray, partitions: int) -> np.ndarray:
 
 def _by_partition(partitions: np.ndarray) -> list[tuple[int, slice]]:
     """Slices of equal values of a sorted array."""
+    if not len(partitions):
+        return []
     cuts = np.flatnonzero(np.diff(partitions, prepend=-1))
     return [(int(partitions[i]), slice(i, j)) for i, j in zip(cuts, [*cuts[1:], len(partitions)], strict=True)]
 

@@ -337,8 +337,9 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[list[np.nd
     return sentences, np.array([r["toxic"] == 1 for r in rows], bool)
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score and predicted of every row of ``docs`` (doc_id, text)."""
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_columns: bool = False) -> DataFrame:
+    """doc_id, score and predicted of every row of ``docs`` (doc_id, text); on request
+    with the whole row as struct ``row``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -366,12 +367,16 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
                 flush()
             p = model.probability(best)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
-                names=["doc_id", "score", "predicted"],
+                [b.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32)), *b.columns[2:]],
+                names=["doc_id", "score", "predicted", "row"][: b.num_columns + 1],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    schema, columns = f"doc_id {kind}, score double, predicted int", ["doc_id", "text"]
+    if keep_columns:
+        schema += f", row {docs.schema.simpleString()}"
+        columns.append(F.struct(*docs.columns).alias("row"))
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
