@@ -35,11 +35,13 @@ EXPECTED_SF0001 = {
 
 def test_contract_keys():
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) == set(o)
-    assert len(q) >= 27
+    # every query of the library itself has SQL; optional ones are tested on their own
+    assert set(entry.QUERY_NAMES) <= set(q) and set(entry.QUERY_NAMES) <= set(o)
+    assert set(o) <= set(q)
+    assert len(entry.QUERY_NAMES) >= 27
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", entry.QUERY_NAMES)
 def test_query_matches_oracle(spark, duck_small, name):
     sdf = entry.queries()[name](spark, SF_SMALL)
     odf = duck_small.execute(entry.oracle_sql()[name]).df()
