@@ -15,10 +15,12 @@ Texts are sets of five-word shingles, weighted ``1 + ln(count)``.
 4. *Verify.*  Exact Jaccard similarity of the shingle sets; pairs of ``SIMILARITY`` or
    more are links, whose components are found by star contraction.
 5. *The rest, exactly.*  Members of a bucket that are not in its pivot's component
-   are paired with the members of other components, unless the triangle
-   inequality of the Jaccard distance to the pivot already excludes a link.  No
-   link between bucket members is lost, and a group of near copies costs one
-   comparison for each member.
+   are compared with the members of other components, unless the triangle
+   inequality of the Jaccard distance to the pivot already excludes a link.  This
+   happens in blocks of bounded size through an inverted index of the block, which
+   gives back one link for each component reached, never pairs.  No link between
+   bucket members of different components is lost, and a group of near copies costs
+   one comparison for each member.
 
 Defined results: a null text or one without words is alone in its class; a text of
 one to four words has one shingle of all its words; a row without id is not
@@ -42,6 +44,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 6
 K = BANDS * ROWS
 BATCH_BYTES = 8 << 20
+BLOCK = 256  # rows of either side that one task compares
 
 # Odd constants of the arrival and component streams.
 _ARRIVAL, _CHOICE = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
@@ -160,18 +163,83 @@ def _distances(batches):
         )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _pair_distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, d): the exact Jaccard distance of each pair's shingle sets."""
-    named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = staged(
-        texts.join(named, "id", "left_semi").select("id", "raw").mapInArrow(_sets, "id long, shingles binary"),
-        "neardup-sets",
-    )
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    return staged(
-        pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(_distances, "a long, b long, d double"),
-        "neardup-pairs",
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(
+        _distances, "a long, b long, d double"
+    )
+
+
+def _block_links(table: pa.Table, similarity: float) -> pa.Table:
+    """Of one block: for each text set apart, a link to each other component it reaches."""
+    apart = np.array(table.column("apart").to_pylist(), bool)
+    ids, own = table.column("rep").to_numpy(), table.column("own").to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    others = np.flatnonzero(~apart)
+    found = []
+    if len(others):
+        shingles = np.concatenate([sets[i] for i in others])
+        owner = np.repeat(np.arange(len(others)), sizes[others])
+        order = np.argsort(shingles, kind="stable")
+        shingles, owner = shingles[order], owner[order]
+        for i in np.flatnonzero(apart):
+            first = np.searchsorted(shingles, sets[i])
+            n = np.searchsorted(shingles, sets[i], side="right") - first
+            at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            both = np.bincount(owner[at], minlength=len(others))
+            close = both >= similarity * (sizes[i] + sizes[others] - both) - 1e-9
+            close &= own[others] != own[i]
+            reached = others[close]
+            _, one = np.unique(own[reached], return_index=True)
+            found += [(int(ids[i]), int(ids[r])) for r in reached[one]]
+    return pa.table(
+        {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
+    )
+
+
+def _remaining_links(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links between bucket members of different components that the pivots did not
+    show.  ``placed``: bucket, rep, own, main, d (distance to the pivot), no pivots."""
+    reach = 1 - similarity + 1e-9
+    farthest = placed.groupBy("bucket").agg(
+        F.max(F.struct("d", "rep")).alias("far"), F.max(F.col("own") != F.col("main")).alias("open")
+    )
+    rows = placed.join(farthest.filter("open"), "bucket")
+    second = rows.filter("rep <> far.rep").groupBy("bucket").agg(F.max("d").alias("second"))
+    # a text apart is compared if some other member is far enough from the pivot, a
+    # member if it is far enough for the nearest of those
+    rows = rows.join(second, "bucket").withColumn(
+        "apart",
+        (F.col("own") != F.col("main"))
+        & (F.col("d") - reach <= F.when(F.col("rep") == F.col("far.rep"), F.col("second")).otherwise(F.col("far.d"))),
+    )
+    rows = staged(rows.select("bucket", "rep", "own", "d", "apart"), "neardup-open")
+    sizes = rows.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("apart").alias("n_apart"), F.min(F.when(F.col("apart"), F.col("d"))).alias("least")
+    )
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    sizes = sizes.filter("n_apart > 0").select(
+        "bucket", "least", blocks("n").alias("other_blocks"), blocks("n_apart").alias("apart_blocks")
+    )
+    rows = rows.join(sizes, "bucket").filter(F.col("d") >= F.col("least") - reach)
+    mine = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    apart = rows.filter("apart").select(
+        "bucket", "rep", "own", F.lit(True).alias("apart"), mine("apart_blocks").alias("i"), every("other_blocks").alias("j")
+    )
+    others = rows.select(
+        "bucket", "rep", "own", F.lit(False).alias("apart"), mine("other_blocks").alias("j"), every("apart_blocks").alias("i")
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        return _block_links(table, similarity)
+
+    named = sets.withColumnRenamed("id", "rep")
+    return (
+        apart.unionByName(others).join(named, "rep").groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
     )
 
 
@@ -199,7 +267,16 @@ def near_duplicate_classes(
     in_bucket = staged(members.join(pivots, "bucket").distinct(), "neardup-buckets")
 
     pairs = in_bucket.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    first = _verified(staged(pairs, "neardup-candidates"), texts)
+    pairs = staged(pairs, "neardup-candidates")
+    named = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    # the texts are shuffled whatever the number of candidates, so cost follows the input
+    sets = staged(
+        texts.join(named.hint("merge"), "id", "left_semi")
+        .select("id", "raw")
+        .mapInArrow(_sets, "id long, shingles binary"),
+        "neardup-sets",
+    )
+    first = staged(_pair_distances(pairs, sets), "neardup-pairs")
     links = first.filter(F.col("d") <= reach).select("a", "b")
     found = staged(components(links, "a", "b"), "neardup-components")
 
@@ -207,25 +284,11 @@ def near_duplicate_classes(
         known = found.select(F.col("node").alias(node), F.col("component").alias(name))
         return df.join(known, node, "left").withColumn(name, F.coalesce(name, node))
 
-    placed = component(component(in_bucket, "rep", "own"), "pivot", "main")
-    placed = placed.join(
-        first.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "d"), ["pivot", "rep"], "left"
-    ).withColumn("d", F.coalesce("d", F.lit(0.0)))
-    apart = placed.filter("own <> main").select(
-        "bucket", F.col("rep").alias("x"), F.col("own").alias("x_own"), F.col("d").alias("x_d")
-    )
-    others = placed.filter("rep <> pivot").select("bucket", "rep", "own", "d")
-    more = (
-        apart.join(others, "bucket")
-        .filter((F.col("own") != F.col("x_own")) & (F.abs(F.col("d") - F.col("x_d")) <= reach))
-        .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"))
-        .distinct()
-        .join(first.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    more = staged(more, "neardup-rest")
+    placed = component(component(in_bucket.filter("rep <> pivot"), "rep", "own"), "pivot", "main")
+    placed = placed.join(first.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "d"), ["pivot", "rep"])
+    more = staged(_remaining_links(placed, sets, similarity), "neardup-rest")
     if not more.isEmpty():
-        links = links.unionByName(_verified(more, texts).filter(F.col("d") <= reach).select("a", "b"))
-        found = staged(components(links, "a", "b"), "neardup-components")
+        found = staged(components(links.unionByName(more), "a", "b"), "neardup-components")
 
     classes = component(reps.select("k1", "k2", "rep"), "rep", "class_id").select("k1", "k2", "class_id")
     return (
