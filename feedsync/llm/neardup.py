@@ -41,7 +41,7 @@ from feedsync.llm.shingles import run_hashes, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 20, 6
+BANDS, ROWS = 25, 5
 K = BANDS * ROWS
 BATCH_BYTES = 8 << 20
 BLOCK = 256  # rows of either side that one task compares
