@@ -1,17 +1,17 @@
-"""Token ids of whole texts, computed chunk by chunk with bounded caches.
-
-White space ends every token of the two vocabularies used here, so the ids of a
-text are the ids of its chunks, in order: runs without white space, with the white
-space before them where the vocabulary keeps it.  Chunks repeat, and so do the
-pieces that the vocabulary's pattern cuts them into; both are cached per worker.
-A piece that is new goes straight to the BPE model.  A chunk with characters
-outside the Latin blocks, or with a special token, goes through the whole
-tokenizer, as does a text with white space on which Python and the tokenizers
-might disagree.
+"""Token ids of whole texts.
+
+The word vocabulary's tokenizer is slow on new words, so its ids are put together
+chunk by chunk: white space ends every token, so the ids of a text are the ids of its
+runs without white space, in order.  Runs repeat, and so do the pieces that the
+vocabulary's pattern cuts them into; both are cached per worker, within bounds.  A new
+piece goes straight to the BPE model.  A run with characters outside the Latin blocks,
+or with a special token, goes through the whole tokenizer; a text with white space on
+which Python and the tokenizer might disagree is cut at plain ASCII white space only.
 """
 
 from __future__ import annotations
 
+import base64
 import re
 import struct
 import unicodedata
@@ -20,12 +20,13 @@ from functools import cache
 import numpy as np
 import public_tokenizers
 import regex
+import tiktoken
 from tokenizers import Tokenizer
 
 from feedsync.llm.common import BoundedCache
 
 WORD_BPE = "word_bpe_49k.json"
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 # The vocabulary's own split pattern.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -33,9 +34,6 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Characters that str.split() takes for white space and a tokenizer may not.
 _ODD = "\x1c\x1d\x1e\x1f"
 _ASCII = re.compile("[^ \t\n\r\x0b\x0c]+")
-# Any white space beyond ASCII: a run of mixed white space must not be cut.
-_WIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-_LEADING = re.compile("[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 # Chunks that the short way handles, but for those with a special token.
 _LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
 
@@ -51,20 +49,31 @@ def _byte_letters() -> dict[int, str]:
 _SPELL = _byte_letters()
 
 
-class _Tokenizer:
-    def __init__(self, path: str, pattern: str):
-        self.tokenizer = Tokenizer.from_file(path)
+class WordTokenizer:
+    """Lower-casing BPE with word ends; white space is dropped."""
+
+    def __init__(self, path: str | None = None):
+        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(WORD_BPE))
         self.model = self.tokenizer.model
-        self.pieces = regex.compile(pattern).findall
+        self.pieces = regex.compile(WORD_PATTERN).findall
         self.of_piece = BoundedCache(self._piece, 300_000)
         self.of_chunk = BoundedCache(self._chunk, 500_000)
 
-    def folded(self, chunk: str) -> str:
-        return chunk
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit values."""
+        chunks = _ASCII.findall(text) if any(c in text for c in _ODD) else text.split()
+        return b"".join(map(self.of_chunk.__getitem__, chunks))
 
-    def _whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
+    def _chunk(self, chunk: str) -> bytes:
+        if "<|" in chunk or not (chunk.isprintable() if chunk.isascii() else _LATIN.fullmatch(chunk)):
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            return np.asarray(ids, dtype="<u4").tobytes()
+        folded = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).lower()
+        core = folded.rstrip(".,;:!?")
+        if core.isalpha():  # a word, perhaps with punctuation
+            word, tail = self.of_piece[core], folded[len(core) :]
+            return word + self.of_piece[tail] if tail else word
+        return b"".join(map(self.of_piece.__getitem__, self.pieces(folded)))
 
     def _piece(self, piece: str) -> bytes:
         spelled = piece
@@ -73,47 +82,24 @@ class _Tokenizer:
         ids = [t.id for t in self.model.tokenize(spelled)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _chunk(self, chunk: str) -> bytes:
-        seen = chunk.lstrip(" \n")
-        if "<|" in seen or not (seen.isprintable() if seen.isascii() else _LATIN.fullmatch(seen)):
-            return self._whole(chunk)
-        folded = self.folded(chunk)
-        core = folded.rstrip(".,;:!?")
-        if core.isalpha() or core[:1] == " " and core[1:].isalpha():  # a word, perhaps with punctuation
-            word, tail = self.of_piece[core], folded[len(core) :]
-            return word + self.of_piece[tail] if tail else word
-        return b"".join(map(self.of_piece.__getitem__, self.pieces(folded)))
-
 
-class WordTokenizer(_Tokenizer):
-    """Lower-casing BPE with word ends; white space is dropped."""
+class ByteTokenizer:
+    """Byte-level BPE: decoding gives the very text back.  Special tokens' strings are
+    ordinary text."""
 
     def __init__(self, path: str | None = None):
-        super().__init__(path or public_tokenizers.path(WORD_BPE), WORD_PATTERN)
-
-    def folded(self, chunk: str) -> str:
-        return chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).lower()
+        with open(path or public_tokenizers.path(BYTE_RANKS), "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.encoding = tiktoken.Encoding(
+            "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit values."""
-        chunks = _ASCII.findall(text) if any(c in text for c in _ODD) else text.split()
-        return b"".join(map(self.of_chunk.__getitem__, chunks))
-
-
-class ByteTokenizer(_Tokenizer):
-    """Byte-level BPE: decoding gives the very text back."""
-
-    def __init__(self, path: str | None = None):
-        super().__init__(path or public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
-        self.tokenizer.encode_special_tokens = True
-
-    def encode(self, text: str) -> bytes:
-        if any(c in text for c in _ODD) if text.isascii() else _WIDE.search(text):
-            return self._whole(text)
-        return b"".join(map(self.of_chunk.__getitem__, _LEADING.findall(text)))
+        return np.asarray(self.encoding.encode_ordinary(text), dtype="<u4").tobytes()
 
     def decode(self, ids) -> str:
-        return self.tokenizer.decode(list(ids), skip_special_tokens=False)
+        return self.encoding.decode(list(ids))
 
 
 @cache

@@ -3,10 +3,11 @@
 import zlib
 
 import numpy as np
-import pytest
+import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from feedsync.llm import packing, token_files
 from feedsync.llm.common import ship_package
@@ -81,16 +82,26 @@ def test_large_plan_is_near_the_bound():
     assert len(runs) < 24 * 4096
 
 
-@pytest.mark.parametrize("make", [word_tokenizer, byte_tokenizer])
-def test_chunked_ids_equal_the_tokenizers(make):
-    t = make()
+def odd_texts():
     odd = [0x1C, 0x1F, 0x85, 0xA0, 0x1680, 0x2003, 0x2028, 0x3000, 0x300, 0x130, 0x3A3, 0x4E2D, 0x1F600, 0]
     texts = [f"a{chr(c)}b {chr(c)} C{chr(c)}'S {chr(c) * 3}\n\n x" for c in [*range(0x250), *odd]]
-    texts += ["", " ", "<|endoftext|> x<|startoftext|>y", "I'LL don't 'S  'd!!", "word., (x) a--b", "x" * 5000]
-    for text in texts:
+    return texts + ["", " ", "<|endoftext|> x<|startoftext|>y", "I'LL don't 'S  'd!!", "word., (x) a--b", "x" * 5000]
+
+
+def test_word_ids_equal_the_tokenizers():
+    t = word_tokenizer()
+    for text in odd_texts():
         assert np.frombuffer(t.encode(text), "<u4").tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_byte_ids_equal_the_tokenizers():
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other.encode_special_tokens = True
+    for text in odd_texts():
+        ids = np.frombuffer(byte_tokenizer().encode(text), "<u4").tolist()
+        assert ids == other.encode(text, add_special_tokens=False).ids
+
+
 def test_byte_ids_decode_to_the_text():
     t = byte_tokenizer()
     for text in ["", " a  b\n", "\x00\x1c\x85 é \U0001f600", "<|endoftext|>"]:
