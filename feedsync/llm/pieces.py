@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 import struct
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -40,8 +41,8 @@ from pyspark.sql import functions as F
 MODEL = "piece_bpe_32k.model"
 MARK = chr(0x2581)
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE = 400_000
-BLOCK_CHARS = 4_000_000
+CACHE = 300_000
+BLOCK_CHARS = 1_000_000
 NEVER = -1e8  # pieces that merging never makes score below this
 
 
@@ -62,9 +63,11 @@ class PieceModel:
         special = [sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) for i in range(n)]
         self.score = {self.names[i]: (sp.get_score(i), i) for i in range(n) if not special[i]}
         self.bytes = {int(self.names[i][1:-1], 16): i for i in range(n) if sp.is_byte(i)}
-        self.of_byte = {i: b for b, i in self.bytes.items()}
+        self.spelled = [
+            bytes([int(self.names[i][1:-1], 16)]) if sp.is_byte(i) else b"" if special[i] else self.names[i].replace(MARK, " ").encode()
+            for i in range(n)
+        ]
         self.unknown = sp.unk_id()
-        self.special = {i for i in range(n) if special[i] and i not in self.of_byte}
         if any(MARK in p.lstrip(MARK) for p in self.score):
             raise ValueError("a piece crosses the start of a word; words can't be encoded on their own")
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -168,26 +171,28 @@ class PieceModel:
 
     # ------------------------------------------------------------- whole texts
 
+    def _cut(self, text: str) -> list[str]:
+        """The marked words of ``text``, each without its first mark."""
+        if not text:
+            return []
+        if "  " in text or text[0] == " " or text[-1] == " " or MARK in text:
+            return [w[1:] for w in _WORD.findall(MARK + text.replace(" ", MARK))]
+        return text.split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian unsigned 32-bit) of each text."""
-        cut = [_WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        cut = [self._cut(t) for t in texts]
         if len(self.words) > CACHE:
             self.old, self.words = self.words, {}
-        wanted = {w for words in cut for w in words if w not in self.words}
+        wanted = set(chain.from_iterable(cut)).difference(self.words)
         for w in wanted & self.old.keys():
             self.words[w] = self.old[w]
-        for word, pieces in self.segment(sorted(wanted - self.old.keys())):
-            self.words[word] = self._ids(pieces)
+        for word, pieces in self.segment([MARK + w for w in sorted(wanted.difference(self.old))]):
+            self.words[word[1:]] = self._ids(pieces)
         return [b"".join(map(self.words.__getitem__, words)) for words in cut]
 
     def decode(self, ids) -> str:
-        out = bytearray()
-        for i in ids:
-            if i in self.of_byte:
-                out.append(self.of_byte[i])
-            elif i not in self.special:
-                out += self.names[i].encode()
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
