@@ -9,6 +9,7 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from feedsync.session import shared_dir
@@ -53,6 +54,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20):
+    """``batch`` in parts with about ``size`` bytes of ``column`` (a row at least), so
+    that what a task holds as Python objects stays small whatever Spark sends."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def texts(column: pa.Array) -> list[str]:
     """Python strings of an Arrow column; null is empty."""
     return [t or "" for t in column.to_pylist()]

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedsync.llm.common import mix64, staged
+from feedsync.llm.common import mix64, slices, staged
 from feedsync.llm.components import components
 from feedsync.llm.shingles import run_hashes, word_hashes
 
@@ -43,7 +43,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 K = BANDS * ROWS
-BATCH_BYTES = 8 << 20
 BLOCK = 256  # rows of either side that one task compares
 
 # Odd constants of the arrival and component streams.
@@ -107,48 +106,39 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return mix64(keys + np.arange(1, BANDS + 1, dtype=np.uint64)[None]).view(np.int64)
 
 
-def _blocks(ids: pa.Array, column: pa.Array):
+def _blocks(batches):
     """(ids, texts as bytes) a few MB at a time."""
-    raw = [t or b"" for t in column.to_pylist()]
-    at = 0
-    while at < len(raw):
-        to, size = at, 0
-        while to < len(raw) and (to == at or size + len(raw[to]) <= BATCH_BYTES):
-            size += len(raw[to])
-            to += 1
-        yield ids.slice(at, to - at), raw[at:to]
-        at = to
+    for b in (part for whole in batches for part in slices(whole, "raw")):
+        yield b.column("id"), [t or b"" for t in b.column("raw").to_pylist()]
 
 
 def _sketches(batches):
-    for b in batches:
-        for ids, raw in _blocks(b.column(0), b.column(1)):
-            shingles, often, sizes = shingle_sets(raw)
-            keys = band_keys(prob_minhash(shingles, 1 + np.log(often), sizes))
-            sums = []
-            for seed in (1, 2):  # equal sets have equal sums of mixed hashes
-                total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(shingles ^ np.uint64(seed)), dtype=np.uint64)])
-                ends = np.cumsum(sizes)
-                sums.append((total[ends] - total[ends - sizes]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array(sizes.astype(np.int64)),
-                    pa.array(sums[0]),
-                    pa.array(sums[1]),
-                    pa.ListArray.from_arrays(np.arange(len(raw) + 1) * BANDS, pa.array(keys.ravel())),
-                ],
-                names=["id", "n", "k1", "k2", "bands"],
-            )
+    for ids, raw in _blocks(batches):
+        shingles, often, sizes = shingle_sets(raw)
+        keys = band_keys(prob_minhash(shingles, 1 + np.log(often), sizes))
+        sums = []
+        for seed in (1, 2):  # equal sets have equal sums of mixed hashes
+            total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(shingles ^ np.uint64(seed)), dtype=np.uint64)])
+            ends = np.cumsum(sizes)
+            sums.append((total[ends] - total[ends - sizes]).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [
+                ids,
+                pa.array(sizes.astype(np.int64)),
+                pa.array(sums[0]),
+                pa.array(sums[1]),
+                pa.ListArray.from_arrays(np.arange(len(raw) + 1) * BANDS, pa.array(keys.ravel())),
+            ],
+            names=["id", "n", "k1", "k2", "bands"],
+        )
 
 
 def _sets(batches):
-    for b in batches:
-        for ids, raw in _blocks(b.column(0), b.column(1)):
-            shingles, _, sizes = shingle_sets(raw)
-            ends = np.cumsum(sizes)
-            packed = [shingles[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], names=["id", "shingles"])
+    for ids, raw in _blocks(batches):
+        shingles, _, sizes = shingle_sets(raw)
+        ends = np.cumsum(sizes)
+        packed = [shingles[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)]
+        yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], names=["id", "shingles"])
 
 
 def _distances(batches):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedsync.llm.common import shuffle_partitions, staged, texts
+from feedsync.llm.common import shuffle_partitions, slices, staged, texts
 from feedsync.llm.tokens import word_tokenizer
 
 CAPACITY = 4096
@@ -234,7 +234,7 @@ def token_pieces(
 
     def cut(batches):
         tokenizer = word_tokenizer()
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, "text")):
             rows = []
             for i, text in zip(b.column(0), texts(b.column(1)), strict=True):
                 ids = tokenizer.encode(text) + end

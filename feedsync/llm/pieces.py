@@ -38,11 +38,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedsync.llm.common import slices
+
 MODEL = "piece_bpe_32k.model"
 MARK = chr(0x2581)
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 CACHE = 300_000
-BLOCK_CHARS = 1_000_000
+BLOCK_BYTES = 1 << 20
 NEVER = -1e8  # pieces that merging never makes score below this
 
 
@@ -201,27 +203,15 @@ def piece_model(path: str | None = None, unigram: bool = False) -> PieceModel:
     return PieceModel(path, unigram)
 
 
-def _blocks(values: list):
-    at = 0
-    while at < len(values):
-        to, size = at, 0
-        while to < len(values) and (to == at or size < BLOCK_CHARS):
-            size += len(values[to] or "")
-            to += 1
-        yield values[at:to]
-        at = to
-
-
 def encode_pieces(df: DataFrame, text_col: str = "text", out_col: str = "ids", path: str | None = None, unigram: bool = False) -> DataFrame:
     """``df`` with the ids of ``text_col`` (binary, little-endian unsigned 32-bit)."""
 
     def run(batches):
         model = piece_model(path, unigram)
-        for b in batches:
-            ids = []
-            for block in _blocks(b.column(text_col).to_pylist()):
-                found = model.encode([t or "" for t in block])
-                ids += [None if t is None else i for t, i in zip(block, found, strict=True)]
+        for b in (part for whole in batches for part in slices(whole, text_col, BLOCK_BYTES)):
+            block = b.column(text_col).to_pylist()
+            found = model.encode([t or "" for t in block])
+            ids = [None if t is None else i for t, i in zip(block, found, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(ids, pa.binary())], names=[*b.schema.names, out_col]
             )
@@ -236,7 +226,7 @@ def decode_pieces(df: DataFrame, ids_col: str = "ids", out_col: str = "decoded",
 
     def run(batches):
         model = piece_model(path)
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, ids_col)):
             text = [
                 None if i is None else model.decode(np.frombuffer(i, "<u4").tolist())
                 for i in b.column(ids_col).to_pylist()

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedsync.llm.common import shuffle_partitions
+from feedsync.llm.common import shuffle_partitions, slices
 from feedsync.llm.shingles import run_hashes, word_hashes
 
 WINDOW, BLOCK = 13, 7
@@ -285,7 +285,7 @@ def _rewritten(table: pa.Table, replies: pa.Table, want_text: bool) -> pa.Table:
 
 def _compressed(batches):
     zip_ = zstandard.ZstdCompressor(level=1)
-    for b in batches:
+    for b in (part for whole in batches for part in slices(whole, "__text")):
         raw = b.column("__text").to_pylist()
         packed = pa.array([zip_.compress(t or b"") for t in raw], pa.binary())
         yield pa.RecordBatch.from_arrays([*b.columns[:-1], packed], names=[*b.schema.names[:-1], "__zip"])

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedsync.llm.common import texts, work_path
+from feedsync.llm.common import slices, texts, work_path
 from feedsync.llm.sharded_files import MANIFEST, Attempt, commit, file_system, manifest_batch
 from feedsync.llm.tokens import byte_tokenizer
 
@@ -175,7 +175,7 @@ def write_token_files(
                 written.append((partition, seq, final, temporary, len(data), len(rows), digest))
             return manifest_batch(written)
 
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, "text")):
             for i, text in zip(b.column(0).to_pylist(), texts(b.column(1)), strict=True):
                 ids = tokenizer.encode(text) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):

@@ -56,8 +56,8 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(WORD_BPE))
         self.model = self.tokenizer.model
         self.pieces = regex.compile(WORD_PATTERN).findall
-        self.of_piece = BoundedCache(self._piece, 300_000)
-        self.of_chunk = BoundedCache(self._chunk, 500_000)
+        self.of_piece = BoundedCache(self._piece, 200_000)
+        self.of_chunk = BoundedCache(self._chunk, 300_000)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit values."""

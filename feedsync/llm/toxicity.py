@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedsync.llm.common import mix64, texts
+from feedsync.llm.common import mix64, slices, texts
 
 MAX_TOXIC, MAX_CLEAN = 1500, 3000
 LANDMARKS = 256
@@ -315,7 +315,7 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[list[np.nd
     )
 
     def split(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, "text")):
             out = []
             for text in texts(b.column(2)):
                 parts = [symbols(p).tobytes() for p in _LETTERS.split(text)]
@@ -344,7 +344,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_colu
 
     def run(batches):
         model = shared.value
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, "text")):
             best = np.zeros(b.num_rows)
             pending, size = [], 0
 

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from feedsync.llm import packing, token_files
-from feedsync.llm.common import ship_package
+from feedsync.llm.common import ship_package, slices
 from feedsync.llm.tokens import byte_tokenizer, word_tokenizer
 
 DOCS = "doc_id long, text string, lang string, sequence_id string"
@@ -179,3 +180,12 @@ def test_hot_length_is_shared_out(spark):
     rows = packing.pack(items, ["k"]).collect()
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 5000
     assert len({r["sequence_id"] for r in rows}) == -(-5000 // (4096 // 7))
+
+
+def test_slices_cover_a_batch():
+    values = ["a" * n for n in (0, 5, 3, 40, 1, 1, 1)] + [None, "bb"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(values)], names=["i", "t"])
+    parts = list(slices(batch, "t", 6))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(9))
+    assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= 6 for p in parts)
+    assert list(slices(batch.slice(0, 0), "t")) == []
