@@ -8,13 +8,13 @@ from dataclasses import dataclass, field
 # Fixed values (must stay equal to the oracle SQL and the published formats):
 # host role flag, own-row flag and its opposite, program code written with
 # touched properties, audit user of batch writes, canonical code pattern of
-# the fixtures (one capital P then six digits).
+# the fixtures (one capital P then six digits or more).
 HOST_ROLE = "H"
 OWN_FLAG = "Y"
 NOT_OWN_FLAG = "N"
 PROGRAM_CODE = "MRC"
 AUDIT_USER = "batch"
-CODE_PATTERN = "P[0-9]{6}"
+CODE_PATTERN = "P[0-9]{6,}"
 
 # Change keys of the config and compset tables: a pair is
 # (property, competitor); seasons are not part of the key.

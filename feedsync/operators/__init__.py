@@ -1,13 +1,12 @@
 """DataFrame -> DataFrame operators; no action is triggered inside them."""
 
 from feedsync.operators.apply import align, apply_changes, deactivate_changes, stamp, upsert
-from feedsync.operators.changes import compset_diff, config_changes, diff
+from feedsync.operators.changes import compset_diff, config_changes, config_pairs, diff
 from feedsync.operators.classify import (
     classify_codes,
     classify_hosts,
     current_rows,
     new_hosts,
-    rows_in_state,
     split_exists,
     tag_rows,
 )
@@ -18,9 +17,10 @@ from feedsync.operators.renames import (
     rename_pick,
     rename_records,
     renamed_hosts,
+    renamed_pairs,
+    split_named,
 )
 from feedsync.operators.reports import (
-    one_report,
     report,
     report_keys,
     report_rows,
@@ -28,8 +28,8 @@ from feedsync.operators.reports import (
     reports_from_tags,
     tagged_report,
 )
-from feedsync.operators.seasons import expand_seasons, pin_runs
-from feedsync.operators.skew import hot_from_counts, hot_keys, split_hot_join
+from feedsync.operators.seasons import expand_seasons, pin_runs, season_counts, season_rows
+from feedsync.operators.skew import salted_join
 from feedsync.operators.validate import (
     check_codes,
     derive,
@@ -50,34 +50,35 @@ __all__ = [
     "current_rows",
     "compset_diff",
     "config_changes",
+    "config_pairs",
     "deactivate_changes",
     "derive",
     "diff",
     "expand_seasons",
     "export_csv",
     "host_groups",
-    "hot_from_counts",
-    "hot_keys",
     "new_hosts",
     "non_single",
-    "one_report",
     "pin_runs",
     "publish_report",
     "rename_listings",
     "rename_pick",
     "rename_records",
     "renamed_hosts",
+    "renamed_pairs",
+    "salted_join",
+    "season_counts",
+    "season_rows",
+    "split_named",
     "report",
     "report_keys",
     "report_rows",
     "report_rule",
     "reports_from_tags",
     "tagged_report",
-    "rows_in_state",
     "single_host_rows",
     "split_codes",
     "split_exists",
-    "split_hot_join",
     "tag_rows",
     "stamp",
     "touched",

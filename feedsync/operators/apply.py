@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedsync.constants import PAIR_KEYS
+from feedsync.functions.columns import is_true
 from feedsync.schemas import AUDIT_BY, AUDIT_TS
 
 
@@ -37,20 +38,27 @@ def apply_changes(
     deletes: DataFrame,
     keys: Sequence[str] = PAIR_KEYS,
     stamp_with: tuple[str, object] | None = None,
+    keep: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(next state, rejected inserts).
 
     Every current row whose key is deleted goes (all seasons of a pair, as the
     reference's DELETE does); inserts with a NULL key are rejected instead of
     being re-inserted on every run (rule 16).  ``stamp_with=(user, ts)`` sets
-    the audit columns of inserted rows when the table has them.
+    the audit columns of inserted rows when the table has them.  Rows for which
+    ``keep`` is true stay whatever is deleted (the compset's own rows).
     """
     keys = list(keys)
     if stamp_with is not None:
         inserts = stamp(inserts, *stamp_with)
     rejected = inserts.filter(_null_key(keys))
     ok = inserts.filter(~_null_key(keys))
-    kept = current.join(deletes.select(*keys).distinct(), keys, "left_anti")
+    marks = deletes.select(*keys).distinct()
+    if keep is None:
+        kept = current.join(marks, keys, "left_anti")
+    else:
+        j = current.join(marks.withColumn("_gone", F.lit(True)), keys, "left")
+        kept = j.filter(F.col("_gone").isNull() | is_true(keep)).select(*current.columns)
     return kept.unionByName(align(ok, current)), rejected
 
 
@@ -61,6 +69,7 @@ def deactivate_changes(
     keys: Sequence[str] = PAIR_KEYS,
     flag: str = "active_ind",
     stamp_with: tuple[str, object] | None = None,
+    keep: Column | None = None,
     on: str = "Y",
     off: str = "N",
 ) -> tuple[DataFrame, DataFrame]:
@@ -73,7 +82,7 @@ def deactivate_changes(
         raise ValueError(f"{flag} not in table")
     marks = deletes.select(*keys).distinct().withColumn("_gone", F.lit(True))
     j = current.join(marks, keys, "left")
-    gone = F.coalesce(F.col("_gone"), F.lit(False))
+    gone = is_true(F.col("_gone")) & ~is_true(F.lit(False) if keep is None else keep)
     cols = {flag: F.when(gone, F.lit(off)).otherwise(F.col(flag))}
     if stamp_with is not None:
         user, ts = stamp_with
@@ -105,8 +114,11 @@ def upsert(
 ) -> DataFrame:
     """Replace rows of ``current`` that share a key with ``rows``, add the rest.
     With ``single`` (default) the new rows are reduced to one per key first,
-    so the table keeps its key unique even when the feed names one id twice."""
+    so the table keeps its key unique even when the feed names one id twice.  A
+    row with a NULL key matches nothing and would be added on every run, so it
+    is left out."""
     keys = list(keys)
+    rows = rows.filter(~_null_key(keys))
     if single:
         rows = one_per_key(rows, keys)
     if stamp_with is not None:

@@ -27,17 +27,46 @@ def diff(desired: DataFrame, current: DataFrame, keys: Sequence[str] = PAIR_KEYS
     )
 
 
-def compset_diff(
-    matched: DataFrame, compset: DataFrame, host_state: DataFrame, broadcast_hosts: bool = False
-) -> DataFrame:
+def compset_diff(matched: DataFrame, compset: DataFrame, host_state: DataFrame) -> DataFrame:
     """Competitor pairs of matched hosts to insert into / delete from the
-    compset table.  Own rows are left alone on both sides.  ``broadcast_hosts``
-    when the host summary's size was measured and is small."""
-    desired = matched.filter(~F.col("is_host")).select(*PAIR_KEYS)
+    compset table.  A pair that the table holds as an own row is no competitor pair:
+    it is neither inserted again nor is its own row deleted.  One full outer join of
+    the two pair sets."""
+    desired = matched.filter(~F.col("is_host")).select(*PAIR_KEYS).distinct().withColumn("_d", F.lit(True))
     hosts = host_state.filter(F.col("state") == F.lit(MATCH)).select("prop_code")
-    hosts = F.broadcast(hosts) if broadcast_hosts else hosts
-    current = compset.filter(~is_true(F.col("own_ind") == F.lit(OWN_FLAG))).join(hosts, "prop_code", "left_semi")
-    return diff(desired, current, PAIR_KEYS)
+    own = is_true(F.col("own_ind") == F.lit(OWN_FLAG))
+    current = (
+        compset.join(hosts, "prop_code", "left_semi")
+        .groupBy(*PAIR_KEYS)
+        .agg(F.bool_or(own).alias("_own"), F.bool_or(~own).alias("_c"))
+    )
+    j = desired.join(current, list(PAIR_KEYS), "full_outer")
+    wanted = is_true(F.col("_d")) & ~is_true(F.col("_own"))
+    stored = is_true(F.col("_c"))
+    return j.filter(wanted != stored).select(
+        *PAIR_KEYS, F.when(wanted, F.lit("insert")).otherwise(F.lit("delete")).alias("change")
+    )
+
+
+def config_pairs(matched: DataFrame, current: DataFrame, keys: Sequence[str] = PAIR_KEYS) -> DataFrame:
+    """B16, both sides at once: the pairs to insert into and to delete from the config.
+
+    A pair is desired if a matched listing of a code with pinned seasons has it, so
+    the change set needs no fan-out: only inserted pairs are expanded later.  One full
+    outer join of the two pair sets; NULL keys never match.  ``is_own`` and ``is_comp``
+    tell in which roles a pair is listed, ``n_fan`` bounds its code's fan-out."""
+    keys = list(keys)
+    d = matched.groupBy(*keys).agg(
+        F.bool_or("is_host").alias("is_own"),
+        F.bool_or(~F.col("is_host")).alias("is_comp"),
+        F.max("n_fan").alias("n_fan"),
+    )
+    c = current.select(*keys).distinct().withColumn("_c", F.lit(True))
+    j = d.filter("n_fan > 0").join(c, keys, "full_outer")
+    wanted, stored = F.col("n_fan").isNotNull(), is_true(F.col("_c"))
+    return j.filter(wanted != stored).select(
+        *keys, F.when(wanted, F.lit("insert")).otherwise(F.lit("delete")).alias("change"), "is_own", "is_comp", "n_fan"
+    )
 
 
 def config_changes(
@@ -46,25 +75,20 @@ def config_changes(
     scope_codes: DataFrame,
     keys: Sequence[str] = PAIR_KEYS,
     scope: str = "valid",
-    broadcast_scope: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(scoped current, inserts, deletes).
+    """B16 on expanded rows: (scoped current, inserts, deletes).
 
     ``current`` is scoped to codes of ``scope_codes`` (semi-join, the
     distributed form of the reference's collected IN list).  Inserts are
-    desired rows whose pair is not stored; deletes are distinct stored pairs
-    that are not desired (rules 4-5).  ``scope='matched'`` restricts deletes
-    to codes present in ``desired``.  ``broadcast_scope`` when the code set's
-    size was measured and is small (the config table then is not shuffled
-    for scoping).
+    desired rows whose pair is not stored: desired codes are valid codes, so no
+    scoping is needed for them.  Deletes are distinct stored pairs of the scope
+    that are not desired (rules 4-5).  ``scope='matched'`` restricts deletes to
+    codes present in ``desired``.
     """
     keys = list(keys)
-    codes = scope_codes.select("prop_code").distinct()
-    codes = F.broadcast(codes) if broadcast_scope else codes
-    scoped = current.join(codes, "prop_code", "left_semi")
-    dkeys = desired.select(*keys).distinct()
-    inserts = desired.join(scoped.select(*keys).distinct(), keys, "left_anti")
-    deletes = scoped.select(*keys).distinct().join(dkeys, keys, "left_anti")
+    scoped = current.join(scope_codes.select("prop_code").distinct(), "prop_code", "left_semi")
+    inserts = desired.join(current.select(*keys).distinct(), keys, "left_anti")
+    deletes = scoped.select(*keys).distinct().join(desired.select(*keys).distinct(), keys, "left_anti")
     if scope == "matched":
         deletes = deletes.join(desired.select("prop_code").distinct(), "prop_code", "left_semi")
     elif scope != "valid":

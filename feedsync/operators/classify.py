@@ -35,11 +35,14 @@ def current_rows(compset: DataFrame, active_only: bool = False, on_date=None) ->
     """Compset rows that count for matching.  With ``active_only`` only rows
     flagged active (``active_ind = 'Y'``); with ``on_date`` only rows whose
     effective range (``eff_start_date``..``eff_end_date``, open ends allowed)
-    holds that date.  Tables without those columns are returned unchanged."""
-    cols = set(compset.columns)
-    if active_only and "active_ind" in cols:
+    holds that date.  A table without the columns a rule needs is an error."""
+    needed = ["active_ind"] * active_only + ["eff_start_date", "eff_end_date"] * (on_date is not None)
+    missing = [c for c in needed if c not in compset.columns]
+    if missing:
+        raise ValueError(f"match rule needs the columns {', '.join(missing)}")
+    if active_only:
         compset = compset.filter(F.col("active_ind") == F.lit(OWN_FLAG))
-    if on_date is not None and {"eff_start_date", "eff_end_date"} <= cols:
+    if on_date is not None:
         d = F.lit(on_date).cast("date")
         compset = compset.filter(
             (F.col("eff_start_date").isNull() | (F.col("eff_start_date") <= d))
@@ -103,32 +106,26 @@ def classify_hosts(groups: DataFrame, prop: DataFrame, compset: DataFrame, own_o
     )
 
 
-def tag_rows(rows: DataFrame, codes: DataFrame, broadcast: bool = False) -> DataFrame:
-    """Attach ``n_host``, ``host_id`` and ``state`` of each row's code.
+def tag_rows(rows: DataFrame, codes: DataFrame) -> DataFrame:
+    """Attach the summary of each row's code (``codes`` without its key columns).
 
     One join of the feed with a table holding one row per code, for every
-    later split (single-host rows, matched rows, reports).  ``broadcast``
-    (only when the summary's size was measured and is small) ships the
-    summary to the feed instead of shuffling the feed; otherwise rows of a
-    hot code meet a single summary row and adaptive skew handling splits
-    their partition.  Rows without a valid code get NULLs.
+    later split (single-host rows, matched rows, reports, season fan-out).
+    Rows of a hot code meet a single summary row, so adaptive skew handling can
+    split their partition.  Rows without a valid code get NULLs.
     """
-    c = codes.select("prop_code", "n_host", "host_id", "state")
-    return rows.join(F.broadcast(c) if broadcast else c, "prop_code", "left")
-
-
-def rows_in_state(rows: DataFrame, host_state: DataFrame, *states: str) -> DataFrame:
-    """Rows whose group is in one of ``states`` (semi-join on the code)."""
-    keys = host_state.filter(F.col("state").isin(*states)).select("prop_code")
-    return rows.join(keys, "prop_code", "left_semi")
-
-
-def new_hosts(host_state: DataFrame, compset: DataFrame) -> DataFrame:
-    """An own compset row for every ``absent`` host, minus any (code, id)
-    pair already stored.  NULL ids are kept here; :func:`apply_changes`
-    rejects them (SURVEY rule 16)."""
-    cand = host_state.filter(F.col("state") == F.lit(ABSENT)).select(
-        "prop_code", F.col("host_id").alias("competitor_id"), F.lit(OWN_FLAG).alias("own_ind")
+    return rows.join(codes, "prop_code", "left")
+
+
+def new_hosts(host_state: DataFrame, run_ts=None) -> DataFrame:
+    """An own, active compset row for every ``absent`` host, stamped with the
+    run's clock.  ``absent`` means that the code has no compset row at all, so
+    there is nothing to subtract.  NULL ids are kept here;
+    :func:`apply_changes` rejects them (SURVEY rule 16)."""
+    return host_state.filter(F.col("state") == F.lit(ABSENT)).select(
+        "prop_code",
+        F.col("host_id").alias("competitor_id"),
+        F.lit(OWN_FLAG).alias("own_ind"),
+        F.lit(OWN_FLAG).alias("active_ind"),
+        F.lit(run_ts).cast("timestamp").alias("last_upd_ts"),
     )
-    stored = compset.select("prop_code", "competitor_id")
-    return cand.join(stored, ["prop_code", "competitor_id"], "left_anti")

@@ -20,12 +20,6 @@ DUPLICATE_HOST = "duplicate_host"
 MISSING_PROPERTY = "missing_property"
 ID_MISMATCH = "id_mismatch"
 
-REPORT_NAMES = {
-    DUPLICATE_HOST: "duplicate-property-codes",
-    MISSING_PROPERTY: "non-existent-property-codes",
-    ID_MISMATCH: "id-mismatches",
-}
-
 
 def report(feed: DataFrame, keys: DataFrame, role: str | None = None, on_raw: bool = True) -> DataFrame:
     """Raw feed rows whose code is in ``keys.prop_code`` (generic B06/B09).
@@ -98,7 +92,3 @@ def tagged_report(tagged: DataFrame, name: str, on_raw: bool = True) -> DataFram
     if on_raw:
         cond = cond & (F.col("raw_code") == F.col("prop_code"))
     return tagged.filter(cond).select(*FEED_COLUMNS)
-
-
-def one_report(rows: DataFrame, name: str) -> DataFrame:
-    return rows.filter(F.col("report") == F.lit(name)).select(*FEED_COLUMNS)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedsync.constants import NOT_OWN_FLAG, OWN_FLAG
-from feedsync.operators.skew import hot_keys, split_hot_join
+from feedsync.operators.skew import salted_join
 
 
 def pin_runs(
@@ -25,39 +25,38 @@ def pin_runs(
     return table.join(p, list(keys), "inner").select(*table.columns)
 
 
-def expand_seasons(
-    rows: DataFrame,
-    seasons: DataFrame,
-    split_hot: bool = True,
-    min_rows: int = 1_000_000,
-    buckets: int | None = None,
-    rows_per_bucket: int = 250_000,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Desired config rows - one per listing x pinned season of its code.
-
-    Both inputs are made distinct, so the join output is distinct by
-    construction and needs no shuffle of its own; with the hot-code split the
-    de-duplication shares the join's exchange, so each side moves once.  A code with at
-    least ``min_rows`` listings is split over about ``rows / rows_per_bucket``
-    tasks (or ``buckets``) by :func:`split_hot_join`; other codes join
-    unchanged.  ``hot`` may pass the hot codes when a per-code row count is
-    already at hand (see :func:`skew.hot_from_counts`).
+def season_counts(seasons: DataFrame) -> DataFrame:
+    """(prop_code, n_season): pinned season rows of each code, counted map-side."""
+    return seasons.groupBy("prop_code").agg(F.count(F.lit(1)).alias("n_season"))
+
+
+def own_flag(is_host: Column) -> Column:
+    return F.when(is_host, F.lit(OWN_FLAG)).otherwise(F.lit(NOT_OWN_FLAG))
+
+
+def expand_seasons(rows: DataFrame, seasons: DataFrame, fan: DataFrame, rows_per_task: int = 250_000) -> DataFrame:
+    """One row per listing x pinned season of its code.
+
+    ``rows`` has prop_code, competitor_id, own_ind and ``n_fan``; ``fan`` has
+    (prop_code, n_fan), an upper bound of the rows each code fans out to.  Both
+    inputs are made distinct, so the join output is distinct by construction; each
+    side moves once, and a hot code is cut into as many parts as its listings x
+    seasons need (:func:`skew.salted_join`).
     """
-    r = rows.select(
-        "prop_code",
-        "competitor_id",
-        F.when(F.col("is_host"), F.lit(OWN_FLAG)).otherwise(F.lit(NOT_OWN_FLAG)).alias("own_ind"),
+    s = seasons.select("prop_code", "season_id", "we_ind").join(fan.select("prop_code", "n_fan"), "prop_code")
+    r = rows.select("prop_code", "competitor_id", "own_ind", "n_fan")
+    return salted_join(r, s, ["prop_code"], "n_fan", rows_per_task).select(
+        "prop_code", "competitor_id", "season_id", "we_ind", "own_ind"
+    )
+
+
+def season_rows(config: DataFrame, run_id: int, data_date, user: str, run_ts) -> DataFrame:
+    """Desired config rows as the run's compset seasons, with its id, date and stamp."""
+    return config.withColumns(
+        {
+            "run_id": F.lit(run_id).cast("int"),
+            "data_date": F.lit(data_date).cast("date"),
+            "last_upd_by": F.lit(user),
+            "last_upd_ts": F.lit(run_ts).cast("timestamp"),
+        }
     )
-    s = seasons.select("prop_code", "season_id", "we_ind")
-    if split_hot:
-        # counted on the rows before de-duplication: an upper bound of the
-        # fan-out per code, one partial aggregate over a single column
-        hot = hot if hot is not None else hot_keys(rows, ["prop_code"], min_rows)
-        j = split_hot_join(
-            r, s, ["prop_code"], "inner", buckets=buckets, hot=hot, rows_per_bucket=rows_per_bucket,
-            distinct_inputs=True,
-        )
-    else:
-        j = r.distinct().join(s.distinct(), "prop_code")
-    return j.select("prop_code", "competitor_id", "season_id", "we_ind", "own_ind")

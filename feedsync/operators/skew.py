@@ -1,108 +1,42 @@
-"""Joins that stay balanced when one key holds a large share of the rows.
+"""A fan-out join that stays balanced when one key holds a large share of the rows.
 
-Two mechanisms work together:
-
-* Adaptive execution (``spark.sql.adaptive.skewJoin.enabled``) splits an
-  oversized shuffle partition of a sort-merge join at run time, for inner,
-  semi, anti and outer joins whose skewed side is the streamed side.
-* :func:`split_hot_join` is for fan-out joins where *both* sides carry the hot
-  key (listings x seasons): the hot keys are found first, their big-side rows
-  get a deterministic salt, and only their small-side rows are replicated once
-  per salt value.  Cold keys join exactly as before.
-
-The hot-key list is a top-``max_hot`` list by construction, so broadcasting
-it is bounded by ``max_hot`` rows whatever the input size.
+Adaptive execution (``spark.sql.adaptive.skewJoin.enabled``) splits an oversized
+shuffle partition of a join in which one side has one row per key.  A fan-out join,
+where *both* sides carry many rows of the hot key (listings x seasons), needs more:
+:func:`salted_join` cuts every key into as many parts as its output needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "_salt"
-_HOT = "_hot"
-_NSALT = "_n_salt"
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int, max_hot: int = 1000) -> DataFrame:
-    """Keys with at least ``min_rows`` rows (``_n`` = their row count); at
-    most ``max_hot`` of them.
-
-    The count is a partial (map-side) aggregation, so a hot key costs one
-    partial row per input partition.  The order is total (count, then keys),
-    so a recomputation after a lost executor picks the same keys.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return hot_from_counts(counts, keys, F.col("_n"), min_rows, max_hot)
+_SALT, _PARTS = "_salt", "_parts"
 
 
-def hot_from_counts(counts: DataFrame, keys: Sequence[str], n, min_rows: int, max_hot: int = 1000) -> DataFrame:
-    """:func:`hot_keys` from a table that already holds a row count per key
-    (``n`` is that count as a Column), so no pass over the rows is needed."""
-    c = counts.select(*keys, n.cast("long").alias("_n"))
-    top = c.filter(F.col("_n") >= F.lit(min_rows)).orderBy(F.col("_n").desc(), *keys).limit(max_hot)
-    return top.select(*keys, "_n", F.lit(True).alias(_HOT))
+def parts_of(n_out: Column, rows_per_task: int) -> Column:
+    """Parts of a key whose join gives ``n_out`` rows: one for each ``rows_per_task``."""
+    return F.greatest(F.lit(1), F.ceil(F.coalesce(n_out, F.lit(0)) / F.lit(rows_per_task))).cast("int")
 
 
-def split_hot_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    buckets: int | None = None,
-    min_rows: int = 1_000_000,
-    max_hot: int = 1000,
-    hot: DataFrame | None = None,
-    rows_per_bucket: int = 250_000,
-    max_buckets: int = 4096,
-    distinct_inputs: bool = False,
+def salted_join(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], n_out: str, rows_per_task: int = 250_000
 ) -> DataFrame:
-    """``big.join(small, keys, how)`` with each hot key spread over its own
-    number of tasks.
-
-    A hot key with ``n`` rows gets ``ceil(n / rows_per_bucket)`` salt values
-    (at least 2, at most ``max_buckets``; or exactly ``buckets`` when given),
-    so the work per task stays near ``rows_per_bucket`` however large the key
-    grows, and only that key's ``small`` rows are replicated, once per salt.
-    ``how`` is ``inner`` or ``left``: every ``big`` row meets every ``small``
-    row of its key exactly once, so the result equals the plain join.
-    ``hot`` may pass a precomputed :func:`hot_keys` result (for example
-    counted on a cheaper upstream table).
-
-    ``distinct_inputs`` de-duplicates both sides as part of the join: the salt
-    is a hash of the row, so equal rows get equal salts, and one exchange on
-    (keys, salt) serves both the de-duplication and the join - each side is
-    shuffled once instead of twice.
+    """``big.distinct().join(small.distinct(), keys)`` without hot tasks.
+
+    ``n_out``, a column of both sides and the same for all rows of a key, is an upper
+    bound of the key's output rows.  It gives each key its number of parts, row by
+    row: no list of hot keys, no limit on how many there are, nothing broadcast.  A
+    ``big`` row goes to one part, by a hash of the row (so equal rows meet and one
+    exchange serves both the de-duplication and the join); a ``small`` row goes to
+    all parts of its key.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("split_hot_join supports inner and left joins")
     keys = list(keys)
-    h = hot if hot is not None else hot_keys(big, keys, min_rows, max_hot)
-    if buckets is not None:
-        n_salt = F.lit(buckets)
-    else:
-        per = F.ceil(F.col("_n") / F.lit(rows_per_bucket)).cast("int")
-        n_salt = F.least(F.lit(max_buckets), F.greatest(F.lit(2), per))
-    h = F.broadcast(h.select(*keys, F.col(_HOT), n_salt.cast("int").alias(_NSALT)))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col(_NSALT)).cast("int")
-    b = (
-        big.join(h, keys, "left")
-        .withColumn(_SALT, F.when(F.col(_HOT), salt).otherwise(F.lit(0)))
-        .drop(_HOT, _NSALT)
-    )
-    s = (
-        small.join(h, keys, "left")
-        .withColumn(
-            _SALT,
-            F.explode(
-                F.when(F.col(_HOT), F.sequence(F.lit(0), F.col(_NSALT) - 1)).otherwise(F.array(F.lit(0)))
-            ),
-        )
-        .drop(_HOT, _NSALT)
-    )
-    if distinct_inputs:
-        b = b.repartition(*[F.col(k) for k in keys], F.col(_SALT)).distinct()
-        s = s.repartition(*[F.col(k) for k in keys], F.col(_SALT)).distinct()
-    return b.join(s, keys + [_SALT], how).drop(_SALT)
+    parts = parts_of(F.col(n_out), rows_per_task)
+    columns = [c for c in big.columns if c != n_out]
+    b = big.withColumn(_SALT, F.pmod(F.xxhash64(*columns), parts).cast("int")).drop(n_out)
+    s = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1))).drop(n_out)
+    spread = [F.col(k) for k in [*keys, _SALT]]
+    return b.repartition(*spread).distinct().join(s.repartition(*spread).distinct(), [*keys, _SALT]).drop(_SALT)

@@ -24,11 +24,11 @@ FIXTURE_VIEWS: dict[str, str] = {
     ),
     "fx_host": (
         "SELECT c_custkey AS custkey, "
-        "'P' || lpad(CAST(c_custkey AS STRING),6,'0') AS prop_code, "
-        "CASE WHEN c_custkey % 17 = 0 THEN ' ' || lower('P' || lpad(CAST(c_custkey AS STRING),6,'0')) || ' ' "
+        "'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') AS prop_code, "
+        "CASE WHEN c_custkey % 17 = 0 THEN ' ' || lower('P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0')) || ' ' "
         "WHEN c_custkey % 19 = 0 THEN 'X-' || CAST(c_custkey AS STRING) "
-        "ELSE 'P' || lpad(CAST(c_custkey AS STRING),6,'0') END AS feed_code, "
-        "CASE WHEN c_custkey % 31 = 0 THEN 'n/a' ELSE CAST(1000000 + c_custkey AS STRING) END AS feed_ext_id, "
+        "ELSE 'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') END AS feed_code, "
+        "CASE WHEN c_custkey % 31 = 0 THEN 'n/a' ELSE CAST(3 * c_custkey + 1 AS STRING) END AS feed_ext_id, "
         "CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE c_mktsegment END AS chain, "
         "c_name AS hotel FROM customer"
     ),
@@ -36,42 +36,56 @@ FIXTURE_VIEWS: dict[str, str] = {
         "SELECT feed_code AS raw_code, 'H' AS role, feed_ext_id AS ext_id, chain AS chain_name, hotel AS hotel_name "
         "FROM fx_host WHERE custkey % 23 <> 0 "
         "UNION ALL SELECT feed_code, 'H', feed_ext_id, chain, hotel FROM fx_host WHERE custkey % 29 = 0 "
-        "UNION ALL SELECT h.feed_code, 'C', CAST(p.suppkey AS STRING), n_name, s_name "
+        "UNION ALL SELECT feed_code, 'C', feed_ext_id, chain, hotel FROM fx_host WHERE custkey % 53 = 0 "
+        "UNION ALL SELECT h.feed_code, 'C', "
+        "CASE WHEN (p.custkey + p.suppkey) % 97 = 0 THEN 'id ' || CAST(p.suppkey AS STRING) "
+        "ELSE CAST(3 * p.suppkey AS STRING) END, n_name, "
+        "CASE WHEN (p.custkey + p.suppkey) % 89 = 0 THEN NULL ELSE s_name END "
         "FROM fx_pairs p JOIN fx_host h ON h.custkey = p.custkey "
         "JOIN supplier ON s_suppkey = p.suppkey JOIN nation ON n_nationkey = s_nationkey "
         "WHERE (p.custkey * 7 + p.suppkey) % 10 < 8"
     ),
     "property": (
-        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),6,'0') AS prop_code FROM customer WHERE c_custkey % 11 <> 0"
+        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') AS prop_code FROM customer WHERE c_custkey % 11 <> 0"
     ),
     "compset": (
-        "SELECT prop_code AS prop_code, CAST(p.suppkey AS INT) AS competitor_id, 'N' AS own_ind "
+        "SELECT prop_code AS prop_code, CAST(3 * p.suppkey AS INT) AS competitor_id, 'N' AS own_ind, "
+        "CASE WHEN (p.custkey + p.suppkey) % 4 = 0 THEN 'N' ELSE 'Y' END AS active_ind, "
+        "CAST(DATE '2020-01-01' + CAST(p.custkey % 365 AS INT) AS DATE) AS eff_start_date, "
+        "CASE WHEN p.suppkey % 6 = 0 THEN DATE '2023-06-30' END AS eff_end_date, "
+        "'seed' AS last_upd_by, TIMESTAMP '2020-01-01 00:00:00' AS last_upd_ts "
         "FROM fx_pairs p JOIN fx_host h ON h.custkey = p.custkey "
         "WHERE (p.custkey * 7 + p.suppkey) % 10 >= 2 AND p.custkey % 13 <> 0 "
-        "UNION ALL SELECT prop_code, CAST(CASE WHEN custkey % 41 = 0 THEN 2000000 ELSE 1000000 END + custkey AS INT), 'Y' "
+        "UNION ALL SELECT prop_code, CAST(3 * custkey + CASE WHEN custkey % 41 = 0 THEN 2 ELSE 1 END AS INT), 'Y', "
+        "'Y', DATE '2020-01-01', NULL, 'seed', TIMESTAMP '2020-01-01 00:00:00' "
         "FROM fx_host WHERE custkey % 13 <> 0"
     ),
     "competitor": (
-        "SELECT CAST(s_suppkey AS INT) AS competitor_id, "
-        "CASE WHEN s_suppkey % 5 = 0 THEN 'OLD ' ELSE '' END || n_name || ' ' || s_name AS competitor_name "
+        "SELECT CAST(3 * s_suppkey AS INT) AS competitor_id, "
+        "CASE WHEN s_suppkey % 5 = 0 THEN 'OLD ' ELSE '' END || n_name || ' ' || s_name AS competitor_name, "
+        "'seed' AS last_upd_by, TIMESTAMP '2020-01-01 00:00:00' AS last_upd_ts "
         "FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey % 7 <> 0 "
-        "UNION ALL SELECT CAST(1000000 + c_custkey AS INT), "
-        "CASE WHEN c_custkey % 43 = 0 THEN 'OLD ' ELSE '' END || c_mktsegment || ' ' || c_name "
+        "UNION ALL SELECT CAST(3 * c_custkey + 1 AS INT), "
+        "CASE WHEN c_custkey % 43 = 0 THEN 'OLD ' ELSE '' END || c_mktsegment || ' ' || c_name, "
+        "'seed', TIMESTAMP '2020-01-01 00:00:00' "
         "FROM customer WHERE c_custkey % 13 <> 0"
     ),
     "season_map": (
-        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),6,'0') AS prop_code, CAST(r AS INT) AS run_id, "
+        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') AS prop_code, CAST(r AS INT) AS run_id, "
         "CAST(r * 10 + s AS INT) AS season_id, CASE WHEN s = 1 THEN 'N' ELSE 'Y' END AS we_ind "
         "FROM customer CROSS JOIN (SELECT 1 AS r UNION ALL SELECT 2 UNION ALL SELECT 3) a "
         "CROSS JOIN (SELECT 1 AS s UNION ALL SELECT 2) b WHERE c_custkey % 47 <> 0"
     ),
     "run_pin": (
-        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),6,'0') AS prop_code, CAST(1 + c_custkey % 3 AS INT) AS run_id "
+        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') AS prop_code, CAST(1 + c_custkey % 3 AS INT) AS run_id "
         "FROM customer"
     ),
     "comp_config": (
-        "SELECT h.prop_code AS prop_code, CAST(p.suppkey AS INT) AS competitor_id, "
-        "CAST((1 + p.custkey % 3) * 10 + s AS INT) AS season_id, 'N' AS own_ind "
+        "SELECT h.prop_code AS prop_code, CAST(3 * p.suppkey AS INT) AS competitor_id, "
+        "CAST((1 + p.custkey % 3) * 10 + s AS INT) AS season_id, "
+        "CASE WHEN s = 1 THEN 'N' ELSE 'Y' END AS we_ind, 'N' AS own_ind, "
+        "CAST(p.custkey % 100 AS INT) AS sys_weight, CAST(p.suppkey % 100 AS INT) AS usr_weight, "
+        "'seed' AS last_upd_by, TIMESTAMP '2020-01-01 00:00:00' AS last_upd_ts "
         "FROM fx_pairs p JOIN fx_host h ON h.custkey = p.custkey "
         "CROSS JOIN (SELECT 1 AS s UNION ALL SELECT 2) b "
         "WHERE (p.custkey * 7 + p.suppkey) % 10 >= 1 AND (p.custkey + p.suppkey) % 9 <> 0 AND p.custkey % 13 <> 0"
@@ -80,7 +94,7 @@ FIXTURE_VIEWS: dict[str, str] = {
 
 # ---------------------------------------------------------------------------
 # Operator views (DuckDB dialect).  Fixed values shared with the Spark side:
-# code pattern P + six digits, host role 'H', own flag 'Y', program code 'MRC',
+# code pattern P + six digits or more, host role 'H', own flag 'Y', program code 'MRC',
 # audit user 'batch'.
 # ---------------------------------------------------------------------------
 _FEED_COLS = "raw_code, role, ext_id, chain_name, hotel_name"
@@ -92,7 +106,7 @@ OPERATOR_VIEWS: dict[str, str] = {
         "CASE WHEN regexp_full_match(trim(ext_id), '[0-9]+') THEN TRY_CAST(trim(ext_id) AS INTEGER) END AS competitor_id, "
         "chain_name || ' ' || hotel_name AS competitor_name, "
         "coalesce(role = 'H', false) AS is_host, "
-        "coalesce(regexp_full_match(upper(trim(raw_code)), 'P[0-9]{6}'), false) AS code_ok "
+        "coalesce(regexp_full_match(upper(trim(raw_code)), 'P[0-9]{6,}'), false) AS code_ok "
         "FROM listing"
     ),
     "valid": "SELECT * FROM derived WHERE code_ok",
@@ -143,7 +157,12 @@ OPERATOR_VIEWS: dict[str, str] = {
         "JOIN rename_pick r ON r.competitor_id = m.competitor_id WHERE m.is_host"
     ),
     # B13
-    "desired_pairs": "SELECT DISTINCT prop_code, competitor_id FROM matched WHERE NOT is_host",
+    # (a pair that is an own row already is no competitor pair)
+    "desired_pairs": (
+        "SELECT DISTINCT m.prop_code, m.competitor_id FROM matched m WHERE NOT m.is_host AND NOT EXISTS "
+        "(SELECT 1 FROM compset c WHERE c.own_ind = 'Y' AND c.prop_code = m.prop_code "
+        "AND c.competitor_id = m.competitor_id)"
+    ),
     "current_pairs": (
         "SELECT DISTINCT c.prop_code, c.competitor_id FROM compset c "
         "WHERE NOT coalesce(c.own_ind = 'Y', false) AND EXISTS "
@@ -151,9 +170,8 @@ OPERATOR_VIEWS: dict[str, str] = {
     ),
     # B17 on the compset and competitor tables
     "new_hosts_v": (
-        "SELECT h.prop_code, h.host_id AS competitor_id, 'Y' AS own_ind FROM host_state h "
-        "WHERE h.state = 'absent' AND NOT EXISTS (SELECT 1 FROM compset c "
-        "WHERE c.prop_code = h.prop_code AND c.competitor_id = h.host_id)"
+        "SELECT h.prop_code, h.host_id AS competitor_id, 'Y' AS own_ind, 'Y' AS active_ind, "
+        "TIMESTAMP '2024-01-01 00:00:00' AS last_upd_ts FROM host_state h WHERE h.state = 'absent'"
     ),
     "compset_ins": (
         "SELECT d.prop_code, d.competitor_id, 'N' AS own_ind FROM desired_pairs d WHERE NOT EXISTS "
@@ -166,7 +184,8 @@ OPERATOR_VIEWS: dict[str, str] = {
     ),
     "upserts_v": (
         "SELECT DISTINCT r.competitor_id, r.competitor_name FROM renamed_matched r "
-        "WHERE NOT r.is_host AND NOT EXISTS (SELECT 1 FROM competitor c "
+        "WHERE NOT r.is_host AND r.competitor_id IS NOT NULL AND r.competitor_name IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM competitor c "
         "WHERE c.competitor_id = r.competitor_id AND c.competitor_name = r.competitor_name) "
         "UNION ALL SELECT competitor_id, competitor_name FROM renamed_hosts"
     ),
@@ -194,9 +213,11 @@ OPERATOR_VIEWS: dict[str, str] = {
     ),
     # B17
     "after_v": (
-        "SELECT c.prop_code, c.competitor_id, c.season_id, c.own_ind FROM comp_config c WHERE NOT EXISTS "
+        "SELECT c.prop_code, c.competitor_id, c.season_id, c.we_ind, c.own_ind, c.sys_weight, c.usr_weight, "
+        "c.last_upd_by, c.last_upd_ts FROM comp_config c WHERE NOT EXISTS "
         "(SELECT 1 FROM deletes_v d WHERE d.prop_code = c.prop_code AND d.competitor_id = c.competitor_id) "
-        "UNION ALL SELECT prop_code, competitor_id, season_id, own_ind FROM inserts_v "
+        "UNION ALL SELECT prop_code, competitor_id, season_id, we_ind, own_ind, NULL, NULL, "
+        "'batch', TIMESTAMP '2024-01-01 00:00:00' FROM inserts_v "
         "WHERE prop_code IS NOT NULL AND competitor_id IS NOT NULL"
     ),
     # B20
@@ -232,26 +253,31 @@ QUERIES: dict[str, str] = {
         f"{_RAW} WHERE EXISTS (SELECT 1 FROM host_state h WHERE h.state = 'mismatch' "
         "AND h.prop_code = l.raw_code)"
     ),
-    "new_hosts": "SELECT prop_code, competitor_id, own_ind FROM new_hosts_v",
+    "new_hosts": "SELECT prop_code, competitor_id, own_ind, active_ind, last_upd_ts FROM new_hosts_v",
     "rename_records": "SELECT competitor_id, old_name, new_name FROM rename_records",
     "renamed_hosts": "SELECT competitor_id, competitor_name FROM renamed_hosts",
     "renamed_listings": (
         "SELECT prop_code, role, competitor_id, competitor_name FROM renamed_matched WHERE renamed"
     ),
-    "competitor_upserts": "SELECT competitor_id, competitor_name, 'batch' AS last_upd_by FROM upserts_v",
+    "competitor_upserts": (
+        "SELECT competitor_id, competitor_name, 'batch' AS last_upd_by, "
+        "TIMESTAMP '2024-01-01 00:00:00' AS last_upd_ts FROM upserts_v"
+    ),
     "compset_after": (
-        "SELECT c.prop_code, c.competitor_id, c.own_ind FROM compset c WHERE NOT EXISTS "
+        "SELECT c.* FROM compset c WHERE c.own_ind = 'Y' OR NOT EXISTS "
         "(SELECT 1 FROM compset_del d WHERE d.prop_code = c.prop_code AND d.competitor_id = c.competitor_id) "
-        "UNION ALL SELECT prop_code, competitor_id, own_ind FROM compset_ins "
+        "UNION ALL SELECT prop_code, competitor_id, own_ind, 'Y', NULL, NULL, 'batch', "
+        "TIMESTAMP '2024-01-01 00:00:00' FROM compset_ins "
         "WHERE prop_code IS NOT NULL AND competitor_id IS NOT NULL"
     ),
     "compset_rejected": (
         "SELECT prop_code, competitor_id, own_ind FROM compset_ins WHERE prop_code IS NULL OR competitor_id IS NULL"
     ),
     "competitor_after": (
-        "SELECT c.competitor_id, c.competitor_name FROM competitor c WHERE NOT EXISTS "
+        "SELECT c.* FROM competitor c WHERE NOT EXISTS "
         "(SELECT 1 FROM upserts_v u WHERE u.competitor_id = c.competitor_id) "
-        "UNION ALL SELECT competitor_id, max(competitor_name) FROM upserts_v GROUP BY competitor_id"
+        "UNION ALL SELECT competitor_id, max(competitor_name), 'batch', TIMESTAMP '2024-01-01 00:00:00' "
+        "FROM upserts_v GROUP BY competitor_id"
     ),
     "compset_diff": (
         "SELECT d.prop_code, d.competitor_id, 'insert' AS change FROM desired_pairs d WHERE NOT EXISTS "
@@ -267,7 +293,18 @@ QUERIES: dict[str, str] = {
         "SELECT d.prop_code, d.competitor_id FROM deletes_v d WHERE EXISTS "
         "(SELECT 1 FROM desired_config c WHERE c.prop_code = d.prop_code)"
     ),
-    "config_after": "SELECT prop_code, competitor_id, season_id, own_ind FROM after_v",
+    "config_after": "SELECT * FROM after_v",
+    "config_export": "SELECT * FROM after_v",
+    "table_scan": "SELECT * FROM compset",
+    "compset_seasons": (
+        "SELECT prop_code, competitor_id, season_id, we_ind, own_ind, CAST(1 AS INT) AS run_id, "
+        "DATE '2024-01-01' AS data_date, 'batch' AS last_upd_by, TIMESTAMP '2024-01-01 00:00:00' AS last_upd_ts "
+        "FROM desired_config"
+    ),
+    "competitor_rejected": (
+        "SELECT DISTINCT competitor_id, competitor_name FROM renamed_matched "
+        "WHERE NOT is_host AND (competitor_id IS NULL OR competitor_name IS NULL)"
+    ),
     "touched_properties": "SELECT prop_code, pgm_code FROM touched_v",
 }
 
@@ -322,7 +359,27 @@ AUDITED = {
 }
 
 
+# Dates and times are compared as text, which both engines spell alike.
+AS_TEXT = {
+    "new_hosts": ["last_upd_ts"],
+    "competitor_upserts": ["last_upd_ts"],
+    "competitor_after": ["last_upd_ts"],
+    "config_after": ["last_upd_ts"],
+    "config_export": ["last_upd_ts"],
+    "compset_after": ["eff_start_date", "eff_end_date", "last_upd_ts"],
+    "table_scan": ["eff_start_date", "eff_end_date", "last_upd_ts"],
+    "compset_seasons": ["data_date", "last_upd_ts"],
+}
+
+
+def as_text(name: str, sql: str) -> str:
+    if name not in AS_TEXT:
+        return sql
+    casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in AS_TEXT[name])
+    return f"SELECT * REPLACE ({casts}) FROM ({sql}) q"
+
+
 def oracle_queries() -> dict[str, str]:
-    out = {name: build(sql) for name, sql in QUERIES.items()}
+    out = {name: build(as_text(name, sql)) for name, sql in QUERIES.items()}
     out["output_audit"] = build(_audit_sql())
     return out

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +23,7 @@ from feedsync.operators import publish_report
 from feedsync.plans.run import RunResult, run_reconciliation
 from feedsync.plans.snapshots import Bucketing, RunLayout, latest_complete_run, read_state
 from feedsync.plans.views import MatchRules, SkewConf
-from feedsync.session import build_session, input_bytes, shared_dir, size_shuffle
+from feedsync.session import build_session, input_bytes, shared_dir, shared_root, size_shuffle
 from feedsync.sources import JdbcSource, ParquetSource, read_feed, read_run_pins, read_table, split_corrupt, stage_parsed
 from feedsync.sources.feed import CORRUPT_COLUMN
 
@@ -49,13 +51,15 @@ def open_sources(
     parsed = stage_parsed(spark, raw_feed, layout.stage("feed_parsed"))
     feed, corrupt = split_corrupt(parsed)
     t = {"listing": feed, "run_pin": read_run_pins(spark, season_pins_path)}
+    prev = latest_complete_run(spark, layout.root, before=layout.run_id) if continue_from_root else None
     for name in REFERENCE_TABLES:
+        if prev is not None and name in STATEFUL:
+            t[name] = read_state(spark, layout.root, name, prev, bucketing)
+            continue
         t[name] = read_table(spark, source, name)
-    if continue_from_root:
-        prev = latest_complete_run(spark, layout.root, before=layout.run_id)
-        if prev is not None:
-            for name in STATEFUL:
-                t[name] = read_state(spark, layout.root, name, prev, bucketing)
+        if isinstance(source, JdbcSource):
+            # one read of the database for the whole run: every consumer sees one state
+            t[name] = stage_parsed(spark, t[name], layout.stage(f"table_{name}"))
     return t, corrupt
 
 
@@ -74,7 +78,8 @@ def run_tables(
 ) -> RunResult:
     """Open the sources for ``raw_feed``, write its corrupt rows, run."""
     tables, corrupt = open_sources(spark, layout, raw_feed, season_pins_path, source, bucketing=bucketing)
-    publish_report(corrupt.select(CORRUPT_COLUMN), layout.report("corrupt-rows"), header=True)
+    corrupt_path = layout.report("corrupt-rows")
+    publish_report(corrupt.select(CORRUPT_COLUMN), corrupt_path, header=True)
     return run_reconciliation(
         spark,
         tables,
@@ -85,6 +90,7 @@ def run_tables(
         rules=rules,
         admit_new_hosts=admit_new_hosts,
         bucketing=bucketing,
+        extra_reports={"corrupt_rows": corrupt_path},
     )
 
 
@@ -101,13 +107,37 @@ def run_job(
     admit_new_hosts: bool = False,
     bucketing: Bucketing | None = None,
 ) -> RunResult:
-    layout = RunLayout(root or f"{shared_dir(spark)}/feedsync", ctx.run_id)
+    layout = RunLayout(shared_root(spark, root or f"{shared_dir(spark)}/feedsync"), ctx.run_id)
     raw = read_feed(spark, feed_path)
     return run_tables(
         spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts, bucketing
     )
 
 
+def jdbc_source(
+    url: str,
+    schema: str | None = None,
+    user: str | None = None,
+    password_env: str | None = None,
+    driver: str | None = None,
+    tables_file: str | None = None,
+) -> JdbcSource:
+    """A database source from command-line options; the password comes from the
+    environment, so it shows up in no process list."""
+    given = {"user": user, "password": os.environ[password_env] if password_env else None, "driver": driver}
+    tables = {}
+    if tables_file:
+        with open(tables_file) as f:
+            tables = json.load(f)
+    return JdbcSource(
+        url,
+        {k: v for k, v in given.items() if v is not None},
+        schema,
+        partitioning={n: tuple(t["partition"]) for n, t in tables.items() if "partition" in t},
+        rename={n: t["rename"] for n, t in tables.items() if "rename" in t},
+    )
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="feed reconciliation run")
     p.add_argument("--feed", required=True)
@@ -115,6 +145,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--tables", help="Parquet root of the reference tables")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-schema")
+    p.add_argument("--jdbc-user")
+    p.add_argument("--jdbc-password-env", metavar="NAME", help="environment variable that holds the password")
+    p.add_argument("--jdbc-driver", help="driver class")
+    p.add_argument(
+        "--jdbc-tables",
+        metavar="FILE",
+        help='JSON: {table: {"rename": {database column: our column}, "partition": [column, lower, upper, count]}}',
+    )
     p.add_argument("--root", help="run root on shared storage (default: under spark.checkpoint.dir)")
     p.add_argument("--run-id", type=int, required=True)
     p.add_argument("--data-date", type=dt.date.fromisoformat)
@@ -126,10 +164,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--bucket-states", type=int, metavar="N", help="keep config/compset states bucketed into N buckets")
     a = p.parse_args(argv)
     spark = build_session()
-    # the feed is the largest input: size the shuffles from it
-    size_shuffle(spark, input_bytes(spark, a.feed))
+    # size the shuffles for the feed and the stored tables together
+    size_shuffle(spark, input_bytes(spark, a.feed) + (input_bytes(spark, a.tables) if a.tables else 0))
     if a.jdbc_url:
-        source: ParquetSource | JdbcSource = JdbcSource(a.jdbc_url, schema=a.jdbc_schema)
+        source: ParquetSource | JdbcSource = jdbc_source(
+            a.jdbc_url, a.jdbc_schema, a.jdbc_user, a.jdbc_password_env, a.jdbc_driver, a.jdbc_tables
+        )
     elif a.tables:
         source = ParquetSource(a.tables)
     else:

@@ -30,7 +30,7 @@ from feedsync.operators import (
     classify_codes,
     competitor_upserts,
     compset_diff,
-    config_changes,
+    config_pairs,
     derive,
     expand_seasons,
     host_groups,
@@ -39,7 +39,11 @@ from feedsync.operators import (
     rename_listings,
     rename_records,
     renamed_hosts,
+    renamed_pairs,
     reports_from_tags,
+    season_counts,
+    season_rows,
+    split_named,
     tag_rows,
     tagged_report,
     touched,
@@ -47,7 +51,7 @@ from feedsync.operators import (
 )
 from feedsync.operators.classify import MATCH, NO_PROPERTY, NON_SINGLE
 from feedsync.operators.reports import DUPLICATE_HOST, ID_MISMATCH, MISSING_PROPERTY
-from feedsync.operators.skew import hot_from_counts
+from feedsync.operators.seasons import own_flag
 from feedsync.schemas import FEED_COLUMNS
 
 ROW_COLS = FEED_COLUMNS + ["prop_code", "competitor_id", "competitor_name"]
@@ -61,15 +65,9 @@ def _lazy(name: str, df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SkewConf:
-    """Hot-key handling of the season fan-out (see operators.skew)."""
+    """Skew handling of the season fan-out (see operators.skew)."""
 
-    split_hot: bool = True
-    min_rows: int = 1_000_000  # listings of one code before it counts as hot
-    rows_per_bucket: int = 250_000  # target listings per task for a hot code
-    buckets: int | None = None  # fixed salt count instead of the target
-    # broadcast a staged per-code table when its measured size on storage is
-    # at most this (Parquet bytes; in memory it is several times larger)
-    max_broadcast_bytes: int = 64 << 20
+    rows_per_task: int = 250_000  # rows (listings x seasons) that one part of a code gives
 
 
 @dataclass(frozen=True)
@@ -90,7 +88,7 @@ class Reconciliation(Mapping[str, DataFrame]):
     ``compset``, ``competitor``, ``season_map``, ``run_pin``, ``comp_config``.
     ``stage(name, df)`` is called on every shared intermediate (``codes``,
     ``tagged``, ``new_hosts``, ``competitor_upserts``, ``compset_diff``,
-    ``desired_config``, ``config_inserts``, ``config_deletes``); the staged run
+    ``desired_config``, ``config_pairs``, ``config_inserts``, ``config_deletes``); the staged run
     writes them once and reads them back, the registered queries leave them
     lazy.  ``admitted`` holds new-host rows the caller has already added to
     ``t["compset"]`` (same-run admission); they are reported as this run's new
@@ -108,7 +106,7 @@ class Reconciliation(Mapping[str, DataFrame]):
         "rename_records", "renamed_hosts", "renamed_listings", "competitor_upserts", "compset_diff",
         "compset_after", "compset_rejected", "competitor_after", "pinned_seasons", "desired_config",
         "config_inserts", "config_deletes", "config_deletes_matched", "config_after",
-        "touched_properties", "_report_rows", "_config_rejected",
+        "touched_properties", "compset_seasons", "competitor_rejected", "_report_rows", "_config_rejected",
     )
 
     def __init__(
@@ -178,23 +176,17 @@ class Reconciliation(Mapping[str, DataFrame]):
             active_only=r.active_only,
             on_date=self.ctx.data_date if r.on_data_date else None,
         )
-        return self.stage("codes", codes)
-
-    def _measured_small(self, name: str) -> bool:
-        """True only when ``name`` was staged and its size on storage is at
-        most the broadcast limit; lazy views are never broadcast by size
-        guess (adaptive execution decides on measured shuffle sizes)."""
-        measure = getattr(self.stage, "bytes", None)
-        if measure is None:
-            return False
-        getattr(self, name)  # build (and so stage) it first
-        n = measure(name)
-        return n is not None and n <= self.skew.max_broadcast_bytes
+        # the rows a code fans out to: its listings times its pinned seasons
+        n_list = F.col("n_host") + F.col("n_comp")
+        codes = codes.join(season_counts(self.pinned), "prop_code", "left").withColumn(
+            "n_fan", n_list * F.coalesce("n_season", F.lit(0))
+        )
+        return self.stage("codes", codes.drop("n_season"))
 
     @cached_property
     def tagged(self) -> DataFrame:
-        codes = self.codes
-        return self.stage("tagged", tag_rows(self.checked, codes, broadcast=self._measured_small("codes")))
+        summary = self.codes.select("prop_code", "n_host", "host_id", "state", "n_fan")
+        return self.stage("tagged", tag_rows(self.checked, summary))
 
     # B03, B04 ----------------------------------------------------------------
     @cached_property
@@ -269,7 +261,7 @@ class Reconciliation(Mapping[str, DataFrame]):
     def new_hosts(self) -> DataFrame:
         if self.admitted is not None:
             return self.admitted
-        return self.stage("new_hosts", new_hosts(self.state, self.t["compset"]))
+        return self.stage("new_hosts", new_hosts(self.state, self.ctx.run_ts))
 
     # B11, B12 --------------------------------------------------------------
     @cached_property
@@ -290,15 +282,23 @@ class Reconciliation(Mapping[str, DataFrame]):
 
     @cached_property
     def competitor_upserts(self) -> DataFrame:
-        rows = competitor_upserts(self.renamed, self.t["competitor"], self.renamed_hosts, self.ctx.user)
+        rows = competitor_upserts(
+            self.competitor_pairs, self.t["competitor"], self.renamed_hosts, self.ctx.user, self.ctx.run_ts
+        )
         return self.stage("competitor_upserts", rows)
 
+    @cached_property
+    def competitor_pairs(self) -> DataFrame:
+        return renamed_pairs(self.matched, self.rename_records)
+
+    @cached_property
+    def competitor_rejected(self) -> DataFrame:
+        return split_named(self.competitor_pairs)[1]
+
     # B13 and B17 on the compset and competitor tables ------------------------
     @cached_property
     def compset_diff(self) -> DataFrame:
-        small = self._measured_small("codes")
-        diff = compset_diff(self.matched, self.t["compset"], self.state, broadcast_hosts=small)
-        return self.stage("compset_diff", diff)
+        return self.stage("compset_diff", compset_diff(self.matched, self.t["compset"], self.state))
 
     @cached_property
     def _compset_applied(self) -> tuple[DataFrame, DataFrame]:
@@ -309,13 +309,14 @@ class Reconciliation(Mapping[str, DataFrame]):
             cdiff.filter(F.col("change") == "insert")
             .select(*PAIR_KEYS)
             .withColumn("own_ind", F.lit(NOT_OWN_FLAG))
-            .unionByName(hosts.withColumn("own_ind", F.lit(OWN_FLAG)))
+            .unionByName(hosts.select(*PAIR_KEYS, "own_ind"))
         )
         if "active_ind" in self.t["compset"].columns:
             ins = ins.withColumn("active_ind", F.lit(OWN_FLAG))  # new rows are active
         dele = cdiff.filter(F.col("change") == "delete").select(*PAIR_KEYS)
         apply = deactivate_changes if self.rules.deactivate_removed else apply_changes
-        after, rejected = apply(self.t["compset"], ins, dele, PAIR_KEYS, stamp_with=self.stamp_with)
+        own = F.col("own_ind") == F.lit(OWN_FLAG)  # own rows are never removed here
+        after, rejected = apply(self.t["compset"], ins, dele, PAIR_KEYS, stamp_with=self.stamp_with, keep=own)
         return after, rejected.select("prop_code", "competitor_id", "own_ind")
 
     @cached_property
@@ -340,48 +341,49 @@ class Reconciliation(Mapping[str, DataFrame]):
     def pinned_seasons(self) -> DataFrame:
         return self.pinned.select("prop_code", "run_id", "season_id", "we_ind")
 
+    def _expanded(self, rows: DataFrame) -> DataFrame:
+        return expand_seasons(rows, self.pinned, self.codes, self.skew.rows_per_task)
+
     @cached_property
     def desired_config(self) -> DataFrame:
-        sk = self.skew
-        # listings per code are already counted: in the staged summary when
-        # there is one (a small file), else right after the grouped count,
-        # before any classification join
-        counts = self.codes if hasattr(self.stage, "bytes") else self.groups
-        hot = hot_from_counts(counts, ["prop_code"], F.col("n_host") + F.col("n_comp"), sk.min_rows)
-        rows = expand_seasons(
-            self.matched,
-            self.pinned,
-            split_hot=sk.split_hot,
-            min_rows=sk.min_rows,
-            buckets=sk.buckets,
-            rows_per_bucket=sk.rows_per_bucket,
-            hot=hot,
-        )
-        return self.stage("desired_config", rows)
+        rows = self.matched.withColumn("own_ind", own_flag(F.col("is_host")))
+        return self.stage("desired_config", self._expanded(rows))
+
+    @cached_property
+    def compset_seasons(self) -> DataFrame:
+        c = self.ctx
+        return season_rows(self.desired_config, c.run_id, c.data_date, c.user, c.run_ts)
 
     # B16, B17, B20 -------------------------------------------------------------
     @cached_property
-    def _config_changes(self) -> tuple[DataFrame, DataFrame]:
-        # every valid code is a row of ``codes``: the scope needs no second
-        # pass over the feed
-        small = self._measured_small("codes")
-        _, ins, dele = config_changes(
-            self.desired_config, self.t["comp_config"], self.codes, scope=self.scope, broadcast_scope=small
-        )
-        return self.stage("config_inserts", ins), self.stage("config_deletes", dele)
+    def config_pairs(self) -> DataFrame:
+        return self.stage("config_pairs", config_pairs(self.matched, self.t["comp_config"]))
 
     @cached_property
     def config_inserts(self) -> DataFrame:
-        return self._config_changes[0]
+        roles = F.array(F.when(F.col("is_own"), own_flag(F.lit(True))), F.when(F.col("is_comp"), own_flag(F.lit(False))))
+        rows = self.config_pairs.filter(F.col("change") == "insert").withColumn(
+            "own_ind", F.explode(F.array_compact(roles))
+        )
+        return self.stage("config_inserts", self._expanded(rows))
+
+    def _deletes_in(self, scope: str) -> DataFrame:
+        # every valid code is a row of ``codes``
+        codes = self.codes
+        if scope == "matched":
+            codes = codes.filter((F.col("state") == F.lit(MATCH)) & (F.col("n_fan") > 0))
+        elif scope != "valid":
+            raise ValueError(f"unknown scope {scope!r}")
+        gone = self.config_pairs.filter(F.col("change") == "delete").select(*PAIR_KEYS)
+        return gone.join(codes.select("prop_code"), "prop_code", "left_semi")
 
     @cached_property
     def config_deletes(self) -> DataFrame:
-        return self._config_changes[1]
+        return self.stage("config_deletes", self._deletes_in(self.scope))
 
     @cached_property
     def config_deletes_matched(self) -> DataFrame:
-        codes = self.desired_config.select("prop_code").distinct()
-        return self.config_deletes.join(codes, "prop_code", "left_semi")
+        return self._deletes_in("matched")
 
     @cached_property
     def _config_applied(self) -> tuple[DataFrame, DataFrame]:
@@ -400,7 +402,8 @@ class Reconciliation(Mapping[str, DataFrame]):
 
     @cached_property
     def touched_properties(self) -> DataFrame:
-        return touched(self.config_inserts, self.config_deletes).select("prop_code", "pgm_code")
+        inserted = self.config_pairs.filter(F.col("change") == "insert")
+        return touched(inserted, self.config_deletes).select("prop_code", "pgm_code")
 
 
 def reconcile_views(

@@ -25,7 +25,7 @@ CORRUPT_COLUMN = "_corrupt_record"
 AUDIT_BY = "last_upd_by"
 AUDIT_TS = "last_upd_ts"
 
-# Columns each reference table must provide (more are carried through).
+# Columns each reference table must provide; all others are carried through.
 TABLE_COLUMNS: dict[str, list[str]] = {
     "property": ["prop_code"],
     "compset": ["prop_code", "competitor_id", "own_ind"],

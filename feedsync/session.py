@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,8 +16,7 @@ from pyspark.sql import SparkSession
 # in-memory size of a table that grows with the feed.  So static broadcasting
 # is off, and adaptive execution converts a sort-merge join into a broadcast
 # join only when the *measured* size of a finished shuffle stage is under the
-# adaptive threshold.  The only explicit broadcast is the top-k bounded
-# hot-key list (operators.skew).
+# adaptive threshold.  The reconciliation itself broadcasts nothing explicitly.
 BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -73,6 +73,17 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def shared_root(spark: SparkSession, root: str) -> str:
+    """``root``, refused on a cluster if it is a folder of one machine."""
+    local = root.startswith(("/", "file:"))
+    if local and not spark.sparkContext.master.startswith("local"):
+        shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or ""
+        strip = lambda p: re.sub("/+", "/", p.removeprefix("file:"))
+        if not shared or not strip(root).startswith(strip(shared)):
+            raise ValueError(f"{root} is a folder of one machine; use storage that all executors share")
+    return root
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """File-system metadata check (no data read)."""
     jvm = spark.sparkContext._jvm
@@ -80,6 +91,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run owns, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def make_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def input_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under ``path`` from the file system's metadata (no data read)."""
     jvm = spark.sparkContext._jvm
@@ -92,15 +114,14 @@ def shuffle_partitions_for(
     n_bytes: int,
     cores: int,
     target_bytes: int = 512 << 20,
-    max_partitions: int = 50_000,
 ) -> int:
     """Initial shuffle partition count for an input of ``n_bytes``: about one
     partition per ``target_bytes`` (so a reduce task holds a few hundred MB
     and sorts without spilling much), never fewer than two waves of the
-    cluster's cores, capped so the shuffle map/reduce block count stays sane.
-    Adaptive execution then coalesces partitions that turn out small."""
-    want = -(-max(n_bytes, 1) // target_bytes)
-    return int(min(max_partitions, max(2 * cores, want)))
+    cluster's cores.  The size of a partition is what bounds a task's memory, so
+    the count has no upper limit.  Adaptive execution then coalesces partitions
+    that turn out small."""
+    return int(max(2 * cores, -(-max(n_bytes, 1) // target_bytes)))
 
 
 def size_shuffle(spark: SparkSession, n_bytes: int, **kw) -> int:

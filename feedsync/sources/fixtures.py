@@ -9,7 +9,9 @@ cheaper, so every table grows with the inputs.
 Fixed values (FIXTURES.md §2): customer remainders 11 no property, 13 not in
 compset/competitor, 17 lower-case padded code, 19 malformed code, 23 no host
 row, 29 second host row, 31 non-numeric id, 37 NULL chain, 41 other stored own
-id, 43 other stored host name, 47 no seasons; supplier remainders 5 other stored
+id, 43 other stored host name, 47 no seasons, 53 also listed as its own
+competitor; (custkey + suppkey) remainders of a listing: 89 NULL name, 97
+non-numeric id; supplier remainders 5 other stored
 name, 7 not stored; pair remainder (7*custkey + suppkey) mod 10: 0-1 feed only,
 8-9 table only; comp_config leaves out pair remainder 0 and
 (custkey + suppkey) mod 9 = 0; three runs of two seasons each.
@@ -25,7 +27,30 @@ TPCH_TABLES = ("customer", "supplier", "nation", "orders", "lineitem")
 
 
 def _code(k: Column) -> Column:
-    return F.concat(F.lit("P"), F.lpad(k.cast("string"), 6, "0"))
+    """``P`` and the key, padded to six digits and never cut."""
+    digits = k.cast("string")
+    return F.concat(F.lit("P"), F.lpad(digits, F.greatest(F.lit(6), F.length(digits)), F.lit("0")))
+
+
+def _supplier_id(k: Column) -> Column:
+    """Competitor ids of suppliers, own ids and other own ids never overlap, at any size."""
+    return k * 3
+
+
+def _own_id(k: Column) -> Column:
+    return k * 3 + 1
+
+
+def _other_id(k: Column) -> Column:
+    return k * 3 + 2
+
+
+# Fixed audit values of rows that were stored before the run.
+OLD_USER, OLD_TS = "seed", "2020-01-01 00:00:00"
+
+
+def _audited(df: DataFrame) -> DataFrame:
+    return df.withColumns({"last_upd_by": F.lit(OLD_USER), "last_upd_ts": F.lit(OLD_TS).cast("timestamp")})
 
 
 def _pairs(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
@@ -44,7 +69,7 @@ def _hosts(customer: DataFrame) -> DataFrame:
         .when(c % 19 == 0, F.concat(F.lit("X-"), c.cast("string")))
         .otherwise(code)
         .alias("feed_code"),
-        F.when(c % 31 == 0, F.lit("n/a")).otherwise((F.lit(1000000) + c).cast("string")).alias("feed_ext_id"),
+        F.when(c % 31 == 0, F.lit("n/a")).otherwise(_own_id(c).cast("string")).alias("feed_ext_id"),
         F.when(c % 37 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("chain"),
         F.col("c_name").alias("hotel"),
     )
@@ -56,6 +81,7 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     pairs = _pairs(tables["orders"], tables["lineitem"])
     host = _hosts(customer)
     pk = (F.col("custkey") * 7 + F.col("suppkey")) % 10
+    both = F.col("custkey") + F.col("suppkey")
     cust = F.col("c_custkey")
 
     host_rows = host.filter(F.col("custkey") % 23 != 0)
@@ -77,25 +103,47 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         .select(
             F.col("feed_code").alias("raw_code"),
             F.lit("C").alias("role"),
-            F.col("suppkey").cast("string").alias("ext_id"),
+            F.when(both % 97 == 0, F.concat(F.lit("id "), F.col("suppkey").cast("string")))
+            .otherwise(_supplier_id(F.col("suppkey")).cast("string"))
+            .alias("ext_id"),
             F.col("n_name").alias("chain_name"),
-            F.col("s_name").alias("hotel_name"),
+            F.when(both % 89 != 0, F.col("s_name")).alias("hotel_name"),
         )
     )
-    listing = host_rows.select(hcols).unionByName(dup_rows.select(hcols)).unionByName(comp_rows)
+    # hosts that the feed lists among their own competitors too
+    own_rows = host.filter(F.col("custkey") % 53 == 0).select(
+        *[F.lit("C").alias("role") if i == 1 else c for i, c in enumerate(hcols)]
+    )
+    listing = (
+        host_rows.select(hcols)
+        .unionByName(dup_rows.select(hcols))
+        .unionByName(own_rows)
+        .unionByName(comp_rows)
+    )
 
     prop = customer.filter(cust % 11 != 0).select(_code(cust).alias("prop_code"))
 
     kept_pairs = pairs.filter(F.col("custkey") % 13 != 0).join(host.select("custkey", "prop_code"), "custkey")
-    compset = kept_pairs.filter(pk >= 2).select(
-        "prop_code", F.col("suppkey").cast("int").alias("competitor_id"), F.lit("N").alias("own_ind")
-    ).unionByName(
-        host.filter(F.col("custkey") % 13 != 0).select(
+    ck, day = F.col("custkey"), F.to_date(F.lit("2020-01-01"))
+    compset = _audited(
+        kept_pairs.filter(pk >= 2)
+        .select(
             "prop_code",
-            (F.when(F.col("custkey") % 41 == 0, F.lit(2000000)).otherwise(F.lit(1000000)) + F.col("custkey"))
-            .cast("int")
-            .alias("competitor_id"),
-            F.lit("Y").alias("own_ind"),
+            _supplier_id(F.col("suppkey")).cast("int").alias("competitor_id"),
+            F.lit("N").alias("own_ind"),
+            F.when((ck + F.col("suppkey")) % 4 == 0, F.lit("N")).otherwise(F.lit("Y")).alias("active_ind"),
+            F.date_add(day, (ck % 365).cast("int")).alias("eff_start_date"),
+            F.when(F.col("suppkey") % 6 == 0, F.to_date(F.lit("2023-06-30"))).alias("eff_end_date"),
+        )
+        .unionByName(
+            host.filter(ck % 13 != 0).select(
+                "prop_code",
+                F.when(ck % 41 == 0, _other_id(ck)).otherwise(_own_id(ck)).cast("int").alias("competitor_id"),
+                F.lit("Y").alias("own_ind"),
+                F.lit("Y").alias("active_ind"),
+                day.alias("eff_start_date"),
+                F.lit(None).cast("date").alias("eff_end_date"),
+            )
         )
     )
 
@@ -104,12 +152,12 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     competitor = (
         supp.filter(s % 7 != 0)
         .select(
-            s.cast("int").alias("competitor_id"),
+            _supplier_id(s).cast("int").alias("competitor_id"),
             F.concat(old(s % 5 == 0), F.col("n_name"), F.lit(" "), F.col("s_name")).alias("competitor_name"),
         )
         .unionByName(
             customer.filter(cust % 13 != 0).select(
-                (F.lit(1000000) + cust).cast("int").alias("competitor_id"),
+                _own_id(cust).cast("int").alias("competitor_id"),
                 F.concat(old(cust % 43 == 0), F.col("c_mktsegment"), F.lit(" "), F.col("c_name")).alias(
                     "competitor_name"
                 ),
@@ -117,6 +165,8 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         )
     )
 
+    competitor = _audited(competitor)
+
     season_map = (
         customer.filter(cust % 47 != 0)
         .select(_code(cust).alias("prop_code"), F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("r"))
@@ -136,11 +186,15 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         .select("prop_code", "custkey", "suppkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("s"))
         .select(
             "prop_code",
-            F.col("suppkey").cast("int").alias("competitor_id"),
+            _supplier_id(F.col("suppkey")).cast("int").alias("competitor_id"),
             ((1 + F.col("custkey") % 3) * 10 + F.col("s")).cast("int").alias("season_id"),
+            F.when(F.col("s") == 1, F.lit("N")).otherwise(F.lit("Y")).alias("we_ind"),
             F.lit("N").alias("own_ind"),
+            (ck % 100).cast("int").alias("sys_weight"),
+            (F.col("suppkey") % 100).cast("int").alias("usr_weight"),
         )
     )
+    comp_config = _audited(comp_config)
 
     return {
         "listing": listing,

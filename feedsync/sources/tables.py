@@ -1,4 +1,4 @@
-"""Reference-table readers (Parquet snapshots or JDBC), fixed columns."""
+"""Reference-table readers (Parquet snapshots or JDBC)."""
 
 from __future__ import annotations
 
@@ -21,9 +21,7 @@ class ParquetSource:
     def load(self, spark: SparkSession, name: str) -> DataFrame:
         if self.run_id is None:
             return spark.read.parquet(f"{self.root.rstrip('/')}/{name}.parquet")
-        # Partition filter on the run column: only that run's files are listed.
-        df = spark.read.parquet(f"{self.root.rstrip('/')}/{name}")
-        return df.filter(F.col("run") == F.lit(self.run_id)).drop("run")
+        return spark.read.parquet(f"{self.root.rstrip('/')}/{name}/run={self.run_id}")
 
 
 @dataclass(frozen=True)
@@ -76,16 +74,21 @@ def read_table(
     columns: list[str] | None = None,
     rename: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Open ``name`` and project it to the fixed column list.
+    """Open ``name`` with all its columns.
 
     ``rename`` maps source column names (case-insensitive, as in the database
-    catalog) to ours before projection.  Extra columns are pruned here so the
-    scan reads only what the operators use.
+    catalog) to ours.  The columns of :data:`TABLE_COLUMNS` must be there; every
+    other column is carried through to the table's next state.  ``columns``
+    asks for a projection instead.
     """
     df = source.load(spark, name)
     rename = rename if rename is not None else getattr(source, "rename", {}).get(name)
     if rename:
         lower = {k.lower(): v for k, v in rename.items()}
         df = df.select([F.col(c).alias(lower.get(c.lower(), c)) for c in df.columns])
-    cols = columns if columns is not None else TABLE_COLUMNS.get(name)
-    return df.select(*cols) if cols else df
+    if columns is not None:
+        return df.select(*columns)
+    missing = [c for c in TABLE_COLUMNS.get(name, []) if c not in df.columns]
+    if missing:
+        raise ValueError(f"{name} lacks the columns {', '.join(missing)}")
+    return df

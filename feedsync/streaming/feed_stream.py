@@ -2,8 +2,10 @@
 
 The reference is a batch job started once per delivered feed.  Here a file
 stream over the delivery folder does the bookkeeping instead of a scheduler:
-each micro-batch holds the feed files that arrived since the last one and
-becomes one reconciliation run (``foreachBatch``).  The stream checkpoint
+one file is one delivery, one micro-batch takes one file, and it becomes one
+reconciliation run (``foreachBatch``).  Deliveries that wait are never merged:
+a merged feed would double every host.  The header is checked as in the batch
+reader (SURVEY rule 13).  The stream checkpoint
 records which files were processed; the run id is derived from the batch id,
 so a micro-batch replayed after a failure rewrites exactly the same run
 partitions (all run outputs are idempotent per run id).
@@ -32,9 +34,9 @@ def start_feed_stream(
     root: str,
     first_run_id: int = 1,
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
     context: Callable[[int], RunContext] | None = None,
     skew: SkewConf | None = None,
+    scope: str = "valid",
     rules: MatchRules | None = None,
     bucketing: Bucketing | None = None,
 ) -> StreamingQuery:
@@ -46,16 +48,16 @@ def start_feed_stream(
         .option("ignoreTrailingWhiteSpace", "false")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .option("enforceSchema", "false")
+        .option("maxFilesPerTrigger", "1")
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.csv(feed_dir)
     make_ctx = context or (lambda run_id: RunContext.now(run_id))
 
     def one_run(batch: DataFrame, batch_id: int) -> None:
         ctx = make_ctx(first_run_id + batch_id)
         layout = RunLayout(root, ctx.run_id)
-        run_tables(spark, layout, batch, season_pins_path, source, ctx, skew, rules=rules, bucketing=bucketing)
+        run_tables(spark, layout, batch, season_pins_path, source, ctx, skew, scope, rules, bucketing=bucketing)
 
     w = stream.writeStream.foreachBatch(one_run).option("checkpointLocation", f"{root.rstrip('/')}/_stream")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -1,5 +1,5 @@
-"""Plan shape on staged data: filters and column pruning reach the scan, and
-the only static broadcast is the bounded hot-key list."""
+"""Plan shape: filters and column pruning reach the scan, nothing is broadcast by the
+static planner, and a change set reads the config once."""
 
 import re
 
@@ -23,43 +23,32 @@ def test_staged_scans_push_filters_and_prune(spark, tmp_path, fixtures_small):
 
     # B16 scoping reads only the code column of the staged summary
     ins = v["config_inserts"]
-    assert ins.count() == 534
+    assert ins.count() == 544
 
 
-def test_no_static_broadcast_except_hot_keys(spark, fixtures_small):
+def test_no_static_broadcast(spark, fixtures_small):
     v = reconcile_views(fixtures_small)
-    # initial (pre-adaptive) plan: sort-merge joins; the hot-key list is the
-    # one explicit, top-k bounded broadcast
-    plan = v["desired_config"]._jdf.queryExecution().sparkPlan().toString()
-    # the hot list is joined to both sides of the salted join, nothing else
-    # is broadcast by the static planner
-    assert plan.count("BroadcastHashJoin") == 2
-    assert plan.count("TakeOrderedAndProject") == 2
-    assert plan.count("SortMergeJoin") >= 1
-    plan2 = v["config_after"]._jdf.queryExecution().sparkPlan().toString()
-    assert plan2.count("BroadcastHashJoin") == plan2.count("TakeOrderedAndProject")
-
-
-def test_staged_summary_broadcast_only_under_measured_limit(spark, tmp_path, fixtures_small):
-    from feedsync.plans.snapshots import Stager
-    from feedsync.plans.views import SkewConf
-
-    class Capture(Stager):
-        plans: dict = {}
-
-        def __call__(self, name, df):
-            self.plans[name] = df._jdf.queryExecution().sparkPlan().toString()
-            return super().__call__(name, df)
-
-    st = Capture(RunLayout(str(tmp_path / "a"), 1), spark)
-    v = reconcile_views(fixtures_small, stage=st)
-    v["config_inserts"].count()
-    assert st.bytes("codes") < (64 << 20)
-    assert "BroadcastHashJoin" in st.plans["tagged"]  # feed not shuffled for tagging
-    assert "BroadcastHashJoin" in st.plans["config_inserts"]
-
-    st2 = Capture(RunLayout(str(tmp_path / "b"), 1), spark)
-    st2.plans = {}
-    v2 = reconcile_views(fixtures_small, stage=st2, skew=SkewConf(max_broadcast_bytes=0))
-    assert v2["config_inserts"].count() == 534
-    assert "BroadcastHashJoin" not in st2.plans["tagged"]
+    for name in ("desired_config", "config_after", "compset_after", "competitor_after"):
+        plan = v[name]._jdf.queryExecution().sparkPlan().toString()
+        assert "Broadcast" not in plan and "TakeOrdered" not in plan
+        assert plan.count("SortMergeJoin") >= 1
+
+
+def test_change_set_reads_the_config_once(spark, tmp_path, fixtures_small):
+    t = {}
+    for name, df in fixtures_small.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+        t[name] = spark.read.parquet(f"{tmp_path}/{name}.parquet")
+    for name in ("config_inserts", "config_deletes", "touched_properties"):
+        plan = reconcile_views(t)[name]._jdf.queryExecution().analyzed().toString()
+        reads = [line for line in plan.splitlines() if "Relation" in line and "sys_weight" in line]
+        # touched takes inserts and deletes of the one change set (its exchange is reused)
+        assert len(reads) == (2 if name == "touched_properties" else 1), name
+
+
+def test_upserts_do_not_shuffle_listings_by_competitor(spark, fixtures_small):
+    plan = _plan(reconcile_views(fixtures_small)["competitor_upserts"])
+    # what goes to the rename join is the distinct pairs: never a listing column
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning(competitor_id" in line:
+            assert "raw_code" not in line and "prop_code" not in line

@@ -19,7 +19,8 @@ def confs(spark, **kv):
             else:
                 spark.conf.set(k, v)
 
-from feedsync.operators import expand_seasons, hot_keys, split_hot_join
+from feedsync.operators import expand_seasons, salted_join
+from feedsync.operators.skew import parts_of
 
 
 def skewed(spark, n=30000):
@@ -40,30 +41,29 @@ def seasons(spark):
     ).withColumn("we_ind", F.when(F.col("season_id") == 11, "N").otherwise("Y"))
 
 
-def test_hot_keys_bounded(spark):
-    h = hot_keys(skewed(spark), ["prop_code"], min_rows=1000, max_hot=5).collect()
-    assert [r.prop_code for r in h] == ["P000001"]
-    h2 = hot_keys(skewed(spark), ["prop_code"], min_rows=1, max_hot=5).collect()
-    assert len(h2) == 5
+def fanned(spark, big, small):
+    """Both sides with their key's output rows, as the run's summary gives them."""
+    n = big.groupBy("prop_code").count().join(small.groupBy("prop_code").count().withColumnRenamed("count", "m"), "prop_code")
+    fan = n.select("prop_code", (F.col("count") * F.col("m")).alias("n_fan"))
+    return big.join(fan, "prop_code"), small.join(fan, "prop_code"), fan
 
 
-def test_split_hot_join_equals_plain_join(spark):
+def test_salted_join_equals_plain_join(spark):
     big, small = skewed(spark), seasons(spark)
-    plain = big.join(small, "prop_code")
-    salted = split_hot_join(big, small, ["prop_code"], buckets=8, min_rows=1000)
-    assert salted.count() == plain.count()
-    assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
-    left = split_hot_join(big, small.filter("prop_code <> 'P000001'"), ["prop_code"], "left", buckets=8, min_rows=1000)
-    assert left.count() == big.join(small.filter("prop_code <> 'P000001'"), "prop_code", "left").count()
+    plain = big.distinct().join(small.distinct(), "prop_code")
+    b, s, _ = fanned(spark, big, small)
+    for rows in (50, 2500, 10**9):
+        salted = salted_join(b, s, ["prop_code"], "n_fan", rows)
+        assert salted.count() == plain.count()
+        assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
 
 
-def test_hot_key_spread_over_buckets(spark):
-    big, small = skewed(spark), seasons(spark)
+def test_hot_key_spread_over_tasks(spark):
+    b, s, _ = fanned(spark, skewed(spark), seasons(spark))
     with confs(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        salted = split_hot_join(big, small, ["prop_code"], buckets=8, min_rows=1000)
-        # rows of the hot code leave the join from several join tasks
         per_part = (
-            salted.filter(F.col("prop_code") == "P000001")
+            salted_join(b, s, ["prop_code"], "n_fan", 2500)
+            .filter(F.col("prop_code") == "P000001")
             .withColumn("p", F.spark_partition_id())
             .groupBy("p")
             .count()
@@ -73,24 +73,27 @@ def test_hot_key_spread_over_buckets(spark):
     assert max(r["count"] for r in per_part) < 20000
 
 
-def test_salt_count_follows_key_size(spark):
-    big, small = skewed(spark), seasons(spark)
-    with confs(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        salted = split_hot_join(big, small, ["prop_code"], min_rows=1000, rows_per_bucket=2500)
-        plain = big.join(small, "prop_code")
-        assert salted.count() == plain.count()
-        assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
-        # 10,000 rows of the hot code / 2,500 per bucket -> 4 salts, 2 seasons each
-        hot = hot_keys(big, ["prop_code"], 1000).collect()
-        assert [(r.prop_code, r._n) for r in hot] == [("P000001", 10000)]
-
-
-def test_expand_seasons_split_equals_unsplit(spark):
-    rows = skewed(spark)
-    a = expand_seasons(rows, seasons(spark), split_hot=True, min_rows=1000, buckets=8)
-    b = expand_seasons(rows, seasons(spark), split_hot=False)
-    assert a.count() == b.count()
-    assert a.exceptAll(b).count() == 0
+def test_every_one_of_many_hot_codes_is_split(spark):
+    """No list of hot keys, so no limit on their number: 1,500 hot codes."""
+    big = spark.range(1500 * 20).select(
+        F.format_string("P%06d", F.col("id") % 1500).alias("prop_code"),
+        (F.col("id") / 1500).cast("int").alias("competitor_id"),
+        F.lit("N").alias("own_ind"),
+    )
+    small = spark.range(1500).select(
+        F.format_string("P%06d", F.col("id")).alias("prop_code"),
+        F.explode(F.array(F.lit(11), F.lit(12))).alias("season_id"),
+        F.lit("N").alias("we_ind"),
+    )
+    b, s, fan = fanned(spark, big, small)
+    counts = fan.select(parts_of(F.col("n_fan"), 10).alias("parts")).groupBy("parts").count().collect()
+    assert [(r["parts"], r["count"]) for r in counts] == [(4, 1500)]
+    spread = b.withColumn("part", F.pmod(F.xxhash64("prop_code", "competitor_id", "own_ind"), F.lit(4)))
+    assert spread.groupBy("prop_code").agg(F.count_distinct("part").alias("n")).filter("n < 2").count() == 0
+    out = expand_seasons(b, small, fan, 10)
+    assert out.count() == 1500 * 20 * 2
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "TakeOrdered" not in plan and "Broadcast" not in plan
 
 
 def test_adaptive_skew_join_splits_semi_join(spark):
@@ -170,10 +173,10 @@ def test_whole_run_with_a_third_of_the_feed_on_one_code(spark, fixtures_small):
         F.format_string("hotel %d", F.col("id")).alias("hotel_name"),
     )
     t["listing"] = listing.unionByName(extra)
-    salted = reconcile_views(t, skew=SkewConf(split_hot=True, min_rows=100, rows_per_bucket=50))
-    plain = reconcile_views(t, skew=SkewConf(split_hot=False))
-    hot = hot_keys(salted["matched_rows"], ["prop_code"], 100).collect()
-    assert hot and hot[0].prop_code == "P000001" and hot[0]._n >= (n + n // 2) // 3
+    salted = reconcile_views(t, skew=SkewConf(rows_per_task=50))
+    plain = reconcile_views(t)
+    hot = salted["matched_rows"].groupBy("prop_code").count().orderBy(F.desc("count")).first()
+    assert hot.prop_code == "P000001" and hot["count"] >= (n + n // 2) // 3
     for name in ("desired_config", "config_inserts", "config_deletes", "config_after", "compset_diff"):
         a, b = salted[name], plain[name]
         assert a.count() == b.count(), name

@@ -66,8 +66,18 @@ def test_parquet_source_plain_and_snapshot(spark, tmp_path, fixtures_small):
         ).parquet(f"{root}/property")
     snap = read_table(spark, ParquetSource(root, run_id=2), "property")
     assert snap.count() == 20
-    plan = snap._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(run" in plan
+    assert all("/run=2/" in f for f in snap.inputFiles())
+
+
+def test_read_table_carries_all_columns(spark, tmp_path):
+    row = [("P1", 5, "N", "Y", 0.5)]
+    schema = "RC_PROP_CODE string, RC_CMPTN_ID int, own_ind string, active_ind string, weight double"
+    spark.createDataFrame(row, schema).write.parquet(f"{tmp_path}/compset.parquet")
+    names = {"rc_prop_code": "prop_code", "rc_cmptn_id": "competitor_id"}
+    df = read_table(spark, ParquetSource(str(tmp_path)), "compset", rename=names)
+    assert df.columns == ["prop_code", "competitor_id", "own_ind", "active_ind", "weight"]
+    with pytest.raises(ValueError, match="prop_code"):
+        read_table(spark, ParquetSource(str(tmp_path)), "compset")
 
 
 def test_read_table_prunes_and_renames(spark, tmp_path):
@@ -131,7 +141,7 @@ def test_run_job_from_csv_feed_and_parquet_tables(spark, tmp_path, fixtures_smal
     root = str(tmp_path / "root")
     res = run_job(spark, feed, pins, ParquetSource(tables), RunContext(run_id=1), root=root)
     c = res.counts()
-    assert c["config_inserts"] == 534 and c["config_deletes"] == 419 and c["compset_diff"] == 384
+    assert c["config_inserts"] == 544 and c["config_deletes"] == 422 and c["compset_diff"] == 388
     corrupt = spark.read.option("header", "true").csv(f"{root}/reports/run=1/corrupt-rows")
     assert corrupt.count() == 1
     # the next run continues from run 1's table states
@@ -142,6 +152,36 @@ def test_run_job_from_csv_feed_and_parquet_tables(spark, tmp_path, fixtures_smal
     assert again.counts() == res2.counts()
 
 
+def test_jdbc_source_from_options(tmp_path, monkeypatch):
+    from feedsync.plans.job import jdbc_source
+
+    spec = tmp_path / "tables.json"
+    spec.write_text('{"compset": {"rename": {"RC_PROP_CODE": "prop_code"}, "partition": ["RC_CMPTN_ID", 0, 99, 4]}}')
+    monkeypatch.setenv("DB_PASSWORD", "p")
+    src = jdbc_source("jdbc:example://db/x", "s", "u", "DB_PASSWORD", "org.example.Driver", str(spec))
+    o = src.read_options("compset")
+    assert (o["user"], o["password"], o["driver"], o["numPartitions"]) == ("u", "p", "org.example.Driver", "4")
+    assert src.rename == {"compset": {"RC_PROP_CODE": "prop_code"}}
+
+
+def test_local_root_is_refused_on_a_cluster(spark):
+    from feedsync.session import shared_root
+
+    class Session:
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getConf():
+                return {"spark.checkpoint.dir": "file:///mnt/shared"}
+
+    assert shared_root(spark, "/tmp/x") == "/tmp/x"
+    assert shared_root(Session, "s3a://b/x") == "s3a://b/x"
+    assert shared_root(Session, "/mnt/shared/x") == "/mnt/shared/x"
+    with pytest.raises(ValueError, match="one machine"):
+        shared_root(Session, "/tmp/x")
+
+
 def test_jdbc_write_options():
     src = JdbcSource("jdbc:example://db/x", {"user": "u"}, schema="s")
     o = src.write_options("comp_config", batchsize=500, num_partitions=8)
@@ -153,7 +193,7 @@ def test_shuffle_partitions_sizing(spark, tmp_path):
 
     assert shuffle_partitions_for(0, cores=8) == 16
     assert shuffle_partitions_for(10 << 30, cores=8) == 20  # 10 GiB / 512 MiB
-    assert shuffle_partitions_for(100 << 40, cores=8000) == 50_000  # 100 TiB, capped
+    assert shuffle_partitions_for(100 << 40, cores=8000) == 204_800  # 100 TiB, no limit
     assert shuffle_partitions_for(1 << 40, cores=8000) == 16_000  # two waves of cores
     (tmp_path / "a").write_bytes(b"x" * 1000)
     assert input_bytes(spark, str(tmp_path)) == 1000
@@ -173,4 +213,4 @@ def test_cli_main(spark, tmp_path, fixtures_small, capsys):
     main(["--feed", feed, "--season-pins", pins, "--tables", tables, "--root", root, "--run-id", "3",
           "--data-date", "2024-01-01"])
     out = capsys.readouterr().out
-    assert any(line.split()[:2] == ["config_inserts", "534"] for line in out.splitlines())
+    assert any(line.split()[:2] == ["config_inserts", "544"] for line in out.splitlines())

@@ -26,7 +26,7 @@ def test_stream_runs_once_per_delivery(spark, tmp_path, fixtures_small):
     assert latest_complete_run(spark, root) == 1
     audit = spark.read.parquet(f"{root}/audit").filter(F.col("run") == 1)
     got = {r.output: r.n_rows for r in audit.collect()}
-    assert got["config_inserts"] == 534 and got["compset_diff"] == 384
+    assert got["config_inserts"] == 544 and got["compset_diff"] == 388
 
     # a second delivery: one more run on top of run 1's state
     (inbox / "day2.csv").write_text((inbox / "day1.csv").read_text())
@@ -51,10 +51,23 @@ def test_two_waiting_deliveries_become_two_runs(spark, tmp_path, fixtures_small)
     (inbox / "b.csv").write_text(text)
     root = str(tmp_path / "root")
     q = start_feed_stream(
-        spark, str(inbox), pins, ParquetSource(tables), root, max_files_per_trigger=1,
+        spark, str(inbox), pins, ParquetSource(tables), root,
         context=lambda run_id: RunContext(run_id=run_id),
     )
     q.awaitTermination(300)
     audit = spark.read.parquet(f"{root}/audit")
     runs = {r.run: r.n_rows for r in audit.filter("output = 'new_hosts'").collect()}
     assert runs == {1: 10, 2: 0}  # the second run starts from the first one's state
+
+
+def test_stream_checks_the_header(spark, tmp_path, fixtures_small):
+    import pytest
+
+    (tmp_path / "inbox").mkdir()
+    (tmp_path / "inbox" / "a.csv").write_text("role,raw_code,ext_id,chain_name,hotel_name\nH,P000001,1,a,b\n")
+    q = start_feed_stream(
+        spark, str(tmp_path / "inbox"), str(tmp_path / "pins"), ParquetSource(str(tmp_path)), str(tmp_path / "root"),
+        context=lambda run_id: RunContext(run_id=run_id),
+    )
+    with pytest.raises(Exception, match="header"):
+        q.awaitTermination(120)
