@@ -27,7 +27,6 @@ ids; an empty table gives an empty result; other columns pass through.
 from __future__ import annotations
 
 import re
-import struct
 from functools import cache
 from itertools import chain
 
@@ -43,7 +42,7 @@ from feedsync.llm.common import slices
 MODEL = "piece_bpe_32k.model"
 MARK = chr(0x2581)
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE = 300_000
+CACHE = 400_000
 BLOCK_BYTES = 1 << 20
 NEVER = -1e8  # pieces that merging never makes score below this
 
@@ -72,6 +71,7 @@ class PieceModel:
         self.unknown = sp.unk_id()
         if any(MARK in p.lstrip(MARK) for p in self.score):
             raise ValueError("a piece crosses the start of a word; words can't be encoded on their own")
+        self.packed = {p: i.to_bytes(4, "little") for p, (_, i) in self.score.items()}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -136,40 +136,38 @@ class PieceModel:
                     return piece
         raise ValueError(f"no segmentation of {word!r}")
 
-    def segment(self, words: list[str]):
-        """(word, its pieces) of sorted words; common prefixes are searched once."""
-        values, lasts, paths, before = [0.0], [""], [()], ""
+    def segment(self, words: list[str], start=(), extend=lambda path, piece: (*path, piece)):
+        """(word, its pieces) of sorted words; common prefixes are searched once.
+
+        ``extend`` folds a path's pieces, from ``start`` on, into what is returned."""
+        values, lasts, paths, before = [0.0], [""], [start], ""
+        unigram, last = self.unigram, self._last
         for word in words:
             known = _common(before, word) + 1
             del values[known:], lasts[known:], paths[known:]
             for end in range(len(lasts), len(word) + 1):
-                if self.unigram:
-                    value, start = self._best(word, end, values)
-                    piece = word[start:end]
+                if unigram:
+                    value, first = self._best(word, end, values)
+                    piece = word[first:end]
                     values.append(value)
                 else:
-                    piece = self._last(word, end, lasts)
-                    start = end - len(piece)
+                    piece = last(word, end, lasts)
                 lasts.append(piece)
-                paths.append((paths[start], piece))
+                paths.append(extend(paths[end - len(piece)], piece))
             before = word
-            pieces, path = [], paths[len(word)]
-            while path:
-                path, piece = path
-                pieces.append(piece)
-            yield word, pieces[::-1]
-
-    def _ids(self, pieces: list[str]) -> bytes:
-        out = []
-        for p in pieces:
-            known = self.score.get(p)
-            if known:
-                out.append(known[1])
-            elif self.bytes:
-                out += [self.bytes[b] for b in p.encode()]
-            elif not out or out[-1] != self.unknown:
-                out.append(self.unknown)
-        return struct.pack(f"<{len(out)}I", *out)
+            yield word, paths[len(word)]
+
+    def _with_ids(self, ids: bytes, piece: str) -> bytes:
+        """``ids`` and those of one more piece."""
+        known = self.packed.get(piece)
+        if known is None:
+            if self.bytes:
+                known = b"".join(self.bytes[b].to_bytes(4, "little") for b in piece.encode())
+            else:
+                known = self.unknown.to_bytes(4, "little")
+                if ids[-4:] == known:  # a run of unknown characters is one id
+                    return ids
+        return ids + known
 
     # ------------------------------------------------------------- whole texts
 
@@ -189,8 +187,9 @@ class PieceModel:
         wanted = set(chain.from_iterable(cut)).difference(self.words)
         for w in wanted & self.old.keys():
             self.words[w] = self.old[w]
-        for word, pieces in self.segment([MARK + w for w in sorted(wanted.difference(self.old))]):
-            self.words[word[1:]] = self._ids(pieces)
+        new = [MARK + w for w in sorted(wanted.difference(self.old))]
+        for word, ids in self.segment(new, b"", self._with_ids):
+            self.words[word[1:]] = ids
         return [b"".join(map(self.words.__getitem__, words)) for words in cut]
 
     def decode(self, ids) -> str:

@@ -63,7 +63,7 @@ def test_prefixes_are_searched_once():
     whole = model._last
     model._last = lambda word, end, lasts: seen.append(end) or whole(word, end, lasts)
     words = sorted([MARK + "inter", MARK + "internal", MARK + "international"])
-    list(model.segment(words))
+    assert [w for w, _ in model.segment(words)] == words
     assert len(seen) == len({w[:n] for w in words for n in range(1, len(w) + 1)})
 
 
