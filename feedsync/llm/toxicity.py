@@ -13,7 +13,7 @@ model (the first model is a log-odds count of contiguous subsequences): the best
 sentences of toxic documents are positive, those of clean documents negative.
 Kernel values against landmark words, whitened (Nystroem), feed a linear SVM with
 squared hinge loss; choosing and fitting alternate a few times.  A logistic curve
-turns a document's highest word score into a probability.
+over a document's three highest word scores and its length gives the probability.
 
 Since the kernel is a dot product of subsequence counts, the landmarks' weights
 fold into one table over all 2^20 subsequences (4 MB, broadcast), and scoring a
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from feedsync.llm.common import mix64, slices, texts
 
-MAX_TOXIC, MAX_CLEAN = 1500, 3000
+MAX_TOXIC, MAX_CLEAN = 1200, 2500
 LANDMARKS = 256
 DECAY = 0.7
 SPAN = 5  # last offset of a subsequence
@@ -162,7 +162,7 @@ class Landmarks:
                 first = np.flatnonzero(np.diff(rows, prepend=-1))
                 values = self.table[at[known][order]] * weight[known][order, None].astype(np.float32)
                 k[rows[first]] = np.add.reduceat(values, first)
-            out.append(k @ self.whiten)
+            out.append((k @ self.whiten).astype(np.float32))
         return np.concatenate(out)
 
     def folded(self, beta: np.ndarray) -> np.ndarray:
@@ -174,7 +174,7 @@ class Landmarks:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 30) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss by Newton steps; y is +1 or -1."""
-    a = np.hstack([x, np.ones((len(x), 1))])
+    a = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     ridge = np.eye(a.shape[1])
     ridge[-1, -1] = 1e-3
     beta = np.zeros(a.shape[1])
@@ -184,33 +184,43 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 30) ->
         if active is not None and np.array_equal(inside, active):
             break
         active = inside
-        z = a[inside] * cost[inside, None]
-        beta = np.linalg.solve(ridge + z.T @ a[inside], z.T @ y[inside])
+        active_rows = a[inside]
+        z = active_rows * cost[inside, None].astype(a.dtype)
+        beta = np.linalg.solve(ridge + (z.T @ active_rows).astype(np.float64), z.T @ y[inside])
     return beta[:-1], float(beta[-1])
 
 
-def fit_curve(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve P(y) = 1 / (1 + exp(-(slope f + offset)))."""
-    theta, x = np.zeros(2), np.column_stack([f, np.ones(len(f))])
+def evidence(found: np.ndarray) -> np.ndarray:
+    """What a document's word scores say: the three highest (insults come in numbers,
+    chance likenesses do not) and the logarithm of how many words there are."""
+    top = np.zeros(3)
+    n = min(3, len(found))
+    if n:
+        top[:n] = np.sort(np.partition(found, len(found) - n)[-n:])[::-1]
+    return np.append(top, np.log1p(len(found)))
+
+
+def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights of a logistic curve over :func:`evidence`, the last for the constant."""
+    x = np.column_stack([x, np.ones(len(x))])
+    theta, ridge = np.zeros(x.shape[1]), 1e-2 * np.eye(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (y - p) - 1e-2 * theta)
+        h = (x * (p * (1 - p))[:, None]).T @ x + ridge
+        step = np.linalg.solve(h, x.T @ (y - p) - ridge @ theta)
         theta += step
         if np.abs(step).max() < 1e-6:
             break
-    return float(max(theta[0], 0.0)), float(theta[1])
+    return theta
 
 
 @dataclass
 class Model:
     weights: np.ndarray  # over subsequences
-    bias: float
-    slope: float
-    offset: float
+    curve: np.ndarray  # over evidence
 
-    def probability(self, best: np.ndarray) -> np.ndarray:
-        z = self.slope * (best + self.bias) + self.offset
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        z = x @ self.curve[:-1] + self.curve[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -252,24 +262,25 @@ def _order(words: list[bytes]) -> list[bytes]:
     return [found[i] for i in rank]
 
 
-def train(sentences: list[list[np.ndarray]], toxic: np.ndarray) -> Model:
-    """Fit a model to documents given as lists of sentences' symbol streams."""
+def train(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> Model:
+    """Fit a model to documents, each the symbol stream of its sentences laid end to end
+    and the number of words of each sentence."""
     toxic = np.asarray(toxic, bool)
     share = float(toxic.mean()) if len(toxic) else 0.0
     if share in (0.0, 1.0):
         flat = np.clip(share, 1e-9, 1 - 1e-9)
-        return Model(np.zeros(1 << 20, np.float32), 0.0, 0.0, float(np.log(flat / (1 - flat))))
-    streams = [np.concatenate(d) if d else np.zeros(0, np.uint8) for d in sentences]
-    owner = [np.repeat(np.arange(len(d)), [int((s == 0).sum()) for s in d]) for d in sentences]
+        return Model(np.zeros(1 << 20, np.float32), np.array([0.0] * 4 + [np.log(flat / (1 - flat))]))
+    streams = [stream for stream, _ in docs]
     odds = _log_odds(streams, toxic)
     weights, bias = None, 0.0
     for round_ in range(ROUNDS):
         positive, negative = [], []
-        for s, sentence, y in zip(streams, owner, toxic, strict=True):
+        for (s, counts), y in zip(docs, toxic, strict=True):
             score = _seed_scores(s, odds) if weights is None else word_scores(s, weights) + bias
             if not len(score):
                 continue
             words, taken = None, set()
+            sentence = np.repeat(np.arange(len(counts)), counts)
             for i in np.argsort(-score, kind="stable")[:12]:
                 if sentence[i] in taken or len(taken) == 3:  # one word speaks for its sentence
                     continue
@@ -291,8 +302,8 @@ def train(sentences: list[list[np.ndarray]], toxic: np.ndarray) -> Model:
         weights = landmarks.folded(beta)
     if weights is None:
         return train([], np.zeros(0))
-    best = np.array([word_scores(s, weights).max(initial=0.0) + bias for s in streams])
-    return Model(weights, bias, *fit_curve(best, toxic.astype(float)))
+    x = np.array([evidence(word_scores(s, weights)) for s in streams])
+    return Model(weights, fit_curve(x, toxic.astype(float)))
 
 
 # ------------------------------------------------------------------ on Spark
@@ -302,8 +313,9 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[list[np.ndarray]], np.ndarray]:
-    """Sentences of a bounded sample of the labelled rows that are not held out."""
+def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """A bounded sample of the labelled rows that are not held out, as :func:`train`
+    takes them."""
     named = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     named = named.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -316,12 +328,14 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[list[np.nd
 
     def split(batches):
         for b in (part for whole in batches for part in slices(whole, "text")):
-            out = []
+            streams, counts = [], []
             for text in texts(b.column(2)):
-                parts = [symbols(p).tobytes() for p in _LETTERS.split(text)]
-                out.append([p for p in parts if p])
+                parts = [symbols(p) for p in _LETTERS.split(text)]
+                streams.append(b"".join(p.tobytes() for p in parts))
+                counts.append([int((p == 0).sum()) for p in parts if len(p)])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(out, pa.list_(pa.binary()))], names=["doc_id", "toxic", "parts"]
+                [b.column(0), b.column(1), pa.array(streams, pa.binary()), pa.array(counts, pa.list_(pa.int32()))],
+                names=["doc_id", "toxic", "symbols", "words"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -329,12 +343,14 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[list[np.nd
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
         .select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
-        .mapInArrow(split, f"doc_id {kind}, toxic int, parts array<binary>")
-        .collect()
+        .mapInArrow(split, f"doc_id {kind}, toxic int, symbols binary, words array<int>")
+        .toArrow()
+        .sort_by([("doc_id", "ascending"), ("symbols", "ascending")])
+        .combine_chunks()
     )
-    rows.sort(key=lambda r: (r["doc_id"], r["parts"]))
-    sentences = [[np.frombuffer(p, np.uint8) for p in r["parts"]] for r in rows]
-    return sentences, np.array([r["toxic"] == 1 for r in rows], bool)
+    streams = [np.frombuffer(x.as_buffer(), np.uint8) if x.is_valid else np.zeros(0, np.uint8) for x in rows["symbols"]]
+    words = [np.asarray(x, np.int64) for x in rows["words"].to_pylist()]
+    return list(zip(streams, words, strict=True)), rows["toxic"].to_numpy() == 1
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_columns: bool = False) -> DataFrame:
@@ -345,15 +361,15 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_colu
     def run(batches):
         model = shared.value
         for b in (part for whole in batches for part in slices(whole, "text")):
-            best = np.zeros(b.num_rows)
+            x = np.tile(evidence(np.zeros(0)), (b.num_rows, 1))
             pending, size = [], 0
 
             def flush():
                 found = word_scores(np.concatenate([s for _, s in pending]), model.weights)
                 sizes = [int((s == 0).sum()) for _, s in pending]
-                firsts = np.cumsum(sizes) - sizes
-                for (row, _), top in zip(pending, np.maximum.reduceat(found, firsts), strict=True):
-                    best[row] = max(best[row], top)
+                ends = np.cumsum(sizes)
+                for (row, _), end, n in zip(pending, ends.tolist(), sizes, strict=True):
+                    x[row] = evidence(found[end - n : end])
 
             for row, text in enumerate(texts(b.column(1))):
                 s = symbols(text)
@@ -365,7 +381,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_colu
                     pending, size = [], 0
             if pending:
                 flush()
-            p = model.probability(best)
+            p = model.probability(x)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32)), *b.columns[2:]],
                 names=["doc_id", "score", "predicted", "row"][: b.num_columns + 1],
