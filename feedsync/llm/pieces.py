@@ -44,6 +44,7 @@ MARK = chr(0x2581)
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 CACHE = 400_000
 BLOCK_BYTES = 1 << 20
+END_MARKS = frozenset(".,;:!?")
 NEVER = -1e8  # pieces that merging never makes score below this
 
 
@@ -121,27 +122,12 @@ class PieceModel:
                     best = (value, start)
         return best
 
-    def _last(self, word: str, end: int, lasts: list[str]) -> str:
-        """Of a BPE model, the last piece of the prefix that ends at ``end``."""
-        for size in self.sizes.get(word[max(end - 2, 0) : end], (1,)):
-            start = end - size
-            if start < 0:
-                continue
-            piece = word[start:end]
-            if piece in self.whole or size == 1:
-                if not start:
-                    return piece
-                known = self.pairs.get((lasts[start], piece))
-                if known or known is None and self.follows(lasts[start], piece):
-                    return piece
-        raise ValueError(f"no segmentation of {word!r}")
-
     def segment(self, words: list[str], start=(), extend=lambda path, piece: (*path, piece)):
         """(word, its pieces) of sorted words; common prefixes are searched once.
 
         ``extend`` folds a path's pieces, from ``start`` on, into what is returned."""
         values, lasts, paths, before = [0.0], [""], [start], ""
-        unigram, last = self.unigram, self._last
+        unigram, sizes, whole, pairs, one = self.unigram, self.sizes, self.whole, self.pairs, (1,)
         for word in words:
             known = _common(before, word) + 1
             del values[known:], lasts[known:], paths[known:]
@@ -150,10 +136,22 @@ class PieceModel:
                     value, first = self._best(word, end, values)
                     piece = word[first:end]
                     values.append(value)
-                else:
-                    piece = last(word, end, lasts)
+                else:  # the last piece of this prefix, tried longest first
+                    for size in sizes.get(word[end - 2 : end] if end > 1 else word[:1], one):
+                        first = end - size
+                        if first < 0:
+                            continue
+                        piece = word[first:end]
+                        if size == 1 or piece in whole:
+                            if not first:
+                                break
+                            valid = pairs.get((lasts[first], piece))
+                            if valid or valid is None and self.follows(lasts[first], piece):
+                                break
+                    else:
+                        raise ValueError(f"no segmentation of {word!r}")
                 lasts.append(piece)
-                paths.append(extend(paths[end - len(piece)], piece))
+                paths.append(extend(paths[first], piece))
             before = word
             yield word, paths[len(word)]
 
@@ -187,11 +185,30 @@ class PieceModel:
         wanted = set(chain.from_iterable(cut)).difference(self.words)
         for w in wanted & self.old.keys():
             self.words[w] = self.old[w]
-        new = [MARK + w for w in sorted(wanted.difference(self.old))]
-        for word, ids in self.segment(new, b"", self._with_ids):
-            self.words[word[1:]] = ids
+        fresh = wanted.difference(self.old)
+        ended = {w for w in fresh if w[-1:] in END_MARKS and (w[:-1] in fresh or w[:-1] in self.words or w[:-1] in self.old)}
+        self._learn(fresh - ended)
+        self._learn({w for w in ended if not self._extended(w)})
         return [b"".join(map(self.words.__getitem__, words)) for words in cut]
 
+    def _learn(self, words: set[str]) -> None:
+        for word, ids in self.segment([MARK + w for w in sorted(words)], b"", self._with_ids):
+            self.words[word[1:]] = ids
+
+    def _extended(self, word: str) -> bool:
+        """Whether ``word`` could be had from its longest proper prefix, whose forward
+        value is known: no longer piece ends with the last two characters, so the last
+        character is a piece, which has to follow the prefix's last one."""
+        ids = self.words.get(word[:-1]) or self.old.get(word[:-1])
+        end = word[-1]
+        if not ids or self.unigram or end not in self.score or word[-2:] in self.sizes:
+            return False
+        before = self.names[int.from_bytes(ids[-4:], "little")]
+        if before not in self.score or not self.follows(before, end):
+            return False
+        self.words[word] = ids + self.packed[end]
+        return True
+
     def decode(self, ids) -> str:
         text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text

@@ -58,13 +58,10 @@ def test_unigram_search_is_optimal():
 
 
 def test_prefixes_are_searched_once():
-    model = pieces.PieceModel()
-    seen = []
-    whole = model._last
-    model._last = lambda word, end, lasts: seen.append(end) or whole(word, end, lasts)
+    model, steps = pieces.PieceModel(), []
     words = sorted([MARK + "inter", MARK + "internal", MARK + "international"])
-    assert [w for w, _ in model.segment(words)] == words
-    assert len(seen) == len({w[:n] for w in words for n in range(1, len(w) + 1)})
+    assert [w for w, _ in model.segment(words, (), lambda path, piece: steps.append(piece))] == words
+    assert len(steps) == len({w[:n] for w in words for n in range(1, len(w) + 1)})
 
 
 def test_piece_columns(spark):
