@@ -1,13 +1,15 @@
 """Near-duplicate groups by ProbMinHash, banding and verification (operator 9).
 
-Texts are sets of five-word shingles, weighted ``1 + ln(count)``.
-
-1. *Sketch.*  Each shingle is a Poisson process of arrivals with its weight as rate,
-   driven by its hash; an arrival picks one of ``K`` components at random, and a
-   component keeps the shingle that arrives first.  Arrivals are drawn round by
-   round and a shingle stops as soon as its next arrival comes after every
-   component's first.  Two texts agree in a component with the probability Jaccard
-   similarity of their weighted shingles.
+Texts are sets of five-word shingles; how often a shingle repeats inside a text does
+not count.
+
+1. *Sketch.*  Each shingle is a Poisson process of arrivals with its weight as rate
+   (1 for every shingle of a set), driven by its hash; an arrival picks one of ``K``
+   components at random, and a component keeps the shingle that arrives first.
+   Arrivals are drawn round by round and a shingle stops as soon as its next arrival
+   comes after every component's first.  Two texts agree in a component with the
+   probability Jaccard similarity of their weighted shingles; with equal weights that
+   is the Jaccard similarity of the sets, which step 4 verifies.
 2. *Copies.*  Texts with the same shingles collapse to the one with the smallest id
    by a pre-aggregated minimum, so groups of copies never meet in a bucket.
 3. *Bands.*  ``BANDS`` groups of ``ROWS`` components make bucket keys.  Of a bucket only
@@ -49,8 +51,8 @@ BLOCK = 256  # rows of either side that one task compares
 _ARRIVAL, _CHOICE = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shingles, how often, shingles of each text): distinct and sorted within a text."""
+def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, shingles of each text): distinct and sorted within a text."""
     lengths = np.array([len(t) for t in texts], np.int64)
     words, counts = word_hashes(b"".join(texts), lengths)
     h, whole = run_hashes(words, counts, SHINGLE)
@@ -65,9 +67,7 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     order = np.lexsort((h, doc))
     h, doc = h[order], doc[order]
     new = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.zeros(0, bool)
-    at = np.flatnonzero(new)
-    often = np.diff(at, append=len(h))
-    return h[at], often, np.bincount(doc[at], minlength=len(texts))
+    return h[new], np.bincount(doc[new], minlength=len(texts))
 
 
 def prob_minhash(shingles: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k: int = K) -> np.ndarray:
@@ -114,8 +114,8 @@ def _blocks(batches):
 
 def _sketches(batches):
     for ids, raw in _blocks(batches):
-        shingles, often, sizes = shingle_sets(raw)
-        keys = band_keys(prob_minhash(shingles, 1 + np.log(often), sizes))
+        shingles, sizes = shingle_sets(raw)
+        keys = band_keys(prob_minhash(shingles, np.ones(len(shingles)), sizes))
         sums = []
         for seed in (1, 2):  # equal sets have equal sums of mixed hashes
             total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(shingles ^ np.uint64(seed)), dtype=np.uint64)])
@@ -135,7 +135,7 @@ def _sketches(batches):
 
 def _sets(batches):
     for ids, raw in _blocks(batches):
-        shingles, _, sizes = shingle_sets(raw)
+        shingles, sizes = shingle_sets(raw)
         ends = np.cumsum(sizes)
         packed = [shingles[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)]
         yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], names=["id", "shingles"])

@@ -207,6 +207,18 @@ def test_near_classes_equal_brute_force(spark):
     assert got == brute_classes(rows)
 
 
+def test_near_copies_with_a_repeated_line(spark):
+    """Sets just above the similarity that differ by a line pasted many times."""
+    ship_package(spark)
+    rows = []
+    for i in range(40):
+        body = " ".join(f"p{i}-{k}" for k in range(64))
+        footer = " ".join(f"f{i}-{k}" for k in range(10))
+        rows += [(10 * i, body), (10 * i + 1, " ".join([body] + [footer] * (20 + 2 * i)))]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicate_classes(table(spark, rows)).collect()}
+    assert got == brute_classes(rows) == {i: i // 10 * 10 for i, _ in rows}
+
+
 def test_near_odd_rows(spark):
     ship_package(spark)
     rows = [(5, "a b c d e f"), (2, "a b  c d\te f"), (7, None), (8, ""), (9, None), (None, "a b c d e f")]
