@@ -14,10 +14,14 @@ Forward values depend on the model's kind:
   back; a path that merging would not produce scores minus infinity.  So one value,
   the last piece, is kept for each character, and the result is the model's own.
 
+A prefix keeps its last piece only, whose length points back; a complete word's pieces
+are had by walking back once, so memory and time are linear in a word's length.
+
 Characters that no piece covers become byte pieces (or the unknown id).  Decoding joins
 pieces and bytes and takes the first mark away.
 
-Words are cached within bounds across the blocks of a task; nothing is shuffled.
+Words are cached within bounds across the blocks of a task, but for those of more than
+``LONG`` characters, which last for their block; nothing is shuffled.
 
 Defined results: null decodes and encodes to null, an empty text to no ids; marks
 (U+2581) in a text are kept as spaces, as SentencePiece does; repeated rows get equal
@@ -43,6 +47,7 @@ MODEL = "piece_bpe_32k.model"
 MARK = chr(0x2581)
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 CACHE = 400_000
+LONG = 256  # characters of the longest word that is cached
 BLOCK_BYTES = 1 << 20
 END_MARKS = frozenset(".,;:!?")
 NEVER = -1e8  # pieces that merging never makes score below this
@@ -122,10 +127,11 @@ class PieceModel:
                     best = (value, start)
         return best
 
-    def segment(self, words: list[str], start=(), extend=lambda path, piece: (*path, piece)):
+    def segment(self, words: list[str], start=None, extend=None):
         """(word, its pieces) of sorted words; common prefixes are searched once.
 
-        ``extend`` folds a path's pieces, from ``start`` on, into what is returned."""
+        ``extend``, if given, folds the pieces of each prefix, from ``start`` on, into
+        what is returned; it keeps a value for each prefix of the word."""
         values, lasts, paths, before = [0.0], [""], [start], ""
         unigram, sizes, whole, pairs, one = self.unigram, self.sizes, self.whole, self.pairs, (1,)
         for word in words:
@@ -151,21 +157,34 @@ class PieceModel:
                     else:
                         raise ValueError(f"no segmentation of {word!r}")
                 lasts.append(piece)
-                paths.append(extend(paths[first], piece))
+                if extend:
+                    paths.append(extend(paths[first], piece))
             before = word
-            yield word, paths[len(word)]
-
-    def _with_ids(self, ids: bytes, piece: str) -> bytes:
-        """``ids`` and those of one more piece."""
-        known = self.packed.get(piece)
-        if known is None:
-            if self.bytes:
-                known = b"".join(self.bytes[b].to_bytes(4, "little") for b in piece.encode())
-            else:
-                known = self.unknown.to_bytes(4, "little")
-                if ids[-4:] == known:  # a run of unknown characters is one id
-                    return ids
-        return ids + known
+            if extend:
+                yield word, paths[len(word)]
+                continue
+            found, end = [], len(word)
+            while end:
+                piece = lasts[end]
+                found.append(piece)
+                end -= len(piece)
+            found.reverse()
+            yield word, found
+
+    def _ids(self, pieces: list[str]) -> bytes:
+        """The ids of ``pieces``, laid end to end."""
+        out, unknown = [], self.unknown.to_bytes(4, "little")
+        for piece in pieces:
+            known = self.packed.get(piece)
+            if known is None:
+                if self.bytes:
+                    known = b"".join(self.bytes[b].to_bytes(4, "little") for b in piece.encode())
+                else:
+                    known = unknown
+                    if out and out[-1] == known:  # a run of unknown characters is one id
+                        continue
+            out.append(known)
+        return b"".join(out)
 
     # ------------------------------------------------------------- whole texts
 
@@ -189,11 +208,19 @@ class PieceModel:
         ended = {w for w in fresh if w[-1:] in END_MARKS and (w[:-1] in fresh or w[:-1] in self.words or w[:-1] in self.old)}
         self._learn(fresh - ended)
         self._learn({w for w in ended if not self._extended(w)})
-        return [b"".join(map(self.words.__getitem__, words)) for words in cut]
+        found = [b"".join(map(self.words.__getitem__, words)) for words in cut]
+        for w in fresh:
+            if len(w) > LONG:
+                del self.words[w]
+        return found
 
     def _learn(self, words: set[str]) -> None:
-        for word, ids in self.segment([MARK + w for w in sorted(words)], b"", self._with_ids):
-            self.words[word[1:]] = ids
+        packed = self.packed.__getitem__
+        for word, pieces in self.segment([MARK + w for w in sorted(words)]):
+            try:
+                self.words[word[1:]] = b"".join(map(packed, pieces))
+            except KeyError:  # characters that no piece covers
+                self.words[word[1:]] = self._ids(pieces)
 
     def _extended(self, word: str) -> bool:
         """Whether ``word`` could be had from its longest proper prefix, whose forward

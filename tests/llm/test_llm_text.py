@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -64,6 +65,24 @@ def test_prefixes_are_searched_once():
     assert len(steps) == len({w[:n] for w in words for n in range(1, len(w) + 1)})
 
 
+def test_long_text_without_spaces_takes_linear_memory():
+    rng = random.Random(8)
+    kinds = ["abcdefghijklmnopqrstuvwxyzABCXYZ0123456789+/", "theinabo\n", chr(0x4E2D) + chr(0x6587) + chr(0x1F600) + "ab"]
+    texts = ["".join(rng.choices(letters, k=n)) for letters, n in zip(kinds, (300_000, 20_000, 20_000), strict=True)]
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(pieces.MODEL))
+    model = pieces.PieceModel()
+    model.encode(["warm up"])
+    tracemalloc.start()
+    try:
+        found = model.encode(texts[:1]) + model.encode(texts[1:])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [library.encode(t) for t in texts]
+    assert peak < 200 << 20
+    assert not any(len(w) > pieces.LONG for w in model.words)
+
+
 def test_piece_columns(spark):
     ship_package(spark)
     rows = [(1, "a b", "k"), (2, None, "k"), (3, "", None), (1, "a b", "k"), (4, "x y " * 30_000, "k")]
