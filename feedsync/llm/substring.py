@@ -12,8 +12,9 @@ words also start in a document with a smaller id.
    word sequence (an 80-bit hash) with all others, which finds the smallest
    document of each.  Windows that repeat are joined to maximal repeats.
 
-Documents are dealt to chunks of bounded size by a hash of their id, their texts
-compressed, and cross the network once.  A chunk sends each partition of the hash
+Documents are dealt to chunks by a hash of their id and text, so null and repeated ids
+spread and only rows alike in both share a chunk for certain; their texts are
+compressed and cross the network once.  A chunk sends each partition of the hash
 space one packed row of distinct values, and gets back the values that count; a
 passage that fills a third of the corpus is one value for each chunk.
 
@@ -302,7 +303,7 @@ def _processed(docs: DataFrame, id_col: str, text_col: str, want_text: bool) ->
     rows = docs.select(
         F.struct(*others, F.col(text_col).isNull().alias("__null")).alias("__doc"),
         F.col(id_col).cast("long").alias("__id"),
-        F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("long").alias("__k"),
+        F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)), F.lit(chunks)).cast("long").alias("__k"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"),
     )
     kind = rows.schema["__doc"].dataType.simpleString()

@@ -118,6 +118,26 @@ def test_removal_equals_brute_force(spark, monkeypatch):
         assert sorted(key) == sorted((str(i), n, k, hashlib.sha256(t.encode()).hexdigest()) for i, n, k, t in want)
 
 
+def test_null_and_repeated_ids_spread_over_chunks(spark, monkeypatch):
+    ship_package(spark)
+    monkeypatch.setattr(substring, "CHUNK_BYTES", 1 << 12)
+    sizes = spark.sparkContext.accumulator(0)
+    probes = substring._probes
+
+    def counted(chunk, partitions):
+        sizes.add(chunk.num_rows**2)
+        return probes(chunk, partitions)
+
+    monkeypatch.setattr(substring, "_probes", counted)
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(99)) for _ in range(60)) for _ in range(200)]
+    rows = [(None if i % 2 else 5, t) for i, t in enumerate(texts)] + [(1, texts[0]), (9, texts[1]), (None, texts[2])]
+    got = substring.removal_digests(table(spark, rows)).collect()
+    want = [(str(i), n, k, hashlib.sha256(t.encode()).hexdigest()) for i, n, k, t in brute_removal(rows)]
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == sorted(want)
+    assert sizes.value < 5000  # 20,000 with the rows of an id in one chunk
+
+
 def test_removed_text_and_spans(spark):
     ship_package(spark)
     rows = [*corpus(5), (None, None)]
