@@ -1,8 +1,11 @@
 """Deterministic sharded WARC writer and its reader (operator 4).
 
 Records are range-sorted by page id into shards whose bounds come from an exact
-histogram of payload bytes over 65,536 equal slices of the id range, so the same
-pages give the same archives on any cluster.  A task streams one shard in order,
+histogram of payload bytes over 65,536 equal slices of the id range, repeated between
+the lowest and the highest id of a slice that holds too much, so the same pages give
+the same archives on any cluster.  Rows without page id spread over as many shards as
+their bytes fill by a hash of url and html; only rows of one id, or alike in both, stay
+together whatever their size.  A task streams one shard in order,
 regenerates headers and digests, closes a file when its compressed size passes
 ``roll_bytes`` and returns manifest rows (:mod:`feedsync.llm.sharded_files`
 commits them).  Every record is a gzip member of its own.
@@ -37,32 +40,48 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
 
-def shard_table(pages: DataFrame, shard_bytes: int | None) -> tuple[DataFrame, float, float, int]:
-    """(slice -> first shard and sub-slices, lowest id, slice width, number of shards)."""
+def shard_table(pages: DataFrame, shard_bytes: int | None) -> tuple[DataFrame, float, float, int, int]:
+    """(slice -> first shard and the ids at which further shards start in it, lowest id,
+    slice width, number of shards, shards of the rows without id)."""
     spark = pages.sparkSession
     size = F.coalesce(F.octet_length("html"), F.lit(0)).cast("long") + 512
-    lo, hi, total = pages.agg(F.min("page_id"), F.max("page_id"), F.sum(size)).first()
-    lo, hi, total = float(lo or 0), float(hi or 0), int(total or 0)
+    nameless = F.sum(F.when(F.col("page_id").isNull(), size))
+    lo, hi, total, unnamed = pages.agg(F.min("page_id"), F.max("page_id"), F.sum(size), nameless).first()
+    lo, hi, total, unnamed = float(lo or 0), float(hi or 0), int(total or 0), int(unnamed or 0)
     target = shard_bytes or min(max(total // 2048, 32 << 20), 1 << 30)
     width = max(1.0, (hi - lo + 1) / SLICES)
-    sizes = {
-        r["s"]: r["b"]
-        for r in pages.filter("page_id IS NOT NULL")
-        .groupBy(F.floor((F.col("page_id").cast("double") - lo) / width).cast("int").alias("s"))
-        .agg(F.sum(size).alias("b"))
-        .collect()
-    }
-    rows, shard, filled = [], 0, 0
-    for s in sorted(sizes):
-        if filled and filled + sizes[s] > target:
+    rows = pages.filter("page_id IS NOT NULL").select(
+        F.floor((F.col("page_id").cast("double") - lo) / width).cast("int").alias("s"),
+        F.col("page_id").cast("long").alias("id"),
+        size.alias("size"),
+    )
+    ends = [F.min("id").alias("a"), F.max("id").alias("b"), F.sum("size").alias("n")]
+    found = rows.groupBy("s").agg(*ends).collect()
+    leaves = []
+    while True:  # ranges that hold too much are cut at their own lowest and highest id
+        full = [r for r in found if r["n"] > target and r["a"] < r["b"]]
+        leaves += [(r["a"], r["s"], r["n"]) for r in found if not (r["n"] > target and r["a"] < r["b"])]
+        if not full:
+            break
+        fan = max(2, min(SLICES, (1 << 20) // len(full)))
+        cuts = [(r["s"], r["a"], r["b"], -(-(r["b"] - r["a"] + 1) // fan)) for r in full]
+        table = F.broadcast(spark.createDataFrame(cuts, "s int, lo long, hi long, step long"))
+        part = F.expr("(id - lo) div step").alias("part")
+        found = rows.join(table, "s").filter("id BETWEEN lo AND hi").groupBy("s", "lo", part).agg(*ends).collect()
+    nulls = max(1, -(-unnamed // target))
+    shard, filled = (nulls, 0) if nulls > 1 else (0, unnamed)
+    firsts, bounds = {}, {}
+    for a, s, n in sorted(leaves):
+        if filled and filled + n > target:
             shard, filled = shard + 1, 0
-        subs = max(1, -(-sizes[s] // target))
-        rows.append((s, shard, subs))
-        shard, filled = (shard + subs - 1, 0) if subs > 1 else (shard, filled + sizes[s])
-        if subs > 1:
-            shard += 1
-    table = spark.createDataFrame(rows or [(0, 0, 1)], "__slice int, __first long, __subs long")
-    return table, lo, width, shard + 1
+            if s in firsts:
+                bounds[s].append(a)
+        filled += n
+        if s not in firsts:
+            firsts[s], bounds[s] = shard, []
+    table = [(s, first, bounds[s]) for s, first in firsts.items()] or [(0, 0, [])]
+    schema = "__slice int, __first long, __bounds array<long>"
+    return spark.createDataFrame(table, schema), lo, width, max(shard + 1, nulls), nulls
 
 
 def _record_id(page_id, digest: str, nth: int) -> str:
@@ -154,7 +173,7 @@ def write_warc(
     spark = pages.sparkSession
     out = out or work_path(spark, "warc")
     pages = pages.select("page_id", "url", "html")
-    table, lo, width, shards = shard_table(pages, shard_bytes)
+    table, lo, width, shards, nulls = shard_table(pages, shard_bytes)
     roll = roll_bytes or max(4 << 20, (shard_bytes or 32 << 20) // 8)
 
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
@@ -179,11 +198,12 @@ def write_warc(
         )
     )
     at = (F.col("page_id").cast("double") - lo) / width
-    sub = F.floor((at - F.floor(at)) * F.col("__subs"))
+    further = F.size(F.filter("__bounds", lambda b: b <= F.col("page_id")))
+    spread = F.pmod(F.xxhash64("url", "html"), F.lit(nulls))
     sorted_ = (
         stream.withColumn("__slice", F.floor(at).cast("int"))
         .join(F.broadcast(table), "__slice", "left")
-        .withColumn("__shard", F.coalesce(F.col("__first") + sub, F.lit(0)).cast("int"))
+        .withColumn("__shard", F.coalesce(F.col("__first") + further, spread).cast("int"))
         .select("__shard", "page_id", "__tag", "__digest", "__keep", "url", "html")
         .repartitionById(shards, F.col("__shard"))
         .sortWithinPartitions("__shard", "page_id", "__tag", "url", "html")

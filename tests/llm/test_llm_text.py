@@ -100,6 +100,17 @@ def pages(spark, rows):
     return spark.createDataFrame([(i, u, h, "x") for i, u, h in rows], "page_id long, url string, html string, digest string")
 
 
+def test_warc_shards_with_an_outlier_and_null_ids(spark, tmp_path):
+    ship_package(spark)
+    rows = [(i, f"u{i}", f"{i} " * 300) for i in range(400)] + [(1 << 62, "far", "x"), (-(1 << 62), "low", "y")]
+    rows += [(None, f"n{i}", f"{i} " * 300) for i in range(400)]
+    out, manifest = warc.write_warc(pages(spark, rows), str(tmp_path / "a"), shard_bytes=60_000)
+    shards = [r["records"] for r in manifest.collect()]
+    assert sum(shards) == len(rows) and max(shards) < 100
+    got = sorted((str(r["page_id"]), r["payload_bytes"]) for r in warc.read_warc(manifest, out).collect())
+    assert got == sorted((str(i), len(h)) for i, _, h in rows)
+
+
 def test_warc_round_trip(spark, tmp_path):
     ship_package(spark)
     big = "<p>\r\n\r\nWARC/1.1 é</p>" * 40
