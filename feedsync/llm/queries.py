@@ -90,6 +90,27 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.centroids import cluster_report
+
+    ship_package(spark)
+    return cluster_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.pii import personal_data
+
+    ship_package(spark)
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedsync.llm.divergence import divergence
+
+    ship_package(spark)
+    return divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mtree_top_k": op1_mtree_top_k,
     "op2_sentencepiece": op2_sentencepiece,
@@ -101,8 +122,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_near_dedup": op9_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_pii": op12_pii,
+    "op13_source_divergence": op13_source_divergence,
 }
 
+def _clustering_sql(rounds: int = 5) -> str:
+    """Five rounds and a last assignment, one pair of tables each."""
+    steps = []
+    for t in range(rounds + 1):
+        steps.append(f"""
+        s{t} AS MATERIALIZED (
+            SELECT r, vec_id, q, first(k ORDER BY d, k) AS k, min(d) AS d FROM (
+                SELECT r, vec_id, v.q, k, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v.q, c.q)]) AS d
+                FROM v, c{t} c
+            ) GROUP BY r, vec_id, q
+        )""")
+        if t < rounds:
+            steps.append(f"""
+        c{t + 1} AS MATERIALIZED (
+            SELECT k, coalesce(m.q, c.q) AS q FROM c{t} c LEFT JOIN (
+                SELECT k, list(x ORDER BY i) AS q FROM (
+                    SELECT k, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+                    FROM (SELECT k, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM s{t}) GROUP BY k, i
+                ) GROUP BY k
+            ) m USING (k)
+        )""")
+    last = f"s{rounds}"
+    return f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS k, q FROM v ORDER BY k LIMIT 40
+        ), {",".join(steps)}
+        SELECT vec_id, k::INTEGER AS cluster, d::BIGINT AS distance,
+               (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(c.q, ',')) AS centroid_sha256
+        FROM {last} JOIN c{rounds} c USING (k)
+    """
+
+
 ORACLES: dict[str, str] = {
     "op10_substring_dedup": r"""
         WITH d AS (
@@ -176,4 +237,40 @@ ORACLES: dict[str, str] = {
                (sum(chars) + 3)::BIGINT AS formatted_chars
         FROM m GROUP BY conv_id
     """,
+    "op11_centroid_clustering": _clustering_sql(),
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), g AS (SELECT DISTINCT lang, source FROM d),
+        o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+        k AS MATERIALIZED (
+            SELECT lang, term, count(*)::HUGEINT AS c FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+        ), l AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM k GROUP BY lang),
+        c AS MATERIALIZED (
+            SELECT lang, source, term, count(*)::HUGEINT AS c FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL
+        ), n AS (SELECT lang, source, sum(c)::HUGEINT AS n FROM c GROUP BY ALL),
+        p AS MATERIALIZED (
+            SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+                   1 + (1000000000 * (coalesce(c.c, 0) + 5)) // (coalesce(n.n, 0) + 5 * l.v) AS p,
+                   1 + (1000000000 * (k.c + 5)) // (l.n + 5 * l.v) AS q
+            FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN n USING (lang, source)
+                LEFT JOIN c USING (lang, source, term)
+        ), f AS (
+            SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+            FROM g a JOIN g b USING (lang) LEFT JOIN (
+                SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+                FROM p x JOIN p y USING (lang, term) GROUP BY ALL
+            ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+            WHERE a.source <> b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE c > 0 AND p > q
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+            FROM f
+        )
+        SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50
+    """,
 }
