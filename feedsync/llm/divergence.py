@@ -50,7 +50,13 @@ CHUNK_TERMS = 4_096
 
 # Fixed value: a term is a run of ASCII letters and characters beyond ASCII.
 TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_UPPER = re.compile("[A-Z]+")
+
+
+def folded(text: str) -> str:
+    """``text`` with A-Z, and no other letter, in lower case."""
+    return _UPPER.sub(lambda m: m.group().lower(), text)
+
 
 COUNTS = "lang string, source string, term string, n long, docs long"
 
@@ -81,12 +87,14 @@ def term_counts(docs: DataFrame, held_keys: int = HELD) -> DataFrame:
             for b in slices(batch, "text"):
                 columns = (b.column(c).to_pylist() for c in ("text", "lang", "source"))
                 for text, lang, source in zip(*columns, strict=True):
-                    found = Counter(TERM.findall((text or "").translate(_LOWER) if text else ""))
-                    n, seen = held.setdefault((lang or "", source or ""), (Counter(), Counter()))
-                    size -= len(n)
-                    n.update(found)
-                    seen.update(found.keys())
-                    size += len(n)
+                    key = (lang or "", source or "")
+                    n, seen = held.get(key) or held.setdefault(key, (Counter(), Counter()))
+                    if text:
+                        words = TERM.findall(folded(text))
+                        size -= len(n)
+                        n.update(words)
+                        seen.update(set(words))
+                        size += len(n)
                     if size >= held_keys:
                         yield _flush(held)
                         held, size = {}, 0

@@ -228,7 +228,7 @@ def test_personal_data_of_odd_rows(spark):
 
 
 def brute_divergence(rows, min_docs, top):
-    docs = [(lang or "", source or "", [w.translate(D._LOWER) for w in D.TERM.findall(text or "")]) for text, lang, source in rows]
+    docs = [(lang or "", source or "", [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in D.TERM.findall(text or "")]) for text, lang, source in rows]
     out = []
     for lang in {d[0] for d in docs}:
         mine = [d for d in docs if d[0] == lang]
