@@ -54,15 +54,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = 4 << 20):
-    """``batch`` in parts with about ``size`` bytes of ``column`` (a row at least), so
-    that what a task holds as Python objects stays small whatever Spark sends."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+def slices(batch: pa.RecordBatch, column: str | pa.Array, size: int = 4 << 20, rows: int = 4096):
+    """``batch`` in parts with about ``size`` bytes of ``column`` (its name or values) and
+    at most ``rows`` rows (a row at least), so that what a task holds as Python objects
+    stays small whatever Spark sends."""
+    values = batch.column(column) if isinstance(column, str) else column
+    lengths = pc.fill_null(pc.binary_length(values), 0).to_numpy()
     ends = np.cumsum(lengths)
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+        to = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + size, side="right"))))
         yield batch.slice(at, to - at)
         at = to
 

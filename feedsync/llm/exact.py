@@ -8,7 +8,8 @@ neighbouring texts and keeps the row with the smallest identifier.
   of the text), so the sample that reaches the driver stays small however long
   the texts are.  Only routing uses the prefix: sorting and comparing take all.
 * A text with more than ``max(min_hot, rows / 65536)`` copies is cut into salted
-  runs which land in different ranges.  There are fewer than 65,536 such texts,
+  runs which land in different ranges, by the rows' places in the input, so rows
+  without an id or with a repeated one spread too.  There are fewer than 65,536 such texts,
   which bounds their broadcast; their keeper comes from a pre-aggregated count by
   SHA-256 of the whole text.
 * The text crosses the network once: the original is carried beside the
@@ -63,7 +64,9 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, min_hot: int) -> DataFr
     ).withColumn("__sha", F.sha2(F.col("__norm").cast("binary"), 256))
     rows = rows.join(F.broadcast(hot), "__sha", "left").withColumns(
         {
-            "__salt": F.when(F.col("__runs").isNull(), 0).otherwise(F.pmod(F.xxhash64("__id"), F.col("__runs"))),
+            # the keeper's own rows lie together; the others spread, also without an id
+            "__salt": F.when(F.col("__runs").isNull() | F.col("__id").eqNullSafe(F.col("__hot_keep")), F.lit(0).cast("long"))
+            .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("__runs"))),
             "__prefix": F.substring("__norm", 1, _PREFIX),
             "__hash": F.xxhash64("__norm"),
         }

@@ -19,11 +19,12 @@ from a heap by lower bound; a child whose stored parent distance proves it too f
 is skipped without computing its distance, and a leaf computes only the entries
 whose stored distances leave them possible.
 
-Defined results: vectors that are null or hold null or non-finite components, and
-rows without id, take no part; shorter vectors count as padded with zeros; rows
+Defined results: vectors that are null or hold null or non-finite components, or one
+whose integer reaches ``LIMIT`` (a component of 65,536 at scale 64; scores would not be
+exact), and rows without id, take no part; shorter vectors count as padded with zeros; rows
 that repeat an id count once, with the smallest vector; ties go to the smaller id;
 a query gets all candidates if there are fewer than k; an empty table gives an
-empty result.  Scores are exact while they stay below 2^53.
+empty result.
 """
 
 from __future__ import annotations
@@ -45,17 +46,23 @@ SHARD_ROWS = 8192
 PAGE = 1024
 FAN_OUT = 16
 QUERY_BLOCK = 1024
-# Slack of a computed distance: bounds never cut what equals the k-th distance.
-SLACK = 1e-6
+# Integer components stay below this, so every score of up to 512 dimensions is exact.
+LIMIT = 1 << 22
 # Below this squared norm every product and partial sum is an integer that a
 # 32-bit float holds exactly.
 EXACT32 = float(1 << 24)
 
 
+def _slack(top: float) -> float:
+    """Bounds never cut what equals the k-th distance: a squared distance is off by some
+    rounding errors of ``top``, the largest squared norm, a distance by their root."""
+    return 1e-6 * max(1.0, top**0.5)
+
+
 def quantised(vectors: DataFrame, vec_col: str, scale: int = 64, id_col: str = "vec_id") -> DataFrame:
     """(vec_id, q): ``floor(scale * x)`` of each component, bad vectors left out."""
     x = F.col(vec_col)
-    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < F.lit(float("inf"))))
+    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) * scale < LIMIT))
     q = F.transform(x, lambda v: F.floor(v.cast("double") * scale))
     return (
         vectors.filter(x.isNotNull() & fine & F.col(id_col).isNotNull())
@@ -65,7 +72,7 @@ def quantised(vectors: DataFrame, vec_col: str, scale: int = 64, id_col: str = "
 
 
 def _norm2(q: Column) -> Column:
-    return F.aggregate(q, F.lit(0).cast("long"), lambda a, v: a + v * v)
+    return F.aggregate(q, F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -170,7 +177,7 @@ class MTree:
 
         d_root = float(distance(np.asarray([self.root.routing]))[0])
         heap = [(max(d_root - self.root.radius, 0.0), 0, d_root, self.root)]
-        pushed, reach = 1, bound + SLACK
+        pushed, reach = 1, bound + _slack(self.top)
         while heap:
             low, _, d, node = heapq.heappop(heap)
             if low > reach:
@@ -204,7 +211,7 @@ class MTree:
             order = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[order], best[order]
             if len(best) == k:
-                reach = min(reach, float(np.sqrt(max(base - 2 * best[-1], 0))) + SLACK)
+                reach = min(reach, float(np.sqrt(max(base - 2 * best[-1], 0))) + _slack(self.top))
         return best_ids, best
 
 
@@ -372,7 +379,7 @@ def search(index: Index, queries: DataFrame, k: int = 20, exclude_self: bool = T
             kths = b.column(2).to_numpy(zero_copy_only=False)
             bound = np.sqrt(np.maximum((x * x).sum(1) + top - 2 * kths, 0))
             bound = np.where(np.isnan(bound), np.inf, bound)
-            able = (d - radii[None] <= bound[:, None] + SLACK)[:, region]
+            able = (d - radii[None] <= bound[:, None] + _slack(top))[:, region]
             able[np.arange(len(ids)), own] = False
             row, shard = np.nonzero(able)
             for i in range(0, len(row), 10_000):

@@ -108,7 +108,7 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
 
 def _blocks(batches):
     """(ids, texts as bytes) a few MB at a time."""
-    for b in (part for whole in batches for part in slices(whole, "raw")):
+    for b in (part for whole in batches for part in slices(whole, "raw", rows=2048)):
         yield b.column("id"), [t or b"" for t in b.column("raw").to_pylist()]
 
 
@@ -289,12 +289,35 @@ def near_duplicate_classes(
     )
 
 
+def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """(``docs`` with ``__row``, whether ids repeat): the id, or, where several rows share
+    it, a number from the id and the text, above every ordinary id.  Unique ids cost one
+    count of ids."""
+    own = F.col(id_col).cast("long")
+    counts = docs.groupBy(own.alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = staged(counts.filter("__n > 1 AND __id IS NOT NULL").select("__id"), "neardup-repeated")
+    if repeated.isEmpty():
+        return docs.withColumn("__row", own), False
+    by_text = F.xxhash64(own, F.col(text_col)).bitwiseOR(F.lit(1 << 62)).bitwiseAND(F.lit((1 << 63) - 1))
+    marked = docs.join(repeated, own == F.col("__id"), "left")
+    return marked.withColumn("__row", F.when(F.col("__id").isNull(), own).otherwise(by_text)).drop("__id"), True
+
+
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` but for near duplicates of a row with a smaller id."""
-    gone = (
-        near_duplicate_classes(docs, id_col, text_col)
-        .filter(~F.col("kept"))
-        .select(F.col(id_col).alias("__gone"))
-        .distinct()
-    )
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` but for near duplicates of a row with a smaller id.  Rows that
+    share an id count by their texts, so an unrelated text stays; rows without an id
+    stay."""
+    keyed, repeats = _row_keys(docs, id_col, text_col)
+    found = near_duplicate_classes(keyed.select("__row", text_col), "__row", text_col)
+    if repeats:  # a class's smallest id need not be its smallest row
+        ids = keyed.select("__row", F.col(id_col).cast("long").alias("__id")).distinct()
+        found = staged(found.select("__row", "class_id").distinct().join(ids, "__row"), "neardup-rows")
+        low = found.groupBy("class_id").agg(F.min("__id").alias("__low"))
+        gone = found.join(low, "class_id").filter("__id > __low").select("__row")
+    else:
+        gone = found.filter(~F.col("kept")).select("__row")
+    return keyed.join(gone.distinct(), "__row", "left_anti").select(*(F.col(_quoted(c)) for c in docs.columns))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

@@ -25,7 +25,8 @@ Words are cached within bounds across the blocks of a task, but for those of mor
 
 Defined results: null decodes and encodes to null, an empty text to no ids; marks
 (U+2581) in a text are kept as spaces, as SentencePiece does; repeated rows get equal
-ids; an empty table gives an empty result; other columns pass through.
+ids; an empty table gives an empty result; other columns pass through, but for those
+named like an output column, which it replaces.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedsync.llm.common import slices
 
@@ -240,56 +242,72 @@ class PieceModel:
         text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
+    def decoded(self, ids: bytes | None) -> str | None:
+        return None if ids is None else self.decode(np.frombuffer(ids, "<u4").tolist())
+
 
 @cache
 def piece_model(path: str | None = None, unigram: bool = False) -> PieceModel:
     return PieceModel(path, unigram)
 
 
-def encode_pieces(df: DataFrame, text_col: str = "text", out_col: str = "ids", path: str | None = None, unigram: bool = False) -> DataFrame:
-    """``df`` with the ids of ``text_col`` (binary, little-endian unsigned 32-bit)."""
+def _input(df: DataFrame, column: str, added: dict[str, T.DataType]) -> tuple[DataFrame, T.StructType]:
+    """(``df`` without the columns that ``added`` replaces, ``column`` last; the result's schema)."""
+    gone = {c.lower() for c in added}
+    kept = [f for f in df.schema.fields if f.name.lower() not in gone]
+    names = [F.col("`" + f.name.replace("`", "``") + "`") for f in kept]
+    schema = T.StructType([*kept, *(T.StructField(c, t) for c, t in added.items())])
+    return df.select(*names, F.col(column).alias("__from")), schema
+
+
+def encode_pieces(
+    df: DataFrame,
+    text_col: str = "text",
+    out_col: str = "ids",
+    path: str | None = None,
+    unigram: bool = False,
+    decoded_col: str | None = None,
+) -> DataFrame:
+    """``df`` with the ids of ``text_col`` (binary, little-endian unsigned 32-bit) and, on
+    request, the text that the ids decode to, in the same pass.  A column of such a name
+    is replaced; the others pass through."""
 
     def run(batches):
         model = piece_model(path, unigram)
-        for b in (part for whole in batches for part in slices(whole, text_col, BLOCK_BYTES)):
-            block = b.column(text_col).to_pylist()
+        for b in (part for whole in batches for part in slices(whole, "__from", BLOCK_BYTES)):
+            block = b.column("__from").to_pylist()
             found = model.encode([t or "" for t in block])
             ids = [None if t is None else i for t, i in zip(block, found, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(ids, pa.binary())], names=[*b.schema.names, out_col]
-            )
+            columns = [*b.columns[:-1], pa.array(ids, pa.binary())]
+            if decoded_col:
+                columns.append(pa.array(map(model.decoded, ids), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    from pyspark.sql import types as T
-
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, T.BinaryType())]))
+    added = {out_col: T.BinaryType()} | ({decoded_col: T.StringType()} if decoded_col else {})
+    source, schema = _input(df, text_col, added)
+    return source.mapInArrow(run, schema)
 
 
 def decode_pieces(df: DataFrame, ids_col: str = "ids", out_col: str = "decoded", path: str | None = None) -> DataFrame:
-    """``df`` with the text of ``ids_col``."""
+    """``df`` with the text of ``ids_col``; a column named ``out_col`` is replaced."""
 
     def run(batches):
         model = piece_model(path)
-        for b in (part for whole in batches for part in slices(whole, ids_col)):
-            text = [
-                None if i is None else model.decode(np.frombuffer(i, "<u4").tolist())
-                for i in b.column(ids_col).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(text, pa.string())], names=[*b.schema.names, out_col]
-            )
-
-    from pyspark.sql import types as T
+        for b in (part for whole in batches for part in slices(whole, "__from")):
+            text = list(map(model.decoded, b.column("__from").to_pylist()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(text, pa.string())], names=schema.names)
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out_col, T.StringType())]))
+    source, schema = _input(df, ids_col, {out_col: T.StringType()})
+    return source.mapInArrow(run, schema)
 
 
 def piece_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_ids, ids_crc32, and the length and SHA-256 of the decoded text."""
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return decode_pieces(encode_pieces(plain).drop("text")).select(
+    return encode_pieces(plain, decoded_col="text").select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_ids"),
         F.crc32("ids").alias("ids_crc32"),
-        F.length("decoded").cast("long").alias("decoded_chars"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.length("text").cast("long").alias("decoded_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )

@@ -33,12 +33,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedsync.llm.common import shuffle_partitions, slices
 from feedsync.llm.shingles import run_hashes, word_hashes
 
 WINDOW, BLOCK = 13, 7
 CHUNK_BYTES = 2 << 20
+CHUNKS_A_TASK = 8
 PARTITION_ROWS = 4_000_000  # hashes that one task sorts, about
 NO_ID = np.iinfo(np.int64).max
 
@@ -299,15 +302,22 @@ def _processed(docs: DataFrame, id_col: str, text_col: str, want_text: bool) ->
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     chunks = max(1, -(-int(total) // CHUNK_BYTES))
     partitions = max(shuffle_partitions(spark), -(-int(total) // 6 // PARTITION_ROWS))
-    others = [F.col(c) for c in docs.columns if c != text_col] if want_text else [F.col(id_col)]
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
+    others = [F.col(quoted(c)) for c in docs.columns if c != text_col] if want_text else [F.col(id_col)]
     rows = docs.select(
         F.struct(*others, F.col(text_col).isNull().alias("__null")).alias("__doc"),
         F.col(id_col).cast("long").alias("__id"),
         F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)), F.lit(chunks)).cast("long").alias("__k"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"),
     )
-    kind = rows.schema["__doc"].dataType.simpleString()
-    dealt = rows.mapInArrow(_compressed, f"__doc {kind}, __id long, __k long, __zip binary").repartition("__k")
+    kind = rows.schema["__doc"].dataType
+    packed = T.StructType(
+        [T.StructField("__doc", kind), T.StructField("__id", T.LongType())]
+        + [T.StructField("__k", T.LongType()), T.StructField("__zip", T.BinaryType())]
+    )
+    # as many tasks as the bytes need, whatever the session's count
+    tasks = max(spark.sparkContext.defaultParallelism, -(-chunks // CHUNKS_A_TASK))
+    dealt = rows.mapInArrow(_compressed, packed).repartition(tasks, "__k")
     request, reply = "part int, __k long, data binary", "__k long, data binary"
 
     def probes(table: pa.Table) -> pa.Table:
@@ -321,11 +331,8 @@ def _processed(docs: DataFrame, id_col: str, text_col: str, want_text: bool) ->
         return empty if found is None else found
 
     ends = "kept_text string, spans array<struct<start:bigint,end:bigint>>" if want_text else "kept_sha256 string"
-    schema = f"row {kind}, n_words long, n_removed long, {ends}"
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    empty = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
+    schema = T.StructType([T.StructField("row", kind), *T.StructType.fromDDL(f"n_words long, n_removed long, {ends}")])
+    empty = to_arrow_schema(schema).empty_table()
     by_k = dealt.groupBy("__k")
     anchors = by_k.applyInArrow(probes, request).repartitionById(partitions, F.col("part")).mapInArrow(_anchors, reply)
     repeats = (

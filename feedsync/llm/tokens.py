@@ -13,8 +13,8 @@ from __future__ import annotations
 
 import base64
 import re
-import struct
 import unicodedata
+from array import array
 from functools import cache
 
 import numpy as np
@@ -56,8 +56,7 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(WORD_BPE))
         self.model = self.tokenizer.model
         self.pieces = regex.compile(WORD_PATTERN).findall
-        self.of_piece = BoundedCache(self._piece, 200_000)
-        self.of_chunk = BoundedCache(self._chunk, 300_000)
+        self.of_chunk = BoundedCache(self._chunk, 500_000)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit values."""
@@ -65,22 +64,30 @@ class WordTokenizer:
         return b"".join(map(self.of_chunk.__getitem__, chunks))
 
     def _chunk(self, chunk: str) -> bytes:
-        if "<|" in chunk or not (chunk.isprintable() if chunk.isascii() else _LATIN.fullmatch(chunk)):
+        """The ids of a run without white space; its pieces are runs too, so one cache
+        holds both."""
+        ascii_ = chunk.isascii()
+        if ascii_ and chunk.isalpha() and chunk.islower():
+            return self._piece(chunk)
+        if "<|" in chunk or not (chunk.isprintable() if ascii_ else _LATIN.fullmatch(chunk)):
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
             return np.asarray(ids, dtype="<u4").tobytes()
-        folded = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).lower()
+        folded = chunk.lower() if ascii_ else unicodedata.normalize("NFC", chunk).lower()
         core = folded.rstrip(".,;:!?")
         if core.isalpha():  # a word, perhaps with punctuation
-            word, tail = self.of_piece[core], folded[len(core) :]
-            return word + self.of_piece[tail] if tail else word
-        return b"".join(map(self.of_piece.__getitem__, self.pieces(folded)))
+            if core == chunk:
+                return self._piece(chunk)
+            word, tail = self.of_chunk[core], folded[len(core) :]
+            return word + self.of_chunk[tail] if tail else word
+        pieces = self.pieces(folded)
+        if pieces == [chunk]:
+            return self._piece(chunk)
+        return b"".join(map(self.of_chunk.__getitem__, pieces))
 
     def _piece(self, piece: str) -> bytes:
-        spelled = piece
         if not (piece.isascii() and piece.isalpha()):
-            spelled = piece.encode().decode("latin-1").translate(_SPELL)
-        ids = [t.id for t in self.model.tokenize(spelled)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+            piece = piece.encode().decode("latin-1").translate(_SPELL)
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
 
 class ByteTokenizer:

@@ -33,8 +33,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedsync.llm.common import mix64, slices, texts
 
@@ -42,6 +44,9 @@ MAX_TOXIC, MAX_CLEAN = 1200, 2500
 LANDMARKS = 256
 DECAY = 0.7
 SPAN = 5  # last offset of a subsequence
+# Of a training document, in each round: so many of its words of the highest score
+# are looked at, and speak for so many of its sentences at most.
+WORDS_TRIED, SENTENCES = 12, 3
 THRESHOLD = 0.3
 ROUNDS = 3
 CHUNK = 1 << 20  # symbols scored at a time
@@ -281,8 +286,8 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> Model
                 continue
             words, taken = None, set()
             sentence = np.repeat(np.arange(len(counts)), counts)
-            for i in np.argsort(-score, kind="stable")[:12]:
-                if sentence[i] in taken or len(taken) == 3:  # one word speaks for its sentence
+            for i in np.argsort(-score, kind="stable")[:WORDS_TRIED]:
+                if sentence[i] in taken or len(taken) == SENTENCES:  # one word speaks for its sentence
                     continue
                 if y and score[i] <= (np.log(3) if weights is None else 0.0):
                     break
@@ -355,12 +360,21 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[np.n
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_columns: bool = False) -> DataFrame:
     """doc_id, score and predicted of every row of ``docs`` (doc_id, text); on request
-    with the whole row as struct ``row``."""
+    with the whole row as struct ``row``, in which the text then goes, once."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    fields = [f for f in docs.schema.fields if keep_columns or f.name in ("doc_id", "text")]
+    names = [f.name for f in fields]
+    id_at, text_at = names.index("doc_id"), names.index("text")
+    schema = T.StructType(
+        [T.StructField("doc_id", fields[id_at].dataType), T.StructField("score", T.DoubleType())]
+        + [T.StructField("predicted", T.IntegerType())]
+        + [T.StructField("row", T.StructType(fields))] * keep_columns
+    )
 
     def run(batches):
         model = shared.value
-        for b in (part for whole in batches for part in slices(whole, "text")):
+        for b in (part for whole in batches for part in slices(whole, pc.struct_field(whole.column(0), [text_at]))):
+            rows = b.column(0)
             x = np.tile(evidence(np.zeros(0)), (b.num_rows, 1))
             pending, size = [], 0
 
@@ -371,7 +385,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_colu
                 for (row, _), end, n in zip(pending, ends.tolist(), sizes, strict=True):
                     x[row] = evidence(found[end - n : end])
 
-            for row, text in enumerate(texts(b.column(1))):
+            for row, text in enumerate(texts(pc.struct_field(rows, [text_at]))):
                 s = symbols(text)
                 if len(s):
                     pending.append((row, s))
@@ -382,17 +396,11 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_colu
             if pending:
                 flush()
             p = model.probability(x)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32)), *b.columns[2:]],
-                names=["doc_id", "score", "predicted", "row"][: b.num_columns + 1],
-            )
+            found = [pc.struct_field(rows, [id_at]), pa.array(p), pa.array((p >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(found + [rows] * keep_columns, names=schema.names)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema, columns = f"doc_id {kind}, score double, predicted int", ["doc_id", "text"]
-    if keep_columns:
-        schema += f", row {docs.schema.simpleString()}"
-        columns.append(F.struct(*docs.columns).alias("row"))
-    return docs.select(*columns).mapInArrow(run, schema)
+    named = [F.col("`" + n.replace("`", "``") + "`") for n in names]
+    return docs.select(F.struct(*named).alias("row")).mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from feedsync.llm import exact, neardup, shingles, substring
+from feedsync.llm import exact, neardup, shingles, substring, toxicity
 from feedsync.llm.common import ship_package
 from feedsync.llm.components import components
 
@@ -254,6 +254,39 @@ def test_near_odd_rows(spark):
     assert neardup.near_duplicate_classes(table(spark, [])).count() == 0
 
 
+def test_near_drop_keeps_other_texts_of_a_repeated_id(spark):
+    base = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"term{i}" for i in range(40))
+    rows = [(3, base), (7, base + " more"), (7, other), (9, other + " more"), (None, base), (11, "alone"), (11, "alone")]
+    kept = neardup.keep_one_of_each(table(spark, rows).withColumn("my col", F.lit("x")))
+    assert kept.columns[-1] == "my col"
+    assert sorted(((r.doc_id or 0), r.text) for r in kept.collect()) == sorted(
+        [(3, base), (7, other), (0, base), (11, "alone"), (11, "alone")]
+    )
+
+
+def test_odd_column_names_pass_through(spark):
+    rows = [(1, "a b c d e f g h i j k l m n"), (2, "x a b c d e f g h i j k l m n"), (3, None)]
+    odd = table(spark, rows).withColumn("my col", F.lit("x")).withColumn("a`b.c", F.lit(1))
+    cut = substring.remove_repeats(odd)
+    assert cut.columns == odd.columns
+    assert {r.doc_id: r.text for r in cut.collect()} == {1: rows[0][1], 2: "x", 3: None}
+    model = toxicity.train([], np.zeros(0))
+    scored = toxicity.score(odd, model, keep_columns=True).select("doc_id", "score", "row.*")
+    assert scored.count() == 3 and "my col" in scored.columns
+
+
+def test_hot_text_without_ids_spreads(spark):
+    text = "one and the same text"
+    rows = [(5, text)] + [(None, text)] * 6000 + [(4, text)] * 3
+    marked = exact._marked(table(spark, rows).repartition(4), "doc_id", "text", 256)
+    got = marked.groupBy("__salt" if "__salt" in marked.columns else F.spark_partition_id()).count().collect()
+    assert len(got) > 3
+    assert max(r["count"] for r in got) < 3000
+    found = exact.duplicate_groups(table(spark, rows)).collect()
+    assert sum(r.kept for r in found) == 1 and {r.keep_id for r in found} == {4} and {r.group_size for r in found} == {6004}
+
+
 def test_sketch_estimates_probability_jaccard():
     rng = np.random.default_rng(3)
     ids = rng.integers(0, 2**63, 600, dtype=np.uint64)

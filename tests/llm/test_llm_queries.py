@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 def brute_top_k(rows, k, every):
     q = {}
     for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+        if i is not None and v is not None and all(x is not None and abs(x) < 65_536 for x in v):
             x = [int(np.floor(64 * np.float64(np.float32(c)))) for c in v]
             q[i] = min(q.get(i, x), x)
     out = []
@@ -38,6 +38,7 @@ def test_top_k_equals_brute_force(spark, monkeypatch, shard_rows):
     rows = [(int(i), (centres[i % 6] + 0.1 * rng.normal(size=12)).tolist()) for i in range(500)]
     rows += [(1000 + i, centres[0].tolist()) for i in range(250)]  # one vector repeated
     rows += [(2000, None), (2020, [1.0] * 11 + [None]), (2040, [float("nan")] * 12), (2060, [float("inf")] + [0.0] * 11)]
+    rows += [(2080, [1e30] * 12), (2100, [1e9] + [0.0] * 11), (2120, [-65_536.0] * 12)]  # beyond exact scores
     rows += [(None, centres[1].tolist()), (3000, [0.5, 0.5]), (3020, []), (5, centres[2].tolist()), (40, [9.0] * 12)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     table = staged(mtree.quantised(df, "embedding"), "t")

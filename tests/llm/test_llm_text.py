@@ -310,3 +310,15 @@ def test_toxicity_odd_tables(spark):
     model = toxicity.train([], np.zeros(0))
     kept = toxicity.score(docs, model, keep_columns=True).select("row.*")
     assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
+
+
+def test_pieces_replace_columns_of_their_names(spark):
+    ship_package(spark)
+    schema = "text string, ids int, decoded int, `my col` string, IDS2 int"
+    df = spark.createDataFrame([("the end", 1, 2, "x", 3), (None, 1, 2, "y", 3)], schema)
+    coded = pieces.decode_pieces(pieces.encode_pieces(df))
+    assert coded.columns == ["text", "my col", "IDS2", "ids", "decoded"]
+    rows = {r["my col"]: r for r in coded.collect()}
+    assert rows["x"].decoded == "the end" and rows["y"].ids is None and rows["y"].decoded is None
+    both = pieces.encode_pieces(df, decoded_col="text").collect()
+    assert {r.text for r in both} == {"the end", None}
