@@ -1,13 +1,11 @@
 """DataFrame -> DataFrame operators; no action is triggered inside them."""
 
-from feedsync.operators.apply import align, apply_changes, deactivate_changes, stamp, upsert
-from feedsync.operators.changes import compset_diff, config_changes, config_pairs, diff
+from feedsync.operators.apply import align, apply_changes, apply_updates, deactivate_changes, stamp, upsert
+from feedsync.operators.changes import change_set, compset_diff, config_pairs, config_updates, diff
 from feedsync.operators.classify import (
     classify_codes,
-    classify_hosts,
     current_rows,
     new_hosts,
-    split_exists,
     tag_rows,
 )
 from feedsync.operators.publish import audit, export_csv, publish_report, touched
@@ -22,8 +20,6 @@ from feedsync.operators.renames import (
 )
 from feedsync.operators.reports import (
     report,
-    report_keys,
-    report_rows,
     report_rule,
     reports_from_tags,
     tagged_report,
@@ -42,15 +38,16 @@ from feedsync.operators.validate import (
 __all__ = [
     "align",
     "apply_changes",
+    "apply_updates",
     "audit",
     "check_codes",
     "classify_codes",
-    "classify_hosts",
     "competitor_upserts",
     "current_rows",
     "compset_diff",
-    "config_changes",
+    "change_set",
     "config_pairs",
+    "config_updates",
     "deactivate_changes",
     "derive",
     "diff",
@@ -71,14 +68,11 @@ __all__ = [
     "season_rows",
     "split_named",
     "report",
-    "report_keys",
-    "report_rows",
     "report_rule",
     "reports_from_tags",
     "tagged_report",
     "single_host_rows",
     "split_codes",
-    "split_exists",
     "tag_rows",
     "stamp",
     "touched",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,7 @@ def apply_changes(
     keys: Sequence[str] = PAIR_KEYS,
     stamp_with: tuple[str, object] | None = None,
     keep: Column | None = None,
+    defaults: Mapping[str, object] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(next state, rejected inserts).
 
@@ -46,9 +47,15 @@ def apply_changes(
     reference's DELETE does); inserts with a NULL key are rejected instead of
     being re-inserted on every run (rule 16).  ``stamp_with=(user, ts)`` sets
     the audit columns of inserted rows when the table has them.  Rows for which
-    ``keep`` is true stay whatever is deleted (the compset's own rows).
+    ``keep`` is true stay whatever is deleted (the compset's own rows).  ``defaults``
+    are values of table columns that inserts lack.
     """
     keys = list(keys)
+    for c, value in (defaults or {}).items():
+        if c not in current.columns:
+            raise ValueError(f"default for {c}, which is not in the table")
+        if c not in inserts.columns:
+            inserts = inserts.withColumn(c, F.lit(value))
     if stamp_with is not None:
         inserts = stamp(inserts, *stamp_with)
     rejected = inserts.filter(_null_key(keys))
@@ -62,6 +69,34 @@ def apply_changes(
     return kept.unionByName(align(ok, current)), rejected
 
 
+def apply_updates(
+    current: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    columns: dict[str, tuple[str, str]],
+    stamp_with: tuple[str, object] | None = None,
+) -> DataFrame:
+    """``current`` with the columns of the rows that ``updates`` names changed.
+
+    ``columns`` maps a column to its (before, after) columns in ``updates``; a row is
+    meant if its keys are equal and its values are those before, NULLs included, so rows
+    that share a key are told apart.  Changed rows are re-stamped."""
+    u = updates.select(
+        *(F.col(k).alias(f"_{k}") for k in keys), *(c for pair in columns.values() for c in pair)
+    ).withColumn("_changed", F.lit(True))
+    meant = F.lit(True)
+    for k in keys:
+        meant = meant & (F.col(k) == F.col(f"_{k}"))
+    for c, (before, _) in columns.items():
+        meant = meant & F.col(c).eqNullSafe(F.col(before))
+    changed = is_true(F.col("_changed"))
+    new = {c: F.when(changed, F.col(after)).otherwise(F.col(c)) for c, (_, after) in columns.items()}
+    if stamp_with is not None:
+        stamps = {AUDIT_BY: F.lit(stamp_with[0]), AUDIT_TS: F.lit(stamp_with[1]).cast("timestamp")}
+        new |= {c: F.when(changed, v).otherwise(F.col(c)) for c, v in stamps.items() if c in current.columns}
+    return current.join(u, meant, "left").withColumns(new).select(*current.columns)
+
+
 def deactivate_changes(
     current: DataFrame,
     inserts: DataFrame,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedsync.constants import OWN_FLAG, PAIR_KEYS
+from feedsync.constants import NOT_OWN_FLAG, OWN_FLAG, PAIR_KEYS
 from feedsync.functions.columns import is_true
 from feedsync.operators.classify import MATCH
 
@@ -49,7 +49,8 @@ def compset_diff(matched: DataFrame, compset: DataFrame, host_state: DataFrame)
 
 
 def config_pairs(matched: DataFrame, current: DataFrame, keys: Sequence[str] = PAIR_KEYS) -> DataFrame:
-    """B16, both sides at once: the pairs to insert into and to delete from the config.
+    """B16, all classes at once: the pairs to insert into, to delete from and to keep in
+    the config (``change``: insert, delete, keep).
 
     A pair is desired if a matched listing of a code with pinned seasons has it, so
     the change set needs no fan-out: only inserted pairs are expanded later.  One full
@@ -60,37 +61,57 @@ def config_pairs(matched: DataFrame, current: DataFrame, keys: Sequence[str] = P
         F.bool_or("is_host").alias("is_own"),
         F.bool_or(~F.col("is_host")).alias("is_comp"),
         F.max("n_fan").alias("n_fan"),
+        F.max("n_season").alias("n_season"),
     )
     c = current.select(*keys).distinct().withColumn("_c", F.lit(True))
     j = d.filter("n_fan > 0").join(c, keys, "full_outer")
     wanted, stored = F.col("n_fan").isNotNull(), is_true(F.col("_c"))
-    return j.filter(wanted != stored).select(
-        *keys, F.when(wanted, F.lit("insert")).otherwise(F.lit("delete")).alias("change"), "is_own", "is_comp", "n_fan"
-    )
+    change = F.when(~stored, F.lit("insert")).when(~wanted, F.lit("delete")).otherwise(F.lit("keep"))
+    return j.filter(wanted | stored).select(*keys, change.alias("change"), "is_own", "is_comp", "n_fan", "n_season")
 
 
-def config_changes(
-    desired: DataFrame,
-    current: DataFrame,
-    scope_codes: DataFrame,
-    keys: Sequence[str] = PAIR_KEYS,
-    scope: str = "valid",
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """B16 on expanded rows: (scoped current, inserts, deletes).
-
-    ``current`` is scoped to codes of ``scope_codes`` (semi-join, the
-    distributed form of the reference's collected IN list).  Inserts are
-    desired rows whose pair is not stored: desired codes are valid codes, so no
-    scoping is needed for them.  Deletes are distinct stored pairs of the scope
-    that are not desired (rules 4-5).  ``scope='matched'`` restricts deletes to
-    codes present in ``desired``.
+def config_updates(current: DataFrame, pairs: DataFrame, seasons: DataFrame) -> DataFrame:
+    """B16, update class: stored rows of kept pairs, in seasons pinned for their property,
+    whose weekend and own flags no desired row of that pair and season has.
+
+    (keys, season_id, we_before, own_before, we_after, own_after), distinct.  A flag
+    that some desired row has stays; another becomes the greatest desired one (a pair
+    listed as host and as competitor is an own row).  NULL flags compare as values.
+    Nothing is fanned out: stored rows meet one row of their pair and one of their
+    season, which holds the distinct values of a flag.
     """
-    keys = list(keys)
-    scoped = current.join(scope_codes.select("prop_code").distinct(), "prop_code", "left_semi")
-    inserts = desired.join(current.select(*keys).distinct(), keys, "left_anti")
-    deletes = scoped.select(*keys).distinct().join(desired.select(*keys).distinct(), keys, "left_anti")
-    if scope == "matched":
-        deletes = deletes.join(desired.select("prop_code").distinct(), "prop_code", "left_semi")
-    elif scope != "valid":
-        raise ValueError(f"unknown scope {scope!r}")
-    return scoped, inserts, deletes
+    kept = pairs.filter(F.col("change") == "keep").select(*PAIR_KEYS, "is_own", "is_comp")
+    flags = seasons.groupBy("prop_code", "season_id").agg(
+        F.collect_set("we_ind").alias("_set"),
+        F.bool_or(F.col("we_ind").isNull()).alias("_null"),
+        F.max("we_ind").alias("_we"),
+    )
+    rows = current.select(*PAIR_KEYS, "season_id", "we_ind", "own_ind").distinct()
+    rows = rows.join(kept, list(PAIR_KEYS)).join(flags, ["prop_code", "season_id"])
+    same_we = F.when(F.col("we_ind").isNull(), F.col("_null")).otherwise(F.array_contains("_set", F.col("we_ind")))
+    own, comp = F.lit(OWN_FLAG), F.lit(NOT_OWN_FLAG)
+    same_own = is_true((F.col("own_ind") == own) & F.col("is_own") | (F.col("own_ind") == comp) & F.col("is_comp"))
+    return rows.filter(~(same_we & same_own)).select(
+        *PAIR_KEYS,
+        "season_id",
+        F.col("we_ind").alias("we_before"),
+        F.col("own_ind").alias("own_before"),
+        F.when(same_we, F.col("we_ind")).otherwise(F.col("_we")).alias("we_after"),
+        F.when(same_own, F.col("own_ind")).when(F.col("is_own"), own).otherwise(comp).alias("own_after"),
+    )
+
+
+def change_set(current: DataFrame, inserts: DataFrame, deletes: DataFrame, updates: DataFrame) -> DataFrame:
+    """All accepted changes of the config with the flags before and after: a row for each
+    inserted row, each stored row of a deleted pair, each updated row."""
+    none = F.lit(None).cast("string")
+    key = [*PAIR_KEYS, "season_id"]
+    added = inserts.filter(F.col("prop_code").isNotNull() & F.col("competitor_id").isNotNull()).select(
+        F.lit("insert").alias("change"), *key, none.alias("we_before"), none.alias("own_before"),
+        F.col("we_ind").alias("we_after"), F.col("own_ind").alias("own_after"),
+    )
+    gone = current.join(deletes.select(*PAIR_KEYS).distinct(), list(PAIR_KEYS), "left_semi").select(
+        F.lit("delete").alias("change"), *key, F.col("we_ind").alias("we_before"),
+        F.col("own_ind").alias("own_before"), none.alias("we_after"), none.alias("own_after"),
+    )
+    return added.unionByName(gone).unionByName(updates.withColumn("change", F.lit("update")).select(*added.columns))

@@ -21,16 +21,6 @@ MATCH = "match"
 MISMATCH = "mismatch"
 
 
-def split_exists(rows: DataFrame, ref: DataFrame, key: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """B07 generic form: (rows whose key is in ``ref``, rows whose key is not).
-
-    A NULL key is never found, so such rows land in the second part.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    ref_keys = ref.select(*keys)
-    return rows.join(ref_keys, keys, "left_semi"), rows.join(ref_keys, keys, "left_anti")
-
-
 def current_rows(compset: DataFrame, active_only: bool = False, on_date=None) -> DataFrame:
     """Compset rows that count for matching.  With ``active_only`` only rows
     flagged active (``active_ind = 'Y'``); with ``on_date`` only rows whose
@@ -97,15 +87,6 @@ def classify_codes(
     )
 
 
-def classify_hosts(groups: DataFrame, prop: DataFrame, compset: DataFrame, own_only: bool = True, **kw) -> DataFrame:
-    """``(prop_code, host_id, state)`` for single-host groups only."""
-    return (
-        classify_codes(groups, prop, compset, own_only, **kw)
-        .filter(F.col("state") != F.lit(NON_SINGLE))
-        .select("prop_code", "host_id", "state")
-    )
-
-
 def tag_rows(rows: DataFrame, codes: DataFrame) -> DataFrame:
     """Attach the summary of each row's code (``codes`` without its key columns).
 

@@ -16,6 +16,7 @@ from feedsync.functions.columns import canonical_code
 from feedsync.operators.validate import non_single
 from feedsync.schemas import FEED_COLUMNS
 
+MALFORMED = "malformed"
 DUPLICATE_HOST = "duplicate_host"
 MISSING_PROPERTY = "missing_property"
 ID_MISMATCH = "id_mismatch"
@@ -36,30 +37,6 @@ def report(feed: DataFrame, keys: DataFrame, role: str | None = None, on_raw: bo
     return f.join(k, code == F.col("_code"), "left_semi")
 
 
-def report_keys(groups: DataFrame, host_state: DataFrame) -> DataFrame:
-    """(prop_code, report): every code that belongs in one of the three reports."""
-    dup = non_single(groups).select("prop_code", F.lit(DUPLICATE_HOST).alias("report"))
-    st = host_state.filter(F.col("state").isin(NO_PROPERTY, MISMATCH)).select(
-        "prop_code",
-        F.when(F.col("state") == F.lit(NO_PROPERTY), F.lit(MISSING_PROPERTY)).otherwise(F.lit(ID_MISMATCH)).alias(
-            "report"
-        ),
-    )
-    return dup.unionByName(st)
-
-
-def report_rows(feed: DataFrame, keys: DataFrame, on_raw: bool = True) -> DataFrame:
-    """All report rows in one pass: raw feed columns + ``report``.
-
-    The duplicate-host report keeps host rows only (rule 6: zero-host groups
-    therefore yield no row)."""
-    f = feed.select(*FEED_COLUMNS)
-    code = F.col("raw_code") if on_raw else canonical_code(F.col("raw_code"))
-    k = keys.select(F.col("prop_code").alias("_code"), "report")
-    tagged = f.join(k, code == F.col("_code"), "inner").drop("_code")
-    return tagged.filter((F.col("report") != F.lit(DUPLICATE_HOST)) | (F.col("role") == F.lit(HOST_ROLE)))
-
-
 def report_rule(name: str) -> Column:
     """Condition on a feed tagged by :func:`classify.tag_rows` that puts a row
     in report ``name`` - on stored columns only, so it reaches the scan."""
@@ -73,16 +50,19 @@ def report_rule(name: str) -> Column:
     raise ValueError(f"unknown report {name!r}")
 
 
-def reports_from_tags(tagged: DataFrame, on_raw: bool = True) -> DataFrame:
+def reports_from_tags(tagged: DataFrame, on_raw: bool = True, malformed: bool = False) -> DataFrame:
     """All report rows from a feed tagged by :func:`classify.tag_rows` - no
     join needed.  Report codes are valid canonical codes, so a raw code equals
     one of them exactly when it equals its own canonical code and that code
-    carries the reason (rule 7)."""
+    carries the reason (rule 7).  ``malformed`` adds the rows without a valid code."""
     reason = F.lit(None).cast("string")
     for name in (ID_MISMATCH, MISSING_PROPERTY, DUPLICATE_HOST):
         reason = F.when(report_rule(name), F.lit(name)).otherwise(reason)
-    t = tagged.filter(F.col("raw_code") == F.col("prop_code")) if on_raw else tagged
-    return t.withColumn("report", reason).filter(F.col("report").isNotNull()).select(*FEED_COLUMNS, "report")
+    if on_raw:
+        reason = F.when(F.col("raw_code") == F.col("prop_code"), reason)
+    if malformed:
+        reason = F.when(~F.col("code_ok"), F.lit(MALFORMED)).otherwise(reason)
+    return tagged.withColumn("report", reason).filter(F.col("report").isNotNull()).select(*FEED_COLUMNS, "report")
 
 
 def tagged_report(tagged: DataFrame, name: str, on_raw: bool = True) -> DataFrame:

@@ -37,15 +37,16 @@ def own_flag(is_host: Column) -> Column:
 def expand_seasons(rows: DataFrame, seasons: DataFrame, fan: DataFrame, rows_per_task: int = 250_000) -> DataFrame:
     """One row per listing x pinned season of its code.
 
-    ``rows`` has prop_code, competitor_id, own_ind and ``n_fan``; ``fan`` has
-    (prop_code, n_fan), an upper bound of the rows each code fans out to.  Both
-    inputs are made distinct, so the join output is distinct by construction; each
-    side moves once, and a hot code is cut into as many parts as its listings x
-    seasons need (:func:`skew.salted_join`).
+    ``rows`` has prop_code, competitor_id, own_ind, ``n_fan`` and ``n_season``: upper
+    bounds of the rows its code fans out to and of the code's seasons; ``fan`` has the two
+    by prop_code, for the codes of ``rows``.  Both inputs are made distinct, so the join
+    output is distinct by construction; seasons of other codes never move, and a hot
+    code is cut on both sides (:func:`skew.salted_join`).
     """
-    s = seasons.select("prop_code", "season_id", "we_ind").join(fan.select("prop_code", "n_fan"), "prop_code")
-    r = rows.select("prop_code", "competitor_id", "own_ind", "n_fan")
-    return salted_join(r, s, ["prop_code"], "n_fan", rows_per_task).select(
+    sizes = ["n_fan", "n_season"]
+    s = seasons.select("prop_code", "season_id", "we_ind").join(fan.select("prop_code", *sizes), "prop_code")
+    r = rows.select("prop_code", "competitor_id", "own_ind", *sizes)
+    return salted_join(r, s, ["prop_code"], *sizes, rows_per_task).select(
         "prop_code", "competitor_id", "season_id", "we_ind", "own_ind"
     )
 
@@ -54,7 +55,7 @@ def season_rows(config: DataFrame, run_id: int, data_date, user: str, run_ts) ->
     """Desired config rows as the run's compset seasons, with its id, date and stamp."""
     return config.withColumns(
         {
-            "run_id": F.lit(run_id).cast("int"),
+            "run_id": F.lit(run_id).cast("bigint"),
             "data_date": F.lit(data_date).cast("date"),
             "last_upd_by": F.lit(user),
             "last_upd_ts": F.lit(run_ts).cast("timestamp"),

@@ -37,6 +37,7 @@ FIXTURE_VIEWS: dict[str, str] = {
         "FROM fx_host WHERE custkey % 23 <> 0 "
         "UNION ALL SELECT feed_code, 'H', feed_ext_id, chain, hotel FROM fx_host WHERE custkey % 29 = 0 "
         "UNION ALL SELECT feed_code, 'C', feed_ext_id, chain, hotel FROM fx_host WHERE custkey % 53 = 0 "
+        "UNION ALL SELECT feed_code, 'C', 'n/a', 'NEW', hotel FROM fx_host WHERE custkey % 61 = 7 "
         "UNION ALL SELECT h.feed_code, 'C', "
         "CASE WHEN (p.custkey + p.suppkey) % 97 = 0 THEN 'id ' || CAST(p.suppkey AS STRING) "
         "ELSE CAST(3 * p.suppkey AS STRING) END, n_name, "
@@ -58,7 +59,13 @@ FIXTURE_VIEWS: dict[str, str] = {
         "WHERE (p.custkey * 7 + p.suppkey) % 10 >= 2 AND p.custkey % 13 <> 0 "
         "UNION ALL SELECT prop_code, CAST(3 * custkey + CASE WHEN custkey % 41 = 0 THEN 2 ELSE 1 END AS INT), 'Y', "
         "'Y', DATE '2020-01-01', NULL, 'seed', TIMESTAMP '2020-01-01 00:00:00' "
-        "FROM fx_host WHERE custkey % 13 <> 0"
+        "FROM fx_host WHERE custkey % 13 <> 0 "
+        "UNION ALL SELECT prop_code, CAST(3 * p.suppkey AS INT), 'N', 'N', "
+        "CAST(DATE '2020-01-01' + CAST(p.custkey % 365 AS INT) - 100 AS DATE), "
+        "CAST(DATE '2020-01-01' + CAST(p.custkey % 365 AS INT) + "
+        "CASE p.custkey % 3 WHEN 0 THEN 10 WHEN 1 THEN -1 ELSE -30 END AS DATE), "
+        "'seed', TIMESTAMP '2020-01-01 00:00:00' FROM fx_pairs p JOIN fx_host h ON h.custkey = p.custkey "
+        "WHERE (p.custkey * 7 + p.suppkey) % 10 >= 2 AND p.custkey % 13 <> 0 AND (p.custkey + p.suppkey) % 59 = 0"
     ),
     "competitor": (
         "SELECT CAST(3 * s_suppkey AS INT) AS competitor_id, "
@@ -71,24 +78,35 @@ FIXTURE_VIEWS: dict[str, str] = {
         "FROM customer WHERE c_custkey % 13 <> 0"
     ),
     "season_map": (
-        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') AS prop_code, CAST(r AS INT) AS run_id, "
+        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') AS prop_code, CAST(r AS BIGINT) AS run_id, "
         "CAST(r * 10 + s AS INT) AS season_id, CASE WHEN s = 1 THEN 'N' ELSE 'Y' END AS we_ind "
         "FROM customer CROSS JOIN (SELECT 1 AS r UNION ALL SELECT 2 UNION ALL SELECT 3) a "
         "CROSS JOIN (SELECT 1 AS s UNION ALL SELECT 2) b WHERE c_custkey % 47 <> 0"
     ),
     "run_pin": (
-        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') AS prop_code, CAST(1 + c_custkey % 3 AS INT) AS run_id "
+        "SELECT 'P' || lpad(CAST(c_custkey AS STRING),CAST(greatest(6,length(CAST(c_custkey AS STRING))) AS INT),'0') AS prop_code, CAST(1 + c_custkey % 3 AS BIGINT) AS run_id "
         "FROM customer"
     ),
     "comp_config": (
-        "SELECT h.prop_code AS prop_code, CAST(3 * p.suppkey AS INT) AS competitor_id, "
-        "CAST((1 + p.custkey % 3) * 10 + s AS INT) AS season_id, "
-        "CASE WHEN s = 1 THEN 'N' ELSE 'Y' END AS we_ind, 'N' AS own_ind, "
-        "CAST(p.custkey % 100 AS INT) AS sys_weight, CAST(p.suppkey % 100 AS INT) AS usr_weight, "
-        "'seed' AS last_upd_by, TIMESTAMP '2020-01-01 00:00:00' AS last_upd_ts "
-        "FROM fx_pairs p JOIN fx_host h ON h.custkey = p.custkey "
-        "CROSS JOIN (SELECT 1 AS s UNION ALL SELECT 2) b "
-        "WHERE (p.custkey * 7 + p.suppkey) % 10 >= 1 AND (p.custkey + p.suppkey) % 9 <> 0 AND p.custkey % 13 <> 0"
+        "SELECT prop_code, CAST(id AS INT) AS competitor_id, CAST((1 + custkey % 3) * 10 + s AS INT) AS season_id, "
+        "CASE WHEN custkey % 61 <> 7 AND (custkey + 2 * suppkey) % 71 = 0 THEN NULL "
+        "WHEN custkey % 61 <> 7 AND (custkey + 2 * suppkey) % 61 = 0 THEN CASE WHEN s = 1 THEN 'Y' ELSE 'N' END "
+        "WHEN s = 1 THEN 'N' ELSE 'Y' END AS we_ind, "
+        "CASE WHEN suppkey % 3 = 0 THEN 'Y' ELSE 'N' END AS cmptn_ind, "
+        "CAST((1 + custkey % 100) * 0.125 AS DECIMAL(38,18)) AS sys_weight, "
+        "CAST((1 + suppkey % 100) * 0.25 AS DECIMAL(38,18)) AS usr_weight, "
+        "CAST((1 + suppkey % 50) * 0.015625 AS DECIMAL(38,18)) AS closed_fill_in_rt, "
+        "CASE WHEN suppkey % 4 = 0 THEN CAST((1 + custkey % 10) * 0.5 AS DECIMAL(38,18)) END AS closed_fill_in_usr, "
+        "CASE WHEN suppkey IS NULL OR (custkey % 61 <> 7 AND (2 * custkey + suppkey) % 67 = 0) "
+        "THEN 'Y' ELSE 'N' END AS own_ind, CAST(custkey % 7 AS INT) AS prd_profile_id, "
+        "'seed' AS last_upd_by, TIMESTAMP '2020-01-01 00:00:00' AS last_upd_ts FROM ("
+        "SELECT h.prop_code, p.custkey, p.suppkey, 3 * p.suppkey AS id "
+        "FROM fx_pairs p JOIN fx_host h ON h.custkey = p.custkey WHERE p.custkey % 13 <> 0 AND "
+        "CASE WHEN p.custkey % 61 = 7 THEN (p.custkey * 7 + p.suppkey) % 10 < 8 AND (p.custkey + p.suppkey) % 97 <> 0 "
+        "ELSE (p.custkey * 7 + p.suppkey) % 10 >= 1 AND (p.custkey + p.suppkey) % 9 <> 0 END "
+        "UNION ALL SELECT prop_code, custkey, NULL, 3 * custkey + 1 FROM fx_host "
+        "WHERE custkey % 61 = 7 AND custkey % 13 <> 0) c "
+        "CROSS JOIN (SELECT 1 AS s UNION ALL SELECT 2) b"
     ),
 }
 
@@ -189,6 +207,46 @@ OPERATOR_VIEWS: dict[str, str] = {
         "WHERE c.competitor_id = r.competitor_id AND c.competitor_name = r.competitor_name) "
         "UNION ALL SELECT competitor_id, competitor_name FROM renamed_hosts"
     ),
+    # the compset as date ranges: changes against the pairs in force on the data date
+    "in_force": (
+        "SELECT * FROM compset WHERE coalesce(eff_start_date <= DATE '2024-01-01', true) "
+        "AND coalesce(eff_end_date >= DATE '2024-01-01', true)"
+    ),
+    "dated_pairs": (
+        "SELECT DISTINCT m.prop_code, m.competitor_id FROM matched m WHERE NOT m.is_host AND NOT EXISTS "
+        "(SELECT 1 FROM in_force c WHERE c.own_ind = 'Y' AND c.prop_code = m.prop_code "
+        "AND c.competitor_id = m.competitor_id)"
+    ),
+    "dated_rows": (
+        "SELECT c.prop_code, c.competitor_id, c.own_ind, c.eff_start_date AS s, "
+        "CASE WHEN g.gone AND coalesce(c.eff_end_date >= DATE '2024-01-01', true) "
+        "THEN DATE '2023-12-31' ELSE c.eff_end_date END AS e "
+        "FROM (SELECT *, NOT coalesce(own_ind = 'Y', false) AND EXISTS "
+        "(SELECT 1 FROM in_force f WHERE f.prop_code = compset.prop_code "
+        "AND f.competitor_id = compset.competitor_id AND NOT coalesce(f.own_ind = 'Y', false)) AND EXISTS "
+        "(SELECT 1 FROM host_state h WHERE h.prop_code = compset.prop_code AND h.state = 'match') AND NOT EXISTS "
+        "(SELECT 1 FROM dated_pairs d WHERE d.prop_code = compset.prop_code "
+        "AND d.competitor_id = compset.competitor_id) AS gone FROM compset) c, LATERAL (SELECT c.gone AS gone) g "
+        "WHERE NOT (g.gone AND coalesce(c.eff_start_date >= DATE '2024-01-01', false) "
+        "AND coalesce(c.eff_end_date >= DATE '2024-01-01', true)) "
+        "UNION ALL SELECT d.prop_code, d.competitor_id, 'N', DATE '2024-01-01', NULL FROM dated_pairs d "
+        "WHERE d.competitor_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM in_force f "
+        "WHERE f.prop_code = d.prop_code AND f.competitor_id = d.competitor_id) "
+        "UNION ALL SELECT prop_code, competitor_id, own_ind, DATE '2024-01-01', NULL FROM new_hosts_v "
+        "WHERE competitor_id IS NOT NULL"
+    ),
+    "dated_days": (
+        "SELECT prop_code, competitor_id, own_ind, coalesce(s, DATE '0001-01-01') AS s, "
+        "max(coalesce(e, DATE '9999-12-31')) AS e FROM dated_rows GROUP BY 1, 2, 3, 4"
+    ),
+    "dated_steps": (
+        "SELECT *, max(e) OVER (PARTITION BY prop_code, competitor_id, own_ind ORDER BY s "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM dated_days"
+    ),
+    "dated_islands": (
+        "SELECT *, sum(CASE WHEN before IS NULL OR s > before + 1 THEN 1 ELSE 0 END) "
+        "OVER (PARTITION BY prop_code, competitor_id, own_ind ORDER BY s) AS island FROM dated_steps"
+    ),
     # B14 + B15
     "pinned_seasons": (
         "SELECT s.prop_code, s.run_id, s.season_id, s.we_ind FROM season_map s "
@@ -211,19 +269,44 @@ OPERATOR_VIEWS: dict[str, str] = {
         "SELECT DISTINCT c.prop_code, c.competitor_id FROM config_scoped c WHERE NOT EXISTS "
         "(SELECT 1 FROM desired_config d WHERE d.prop_code = c.prop_code AND d.competitor_id = c.competitor_id)"
     ),
+    # B16, update class: stored rows of desired pairs and seasons whose flags no desired row has
+    "updates_v": (
+        "SELECT DISTINCT c.prop_code, c.competitor_id, c.season_id, c.we_ind AS we_before, c.own_ind AS own_before, "
+        "CASE WHEN EXISTS (SELECT 1 FROM desired_config d WHERE d.prop_code = c.prop_code "
+        "AND d.competitor_id = c.competitor_id AND d.season_id = c.season_id "
+        "AND d.we_ind IS NOT DISTINCT FROM c.we_ind) THEN c.we_ind ELSE d.we END AS we_after, "
+        "CASE WHEN EXISTS (SELECT 1 FROM desired_config d WHERE d.prop_code = c.prop_code "
+        "AND d.competitor_id = c.competitor_id AND d.season_id = c.season_id "
+        "AND d.own_ind IS NOT DISTINCT FROM c.own_ind) THEN c.own_ind ELSE d.own END AS own_after "
+        "FROM comp_config c JOIN (SELECT prop_code, competitor_id, season_id, max(we_ind) AS we, max(own_ind) AS own "
+        "FROM desired_config GROUP BY ALL) d ON d.prop_code = c.prop_code "
+        "AND d.competitor_id = c.competitor_id AND d.season_id = c.season_id "
+        "WHERE NOT EXISTS (SELECT 1 FROM desired_config e WHERE e.prop_code = c.prop_code "
+        "AND e.competitor_id = c.competitor_id AND e.season_id = c.season_id "
+        "AND e.we_ind IS NOT DISTINCT FROM c.we_ind AND e.own_ind IS NOT DISTINCT FROM c.own_ind)"
+    ),
     # B17
     "after_v": (
-        "SELECT c.prop_code, c.competitor_id, c.season_id, c.we_ind, c.own_ind, c.sys_weight, c.usr_weight, "
-        "c.last_upd_by, c.last_upd_ts FROM comp_config c WHERE NOT EXISTS "
+        "SELECT c.prop_code, c.competitor_id, c.season_id, "
+        "CASE WHEN u.prop_code IS NULL THEN c.we_ind ELSE u.we_after END AS we_ind, c.cmptn_ind, "
+        "c.sys_weight, c.usr_weight, c.closed_fill_in_rt, c.closed_fill_in_usr, "
+        "CASE WHEN u.prop_code IS NULL THEN c.own_ind ELSE u.own_after END AS own_ind, c.prd_profile_id, "
+        "CASE WHEN u.prop_code IS NULL THEN c.last_upd_by ELSE 'batch' END AS last_upd_by, "
+        "CASE WHEN u.prop_code IS NULL THEN c.last_upd_ts ELSE TIMESTAMP '2024-01-01 00:00:00' END AS last_upd_ts "
+        "FROM comp_config c LEFT JOIN updates_v u ON u.prop_code = c.prop_code "
+        "AND u.competitor_id = c.competitor_id AND u.season_id = c.season_id "
+        "AND u.we_before IS NOT DISTINCT FROM c.we_ind AND u.own_before IS NOT DISTINCT FROM c.own_ind "
+        "WHERE NOT EXISTS "
         "(SELECT 1 FROM deletes_v d WHERE d.prop_code = c.prop_code AND d.competitor_id = c.competitor_id) "
-        "UNION ALL SELECT prop_code, competitor_id, season_id, we_ind, own_ind, NULL, NULL, "
+        "UNION ALL SELECT prop_code, competitor_id, season_id, we_ind, NULL, NULL, NULL, NULL, NULL, own_ind, NULL, "
         "'batch', TIMESTAMP '2024-01-01 00:00:00' FROM inserts_v "
         "WHERE prop_code IS NOT NULL AND competitor_id IS NOT NULL"
     ),
-    # B20
+    # Accepted changes only
     "touched_v": (
-        "SELECT DISTINCT prop_code, 'MRC' AS pgm_code FROM "
-        "(SELECT prop_code FROM deletes_v UNION ALL SELECT prop_code FROM inserts_v) t"
+        "SELECT DISTINCT prop_code, 'MRC' AS pgm_code FROM (SELECT prop_code FROM deletes_v UNION ALL "
+        "SELECT prop_code FROM updates_v UNION ALL "
+        "SELECT prop_code FROM inserts_v WHERE prop_code IS NOT NULL AND competitor_id IS NOT NULL) t"
     ),
 }
 
@@ -285,6 +368,20 @@ QUERIES: dict[str, str] = {
         "UNION ALL SELECT c.prop_code, c.competitor_id, 'delete' FROM current_pairs c WHERE NOT EXISTS "
         "(SELECT 1 FROM desired_pairs d WHERE d.prop_code = c.prop_code AND d.competitor_id = c.competitor_id)"
     ),
+    "compset_history": (
+        "SELECT prop_code, competitor_id, own_ind, nullif(min(s), DATE '0001-01-01') AS eff_start_date, "
+        "nullif(max(e), DATE '9999-12-31') AS eff_end_date, CAST(count(*) AS BIGINT) AS n_ranges "
+        "FROM dated_islands GROUP BY prop_code, competitor_id, own_ind, island"
+    ),
+    "written_reports": (
+        f"SELECT {_FEED_COLS}, 'malformed-codes' AS report FROM derived WHERE NOT code_ok "
+        f"UNION ALL {_RAW.replace(' FROM', ", 'duplicate-property-codes' FROM")} WHERE l.role = 'H' AND EXISTS "
+        "(SELECT 1 FROM host_counts g WHERE g.n_host <> 1 AND g.prop_code = l.raw_code) "
+        f"UNION ALL {_RAW.replace(' FROM', ", 'non-existent-property-codes' FROM")} WHERE EXISTS "
+        "(SELECT 1 FROM host_state h WHERE h.state = 'no_property' AND h.prop_code = l.raw_code) "
+        f"UNION ALL {_RAW.replace(' FROM', ", 'id-mismatches' FROM")} WHERE EXISTS "
+        "(SELECT 1 FROM host_state h WHERE h.state = 'mismatch' AND h.prop_code = l.raw_code)"
+    ),
     "pinned_seasons": "SELECT prop_code, run_id, season_id, we_ind FROM pinned_seasons",
     "desired_config": "SELECT prop_code, competitor_id, season_id, we_ind, own_ind FROM desired_config",
     "config_inserts": "SELECT prop_code, competitor_id, season_id, we_ind, own_ind FROM inserts_v",
@@ -293,11 +390,24 @@ QUERIES: dict[str, str] = {
         "SELECT d.prop_code, d.competitor_id FROM deletes_v d WHERE EXISTS "
         "(SELECT 1 FROM desired_config c WHERE c.prop_code = d.prop_code)"
     ),
+    "config_updates": (
+        "SELECT prop_code, competitor_id, season_id, we_before, own_before, we_after, own_after FROM updates_v"
+    ),
+    "config_change_set": (
+        "SELECT 'insert' AS change, prop_code, competitor_id, season_id, NULL AS we_before, NULL AS own_before, "
+        "we_ind AS we_after, own_ind AS own_after FROM inserts_v "
+        "WHERE prop_code IS NOT NULL AND competitor_id IS NOT NULL "
+        "UNION ALL SELECT 'delete', c.prop_code, c.competitor_id, c.season_id, c.we_ind, c.own_ind, NULL, NULL "
+        "FROM comp_config c WHERE EXISTS "
+        "(SELECT 1 FROM deletes_v d WHERE d.prop_code = c.prop_code AND d.competitor_id = c.competitor_id) "
+        "UNION ALL SELECT 'update', prop_code, competitor_id, season_id, we_before, own_before, we_after, own_after "
+        "FROM updates_v"
+    ),
     "config_after": "SELECT * FROM after_v",
     "config_export": "SELECT * FROM after_v",
     "table_scan": "SELECT * FROM compset",
     "compset_seasons": (
-        "SELECT prop_code, competitor_id, season_id, we_ind, own_ind, CAST(1 AS INT) AS run_id, "
+        "SELECT prop_code, competitor_id, season_id, we_ind, own_ind, CAST(1 AS BIGINT) AS run_id, "
         "DATE '2024-01-01' AS data_date, 'batch' AS last_upd_by, TIMESTAMP '2024-01-01 00:00:00' AS last_upd_ts "
         "FROM desired_config"
     ),
@@ -329,7 +439,8 @@ def build(query_sql: str, fixtures: bool = True) -> str:
             continue
         needed.add(n)
         stack.extend(_deps(views[n], [m for m in order if m != n]))
-    ctes = [f"{n} AS ({views[n]})" for n in order if n in needed]
+    # each view is computed once, however many statements use it
+    ctes = [f"{n} AS MATERIALIZED ({views[n]})" for n in order if n in needed]
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + query_sql
 
 
@@ -354,21 +465,24 @@ AUDITED = {
     "compset_diff": "prop_code",
     "config_inserts": "prop_code",
     "config_deletes": "prop_code",
+    "config_updates": "prop_code",
     "config_after": "prop_code",
     "touched_properties": "prop_code",
 }
 
 
-# Dates and times are compared as text, which both engines spell alike.
+# Dates, times and decimals are compared as text, which both engines spell alike.
+AMOUNTS = ("sys_weight", "usr_weight", "closed_fill_in_rt", "closed_fill_in_usr")
 AS_TEXT = {
     "new_hosts": ["last_upd_ts"],
     "competitor_upserts": ["last_upd_ts"],
     "competitor_after": ["last_upd_ts"],
-    "config_after": ["last_upd_ts"],
-    "config_export": ["last_upd_ts"],
+    "config_after": [*AMOUNTS, "last_upd_ts"],
+    "config_export": [*AMOUNTS, "last_upd_ts"],
     "compset_after": ["eff_start_date", "eff_end_date", "last_upd_ts"],
     "table_scan": ["eff_start_date", "eff_end_date", "last_upd_ts"],
     "compset_seasons": ["data_date", "last_upd_ts"],
+    "compset_history": ["eff_start_date", "eff_end_date"],
 }
 
 

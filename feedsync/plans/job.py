@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedsync.constants import PAIR_KEYS, RunContext
 from feedsync.operators import publish_report
-from feedsync.plans.run import RunResult, run_reconciliation
+from feedsync.plans.changed import ChangedOnly
+from feedsync.plans.run import RunResult, counted, run_reconciliation
 from feedsync.plans.snapshots import Bucketing, RunLayout, latest_complete_run, read_state
 from feedsync.plans.views import MatchRules, SkewConf
 from feedsync.session import build_session, input_bytes, shared_dir, shared_root, size_shuffle
@@ -40,8 +41,9 @@ def open_sources(
     source: ParquetSource | JdbcSource,
     continue_from_root: bool = True,
     bucketing: Bucketing | None = None,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """(tables for :func:`run_reconciliation`, corrupt feed rows).
+) -> tuple[dict[str, DataFrame], DataFrame, int | None]:
+    """(tables for :func:`run_reconciliation`, corrupt feed rows, the run whose states
+    the tables hold).
 
     ``raw_feed`` is the feed as parsed by :func:`read_feed` (batch) or one
     micro-batch of the feed stream; it is staged once, so the CSV is parsed a
@@ -60,7 +62,7 @@ def open_sources(
         if isinstance(source, JdbcSource):
             # one read of the database for the whole run: every consumer sees one state
             t[name] = stage_parsed(spark, t[name], layout.stage(f"table_{name}"))
-    return t, corrupt
+    return t, corrupt, prev
 
 
 def run_tables(
@@ -75,11 +77,12 @@ def run_tables(
     rules: MatchRules | None = None,
     admit_new_hosts: bool = False,
     bucketing: Bucketing | None = None,
+    changed: ChangedOnly | None = None,
 ) -> RunResult:
     """Open the sources for ``raw_feed``, write its corrupt rows, run."""
-    tables, corrupt = open_sources(spark, layout, raw_feed, season_pins_path, source, bucketing=bucketing)
+    tables, corrupt, prev = open_sources(spark, layout, raw_feed, season_pins_path, source, bucketing=bucketing)
     corrupt_path = layout.report("corrupt-rows")
-    publish_report(corrupt.select(CORRUPT_COLUMN), corrupt_path, header=True)
+    n_corrupt = counted(corrupt.select(CORRUPT_COLUMN), lambda d: publish_report(d, corrupt_path, header=True))
     return run_reconciliation(
         spark,
         tables,
@@ -90,7 +93,9 @@ def run_tables(
         rules=rules,
         admit_new_hosts=admit_new_hosts,
         bucketing=bucketing,
-        extra_reports={"corrupt_rows": corrupt_path},
+        extra_reports={"corrupt_rows": n_corrupt},
+        changed=changed,
+        base_run=prev,
     )
 
 
@@ -106,11 +111,12 @@ def run_job(
     rules: MatchRules | None = None,
     admit_new_hosts: bool = False,
     bucketing: Bucketing | None = None,
+    changed: ChangedOnly | None = None,
 ) -> RunResult:
     layout = RunLayout(shared_root(spark, root or f"{shared_dir(spark)}/feedsync"), ctx.run_id)
     raw = read_feed(spark, feed_path)
     return run_tables(
-        spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts, bucketing
+        spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts, bucketing, changed
     )
 
 
@@ -162,6 +168,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--on-data-date", action="store_true", help="only rows effective on the data date can match")
     p.add_argument("--deactivate-removed", action="store_true", help="flag removed compset rows instead of deleting")
     p.add_argument("--bucket-states", type=int, metavar="N", help="keep config/compset states bucketed into N buckets")
+    p.add_argument(
+        "--changed-buckets",
+        type=int,
+        default=64,
+        metavar="N",
+        help="deal each state to N buckets and write only those a run changes (0: whole states; default 64)",
+    )
     a = p.parse_args(argv)
     spark = build_session()
     # size the shuffles for the feed and the stored tables together
@@ -191,9 +204,10 @@ def main(argv: list[str] | None = None) -> None:
         rules=rules,
         admit_new_hosts=a.admit_new_hosts,
         bucketing=bucketing,
+        changed=ChangedOnly(a.changed_buckets) if a.changed_buckets and not bucketing else None,
     )
     for r in sorted(res.audit, key=lambda r: r["output"]):
-        print(f"{r['output']:28s} {r['n_rows']:>12d} {r['n_keys']:>10d}")
+        print(f"{r['output']:28s} {r['n_rows']:>12d} {'' if r['n_keys'] is None else r['n_keys']:>10}")
 
 
 if __name__ == "__main__":

@@ -15,6 +15,7 @@ rows, the three reports - is a filter of the tagged feed.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import cached_property
@@ -25,12 +26,15 @@ from pyspark.sql import functions as F
 from feedsync.constants import NOT_OWN_FLAG, OWN_FLAG, PAIR_KEYS, RunContext
 from feedsync.operators import (
     apply_changes,
+    apply_updates,
+    change_set,
     check_codes,
     deactivate_changes,
     classify_codes,
     competitor_upserts,
     compset_diff,
     config_pairs,
+    config_updates,
     derive,
     expand_seasons,
     host_groups,
@@ -49,7 +53,8 @@ from feedsync.operators import (
     touched,
     upsert,
 )
-from feedsync.operators.classify import MATCH, NO_PROPERTY, NON_SINGLE
+from feedsync.operators.classify import MATCH, NO_PROPERTY, NON_SINGLE, current_rows
+from feedsync.operators.history import apply_history
 from feedsync.operators.reports import DUPLICATE_HOST, ID_MISMATCH, MISSING_PROPERTY
 from feedsync.operators.seasons import own_flag
 from feedsync.schemas import FEED_COLUMNS
@@ -88,7 +93,7 @@ class Reconciliation(Mapping[str, DataFrame]):
     ``compset``, ``competitor``, ``season_map``, ``run_pin``, ``comp_config``.
     ``stage(name, df)`` is called on every shared intermediate (``codes``,
     ``tagged``, ``new_hosts``, ``competitor_upserts``, ``compset_diff``,
-    ``desired_config``, ``config_pairs``, ``config_inserts``, ``config_deletes``); the staged run
+    ``desired_config``, ``config_pairs``, ``config_inserts``, ``config_deletes``, ``config_updates``); the staged run
     writes them once and reads them back, the registered queries leave them
     lazy.  ``admitted`` holds new-host rows the caller has already added to
     ``t["compset"]`` (same-run admission); they are reported as this run's new
@@ -104,9 +109,11 @@ class Reconciliation(Mapping[str, DataFrame]):
         "non_single_hosts", "single_host_rows", "duplicate_host_report", "with_property",
         "missing_property_report", "host_state", "matched_rows", "id_mismatch_report", "new_hosts",
         "rename_records", "renamed_hosts", "renamed_listings", "competitor_upserts", "compset_diff",
-        "compset_after", "compset_rejected", "competitor_after", "pinned_seasons", "desired_config",
-        "config_inserts", "config_deletes", "config_deletes_matched", "config_after",
-        "touched_properties", "compset_seasons", "competitor_rejected", "_report_rows", "_config_rejected",
+        "compset_after", "compset_rejected", "compset_history", "competitor_after", "pinned_seasons", "desired_config",
+        "config_inserts", "config_deletes", "config_deletes_matched", "config_updates", "config_change_set",
+        "config_after",
+        "touched_properties", "compset_seasons", "competitor_rejected", "_report_rows", "_all_reports",
+        "_config_rejected",
     )
 
     def __init__(
@@ -118,8 +125,10 @@ class Reconciliation(Mapping[str, DataFrame]):
         stage: Stage = _lazy,
         admitted: DataFrame | None = None,
         rules: MatchRules | None = None,
+        defaults: Mapping[str, object] | None = None,
     ) -> None:
         self.rules = rules or MatchRules()
+        self.defaults = defaults
         self.t = t
         self.ctx = ctx or RunContext()
         self.skew = skew or SkewConf()
@@ -149,6 +158,16 @@ class Reconciliation(Mapping[str, DataFrame]):
     def stamp_with(self) -> tuple[str, object]:
         return (self.ctx.user, self.ctx.run_ts)
 
+    def over(self, **tables: DataFrame) -> Reconciliation:
+        """The same run with other current states below its next states.  Change sets
+        and everything else that is built already stay, so build them first."""
+        other = copy.copy(self)
+        other.t = {**self.t, **tables}
+        for name in ("_compset_applied", "compset_after", "compset_rejected", "competitor_after", "_config_applied",
+                     "config_after", "config_rejected"):
+            other.__dict__.pop(name, None)
+        return other
+
     # trunk -----------------------------------------------------------------
     @cached_property
     def feed_scan(self) -> DataFrame:
@@ -181,11 +200,11 @@ class Reconciliation(Mapping[str, DataFrame]):
         codes = codes.join(season_counts(self.pinned), "prop_code", "left").withColumn(
             "n_fan", n_list * F.coalesce("n_season", F.lit(0))
         )
-        return self.stage("codes", codes.drop("n_season"))
+        return self.stage("codes", codes.withColumn("n_season", F.coalesce("n_season", F.lit(0))))
 
     @cached_property
     def tagged(self) -> DataFrame:
-        summary = self.codes.select("prop_code", "n_host", "host_id", "state", "n_fan")
+        summary = self.codes.select("prop_code", "n_host", "host_id", "state", "n_fan", "n_season")
         return self.stage("tagged", tag_rows(self.checked, summary))
 
     # B03, B04 ----------------------------------------------------------------
@@ -244,6 +263,11 @@ class Reconciliation(Mapping[str, DataFrame]):
     def report_rows(self) -> DataFrame:
         return reports_from_tags(self.tagged)
 
+    @cached_property
+    def all_reports(self) -> DataFrame:
+        """Malformed rows and the rows of the three reports, tagged, from one scan."""
+        return reports_from_tags(self.tagged, malformed=True)
+
     @cached_property
     def duplicate_host_report(self) -> DataFrame:
         return tagged_report(self.tagged, DUPLICATE_HOST)
@@ -327,6 +351,15 @@ class Reconciliation(Mapping[str, DataFrame]):
     def compset_rejected(self) -> DataFrame:
         return self._compset_applied[1]
 
+    @cached_property
+    def compset_history(self) -> DataFrame:
+        """The compset as date ranges: changes are taken against the pairs in force on the
+        data date, so a pair whose range has ended opens a new one."""
+        on = self.ctx.data_date
+        changes = compset_diff(self.matched, current_rows(self.t["compset"], on_date=on), self.state)
+        hosts = self.new_hosts if self.admitted is None else self.admitted.limit(0)
+        return apply_history(self.t["compset"], changes, hosts, on)
+
     @cached_property
     def competitor_after(self) -> DataFrame:
         return upsert(self.t["competitor"], self.competitor_upserts, ["competitor_id"], self.stamp_with)
@@ -341,13 +374,13 @@ class Reconciliation(Mapping[str, DataFrame]):
     def pinned_seasons(self) -> DataFrame:
         return self.pinned.select("prop_code", "run_id", "season_id", "we_ind")
 
-    def _expanded(self, rows: DataFrame) -> DataFrame:
-        return expand_seasons(rows, self.pinned, self.codes, self.skew.rows_per_task)
+    def _expanded(self, rows: DataFrame, fan: DataFrame) -> DataFrame:
+        return expand_seasons(rows, self.pinned, fan, self.skew.rows_per_task)
 
     @cached_property
     def desired_config(self) -> DataFrame:
         rows = self.matched.withColumn("own_ind", own_flag(F.col("is_host")))
-        return self.stage("desired_config", self._expanded(rows))
+        return self.stage("desired_config", self._expanded(rows, self.codes.filter(F.col("state") == F.lit(MATCH))))
 
     @cached_property
     def compset_seasons(self) -> DataFrame:
@@ -365,7 +398,9 @@ class Reconciliation(Mapping[str, DataFrame]):
         rows = self.config_pairs.filter(F.col("change") == "insert").withColumn(
             "own_ind", F.explode(F.array_compact(roles))
         )
-        return self.stage("config_inserts", self._expanded(rows))
+        # seasons of codes without an inserted pair never move
+        fan = rows.groupBy("prop_code").agg(F.max("n_fan").alias("n_fan"), F.max("n_season").alias("n_season"))
+        return self.stage("config_inserts", self._expanded(rows, fan))
 
     def _deletes_in(self, scope: str) -> DataFrame:
         # every valid code is a row of ``codes``
@@ -385,10 +420,25 @@ class Reconciliation(Mapping[str, DataFrame]):
     def config_deletes_matched(self) -> DataFrame:
         return self._deletes_in("matched")
 
+    @cached_property
+    def config_updates(self) -> DataFrame:
+        return self.stage("config_updates", config_updates(self.t["comp_config"], self.config_pairs, self.pinned))
+
+    @cached_property
+    def config_change_set(self) -> DataFrame:
+        return change_set(self.t["comp_config"], self.config_inserts, self.config_deletes, self.config_updates)
+
     @cached_property
     def _config_applied(self) -> tuple[DataFrame, DataFrame]:
+        updated = apply_updates(
+            self.t["comp_config"],
+            self.config_updates,
+            [*PAIR_KEYS, "season_id"],
+            {"we_ind": ("we_before", "we_after"), "own_ind": ("own_before", "own_after")},
+            self.stamp_with,
+        )
         after, rejected = apply_changes(
-            self.t["comp_config"], self.config_inserts, self.config_deletes, stamp_with=self.stamp_with
+            updated, self.config_inserts, self.config_deletes, stamp_with=self.stamp_with, defaults=self.defaults
         )
         return after, rejected.select(*self.config_inserts.columns)
 
@@ -402,8 +452,10 @@ class Reconciliation(Mapping[str, DataFrame]):
 
     @cached_property
     def touched_properties(self) -> DataFrame:
-        inserted = self.config_pairs.filter(F.col("change") == "insert")
-        return touched(inserted, self.config_deletes).select("prop_code", "pgm_code")
+        # rejected inserts change nothing
+        keyed = F.col("prop_code").isNotNull() & F.col("competitor_id").isNotNull()
+        inserted = self.config_pairs.filter((F.col("change") == "insert") & keyed)
+        return touched(inserted, self.config_deletes, self.config_updates).select("prop_code", "pgm_code")
 
 
 def reconcile_views(
@@ -414,6 +466,8 @@ def reconcile_views(
     stage: Stage = _lazy,
     admitted: DataFrame | None = None,
     rules: MatchRules | None = None,
+    defaults: Mapping[str, object] | None = None,
 ) -> Reconciliation:
-    """The run's views (see :class:`Reconciliation`); nothing is built until used."""
-    return Reconciliation(t, ctx, skew, scope, stage, admitted, rules)
+    """The run's views (see :class:`Reconciliation`); nothing is built until used.
+    ``defaults`` are config values of inserted rows, e.g. weights."""
+    return Reconciliation(t, ctx, skew, scope, stage, admitted, rules, defaults)

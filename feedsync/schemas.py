@@ -10,7 +10,7 @@ FEED_COLUMNS = ["raw_code", "role", "ext_id", "chain_name", "hotel_name"]
 FEED_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in FEED_COLUMNS])
 
 RUN_PIN_SCHEMA = T.StructType(
-    [T.StructField("prop_code", T.StringType(), True), T.StructField("run_id", T.IntegerType(), True)]
+    [T.StructField("prop_code", T.StringType(), True), T.StructField("run_id", T.LongType(), True)]
 )
 
 # (competitor id, new name) renames file; the reference reads it but its use
@@ -31,7 +31,7 @@ TABLE_COLUMNS: dict[str, list[str]] = {
     "compset": ["prop_code", "competitor_id", "own_ind"],
     "competitor": ["competitor_id", "competitor_name"],
     "season_map": ["prop_code", "run_id", "season_id", "we_ind"],
-    "comp_config": ["prop_code", "competitor_id", "season_id", "own_ind"],
+    "comp_config": ["prop_code", "competitor_id", "season_id", "we_ind", "own_ind"],
     "run_pin": ["prop_code", "run_id"],
 }
 

@@ -10,18 +10,20 @@ Fixed values (FIXTURES.md §2): customer remainders 11 no property, 13 not in
 compset/competitor, 17 lower-case padded code, 19 malformed code, 23 no host
 row, 29 second host row, 31 non-numeric id, 37 NULL chain, 41 other stored own
 id, 43 other stored host name, 47 no seasons, 53 also listed as its own
-competitor; (custkey + suppkey) remainders of a listing: 89 NULL name, 97
+competitor, 61 (remainder 7) settled: the config holds what the feed lists and one more
+competitor is listed without a number; (custkey + suppkey) remainders of a listing: 89 NULL name, 97
 non-numeric id; supplier remainders 5 other stored
 name, 7 not stored; pair remainder (7*custkey + suppkey) mod 10: 0-1 feed only,
-8-9 table only; comp_config leaves out pair remainder 0 and
-(custkey + suppkey) mod 9 = 0; three runs of two seasons each.
+8-9 table only; (custkey + suppkey) mod 59 = 0: a second, earlier range in compset, which
+overlaps, touches or leaves a gap by custkey mod 3; comp_config leaves out pair remainder 0 and
+(custkey + suppkey) mod 9 = 0, its weekend flag is turned for (custkey + 2 * suppkey) mod
+61 = 0 and NULL for mod 71 = 0, its own flag is 'Y' for (2 * custkey + suppkey) mod 67 = 0; three runs of two seasons each.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TPCH_TABLES = ("customer", "supplier", "nation", "orders", "lineitem")
 
@@ -83,6 +85,7 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     pk = (F.col("custkey") * 7 + F.col("suppkey")) % 10
     both = F.col("custkey") + F.col("suppkey")
     cust = F.col("c_custkey")
+    settled = F.col("custkey") % 61 == 7
 
     host_rows = host.filter(F.col("custkey") % 23 != 0)
     dup_rows = host.filter(F.col("custkey") % 29 == 0)
@@ -114,10 +117,17 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     own_rows = host.filter(F.col("custkey") % 53 == 0).select(
         *[F.lit("C").alias("role") if i == 1 else c for i, c in enumerate(hcols)]
     )
+    # settled hosts: the config holds just what the feed lists, but for one competitor
+    # whose id is not a number
+    unnumbered = host.filter(settled).select(
+        F.col("feed_code").alias("raw_code"), F.lit("C").alias("role"), F.lit("n/a").alias("ext_id"),
+        F.lit("NEW").alias("chain_name"), F.col("hotel").alias("hotel_name"),
+    )
     listing = (
         host_rows.select(hcols)
         .unionByName(dup_rows.select(hcols))
         .unionByName(own_rows)
+        .unionByName(unnumbered)
         .unionByName(comp_rows)
     )
 
@@ -125,6 +135,16 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
     kept_pairs = pairs.filter(F.col("custkey") % 13 != 0).join(host.select("custkey", "prop_code"), "custkey")
     ck, day = F.col("custkey"), F.to_date(F.lit("2020-01-01"))
+    # an earlier range of some pairs: it overlaps the later one, touches it or leaves a gap
+    first = F.date_add(day, (ck % 365).cast("int"))
+    earlier = kept_pairs.filter((pk >= 2) & (both % 59 == 0)).select(
+        "prop_code",
+        _supplier_id(F.col("suppkey")).cast("int").alias("competitor_id"),
+        F.lit("N").alias("own_ind"),
+        F.lit("N").alias("active_ind"),
+        F.date_sub(first, 100).alias("eff_start_date"),
+        F.date_add(first, F.when(ck % 3 == 0, 10).when(ck % 3 == 1, -1).otherwise(-30)).alias("eff_end_date"),
+    )
     compset = _audited(
         kept_pairs.filter(pk >= 2)
         .select(
@@ -145,6 +165,7 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
                 F.lit(None).cast("date").alias("eff_end_date"),
             )
         )
+        .unionByName(earlier)
     )
 
     old = lambda cond: F.when(cond, F.lit("OLD ")).otherwise(F.lit(""))
@@ -173,26 +194,42 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         .select("prop_code", "r", F.explode(F.array(F.lit(1), F.lit(2))).alias("s"))
         .select(
             "prop_code",
-            F.col("r").cast("int").alias("run_id"),
+            F.col("r").cast("bigint").alias("run_id"),
             (F.col("r") * 10 + F.col("s")).cast("int").alias("season_id"),
             F.when(F.col("s") == 1, F.lit("N")).otherwise(F.lit("Y")).alias("we_ind"),
         )
     )
 
-    run_pin = customer.select(_code(cust).alias("prop_code"), (1 + cust % 3).cast(T.IntegerType()).alias("run_id"))
+    run_pin = customer.select(_code(cust).alias("prop_code"), (1 + cust % 3).cast("bigint").alias("run_id"))
 
+    stored = F.when(settled, (pk < 8) & (both % 97 != 0)).otherwise((pk >= 1) & (both % 9 != 0))
+    own = host.filter(settled & (ck % 13 != 0)).select(
+        "prop_code", "custkey", F.lit(None).cast("bigint").alias("suppkey"), _own_id(ck).alias("id")
+    )
     comp_config = (
-        kept_pairs.filter((pk >= 1) & ((F.col("custkey") + F.col("suppkey")) % 9 != 0))
-        .select("prop_code", "custkey", "suppkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("s"))
-        .select(
-            "prop_code",
-            _supplier_id(F.col("suppkey")).cast("int").alias("competitor_id"),
-            ((1 + F.col("custkey") % 3) * 10 + F.col("s")).cast("int").alias("season_id"),
-            F.when(F.col("s") == 1, F.lit("N")).otherwise(F.lit("Y")).alias("we_ind"),
-            F.lit("N").alias("own_ind"),
-            (ck % 100).cast("int").alias("sys_weight"),
-            (F.col("suppkey") % 100).cast("int").alias("usr_weight"),
-        )
+        kept_pairs.filter(stored)
+        .select("prop_code", "custkey", "suppkey", _supplier_id(s).alias("id"))
+        .unionByName(own)
+        .select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("s"))
+    )
+    flag = lambda cond: F.when(cond, F.lit("Y")).otherwise(F.lit("N"))
+    amount = lambda n, d: (n / F.lit(d)).cast("decimal(38,18)")
+    weekend, odd = flag(F.col("s") != 1), ~settled
+    comp_config = comp_config.select(
+        "prop_code",
+        F.col("id").cast("int").alias("competitor_id"),
+        ((1 + ck % 3) * 10 + F.col("s")).cast("int").alias("season_id"),
+        F.when(odd & ((ck + 2 * s) % 71 == 0), F.lit(None).cast("string"))
+        .when(odd & ((ck + 2 * s) % 61 == 0), flag(F.col("s") == 1))
+        .otherwise(weekend)
+        .alias("we_ind"),
+        flag(s % 3 == 0).alias("cmptn_ind"),
+        amount(1 + ck % 100, 8).alias("sys_weight"),
+        amount(1 + s % 100, 4).alias("usr_weight"),
+        amount(1 + s % 50, 64).alias("closed_fill_in_rt"),
+        F.when(s % 4 == 0, amount(1 + ck % 10, 2)).alias("closed_fill_in_usr"),
+        flag(s.isNull() | (odd & ((2 * ck + s) % 67 == 0))).alias("own_ind"),
+        (ck % 7).cast("int").alias("prd_profile_id"),
     )
     comp_config = _audited(comp_config)
 

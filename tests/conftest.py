@@ -44,14 +44,16 @@ def views_small(fixtures_small):
     return reconcile_views(fixtures_small)
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture
 def duck_small():
+    """A connection of its own for each test, so that one fatal error stays one failure."""
     import duckdb
 
-    con = duckdb.connect()
+    con = duckdb.connect(config={"threads": 2, "memory_limit": "2GB"})
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
-    return con
+    yield con
+    con.close()
 
 
 def rows_of(df, cols=None):

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from feedsync.constants import PAIR_KEYS
-from feedsync.operators import config_changes
 from feedsync.plans.views import reconcile_views
 
 
@@ -51,10 +50,14 @@ def test_applying_twice_changes_nothing(views_small, fixtures_small):
     assert v2["config_deletes"].count() == 0
 
 
-def test_scope_matched_is_subset(views_small, fixtures_small):
+def test_scope_matched_is_subset(views_small):
     v = views_small
-    _, _, dm = config_changes(v["desired_config"], fixtures_small["comp_config"], v["host_counts"], scope="matched")
-    assert dm.count() == v["config_deletes_matched"].count() == 166
+    matched, every = v["config_deletes_matched"], v["config_deletes"]
+    assert matched.exceptAll(every).count() == 0 and 0 < matched.count() < every.count()
+    codes = v["desired_config"].select("prop_code").distinct()
+    assert matched.join(codes, "prop_code", "left_anti").count() == 0
+    # a pair of the wider scope only is of a property without desired rows
+    assert every.exceptAll(matched).join(codes, "prop_code", "left_semi").count() == 0
 
 
 def test_host_states_cover_single_groups(views_small):
@@ -66,34 +69,19 @@ def test_host_states_cover_single_groups(views_small):
 
 
 def test_join_and_tag_forms_of_reports_agree(fixtures_small, views_small):
-    """The generic join-based operators give the same rows as the tag-based
-    filters the run uses."""
-    from feedsync.operators import (
-        check_codes,
-        classify_hosts,
-        derive,
-        host_groups,
-        report,
-        report_keys,
-        report_rows,
-        single_host_rows,
-        split_exists,
-    )
+    """The generic join-based report gives the same rows as the tag-based filters."""
+    from feedsync.operators import check_codes, derive, host_groups, report
 
     feed = fixtures_small["listing"]
-    checked = check_codes(derive(feed))
-    valid = checked.filter("code_ok").drop("code_ok")
-    groups = host_groups(valid)
-    state = classify_hosts(groups, fixtures_small["property"], fixtures_small["compset"])
-    rows = report_rows(feed, report_keys(groups, state))
-    assert rows.exceptAll(views_small["_report_rows"]).count() == 0
-    assert views_small["_report_rows"].exceptAll(rows).count() == 0
-
+    groups = host_groups(check_codes(derive(feed)).filter("code_ok"))
     dup = report(feed, groups.filter("n_host <> 1"), role="H")
     assert dup.exceptAll(views_small["duplicate_host_report"]).count() == 0
     assert dup.count() == views_small["duplicate_host_report"].count() == 10
 
-    single = single_host_rows(valid, groups)
-    with_p, without_p = split_exists(single, fixtures_small["property"], "prop_code")
-    assert with_p.count() == views_small["with_property"].count() == 1027
-    assert single.count() == with_p.count() + without_p.count()
+    states = views_small.state
+    for state, name in (("no_property", "missing_property_report"), ("mismatch", "id_mismatch_report")):
+        rows = report(feed, states.filter(F.col("state") == state))
+        assert rows.exceptAll(views_small[name]).count() == 0
+        assert views_small[name].exceptAll(rows).count() == 0
+    parts = ("malformed_codes", "duplicate_host_report", "missing_property_report", "id_mismatch_report")
+    assert views_small["_all_reports"].count() == sum(views_small[n].count() for n in parts)

@@ -23,7 +23,7 @@ def test_staged_scans_push_filters_and_prune(spark, tmp_path, fixtures_small):
 
     # B16 scoping reads only the code column of the staged summary
     ins = v["config_inserts"]
-    assert ins.count() == 544
+    assert ins.count() == 536
 
 
 def test_no_static_broadcast(spark, fixtures_small):

@@ -2,6 +2,7 @@
 
 from contextlib import contextmanager
 
+import pytest
 from pyspark.sql import functions as F
 
 
@@ -20,7 +21,7 @@ def confs(spark, **kv):
                 spark.conf.set(k, v)
 
 from feedsync.operators import expand_seasons, salted_join
-from feedsync.operators.skew import parts_of
+from feedsync.operators.skew import parts_of, rectangle
 
 
 def skewed(spark, n=30000):
@@ -44,7 +45,7 @@ def seasons(spark):
 def fanned(spark, big, small):
     """Both sides with their key's output rows, as the run's summary gives them."""
     n = big.groupBy("prop_code").count().join(small.groupBy("prop_code").count().withColumnRenamed("count", "m"), "prop_code")
-    fan = n.select("prop_code", (F.col("count") * F.col("m")).alias("n_fan"))
+    fan = n.select("prop_code", (F.col("count") * F.col("m")).alias("n_fan"), F.col("m").alias("n_season"))
     return big.join(fan, "prop_code"), small.join(fan, "prop_code"), fan
 
 
@@ -53,7 +54,7 @@ def test_salted_join_equals_plain_join(spark):
     plain = big.distinct().join(small.distinct(), "prop_code")
     b, s, _ = fanned(spark, big, small)
     for rows in (50, 2500, 10**9):
-        salted = salted_join(b, s, ["prop_code"], "n_fan", rows)
+        salted = salted_join(b, s, ["prop_code"], "n_fan", "n_season", rows)
         assert salted.count() == plain.count()
         assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
 
@@ -62,7 +63,7 @@ def test_hot_key_spread_over_tasks(spark):
     b, s, _ = fanned(spark, skewed(spark), seasons(spark))
     with confs(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         per_part = (
-            salted_join(b, s, ["prop_code"], "n_fan", 2500)
+            salted_join(b, s, ["prop_code"], "n_fan", "n_season", 2500)
             .filter(F.col("prop_code") == "P000001")
             .withColumn("p", F.spark_partition_id())
             .groupBy("p")
@@ -73,6 +74,33 @@ def test_hot_key_spread_over_tasks(spark):
     assert max(r["count"] for r in per_part) < 20000
 
 
+def test_code_large_on_both_sides_copies_little(spark):
+    """3,000 listings by 2,000 seasons: the grid copies some 2 * sqrt(parts * L * S) rows,
+    copying the season side alone would need S * parts."""
+    listings, n_seasons, per_task = 3000, 2000, 10_000
+    big = spark.range(listings).select(F.lit("P1").alias("prop_code"), F.col("id").cast("int").alias("competitor_id"))
+    small = spark.range(n_seasons).select(F.lit("P1").alias("prop_code"), F.col("id").cast("int").alias("season_id"))
+    sizes = {"n_fan": F.lit(listings * n_seasons), "n_season": F.lit(n_seasons)}
+    a, b = spark.range(1).select(*rectangle(sizes["n_fan"], sizes["n_season"], per_task)).first()
+    parts = -(-listings * n_seasons // per_task)
+    assert parts <= a * b < 1.2 * parts + a
+    copies = listings * b + n_seasons * a
+    assert copies < 2.2 * (parts * listings * n_seasons) ** 0.5 < n_seasons * parts / 8
+    out = salted_join(big.withColumns(sizes), small.withColumns(sizes), ["prop_code"], "n_fan", "n_season", per_task)
+    with confs(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "64"}):
+        rows = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in rows) == listings * n_seasons
+    assert len(rows) > 40 and max(r["count"] for r in rows) < listings * n_seasons / 15
+
+
+@pytest.mark.parametrize("n_out, n_small", [(0, 0), (None, None), (1, 1), (10**12, 1), (10**12, 10**11), (7, 100)])
+def test_grid_of_odd_sizes(spark, n_out, n_small):
+    row = spark.createDataFrame([(n_out, n_small)], "o bigint, s bigint")
+    a, b = row.select(*rectangle(F.col("o"), F.col("s"), 250_000)).first()
+    assert a >= 1 and b >= 1
+    assert a * b >= (n_out or 0) / 250_000
+
+
 def test_every_one_of_many_hot_codes_is_split(spark):
     """No list of hot keys, so no limit on their number: 1,500 hot codes."""
     big = spark.range(1500 * 20).select(
@@ -88,6 +116,8 @@ def test_every_one_of_many_hot_codes_is_split(spark):
     b, s, fan = fanned(spark, big, small)
     counts = fan.select(parts_of(F.col("n_fan"), 10).alias("parts")).groupBy("parts").count().collect()
     assert [(r["parts"], r["count"]) for r in counts] == [(4, 1500)]
+    lines = b.select("*", *(c.alias(n) for c, n in zip(rectangle(F.col("n_fan"), F.col("n_season"), 10), "ab", strict=True)))
+    assert lines.filter("a <> 4 OR b <> 1").count() == 0  # few seasons: only the listings are cut
     spread = b.withColumn("part", F.pmod(F.xxhash64("prop_code", "competitor_id", "own_ind"), F.lit(4)))
     assert spread.groupBy("prop_code").agg(F.count_distinct("part").alias("n")).filter("n < 2").count() == 0
     out = expand_seasons(b, small, fan, 10)

@@ -131,6 +131,6 @@ def test_extra_columns_survive_two_runs(spark, tmp_path, fixtures_small):
 
 def test_rejected_competitor_rows_are_reported(spark, tmp_path, fixtures_small):
     res = run_reconciliation(spark, fixtures_small, RunContext(run_id=1), root=str(tmp_path / "r"))
-    assert res.counts()["competitor_rejected"] == 8
+    assert res.counts()["competitor_rejected"] == 11
     after = read_state(spark, res.layout.root, "competitor", 1)
     assert after.filter("competitor_id IS NULL OR competitor_name IS NULL").count() == 0
