@@ -398,8 +398,11 @@ class Reconciliation(Mapping[str, DataFrame]):
         rows = self.config_pairs.filter(F.col("change") == "insert").withColumn(
             "own_ind", F.explode(F.array_compact(roles))
         )
-        # seasons of codes without an inserted pair never move
-        fan = rows.groupBy("prop_code").agg(F.max("n_fan").alias("n_fan"), F.max("n_season").alias("n_season"))
+        fan = self.codes.filter(F.col("state") == F.lit(MATCH))
+        if self.stage is not _lazy:
+            # the pairs are staged: seasons of codes without an inserted pair never move
+            # (lazily this would evaluate the pairs' join once more)
+            fan = rows.groupBy("prop_code").agg(F.max("n_fan").alias("n_fan"), F.max("n_season").alias("n_season"))
         return self.stage("config_inserts", self._expanded(rows, fan))
 
     def _deletes_in(self, scope: str) -> DataFrame:

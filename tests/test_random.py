@@ -3,6 +3,7 @@ DuckDB over the same tables (brute force on small fixtures)."""
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import duckdb
 from hypothesis import HealthCheck, given, settings
@@ -21,6 +22,8 @@ feed_row = st.tuples(
     st.sampled_from(NAMES), st.sampled_from(NAMES),
 )
 canon = st.sampled_from(["P000001", "P000002", "P000003", "P000004", "P000005", "P000007"])
+STARTS = [dt.date(2020, 1, 1), dt.date(2020, 2, 1), dt.date(2025, 1, 1), None]
+ENDS = [dt.date(2020, 1, 31), dt.date(2023, 12, 31), dt.date(2026, 1, 1), None]
 ids = st.sampled_from([1000001, 1000002, 1000003, 5, 7, None])
 
 
@@ -29,14 +32,19 @@ def inputs(draw):
     return {
         "listing": draw(st.lists(feed_row, min_size=1, max_size=25)),
         "property": draw(st.lists(st.tuples(canon), max_size=6)),
-        "compset": draw(st.lists(st.tuples(canon, ids, st.sampled_from(["Y", "N", None])), max_size=10)),
+        "compset": draw(
+            st.lists(st.tuples(canon, ids, st.sampled_from(["Y", "N", None]), st.sampled_from(STARTS), st.sampled_from(ENDS)), max_size=10)
+        ),
         "competitor": draw(st.lists(st.tuples(ids, st.sampled_from(NAMES)), max_size=6)),
         "season_map": draw(
-            st.lists(st.tuples(canon, st.sampled_from([1, 2]), st.sampled_from([11, 12, 21]), st.sampled_from(["N", "Y"])), max_size=10)
+            st.lists(st.tuples(canon, st.sampled_from([1, 2]), st.sampled_from([11, 12, 21]), st.sampled_from(["N", "Y", None])), max_size=10)
         ),
         "run_pin": draw(st.lists(st.tuples(canon, st.sampled_from([1, 2])), max_size=6)),
         "comp_config": draw(
-            st.lists(st.tuples(canon, ids, st.sampled_from([11, 12, 21]), st.sampled_from(["N", "Y"])), max_size=12)
+            st.lists(
+                st.tuples(canon, ids, st.sampled_from([11, 12, 21]), st.sampled_from(["N", "Y", None]), st.sampled_from(["N", "Y", None])),
+                max_size=12,
+            )
         ),
     }
 
@@ -50,15 +58,17 @@ SCHEMAS = {
     "season_map": "prop_code string, run_id int, season_id int, we_ind string",
     "run_pin": "prop_code string, run_id int",
     "comp_config": "prop_code string, competitor_id int, season_id int, we_ind string, own_ind string, "
-    "sys_weight int, usr_weight int, last_upd_by string, last_upd_ts timestamp",
+    "sys_weight decimal(38,18), usr_weight decimal(38,18), closed_fill_in_rt decimal(38,18), "
+    "closed_fill_in_usr decimal(38,18), prd_profile_id int, cmptn_ind string, last_upd_by string, last_upd_ts timestamp",
 }
 DUCK_TYPES = {"string": "VARCHAR", "int": "INTEGER", "date": "DATE", "timestamp": "TIMESTAMP"}
+DUCK_TYPES |= {"decimal(38,18)": "DECIMAL(38,18)"}
 # what the drawn columns of a stored table are followed by
 STAMP = ("seed", dt.datetime(2020, 1, 1))
 REST = {
-    "compset": lambda r: (*r, "Y", dt.date(2020, 1, 1), None, *STAMP),
+    "compset": lambda r: (*r[:3], "Y", *r[3:], *STAMP),
     "competitor": lambda r: (*r, *STAMP),
-    "comp_config": lambda r: (*r[:3], "N", r[3], 1, 2, *STAMP),
+    "comp_config": lambda r: (*r, Decimal("0.5"), None, None, Decimal(2), 1, "N", *STAMP),
 }
 
 CHECKED = [
@@ -66,7 +76,8 @@ CHECKED = [
     "missing_property_report", "host_state", "id_mismatch_report", "new_hosts", "rename_records",
     "renamed_listings", "competitor_upserts", "compset_diff", "desired_config", "config_inserts",
     "config_deletes", "config_deletes_matched", "config_after", "compset_after", "competitor_after",
-    "competitor_rejected", "compset_seasons", "touched_properties",
+    "competitor_rejected", "compset_seasons", "touched_properties", "config_updates", "config_change_set",
+    "compset_history",
 ]
 
 

@@ -141,7 +141,7 @@ def test_run_job_from_csv_feed_and_parquet_tables(spark, tmp_path, fixtures_smal
     root = str(tmp_path / "root")
     res = run_job(spark, feed, pins, ParquetSource(tables), RunContext(run_id=1), root=root)
     c = res.counts()
-    assert c["config_inserts"] == 544 and c["config_deletes"] == 422 and c["compset_diff"] == 388
+    assert c["config_inserts"] == 536 and c["config_deletes"] == 417 and c["compset_diff"] == 391
     corrupt = spark.read.option("header", "true").csv(f"{root}/reports/run=1/corrupt-rows")
     assert corrupt.count() == 1
     # the next run continues from run 1's table states
@@ -213,4 +213,4 @@ def test_cli_main(spark, tmp_path, fixtures_small, capsys):
     main(["--feed", feed, "--season-pins", pins, "--tables", tables, "--root", root, "--run-id", "3",
           "--data-date", "2024-01-01"])
     out = capsys.readouterr().out
-    assert any(line.split()[:2] == ["config_inserts", "544"] for line in out.splitlines())
+    assert any(line.split()[:2] == ["config_inserts", "536"] for line in out.splitlines())

@@ -26,7 +26,7 @@ def test_stream_runs_once_per_delivery(spark, tmp_path, fixtures_small):
     assert latest_complete_run(spark, root) == 1
     audit = spark.read.parquet(f"{root}/audit").filter(F.col("run") == 1)
     got = {r.output: r.n_rows for r in audit.collect()}
-    assert got["config_inserts"] == 544 and got["compset_diff"] == 388
+    assert got["config_inserts"] == 536 and got["compset_diff"] == 391
 
     # a second delivery: one more run on top of run 1's state
     (inbox / "day2.csv").write_text((inbox / "day1.csv").read_text())
