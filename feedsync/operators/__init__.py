@@ -8,6 +8,7 @@ from feedsync.operators.classify import (
     new_hosts,
     tag_rows,
 )
+from feedsync.operators.export import export_ordered, read_export, verify_export
 from feedsync.operators.publish import audit, export_csv, publish_report, touched
 from feedsync.operators.renames import (
     competitor_upserts,
@@ -53,11 +54,13 @@ __all__ = [
     "diff",
     "expand_seasons",
     "export_csv",
+    "export_ordered",
     "host_groups",
     "new_hosts",
     "non_single",
     "pin_runs",
     "publish_report",
+    "read_export",
     "rename_listings",
     "rename_pick",
     "rename_records",
@@ -77,4 +80,5 @@ __all__ = [
     "stamp",
     "touched",
     "upsert",
+    "verify_export",
 ]

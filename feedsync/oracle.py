@@ -117,7 +117,27 @@ FIXTURE_VIEWS: dict[str, str] = {
 # ---------------------------------------------------------------------------
 _FEED_COLS = "raw_code, role, ext_id, chain_name, hotel_name"
 
+# One record more for each customer (fixtures.feed_lines): raw text, fields, and whether the
+# number of fields is right.
+_CODE = "'P' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(6, length(CAST(c_custkey AS VARCHAR))) AS INT), '0')"
+_OWN = "CAST(3 * c_custkey + 1 AS VARCHAR)"
+_NL = "chr(10)"
+
 OPERATOR_VIEWS: dict[str, str] = {
+    "planted_records": (
+        f"SELECT c_custkey % 8 AS m, c_mktsegment AS seg, c_name AS hotel, {_CODE} AS code, {_OWN} AS own, "
+        "CASE c_custkey % 8 "
+        f"WHEN 0 THEN {_CODE} || ',H,' || {_OWN} || ',' || c_mktsegment || ',' || c_name || ',EXTRA' "
+        f"WHEN 1 THEN {_CODE} || ',H' "
+        f"WHEN 3 THEN {_CODE} || ',X,no ' || {_OWN} || ',' || c_mktsegment || ',' || c_name "
+        f"WHEN 4 THEN {_CODE} || ',C,99999' || lpad({_OWN}, 9, '0') || ',' || c_mktsegment || ',' || c_name "
+        f"WHEN 5 THEN ',H,' || {_OWN} || ',' || c_mktsegment || ',' END AS record FROM customer"
+    ),
+    "listing_records": (
+        f"SELECT *, concat_ws(',', coalesce(raw_code, ''), coalesce(role, ''), coalesce(ext_id, ''), "
+        "coalesce(chain_name, ''), coalesce(hotel_name, '')) AS record, "
+        "regexp_full_match(trim(ext_id), '[0-9]+') AS id_ok FROM listing"
+    ),
     # B03 + B04: derived columns and canonical code on every raw row.
     "derived": (
         f"SELECT {_FEED_COLS}, upper(trim(raw_code)) AS prop_code, "
@@ -405,6 +425,33 @@ QUERIES: dict[str, str] = {
     ),
     "config_after": "SELECT * FROM after_v",
     "config_export": "SELECT * FROM after_v",
+    "config_export_order": (
+        "SELECT row_number() OVER (ORDER BY prop_code NULLS FIRST, competitor_id NULLS FIRST, season_id NULLS FIRST, "
+        "we_ind NULLS FIRST, cmptn_ind NULLS FIRST, sys_weight NULLS FIRST, usr_weight NULLS FIRST, "
+        "closed_fill_in_rt NULLS FIRST, closed_fill_in_usr NULLS FIRST, own_ind NULLS FIRST, "
+        "prd_profile_id NULLS FIRST, last_upd_by NULLS FIRST, last_upd_ts NULLS FIRST) AS position, * FROM after_v"
+    ),
+    "feed_rejects": (
+        "SELECT record, 'ext_id' AS field, 'not a whole number' AS reason, ext_id AS value "
+        "FROM listing_records WHERE NOT id_ok "
+        "UNION ALL SELECT record, 'hotel_name', 'missing', NULL FROM listing_records WHERE hotel_name IS NULL "
+        "UNION ALL SELECT record, NULL, '6 fields, not 5', NULL FROM planted_records WHERE m = 0 "
+        "UNION ALL SELECT record, NULL, '2 fields, not 5', NULL FROM planted_records WHERE m = 1 "
+        "UNION ALL SELECT record, 'role', 'not allowed', 'X' FROM planted_records WHERE m = 3 "
+        "UNION ALL SELECT record, 'ext_id', 'not a whole number', 'no ' || own FROM planted_records WHERE m = 3 "
+        "UNION ALL SELECT record, 'ext_id', 'out of range', '99999' || lpad(own, 9, '0') "
+        "FROM planted_records WHERE m = 4 "
+        "UNION ALL SELECT record, 'raw_code', 'missing', NULL FROM planted_records WHERE m = 5 "
+        "UNION ALL SELECT record, 'hotel_name', 'missing', NULL FROM planted_records WHERE m = 5"
+    ),
+    "feed_accepted": (
+        f"SELECT {_FEED_COLS} FROM listing_records WHERE id_ok AND hotel_name IS NOT NULL "
+        f"UNION ALL SELECT code, 'H', own, seg || {_NL} || 'annex', hotel FROM planted_records WHERE m = 2 "
+        "UNION ALL SELECT code, 'C', own, seg || ', \"two\"', hotel FROM planted_records WHERE m = 6 "
+        f"UNION ALL SELECT code, 'H', own, seg || {_NL} || {_NL}, hotel || ',x' FROM planted_records WHERE m = 7"
+    ),
+    "pinned_seasons_stored": "SELECT s.prop_code, s.run_id, s.season_id, s.we_ind FROM season_map s "
+    "JOIN run_pin p ON p.prop_code = s.prop_code AND p.run_id = s.run_id",
     "table_scan": "SELECT * FROM compset",
     "compset_seasons": (
         "SELECT prop_code, competitor_id, season_id, we_ind, own_ind, CAST(1 AS BIGINT) AS run_id, "
@@ -479,6 +526,7 @@ AS_TEXT = {
     "competitor_after": ["last_upd_ts"],
     "config_after": [*AMOUNTS, "last_upd_ts"],
     "config_export": [*AMOUNTS, "last_upd_ts"],
+    "config_export_order": [*AMOUNTS, "last_upd_ts"],
     "compset_after": ["eff_start_date", "eff_end_date", "last_upd_ts"],
     "table_scan": ["eff_start_date", "eff_end_date", "last_upd_ts"],
     "compset_seasons": ["data_date", "last_upd_ts"],

@@ -15,8 +15,10 @@ import argparse
 import datetime as dt
 import json
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedsync.constants import PAIR_KEYS, RunContext
 from feedsync.operators import publish_report
@@ -24,8 +26,24 @@ from feedsync.plans.changed import ChangedOnly
 from feedsync.plans.run import RunResult, counted, run_reconciliation
 from feedsync.plans.snapshots import Bucketing, RunLayout, latest_complete_run, read_state
 from feedsync.plans.views import MatchRules, SkewConf
+from feedsync.schemas import FEED_COLUMNS
 from feedsync.session import build_session, input_bytes, shared_dir, shared_root, size_shuffle
-from feedsync.sources import JdbcSource, ParquetSource, read_feed, read_run_pins, read_table, split_corrupt, stage_parsed
+from feedsync.sources import (
+    FEED_FIELDS,
+    Field,
+    JdbcSource,
+    ParquetSource,
+    accepted,
+    check_fields,
+    pinned_folders,
+    read_feed,
+    read_records,
+    read_run_pins,
+    read_table,
+    rejects,
+    split_corrupt,
+    stage_parsed,
+)
 from feedsync.sources.feed import CORRUPT_COLUMN
 
 REFERENCE_TABLES = ("property", "compset", "competitor", "season_map", "comp_config")
@@ -59,6 +77,11 @@ def open_sources(
             t[name] = read_state(spark, layout.root, name, prev, bucketing)
             continue
         t[name] = read_table(spark, source, name)
+        by = getattr(source, "folders", {}).get(name)
+        if by == "run_id":
+            # folders of runs that no pin names are never read
+            kept = pinned_folders(t[name], t["run_pin"], by)
+            t[name] = kept.withColumn(by, F.col(by).cast("bigint"))
         if isinstance(source, JdbcSource):
             # one read of the database for the whole run: every consumer sees one state
             t[name] = stage_parsed(spark, t[name], layout.stage(f"table_{name}"))
@@ -78,6 +101,7 @@ def run_tables(
     admit_new_hosts: bool = False,
     bucketing: Bucketing | None = None,
     changed: ChangedOnly | None = None,
+    extra_reports: dict[str, int] | None = None,
 ) -> RunResult:
     """Open the sources for ``raw_feed``, write its corrupt rows, run."""
     tables, corrupt, prev = open_sources(spark, layout, raw_feed, season_pins_path, source, bucketing=bucketing)
@@ -93,7 +117,7 @@ def run_tables(
         rules=rules,
         admit_new_hosts=admit_new_hosts,
         bucketing=bucketing,
-        extra_reports={"corrupt_rows": n_corrupt},
+        extra_reports={"corrupt_rows": n_corrupt, **(extra_reports or {})},
         changed=changed,
         base_run=prev,
     )
@@ -112,11 +136,20 @@ def run_job(
     admit_new_hosts: bool = False,
     bucketing: Bucketing | None = None,
     changed: ChangedOnly | None = None,
+    strict: Sequence[Field] | None = None,
 ) -> RunResult:
+    """One run from a CSV feed.  With ``strict`` field rules, records that break one are kept out
+    of the run and reported with field, reason and value (``reports/.../rejected-fields``)."""
     layout = RunLayout(shared_root(spark, root or f"{shared_dir(spark)}/feedsync"), ctx.run_id)
-    raw = read_feed(spark, feed_path)
+    raw, reports = read_feed(spark, feed_path), {}
+    if strict:
+        records = read_records(spark, feed_path, header=FEED_COLUMNS)
+        checked = stage_parsed(spark, check_fields(records, strict), layout.stage("feed_checked"))
+        raw = accepted(checked, strict).withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
+        path = layout.report("rejected-fields")
+        reports["rejected_fields"] = counted(rejects(checked), lambda d: publish_report(d, path, header=True))
     return run_tables(
-        spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts, bucketing, changed
+        spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts, bucketing, changed, reports
     )
 
 
@@ -175,6 +208,8 @@ def main(argv: list[str] | None = None) -> None:
         metavar="N",
         help="deal each state to N buckets and write only those a run changes (0: whole states; default 64)",
     )
+    p.add_argument("--strict", action="store_true", help="reject records whose fields break the feed's rules")
+    p.add_argument("--season-folders", action="store_true", help="the season map is stored in folders by run_id")
     a = p.parse_args(argv)
     spark = build_session()
     # size the shuffles for the feed and the stored tables together
@@ -184,7 +219,7 @@ def main(argv: list[str] | None = None) -> None:
             a.jdbc_url, a.jdbc_schema, a.jdbc_user, a.jdbc_password_env, a.jdbc_driver, a.jdbc_tables
         )
     elif a.tables:
-        source = ParquetSource(a.tables)
+        source = ParquetSource(a.tables, folders={"season_map": "run_id"} if a.season_folders else {})
     else:
         p.error("one of --tables or --jdbc-url is required")
     bucketing = (
@@ -205,6 +240,7 @@ def main(argv: list[str] | None = None) -> None:
         admit_new_hosts=a.admit_new_hosts,
         bucketing=bucketing,
         changed=ChangedOnly(a.changed_buckets) if a.changed_buckets and not bucketing else None,
+        strict=FEED_FIELDS if a.strict else None,
     )
     for r in sorted(res.audit, key=lambda r: r["output"]):
         print(f"{r['output']:28s} {r['n_rows']:>12d} {'' if r['n_keys'] is None else r['n_keys']:>10}")

@@ -1,15 +1,24 @@
 from feedsync.sources.feed import read_feed, read_renames, read_run_pins, split_corrupt, stage_parsed, write_feed
 from feedsync.sources.fixtures import fixture_tables
-from feedsync.sources.tables import JdbcSource, ParquetSource, read_table
+from feedsync.sources.records import FEED_FIELDS, Dialect, Field, accepted, check_fields, read_records, rejects
+from feedsync.sources.tables import JdbcSource, ParquetSource, pinned_folders, read_table
 
 __all__ = [
+    "Dialect",
+    "FEED_FIELDS",
+    "Field",
     "JdbcSource",
     "ParquetSource",
+    "accepted",
+    "check_fields",
     "fixture_tables",
+    "pinned_folders",
     "read_feed",
+    "read_records",
     "read_renames",
     "read_run_pins",
     "read_table",
+    "rejects",
     "split_corrupt",
     "stage_parsed",
     "write_feed",

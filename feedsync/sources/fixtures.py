@@ -244,6 +244,30 @@ def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def feed_lines(tables: dict[str, DataFrame]) -> DataFrame:
+    """The feed as text lines (``value``), and one more record for each customer, by its
+    remainder mod 8: 0 a field too many, 1 two fields only, 2 a line break in quotes, 3 an unknown
+    role and an id that is no number, 4 an id out of range, 5 no code and no name, 6 a comma and
+    escaped quotes in quotes, 7 all fields quoted, two line breaks."""
+    listing = fixture_tables(tables)["listing"]
+    k = F.col("c_custkey")
+    own, seg, name = _own_id(k).cast("string"), F.col("c_mktsegment"), F.col("c_name")
+    line = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    shapes = [
+        line(_code(k), ",H,", own, ",", seg, ",", name, ",EXTRA"),
+        line(_code(k), ",H"),
+        line(_code(k), ",H,", own, ',"', seg, '\nannex",', name),
+        line(_code(k), ",X,no ", own, ",", seg, ",", name),
+        line(_code(k), ",C,99999", F.lpad(own, 9, "0"), ",", seg, ",", name),
+        line(",H,", own, ",", seg, ","),
+        line(_code(k), ",C,", own, ',"', seg, ', \\"two\\"",', name),
+        line('"', _code(k), '","H","', own, '","', seg, '\n\n","', name, ',x"'),
+    ]
+    planted = tables["customer"].select(F.element_at(F.array(*shapes), (k % 8 + 1).cast("int")).alias("value"))
+    rows = listing.select(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in listing.columns]).alias("value"))
+    return rows.unionByName(planted)
+
+
 def load_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TPCH_TABLES}
 

@@ -17,6 +17,8 @@ class ParquetSource:
 
     root: str
     run_id: int | None = None  # snapshot to read; None = plain <name>.parquet
+    # per table: the column whose values are its folders (``season_map`` by ``run_id``)
+    folders: dict[str, str] = field(default_factory=dict)
 
     def load(self, spark: SparkSession, name: str) -> DataFrame:
         if self.run_id is None:
@@ -67,6 +69,18 @@ class JdbcSource:
         df.write.format("jdbc").options(**self.write_options(name, batchsize, num_partitions)).mode("append").save()
 
 
+def pinned_folders(table: DataFrame, pins: DataFrame, by: str = "run_id", at_most: int = 10_000) -> DataFrame:
+    """``table``, stored in folders by ``by``, cut to the folders that some pin names, so that
+    the join of the pins reads no others.
+
+    The pinned ids become a filter on the partition column, which the scan applies to
+    its file listing.  The driver lists the folders anyway and takes one id for each; with more than
+    ``at_most`` pinned ids the table comes back as it is, and the join alone decides.
+    Rows are the same either way; a NULL pin names no folder."""
+    ids = [r[0] for r in pins.select(by).filter(F.col(by).isNotNull()).distinct().limit(at_most + 1).collect()]
+    return table if len(ids) > at_most else table.filter(F.col(by).isin(ids))
+
+
 def read_table(
     spark: SparkSession,
     source: ParquetSource | JdbcSource,
