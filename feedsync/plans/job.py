@@ -102,6 +102,7 @@ def run_tables(
     bucketing: Bucketing | None = None,
     changed: ChangedOnly | None = None,
     extra_reports: dict[str, int] | None = None,
+    ordered_export: bool = False,
 ) -> RunResult:
     """Open the sources for ``raw_feed``, write its corrupt rows, run."""
     tables, corrupt, prev = open_sources(spark, layout, raw_feed, season_pins_path, source, bucketing=bucketing)
@@ -120,6 +121,7 @@ def run_tables(
         extra_reports={"corrupt_rows": n_corrupt, **(extra_reports or {})},
         changed=changed,
         base_run=prev,
+        ordered_export=ordered_export,
     )
 
 
@@ -137,6 +139,7 @@ def run_job(
     bucketing: Bucketing | None = None,
     changed: ChangedOnly | None = None,
     strict: Sequence[Field] | None = None,
+    ordered_export: bool = False,
 ) -> RunResult:
     """One run from a CSV feed.  With ``strict`` field rules, records that break one are kept out
     of the run and reported with field, reason and value (``reports/.../rejected-fields``)."""
@@ -149,7 +152,20 @@ def run_job(
         path = layout.report("rejected-fields")
         reports["rejected_fields"] = counted(rejects(checked), lambda d: publish_report(d, path, header=True))
     return run_tables(
-        spark, layout, raw, season_pins_path, source, ctx, skew, scope, rules, admit_new_hosts, bucketing, changed, reports
+        spark,
+        layout,
+        raw,
+        season_pins_path,
+        source,
+        ctx,
+        skew,
+        scope,
+        rules,
+        admit_new_hosts,
+        bucketing,
+        changed,
+        extra_reports=reports,
+        ordered_export=ordered_export,
     )
 
 
@@ -209,6 +225,7 @@ def main(argv: list[str] | None = None) -> None:
         help="deal each state to N buckets and write only those a run changes (0: whole states; default 64)",
     )
     p.add_argument("--strict", action="store_true", help="reject records whose fields break the feed's rules")
+    p.add_argument("--ordered-export", action="store_true", help="config export sorted, with a verified list of parts")
     p.add_argument("--season-folders", action="store_true", help="the season map is stored in folders by run_id")
     a = p.parse_args(argv)
     spark = build_session()
@@ -241,6 +258,7 @@ def main(argv: list[str] | None = None) -> None:
         bucketing=bucketing,
         changed=ChangedOnly(a.changed_buckets) if a.changed_buckets and not bucketing else None,
         strict=FEED_FIELDS if a.strict else None,
+        ordered_export=a.ordered_export,
     )
     for r in sorted(res.audit, key=lambda r: r["output"]):
         print(f"{r['output']:28s} {r['n_rows']:>12d} {'' if r['n_keys'] is None else r['n_keys']:>10}")

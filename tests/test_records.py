@@ -122,7 +122,9 @@ def test_other_types_and_patterns(spark, tmp_path):
 
 def test_strict_run_reports_rejected_fields(spark, tmp_path, fixtures_small):
     from feedsync.constants import RunContext
+    from feedsync.operators import verify_export
     from feedsync.plans.job import run_job
+    from feedsync.plans.round_trips import EXPORT_ORDER
     from feedsync.sources import FEED_FIELDS, ParquetSource, write_feed
 
     for name in ("property", "compset", "competitor", "comp_config"):
@@ -134,7 +136,10 @@ def test_strict_run_reports_rejected_fields(spark, tmp_path, fixtures_small):
     args = (spark, f"{tmp_path}/feed", f"{tmp_path}/pins", source, RunContext(run_id=1))
     loose = run_job(*args, root=f"{tmp_path}/loose").counts()
     assert loose["config_inserts"] == 536 and loose["config_deletes"] == 417
-    strict = run_job(*args, root=f"{tmp_path}/strict", strict=FEED_FIELDS).counts()
+    res = run_job(*args, root=f"{tmp_path}/strict", strict=FEED_FIELDS, ordered_export=True)
+    strict, state = res.counts(), spark.read.parquet(res.paths["config_after"])
+    listed = verify_export(spark, res.layout.export("comp_config"), state.schema, EXPORT_ORDER)
+    assert sum(r.n_rows for r in listed.collect()) == strict["config_after"] == state.count()
     faults = spark.read.option("header", "true").csv(f"{tmp_path}/strict/reports/run=1/rejected-fields")
     assert faults.count() == strict["rejected_fields"] > 0
     assert {r.reason for r in faults.select("reason").distinct().collect()} == {"missing", "not a whole number"}
