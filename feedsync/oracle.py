@@ -406,6 +406,7 @@ QUERIES: dict[str, str] = {
     "desired_config": "SELECT prop_code, competitor_id, season_id, we_ind, own_ind FROM desired_config",
     "config_inserts": "SELECT prop_code, competitor_id, season_id, we_ind, own_ind FROM inserts_v",
     "config_deletes": "SELECT prop_code, competitor_id FROM deletes_v",
+    "config_deletes_stored": "SELECT prop_code, competitor_id FROM deletes_v",
     "config_deletes_matched": (
         "SELECT d.prop_code, d.competitor_id FROM deletes_v d WHERE EXISTS "
         "(SELECT 1 FROM desired_config c WHERE c.prop_code = d.prop_code)"

@@ -96,6 +96,8 @@ def write_changed(
     if base is None or touched:
         # a hot bucket is shared out over several files, small ones share a task
         rows = after.withColumn(BUCKET, conf.bucket(name)).hint("rebalance", BUCKET)
+        # in key order, so that row groups can be skipped by their code statistics
+        rows = rows.sortWithinPartitions(BUCKET, *conf.keys[name])
         rows.write.partitionBy(BUCKET).parquet(data)
         # counted from the files' footers: no column is read
         if path_exists(spark, data):

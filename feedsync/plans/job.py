@@ -103,6 +103,7 @@ def run_tables(
     changed: ChangedOnly | None = None,
     extra_reports: dict[str, int] | None = None,
     ordered_export: bool = False,
+    key_ranges: int = 0,
 ) -> RunResult:
     """Open the sources for ``raw_feed``, write its corrupt rows, run."""
     tables, corrupt, prev = open_sources(spark, layout, raw_feed, season_pins_path, source, bucketing=bucketing)
@@ -122,6 +123,7 @@ def run_tables(
         changed=changed,
         base_run=prev,
         ordered_export=ordered_export,
+        key_ranges=key_ranges,
     )
 
 
@@ -140,6 +142,7 @@ def run_job(
     changed: ChangedOnly | None = None,
     strict: Sequence[Field] | None = None,
     ordered_export: bool = False,
+    key_ranges: int = 0,
 ) -> RunResult:
     """One run from a CSV feed.  With ``strict`` field rules, records that break one are kept out
     of the run and reported with field, reason and value (``reports/.../rejected-fields``)."""
@@ -166,6 +169,7 @@ def run_job(
         changed,
         extra_reports=reports,
         ordered_export=ordered_export,
+        key_ranges=key_ranges,
     )
 
 
@@ -227,6 +231,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--strict", action="store_true", help="reject records whose fields break the feed's rules")
     p.add_argument("--ordered-export", action="store_true", help="config export sorted, with a verified list of parts")
     p.add_argument("--season-folders", action="store_true", help="the season map is stored in folders by run_id")
+    p.add_argument(
+        "--key-ranges", type=int, default=0, metavar="N",
+        help="look for config changes only in N ranges of the feed's codes (for states in code order; 0: all rows)",
+    )
     a = p.parse_args(argv)
     spark = build_session()
     # size the shuffles for the feed and the stored tables together
@@ -259,6 +267,7 @@ def main(argv: list[str] | None = None) -> None:
         changed=ChangedOnly(a.changed_buckets) if a.changed_buckets and not bucketing else None,
         strict=FEED_FIELDS if a.strict else None,
         ordered_export=a.ordered_export,
+        key_ranges=a.key_ranges,
     )
     for r in sorted(res.audit, key=lambda r: r["output"]):
         print(f"{r['output']:28s} {r['n_rows']:>12d} {'' if r['n_keys'] is None else r['n_keys']:>10}")

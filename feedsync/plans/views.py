@@ -58,6 +58,7 @@ from feedsync.operators.history import apply_history
 from feedsync.operators.reports import DUPLICATE_HOST, ID_MISMATCH, MISSING_PROPERTY
 from feedsync.operators.seasons import own_flag
 from feedsync.schemas import FEED_COLUMNS
+from feedsync.sources.clustered import scoped
 
 ROW_COLS = FEED_COLUMNS + ["prop_code", "competitor_id", "competitor_name"]
 
@@ -97,7 +98,8 @@ class Reconciliation(Mapping[str, DataFrame]):
     writes them once and reads them back, the registered queries leave them
     lazy.  ``admitted`` holds new-host rows the caller has already added to
     ``t["compset"]`` (same-run admission); they are reported as this run's new
-    hosts and not inserted again.
+    hosts and not inserted again.  ``key_ranges`` above 0 reads the config only in so many
+    ranges of the feed's codes for the change sets (see :mod:`feedsync.sources.clustered`).
 
     Not thread-safe: build the views a run needs before handing them to
     concurrent writers.
@@ -126,9 +128,11 @@ class Reconciliation(Mapping[str, DataFrame]):
         admitted: DataFrame | None = None,
         rules: MatchRules | None = None,
         defaults: Mapping[str, object] | None = None,
+        key_ranges: int = 0,
     ) -> None:
         self.rules = rules or MatchRules()
         self.defaults = defaults
+        self.key_ranges = key_ranges
         self.t = t
         self.ctx = ctx or RunContext()
         self.skew = skew or SkewConf()
@@ -388,9 +392,15 @@ class Reconciliation(Mapping[str, DataFrame]):
         return season_rows(self.desired_config, c.run_id, c.data_date, c.user, c.run_ts)
 
     # B16, B17, B20 -------------------------------------------------------------
+    @cached_property
+    def config_in_scope(self) -> DataFrame:
+        """Stored config rows of the feed's valid codes; no other row can change."""
+        config = self.t["comp_config"]
+        return scoped(config, self.codes, "prop_code", self.key_ranges) if self.key_ranges else config
+
     @cached_property
     def config_pairs(self) -> DataFrame:
-        return self.stage("config_pairs", config_pairs(self.matched, self.t["comp_config"]))
+        return self.stage("config_pairs", config_pairs(self.matched, self.config_in_scope))
 
     @cached_property
     def config_inserts(self) -> DataFrame:
@@ -425,11 +435,11 @@ class Reconciliation(Mapping[str, DataFrame]):
 
     @cached_property
     def config_updates(self) -> DataFrame:
-        return self.stage("config_updates", config_updates(self.t["comp_config"], self.config_pairs, self.pinned))
+        return self.stage("config_updates", config_updates(self.config_in_scope, self.config_pairs, self.pinned))
 
     @cached_property
     def config_change_set(self) -> DataFrame:
-        return change_set(self.t["comp_config"], self.config_inserts, self.config_deletes, self.config_updates)
+        return change_set(self.config_in_scope, self.config_inserts, self.config_deletes, self.config_updates)
 
     @cached_property
     def _config_applied(self) -> tuple[DataFrame, DataFrame]:
@@ -470,7 +480,8 @@ def reconcile_views(
     admitted: DataFrame | None = None,
     rules: MatchRules | None = None,
     defaults: Mapping[str, object] | None = None,
+    key_ranges: int = 0,
 ) -> Reconciliation:
     """The run's views (see :class:`Reconciliation`); nothing is built until used.
     ``defaults`` are config values of inserted rows, e.g. weights."""
-    return Reconciliation(t, ctx, skew, scope, stage, admitted, rules, defaults)
+    return Reconciliation(t, ctx, skew, scope, stage, admitted, rules, defaults, key_ranges)

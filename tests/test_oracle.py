@@ -27,6 +27,7 @@ EXPECTED_SF0001 = {
     "desired_config": 1720,
     "config_inserts": 536,
     "config_deletes": 417,
+    "config_deletes_stored": 417,
     "config_deletes_matched": 161,
     "config_after": 1820,
     "touched_properties": 128,
