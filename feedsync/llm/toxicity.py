@@ -4,22 +4,32 @@ The kernel compares two words by their common subsequences of four symbols that
 span at most six places, each place skipped costing a factor ``DECAY``; so an
 insult keeps most of its kernel value when characters are inserted or left out.
 A word opens with a boundary symbol.  Case is folded, punctuation inside a word is
-dropped and runs of single letters ("i d i o t") are joined first.
-
-Training, on the driver, takes a bounded sample of labelled documents
-(``MAX_TOXIC`` and ``MAX_CLEAN`` of each class, in hash order).  Each sentence has
-its document's label and is represented by its most toxic word under the current
-model (the first model is a log-odds count of contiguous subsequences): the best
-sentences of toxic documents are positive, those of clean documents negative.
+dropped and runs of single letters ("i d i o t") are joined first; a filler at every
+second place ("i1d1i1o1t") is dropped, and a digit beside letters stands for the
+letter it looks like ("1d10t").
+
+Training takes a bounded sample of labelled documents (``MAX_TOXIC`` and
+``MAX_CLEAN`` of each class, in hash order; of rows that repeat an id, the one with
+the least text), staged as symbol streams.  Each sentence has its document's label
+and is represented by its most toxic word under the current model: the best
+sentences of toxic documents are positive, those of clean documents negative.  The
+first model gives each subsequence the lower confidence bound of its log odds between
+toxic and clean documents, so that what many toxic documents share stands out from
+what a few have by chance, also in a language with few labelled rows.
 Kernel values against landmark words, whitened (Nystroem), feed a linear SVM with
 squared hinge loss; choosing and fitting alternate a few times.  A logistic curve
 over a document's three highest word scores and its length gives the probability.
+Counting, choosing words and scoring the sample are Spark jobs over the staged
+streams; the driver gets counts of at most 2^20 subsequences a class and, of a document,
+``SENTENCES`` + 1 words of at most ``MAX_WORD`` symbols and four numbers.
 
 Since the kernel is a dot product of subsequence counts, the landmarks' weights
 fold into one table over all 2^20 subsequences (4 MB, broadcast), and scoring a
 text is gathering that table over its symbols.  Scoring reads every document whole
 and shuffles nothing.
 
+An insult split by a space into parts of several letters is two words and often missed.
+
 Defined results: a null or empty text, or one without words, gets the score of a
 text with no evidence; without toxic or without clean training rows every score is
 the share of toxic rows (0 if there are none); repeated rows get equal scores; an
@@ -29,6 +39,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedsync.llm.common import mix64, slices, texts
+from feedsync.llm.common import mix64, slices, staged, texts
 
 MAX_TOXIC, MAX_CLEAN = 1200, 2500
 LANDMARKS = 256
@@ -47,6 +58,10 @@ SPAN = 5  # last offset of a subsequence
 # Of a training document, in each round: so many of its words of the highest score
 # are looked at, and speak for so many of its sentences at most.
 WORDS_TRIED, SENTENCES = 12, 3
+MAX_WORD = 64  # a training word's first symbols
+# The first model: standard errors below the log odds, occurrences counted of one
+# document, and the word score from which a toxic document's word is positive.
+DOUBT, OCCURRENCES, SEED_LEAST = 2.0, 4, 0.4
 THRESHOLD = 0.3
 ROUNDS = 3
 CHUNK = 1 << 20  # symbols scored at a time
@@ -64,19 +79,48 @@ def _symbols() -> np.ndarray:
         elif "a" <= ch <= "z":
             table[cp] = cp - 96
         elif ch.isdigit():
-            table[cp] = 27
+            table[cp] = 32 + unicodedata.digit(ch)
         elif ch.isalpha():
-            table[cp] = 28 + cp % 4
+            table[cp] = 28 + cp % 4 if cp < 0x370 else 1 + cp % 26
     return table
 
 
 _TABLE = _symbols()
+# Digits 0 to 9 beside letters: o i (2) e a s (6) t (8) (9); others are one symbol.
+_LOOKS = np.array([15, 9, 27, 5, 1, 19, 27, 20, 27, 27], np.uint8)
+
+
+def _plain(s: np.ndarray) -> np.ndarray:
+    """The stream without fillers at every second place of a word (four equal symbols or
+    more, or three digits or more between letters), and digits as symbols below 32."""
+    starts = np.flatnonzero(s == 0)
+    lengths = np.diff(starts, append=len(s)) - 1
+    if len(starts) and lengths.max() >= 6:
+        at = np.arange(len(s)) - np.repeat(starts, lengths + 1)
+        even = (at % 2 == 0) & (at > 0)
+        # the last two places of a word have nothing to be compared with
+        ahead = np.append(s[2:], np.zeros(min(2, len(s)), np.uint8))
+        equal = ~even | (ahead == s) | (at + 2 > np.repeat(lengths, lengths + 1))
+        filled = np.logical_and.reduceat(equal, starts) & (lengths >= 8)
+        digit = s >= 32
+        if digit.any():
+            filled |= np.logical_and.reduceat(even == digit, starts) & (lengths >= 6)
+        if filled.any():
+            s = s[~(np.repeat(filled, lengths + 1) & even)]
+    digit = np.flatnonzero(s >= 32)
+    if len(digit):
+        padded = np.concatenate([[0], s, [0]])
+        letter = (padded > 0) & (padded < 32)
+        beside = letter[digit] | letter[digit + 2]
+        s = s.copy()
+        s[digit] = np.where(beside, _LOOKS[s[digit] - 32], 27)
+    return s
 
 
 def symbols(text: str) -> np.ndarray:
     """The text as symbols 0..31: each word opens with 0."""
     cps = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    s = np.where(cps < len(_TABLE), _TABLE[np.minimum(cps, len(_TABLE) - 1)], (28 + cps % 4).astype(np.uint8))
+    s = np.where(cps < len(_TABLE), _TABLE[np.minimum(cps, len(_TABLE) - 1)], (1 + cps % 26).astype(np.uint8))
     s = np.concatenate([np.zeros(1, np.uint8), s[s != 255]])
     gap = s == 0
     s = s[~(gap & np.append(gap[1:], True))]  # one boundary before each word, none at the end
@@ -89,7 +133,7 @@ def symbols(text: str) -> np.ndarray:
         triple[:-1] |= triple[1:]
         triple &= run
         s = np.delete(s, starts[1:][triple])
-    return s
+    return _plain(s)
 
 
 def _norms(longest: int) -> np.ndarray:
@@ -229,34 +273,37 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _split(s: np.ndarray) -> list[bytes]:
-    raw, starts = s.tobytes(), np.flatnonzero(s == 0)
-    return [raw[i:j] for i, j in zip(starts, [*starts[1:], len(s)], strict=True)]
+def _keys(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct subsequences of a stream and how often each occurs in it."""
+    left, w, found = _remaining(s, np.flatnonzero(s == 0)), s.astype(np.int32), []
+    for a, b, c in _OFFSETS:
+        i = np.flatnonzero(left >= c)
+        found.append((w[i] << 15) | (w[i + a] << 10) | (w[i + b] << 5) | w[i + c])
+    return np.unique(np.concatenate(found), return_counts=True)
 
 
-def _log_odds(streams: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Of each contiguous subsequence: log odds of the share of toxic and clean documents."""
-    counts = np.zeros((2, 1 << 20), np.int32)
-    for s, y in zip(streams, toxic, strict=True):
-        if len(s) > 3:
-            w = s.astype(np.int32)
-            inside = (w[1:-2] > 0) & (w[2:-1] > 0) & (w[3:] > 0)
-            key = (w[:-3] << 15) | (w[1:-2] << 10) | (w[2:-1] << 5) | w[3:]
-            counts[int(y), np.unique(key[inside])] += 1
-    n_clean, n_toxic = int((~toxic).sum()), int(toxic.sum())
-    odds = np.log((counts[1] + 0.5) / (n_toxic + 1)) - np.log((counts[0] + 0.5) / (n_clean + 1))
-    return np.where(counts[1] >= 3, np.maximum(odds, 0), 0).astype(np.float32)
+def log_odds(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """Of each subsequence, by its occurrences in clean and toxic documents: the log odds
+    of its rates, ``DOUBT`` standard errors down, or 0 if that is less."""
+    odds = np.log((counts[1] + 0.5) / (documents[1] + 1)) - np.log((counts[0] + 0.5) / (documents[0] + 1))
+    error = np.sqrt(1 / (counts[0] + 0.5) + 1 / (counts[1] + 0.5))
+    return np.maximum(odds - DOUBT * error, 0).astype(np.float32)
 
 
-def _seed_scores(s: np.ndarray, odds: np.ndarray) -> np.ndarray:
+def chosen_words(s: np.ndarray, counts: np.ndarray, score: np.ndarray, least: float | None) -> list[bytes]:
+    """The words that speak for a document's sentences: those of the highest score, one a
+    sentence, above ``least`` if that is given."""
     starts = np.flatnonzero(s == 0)
-    if not len(starts):
-        return np.zeros(0, np.float32)
-    w = np.concatenate([s, np.zeros(3, np.uint8)]).astype(np.int32)
-    n = len(s)
-    key = (w[:n] << 15) | (w[1 : n + 1] << 10) | (w[2 : n + 2] << 5) | w[3 : n + 3]
-    value = np.where(_remaining(s, starts) >= 3, odds[key], 0)
-    return np.maximum.reduceat(value, starts)
+    ends, sentence = np.append(starts[1:], len(s)), np.repeat(np.arange(len(counts)), counts)
+    words, taken = [], set()
+    for i in np.argsort(-score, kind="stable")[:WORDS_TRIED]:
+        if sentence[i] in taken or len(taken) == SENTENCES:  # one word speaks for its sentence
+            continue
+        if least is not None and score[i] <= least:
+            break
+        taken.add(sentence[i])
+        words.append(s[starts[i] : min(ends[i], starts[i] + MAX_WORD)].tobytes())
+    return words
 
 
 def _order(words: list[bytes]) -> list[bytes]:
@@ -267,48 +314,21 @@ def _order(words: list[bytes]) -> list[bytes]:
     return [found[i] for i in rank]
 
 
-def train(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray) -> Model:
-    """Fit a model to documents, each the symbol stream of its sentences laid end to end
-    and the number of words of each sentence."""
-    toxic = np.asarray(toxic, bool)
-    share = float(toxic.mean()) if len(toxic) else 0.0
-    if share in (0.0, 1.0):
-        flat = np.clip(share, 1e-9, 1 - 1e-9)
-        return Model(np.zeros(1 << 20, np.float32), np.array([0.0] * 4 + [np.log(flat / (1 - flat))]))
-    streams = [stream for stream, _ in docs]
-    odds = _log_odds(streams, toxic)
-    weights, bias = None, 0.0
-    for round_ in range(ROUNDS):
-        positive, negative = [], []
-        for (s, counts), y in zip(docs, toxic, strict=True):
-            score = _seed_scores(s, odds) if weights is None else word_scores(s, weights) + bias
-            if not len(score):
-                continue
-            words, taken = None, set()
-            sentence = np.repeat(np.arange(len(counts)), counts)
-            for i in np.argsort(-score, kind="stable")[:WORDS_TRIED]:
-                if sentence[i] in taken or len(taken) == SENTENCES:  # one word speaks for its sentence
-                    continue
-                if y and score[i] <= (np.log(3) if weights is None else 0.0):
-                    break
-                taken.add(sentence[i])
-                words = words or _split(s)
-                (positive if y else negative).append(words[i])
-            if not y and round_ == 0:
-                words = words or _split(s)
-                negative.append(words[len(words) // 2])
-        if not positive or not negative:
-            break
-        landmarks = Landmarks(_order(positive)[: LANDMARKS // 2] + _order(negative)[: LANDMARKS // 2])
-        x = landmarks.features(positive + negative)
-        y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-        cost = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * len(negative)))
-        beta, bias = fit_svm(x, y, cost)
-        weights = landmarks.folded(beta)
-    if weights is None:
-        return train([], np.zeros(0))
-    x = np.array([evidence(word_scores(s, weights)) for s in streams])
-    return Model(weights, fit_curve(x, toxic.astype(float)))
+def flat_model(share: float) -> Model:
+    """Every document has the same probability."""
+    flat = np.clip(share, 1e-9, 1 - 1e-9)
+    return Model(np.zeros(1 << 20, np.float32), np.array([0.0] * 4 + [np.log(flat / (1 - flat))]))
+
+
+def fit_words(positive: list[bytes], negative: list[bytes]) -> tuple[np.ndarray, float]:
+    """The support vector machine between two lists of words, as a table over
+    subsequences and a constant."""
+    landmarks = Landmarks(_order(positive)[: LANDMARKS // 2] + _order(negative)[: LANDMARKS // 2])
+    x = landmarks.features(positive + negative)
+    y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
+    cost = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * len(negative)))
+    beta, bias = fit_svm(x, y, cost)
+    return landmarks.folded(beta), bias
 
 
 # ------------------------------------------------------------------ on Spark
@@ -318,9 +338,10 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """A bounded sample of the labelled rows that are not held out, as :func:`train`
-    takes them."""
+def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """A bounded sample of the labelled rows that are not held out, as :func:`train` takes
+    it, staged: id, toxic, symbols (the streams of its sentences laid end to end), words
+    (the number of words of each sentence)."""
     named = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     named = named.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -340,22 +361,108 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[np.n
                 counts.append([int((p == 0).sum()) for p in parts if len(p)])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(streams, pa.binary()), pa.array(counts, pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "symbols", "words"],
+                names=["id", "toxic", "symbols", "words"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
-        .mapInArrow(split, f"doc_id {kind}, toxic int, symbols binary, words array<int>")
-        .toArrow()
-        .sort_by([("doc_id", "ascending"), ("symbols", "ascending")])
-        .combine_chunks()
+        .groupBy("doc_id", "toxic")
+        .agg(F.min("text").alias("text"))
+        .select(F.col("doc_id").cast("string").alias("id"), F.col("toxic").cast("int").alias("toxic"), "text")
     )
-    streams = [np.frombuffer(x.as_buffer(), np.uint8) if x.is_valid else np.zeros(0, np.uint8) for x in rows["symbols"]]
-    words = [np.asarray(x, np.int64) for x in rows["words"].to_pylist()]
-    return list(zip(streams, words, strict=True)), rows["toxic"].to_numpy() == 1
+    return staged(rows.mapInArrow(split, "id string, toxic int, symbols binary, words array<int>"), "toxicity-sample")
+
+
+def _streams(batches):
+    """id, toxic, symbol stream and words of each sentence of the sample's rows."""
+    for b in batches:
+        for id_, toxic, raw, words in zip(*(b.column(i) for i in range(4)), strict=True):
+            yield id_.as_py(), toxic.as_py(), np.frombuffer(raw.as_py(), np.uint8), np.asarray(words.as_py(), np.int64)
+
+
+def _rows(found: list[tuple], schema: pa.Schema):
+    for at in range(0, len(found), 1 << 16):
+        columns = zip(*found[at : at + (1 << 16)], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _count(sample: DataFrame) -> np.ndarray:
+    """Occurrences of each subsequence in clean and toxic documents, at most
+    ``OCCURRENCES`` of one document."""
+
+    def run(batches):
+        counts = np.zeros((2, 1 << 20), np.int64)
+        for _, toxic, s, _ in _streams(batches):
+            if len(s):
+                keys, n = _keys(s)
+                counts[toxic, keys] += np.minimum(n, OCCURRENCES)
+        side, key = np.nonzero(counts)
+        for at in range(0, len(key), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(side[part]), pa.array(key[part]), pa.array(counts[side[part], key[part]])],
+                names=["side", "key", "n"],
+            )
+
+    rows = sample.mapInArrow(run, "side long, key long, n long").groupBy("side", "key").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((2, 1 << 20))
+    counts[rows["side"].to_numpy(), rows["key"].to_numpy()] = rows["n"].to_numpy()
+    return counts
+
+
+def _choose(sample: DataFrame, weights: np.ndarray, bias: float, first: bool) -> tuple[list[bytes], list[bytes]]:
+    """The words that speak for toxic and for clean documents under a model."""
+    shared = sample.sparkSession.sparkContext.broadcast(weights)
+    schema = pa.schema([("id", pa.string()), ("toxic", pa.int32()), ("words", pa.list_(pa.binary()))])
+
+    def run(batches):
+        found = []
+        for id_, toxic, s, counts in _streams(batches):
+            score = word_scores(s, shared.value) + bias
+            if not len(score):
+                continue
+            least = (SEED_LEAST if first else 0.0) if toxic else None
+            words = chosen_words(s, counts, score, least)
+            if first and not toxic:  # and one word as it comes
+                starts = np.flatnonzero(s == 0)
+                i = len(starts) // 2
+                end = starts[i + 1] if i + 1 < len(starts) else len(s)
+                words.append(s[starts[i] : min(end, starts[i] + MAX_WORD)].tobytes())
+            found.append((id_, toxic, words))
+        yield from _rows(found, schema)
+
+    rows = sample.mapInArrow(run, "id string, toxic int, words array<binary>").toArrow().sort_by("id").to_pylist()
+    shared.unpersist()
+    return tuple([w for r in rows if r["toxic"] == side for w in r["words"]] for side in (1, 0))
+
+
+def _evidence_of(sample: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    shared = sample.sparkSession.sparkContext.broadcast(weights)
+    schema = pa.schema([("id", pa.string()), ("toxic", pa.int32()), ("x", pa.list_(pa.float64()))])
+
+    def run(batches):
+        found = [(id_, y, evidence(word_scores(s, shared.value)).tolist()) for id_, y, s, _ in _streams(batches)]
+        yield from _rows(found, schema)
+
+    rows = sample.mapInArrow(run, "id string, toxic int, x array<double>").toArrow().sort_by("id")
+    shared.unpersist()
+    return np.array(rows["x"].to_pylist()), rows["toxic"].to_numpy().astype(float)
+
+
+def train(sample: DataFrame) -> Model:
+    """Fit a model to a :func:`training_sample`."""
+    rows = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    documents = np.array([rows.get(0, 0), rows.get(1, 0)])
+    if not documents.all():
+        return flat_model(documents[1] / max(documents.sum(), 1))
+    weights, bias = log_odds(_count(sample), documents), 0.0
+    for round_ in range(ROUNDS):
+        positive, negative = _choose(sample, weights, bias, round_ == 0)
+        if not positive or not negative:
+            break
+        weights, bias = fit_words(positive, negative)
+    return Model(weights, fit_curve(*_evidence_of(sample, weights)))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_columns: bool = False) -> DataFrame:
@@ -405,5 +512,5 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_colu
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    model = train(*training_sample(docs, labels))
+    model = train(training_sample(docs, labels))
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

@@ -271,7 +271,7 @@ def test_odd_column_names_pass_through(spark):
     cut = substring.remove_repeats(odd)
     assert cut.columns == odd.columns
     assert {r.doc_id: r.text for r in cut.collect()} == {1: rows[0][1], 2: "x", 3: None}
-    model = toxicity.train([], np.zeros(0))
+    model = toxicity.flat_model(0.0)
     scored = toxicity.score(odd, model, keep_columns=True).select("doc_id", "score", "row.*")
     assert scored.count() == 3 and "my col" in scored.columns
 

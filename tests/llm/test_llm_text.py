@@ -269,6 +269,32 @@ def test_symbols():
     assert toxicity.symbols("a b x").tolist() == [0, 1, 2, 24]
 
 
+def test_fillers_and_digits_beside_letters():
+    want = toxicity.symbols("zoquork").tolist()
+    for w in ("z1o1q1u1o1r1k", "z1o2q3u4o5r6k", "zxoxqxuxoxrxk", "z0qu0rk", "Z.O.Q.U.O.R.K", "z o q u o r k"):
+        assert toxicity.symbols(w).tolist() == want, w
+    assert toxicity.symbols("1d10t").tolist() == toxicity.symbols("idiot").tolist()
+    # ordinary words and numbers stay as they are, digits alone are one symbol
+    assert toxicity.symbols("banana").tolist() == [0, 2, 1, 14, 1, 14, 1]
+    assert toxicity.symbols("12345678 x\u00b2").tolist() == [0, *[27] * 8, 0, 24, 27]
+    both = toxicity.symbols("zoquork banana z1o1q1u1o1r1k").tolist()
+    assert both == want + toxicity.symbols("banana").tolist() + want
+    # other scripts keep their letters apart
+    assert len(set(toxicity.symbols("\u0433\u043b\u0443\u043f\u0435\u0446").tolist())) == 7
+
+
+def test_first_model_is_a_lower_bound_of_log_odds():
+    counts = np.zeros((2, 1 << 20))
+    counts[:, 5], counts[:, 6], counts[:, 7] = (1, 40), (40, 40), (0, 1)
+    found = toxicity.log_odds(counts, np.array([100, 50]))
+    odds = np.log(40.5 / 51) - np.log(1.5 / 101)
+    assert found[5] == pytest.approx(odds - toxicity.DOUBT * np.sqrt(1 / 1.5 + 1 / 40.5), rel=1e-5)
+    assert 0 < found[6] < np.log(2) and found[7] == found[0] == 0
+    s = toxicity.symbols("idiot")
+    keys, n = toxicity._keys(np.concatenate([s, s]))
+    assert set(n.tolist()) >= {2} and len(keys) == len(toxicity._keys(s)[0])
+
+
 def toxic_corpus(n=700):
     rng = random.Random(5)
     syllables = ["ka", "lo", "mi", "ne", "ru", "ta", "so", "ve", "bi", "du"]
@@ -295,6 +321,12 @@ def test_toxicity_on_held_out_rows(spark):
     right = [got[i]["predicted"] == y for i, y in held]
     assert np.mean(right) > 0.97
     assert all((r["score"] >= 0.3) == (r["predicted"] == 1) and 0 <= r["score"] <= 1 for r in got.values())
+    # a character in every gap, digits for letters
+    model = toxicity.train(toxicity.training_sample(docs, labels))
+    hidden = ["z1o1q1u1o1r1k", "zxoxqxuxoxrxk", "z0qu0rk", "zzooqquuoorrkk", "g.r.u.n.p.f.e.l", "kalo mine rutaso"]
+    texts = spark.createDataFrame([(i, f"kalo mi {w} neru ta.") for i, w in enumerate(hidden)], "doc_id long, text string")
+    found = {hidden[r["doc_id"]]: r["predicted"] for r in toxicity.score(texts, model).collect()}
+    assert found == {w: int(w != "kalo mine rutaso") for w in hidden}
 
 
 def test_toxicity_odd_tables(spark):
@@ -307,7 +339,7 @@ def test_toxicity_odd_tables(spark):
     odd = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1), (4, None), (99, 1)], "doc_id long, toxic int")
     assert toxicity.toxicity(docs, odd).count() == 6
     assert toxicity.toxicity(docs.limit(0), odd).count() == 0
-    model = toxicity.train([], np.zeros(0))
+    model = toxicity.flat_model(0.0)
     kept = toxicity.score(docs, model, keep_columns=True).select("row.*")
     assert sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
 
