@@ -75,7 +75,7 @@ class Dialect:
         return F.regexp_replace(bare, rf'(^|{re.escape(self.sep)})"[^"]*"', "$1x")
 
     def leaves_open(self, text: Column) -> Column:
-        return self.closed(text).rlike(rf'(^|{re.escape(self.sep)})"')
+        return text.contains('"') & self.closed(text).rlike(rf'(^|{re.escape(self.sep)})"')
 
     def stays_open(self, text: Column) -> Column:
         """Whether a line that starts inside quotes ends inside quotes."""
@@ -84,7 +84,7 @@ class Dialect:
         return ~bare.contains('"') | rest.rlike(rf'(^|{re.escape(self.sep)})"')
 
     def field_count(self, record: Column) -> Column:
-        rest = self.closed(record)
+        rest = F.when(record.contains('"'), self.closed(record)).otherwise(record)
         return F.length(rest) - F.length(F.replace(rest, F.lit(self.sep), F.lit(""))) + 1
 
     def options(self) -> dict[str, str]:
@@ -216,6 +216,12 @@ def _fault(f: Field) -> Column:
     return F.when(reason.isNotNull(), fault)
 
 
+def _once(value: Column) -> Column:
+    """``value`` as the row of a generator: what uses it later reads the result, where the
+    optimizer would put a copy of the expression into every use."""
+    return F.explode(F.array(value))
+
+
 def check_fields(records: DataFrame, fields: Sequence[Field] = FEED_FIELDS, dialect: Dialect = Dialect()) -> DataFrame:
     """record, ``parsed`` (its fields as text) and ``faults``: (field, reason, value) of all
     that does not fit, empty for an accepted record.  A record that cannot be cut into
@@ -234,9 +240,9 @@ def check_fields(records: DataFrame, fields: Sequence[Field] = FEED_FIELDS, dial
         F.lit(None).cast("string").alias("field"), shape.alias("reason"), F.lit(None).cast("string").alias("value")
     )
     each = F.array_compact(F.array(*[_fault(f) for f in fields]))
-    return records.withColumn("parsed", parsed).select(
-        "record", "parsed", F.when(shape.isNotNull(), F.array(whole)).otherwise(each).alias("faults")
-    )
+    faults = F.when(shape.isNotNull(), F.array(whole)).otherwise(each)
+    cut = records.select("record", "closed", _once(parsed).alias("parsed"))
+    return cut.select("record", "parsed", _once(faults).alias("faults"))
 
 
 def accepted(checked: DataFrame, fields: Sequence[Field] = FEED_FIELDS, typed: bool = False) -> DataFrame:
