@@ -43,12 +43,18 @@ def key_ranges(keys: DataFrame, by: str, at_most: int = MAX_RANGES) -> list[tupl
 
 
 def in_ranges(by: str, ranges: Sequence[tuple[object, object]]) -> Column:
-    """``by`` lies in one of ``ranges``, as a flat tree that the Parquet scan takes."""
+    """``by`` lies in one of ``ranges``, as a flat tree that the Parquet scan takes.  Each branch
+    first tests the range that holds all of its ranges, so a row goes down one path."""
     key = F.col(by)
-    tests = [key == lo if lo == hi else (key >= lo) & (key <= hi) for lo, hi in ranges]
-    while len(tests) > 1:
-        tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) - len(tests) % 2 :]
-    return tests[0] if tests else F.lit(False)
+    whole = lambda lo, hi: key == lo if lo == hi else (key >= lo) & (key <= hi)
+    nodes = [(lo, hi, whole(lo, hi)) for lo, hi in sorted(ranges)]
+    while len(nodes) > 1:
+        pairs = [
+            (a[0], max(a[1], b[1]), whole(a[0], max(a[1], b[1])) & (a[2] | b[2]))
+            for a, b in zip(nodes[::2], nodes[1::2])
+        ]
+        nodes = pairs + nodes[len(nodes) - len(nodes) % 2 :]
+    return nodes[0][2] if nodes else F.lit(False)
 
 
 def scoped(table: DataFrame, keys: DataFrame, by: str, at_most: int = MAX_RANGES) -> DataFrame:
