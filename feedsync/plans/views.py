@@ -65,7 +65,7 @@ ROW_COLS = FEED_COLUMNS + ["prop_code", "competitor_id", "competitor_name"]
 Stage = Callable[[str, DataFrame], DataFrame]
 
 
-def _lazy(name: str, df: DataFrame) -> DataFrame:
+def lazy(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
@@ -95,8 +95,8 @@ class Reconciliation(Mapping[str, DataFrame]):
     ``stage(name, df)`` is called on every shared intermediate (``codes``,
     ``tagged``, ``new_hosts``, ``competitor_upserts``, ``compset_diff``,
     ``desired_config``, ``config_pairs``, ``config_inserts``, ``config_deletes``, ``config_updates``); the staged run
-    writes them once and reads them back, the registered queries leave them
-    lazy.  ``admitted`` holds new-host rows the caller has already added to
+    writes them once and reads them back, as the registered queries do with those that
+    they read several times; without it they stay lazy.  ``admitted`` holds new-host rows the caller has already added to
     ``t["compset"]`` (same-run admission); they are reported as this run's new
     hosts and not inserted again.  ``key_ranges`` above 0 reads the config only in so many
     ranges of the feed's codes for the change sets (see :mod:`feedsync.sources.clustered`).
@@ -124,7 +124,7 @@ class Reconciliation(Mapping[str, DataFrame]):
         ctx: RunContext | None = None,
         skew: SkewConf | None = None,
         scope: str = "valid",
-        stage: Stage = _lazy,
+        stage: Stage = lazy,
         admitted: DataFrame | None = None,
         rules: MatchRules | None = None,
         defaults: Mapping[str, object] | None = None,
@@ -361,6 +361,7 @@ class Reconciliation(Mapping[str, DataFrame]):
         data date, so a pair whose range has ended opens a new one."""
         on = self.ctx.data_date
         changes = compset_diff(self.matched, current_rows(self.t["compset"], on_date=on), self.state)
+        changes = self.stage("history_changes", changes)
         hosts = self.new_hosts if self.admitted is None else self.admitted.limit(0)
         return apply_history(self.t["compset"], changes, hosts, on)
 
@@ -409,7 +410,7 @@ class Reconciliation(Mapping[str, DataFrame]):
             "own_ind", F.explode(F.array_compact(roles))
         )
         fan = self.codes.filter(F.col("state") == F.lit(MATCH))
-        if self.stage is not _lazy:
+        if self.stage is not lazy:
             # the pairs are staged: seasons of codes without an inserted pair never move
             # (lazily this would evaluate the pairs' join once more)
             fan = rows.groupBy("prop_code").agg(F.max("n_fan").alias("n_fan"), F.max("n_season").alias("n_season"))
@@ -476,7 +477,7 @@ def reconcile_views(
     ctx: RunContext | None = None,
     skew: SkewConf | None = None,
     scope: str = "valid",
-    stage: Stage = _lazy,
+    stage: Stage = lazy,
     admitted: DataFrame | None = None,
     rules: MatchRules | None = None,
     defaults: Mapping[str, object] | None = None,

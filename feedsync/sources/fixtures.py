@@ -22,6 +22,8 @@ overlaps, touches or leaves a gap by custkey mod 3; comp_config leaves out pair
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,10 +79,13 @@ def _hosts(customer: DataFrame) -> DataFrame:
     )
 
 
-def fixture_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Build ``listing`` (the feed) and the reference tables from TPC-H tables."""
+def fixture_tables(
+    tables: dict[str, DataFrame], stage: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
+) -> dict[str, DataFrame]:
+    """Build ``listing`` (the feed) and the reference tables from TPC-H tables.  Three of them
+    read the pairs that traded, which go through ``stage`` as ``pairs``."""
     customer, supplier, nation = tables["customer"], tables["supplier"], tables["nation"]
-    pairs = _pairs(tables["orders"], tables["lineitem"])
+    pairs = stage("pairs", _pairs(tables["orders"], tables["lineitem"]))
     host = _hosts(customer)
     pk = (F.col("custkey") * 7 + F.col("suppkey")) % 10
     both = F.col("custkey") + F.col("suppkey")
@@ -272,5 +277,5 @@ def load_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TPCH_TABLES}
 
 
-def load_fixtures(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return fixture_tables(load_tpch(spark, sf_dir))
+def load_fixtures(spark: SparkSession, sf_dir: str, **kw) -> dict[str, DataFrame]:
+    return fixture_tables(load_tpch(spark, sf_dir), **kw)
