@@ -75,26 +75,41 @@ def apply_updates(
     keys: Sequence[str],
     columns: dict[str, tuple[str, str]],
     stamp_with: tuple[str, object] | None = None,
+    by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``current`` with the columns of the rows that ``updates`` names changed.
 
     ``columns`` maps a column to its (before, after) columns in ``updates``; a row is
     meant if its keys are equal and its values are those before, NULLs included, so rows
-    that share a key are told apart.  Changed rows are re-stamped."""
-    u = updates.select(
-        *(F.col(k).alias(f"_{k}") for k in keys), *(c for pair in columns.values() for c in pair)
-    ).withColumn("_changed", F.lit(True))
-    meant = F.lit(True)
-    for k in keys:
-        meant = meant & (F.col(k) == F.col(f"_{k}"))
-    for c, (before, _) in columns.items():
-        meant = meant & F.col(c).eqNullSafe(F.col(before))
-    changed = is_true(F.col("_changed"))
-    new = {c: F.when(changed, F.col(after)).otherwise(F.col(c)) for c, (_, after) in columns.items()}
+    that share a key are told apart.  Changed rows are re-stamped.
+
+    The rows meet the list of updates of their ``by`` keys (default: all keys).  If a later
+    step joins by the same keys, the table moves once for both."""
+    by = list(by or keys)
+    u = updates.select(*keys, *(c for pair in columns.values() for c in pair)).filter(~_null_key(by))
+    u = u.groupBy(*(F.col(k).alias(f"_{k}") for k in by)).agg(
+        F.collect_list(F.struct(*(F.col(c) for c in u.columns if c not in by))).alias("_updates")
+    )
+
+    def meant(x: Column) -> Column:
+        found = F.lit(True)
+        for k in keys:
+            if k not in by:
+                found = found & (F.col(k) == x[k])
+        for c, (before, _) in columns.items():
+            found = found & F.col(c).eqNullSafe(x[before])
+        return found
+
+    same = F.lit(True)
+    for k in by:
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    rows = current.join(u, same, "left").withColumn("_update", F.explode_outer(F.filter("_updates", meant)))
+    changed = F.col("_update").isNotNull()
+    new = {c: F.when(changed, F.col("_update")[after]).otherwise(F.col(c)) for c, (_, after) in columns.items()}
     if stamp_with is not None:
         stamps = {AUDIT_BY: F.lit(stamp_with[0]), AUDIT_TS: F.lit(stamp_with[1]).cast("timestamp")}
         new |= {c: F.when(changed, v).otherwise(F.col(c)) for c, v in stamps.items() if c in current.columns}
-    return current.join(u, meant, "left").withColumns(new).select(*current.columns)
+    return rows.withColumns(new).select(*current.columns)
 
 
 def deactivate_changes(

@@ -450,6 +450,7 @@ class Reconciliation(Mapping[str, DataFrame]):
             [*PAIR_KEYS, "season_id"],
             {"we_ind": ("we_before", "we_after"), "own_ind": ("own_before", "own_after")},
             self.stamp_with,
+            by=PAIR_KEYS,  # as the deletes below
         )
         after, rejected = apply_changes(
             updated, self.config_inserts, self.config_deletes, stamp_with=self.stamp_with, defaults=self.defaults

@@ -83,7 +83,7 @@ def fixture_tables(
     tables: dict[str, DataFrame], stage: Callable[[str, DataFrame], DataFrame] = lambda name, df: df
 ) -> dict[str, DataFrame]:
     """Build ``listing`` (the feed) and the reference tables from TPC-H tables.  Three of them
-    read the pairs that traded, which go through ``stage`` as ``pairs``."""
+    read the pairs that traded, which go through ``stage`` as ``pairs``; so does ``comp_config``."""
     customer, supplier, nation = tables["customer"], tables["supplier"], tables["nation"]
     pairs = stage("pairs", _pairs(tables["orders"], tables["lineitem"]))
     host = _hosts(customer)
@@ -236,7 +236,7 @@ def fixture_tables(
         flag(s.isNull() | (odd & ((2 * ck + s) % 67 == 0))).alias("own_ind"),
         (ck % 7).cast("int").alias("prd_profile_id"),
     )
-    comp_config = _audited(comp_config)
+    comp_config = stage("comp_config", _audited(comp_config))
 
     return {
         "listing": listing,

@@ -1,6 +1,7 @@
 """Ordered export: one total order, parts that match their list, and pruned season folders."""
 
 import glob
+import gzip
 import os
 
 import pytest
@@ -65,6 +66,27 @@ def test_damaged_parts_are_found(spark, tmp_path, table):
         verify_export(spark, path, table.schema, KEYS)
 
 
+def test_a_compressed_export_is_the_same_text(spark, tmp_path, table):
+    a, b = f"{tmp_path}/a", f"{tmp_path}/b"
+    export_ordered(table, a, KEYS, rows_per_file=300)
+    parts = export_ordered(table, b, KEYS, rows_per_file=300, compression="gzip")
+    (plain, _), (_, names) = _bytes(a), _bytes(b)
+    assert b"".join(gzip.open(n).read() for n in names) == plain
+    assert sum(r.n_bytes for r in parts.collect()) == sum(map(os.path.getsize, names)) < len(plain)
+    assert rows_of(read_export(spark, b, table.schema, KEYS)) == rows_of(read_export(spark, a, table.schema, KEYS))
+    name = next(n for n in names if b"0.125" in gzip.open(n).read())
+    os.remove(os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc"))
+    text = gzip.open(name).read()
+    with gzip.open(name, "wb") as f:
+        f.write(text.replace(b"0.125", b"0.250", 1))
+    with pytest.raises(RuntimeError, match="parts"):
+        verify_export(spark, b, table.schema, KEYS)
+    with open(name, "r+b") as f:
+        f.truncate(os.path.getsize(name) // 2)
+    with pytest.raises(Exception, match="(?i)unexpected end|parts"):
+        verify_export(spark, b, table.schema, KEYS)
+
+
 def test_empty_and_nested(spark, tmp_path, table):
     path = f"{tmp_path}/a"
     assert export_ordered(table.limit(0), path, KEYS).count() == 0

@@ -136,6 +136,33 @@ def test_update_class(spark):
     assert config_updates(again, config_pairs(spark.createDataFrame(listed, LISTED), again), seasons).count() == 0
 
 
+def test_updates_and_deletes_move_the_table_once(spark):
+    stored = [("P1", 3, 11, "N", "N"), ("P1", 3, 11, "N", "N"), ("P1", 3, 12, None, "N"), ("P1", 3, 12, "Y", "N"),
+              ("P2", 6, 11, "N", "N"), ("P2", 6, None, "N", "N"), (None, 6, 11, "N", "N"), ("P3", None, 11, "N", "N"),
+              ("P4", 9, 11, "Y", "N")]
+    schema = "prop_code string, competitor_id int, season_id int, we_ind string, own_ind string"
+    current = spark.createDataFrame(stored, schema)
+    ups = spark.createDataFrame(
+        [("P1", 3, 11, "N", "Y"), ("P1", 3, 12, None, "Z"), ("P1", 3, 13, "N", "Y"), ("P2", 6, 11, "Y", "N"),
+         ("P2", 6, None, "N", "Y"), (None, 6, 11, "N", "Y"), ("P3", None, 11, "N", "Y"), ("P4", 9, 11, "Y", "A"),
+         ("P4", 9, 11, "Y", "B")],
+        "prop_code string, competitor_id int, season_id int, we_before string, we_after string",
+    )
+    gone = spark.createDataFrame([("P2", 6)], "prop_code string, competitor_id int")
+    keys, flags = ["prop_code", "competitor_id", "season_id"], {"we_ind": ("we_before", "we_after")}
+    # one update a row, those that fit a key and a value only; two that fit give two rows
+    want = sorted([("P1", 3, 11, "Y", "N")] * 2 + [("P1", 3, 12, "Z", "N"), ("P4", 9, 11, "A", "N"), ("P4", 9, 11, "B", "N")]
+                  + [stored[i] for i in (3, 4, 5, 6, 7)], key=str)
+    for by in (None, ["prop_code"], keys[:2], keys):
+        updated = apply_updates(current, ups, keys, flags, by=by)
+        assert sorted(map(tuple, updated.collect()), key=str) == want
+    after, _ = apply_changes(apply_updates(current, ups, keys, flags, by=keys[:2]), current.limit(0), gone)
+    assert sorted(map(tuple, after.collect()), key=str) == [r for r in want if r[0] != "P2"]
+    # of the stored rows, the updates and the deletes
+    plan = after._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_flipped_flags_reach_the_config(fixtures_small, views_small):
     flipped = views_small["config_updates"].select("prop_code", "competitor_id", "season_id", "we_after", "own_after")
     assert flipped.count() > 20

@@ -1,10 +1,15 @@
-"""What a registered query reads several times is computed once."""
+"""What a registered query reads several times is computed once, and goes when it is read no more."""
+
+import os
+import time
 
 import pytest
 from conftest import SF_SMALL, rows_of
 from pyspark.sql import functions as F
 
 from feedsync.operators import export_ordered, read_export
+from feedsync.plans.round_trips import StagedOnce
+from feedsync.session import shared_dir
 from feedsync.sources import accepted, check_fields, in_ranges
 
 
@@ -62,3 +67,39 @@ def test_a_key_is_tested_against_one_path_of_the_ranges(spark):
     assert inside.count() == 64
     assert keys.filter(in_ranges("code", ranges[::-1])).count() == 64
     assert keys.filter(in_ranges("code", [("P1", "P3"), ("P2", "P25")])).count() == keys.filter("code >= 'P1' and code <= 'P3'").count()
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in (str(found.apply(i)) for i in range(found.size())) if "/shuffle_" in f}
+
+
+def test_a_staged_step_leaves_no_shuffles(spark):
+    rows = [(f"P{i % 5}" if i % 4 else None, i % 7) for i in range(400)] * 2
+    table = spark.createDataFrame(rows, "prop_code string, id int")
+    before = _shuffle_files(spark)
+    stage = StagedOnce(spark, ["whole", "cut"], {"cut": 3})
+    spread = table.repartition(6, "id")
+    whole, cut = stage("whole", spread), stage("cut", spread)
+    assert stage("other", spread) is spread
+    until = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert rows_of(whole) == rows_of(cut) == rows_of(table)
+    stage.drop("cut")
+    assert os.listdir(stage.root.removeprefix("file:")) == ["whole"]
+
+
+@pytest.mark.parametrize("name", ["config_export", "config_export_order"])
+def test_an_export_keeps_no_step_on_disk(spark, name):
+    from __spark_entry__ import queries
+
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    rows = queries()[name](spark, SF_SMALL)
+    new = [f"{d}/{f}" for top in set(os.listdir(root)) - before for d, _, fs in os.walk(f"{root}/{top}") for f in fs]
+    assert not [f for f in new if "/staged-" in f]
+    parts = [f for f in new if "/config-export-" in f and "/data/part-" in f]
+    assert parts and all(f.endswith(".csv.gz") for f in parts)
+    assert rows.count() > 1000
